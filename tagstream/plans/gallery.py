@@ -308,3 +308,391 @@ def format_report(spark, sf):
     g = g.withColumn("avg_value", cents / F.lit(100.0))
     return g.select("sensor", "window_start",
                     fmt.sensor_report_line("sensor", "avg_value", "unit", "cnt", "max_ts").alias("line"))
+
+
+# --------------------------------------------------------------------------
+# Projection, filter, recode
+# --------------------------------------------------------------------------
+
+@q("filter_project")
+def filter_project(spark, sf):
+    """P-01/P-02: threshold filter and narrow projection (pushed into the scan)."""
+    e = I.events(spark, sf)
+    return e.where(F.col("value") > 40).select("event_id", "user_id", "value")
+
+
+@q("conditional_recode")
+def conditional_recode(spark, sf):
+    """P-09: rename one key value, keep the rest."""
+    e = I.events(spark, sf)
+    return e.select("event_id", F.when(F.col("event_type") == "signup", "register")
+                    .otherwise(F.col("event_type")).alias("event_type"), "value")
+
+
+@q("db_row_projection")
+def db_row_projection(spark, sf):
+    """P-08: parsed JSON reading -> sink row (area, sensor_id, raw value as
+    avg_value, count 1, ts)."""
+    ok = P.accepted(P.parse_json_readings(I.json_messages(spark, sf)))
+    return ok.where(F.col("area").isNotNull()).select(
+        "seq", "area", F.col("sensor").alias("sensor_id"),
+        F.col("value_num").cast("double").alias("avg_value"),
+        F.lit(1).alias("cnt"), F.col("ts_ms").cast("long").alias("ts"))
+
+
+@q("encode_json")
+def encode_json(spark, sf):
+    """K-09: record -> JSON text (the producer's message value)."""
+    r = I.readings(spark, sf)
+    body = F.to_json(F.struct(F.col("sensor").alias("sensor_id"), "area", "value",
+                              ts_to_epoch_ms("ts").alias("timestamp")))
+    return r.select("seq", F.col("sensor").alias("key"), body.alias("value"))
+
+
+# --------------------------------------------------------------------------
+# Joins and top-k
+# --------------------------------------------------------------------------
+
+from tagstream.operators import joins as J  # noqa: E402
+from tagstream.operators import tables as TB  # noqa: E402
+from tagstream.operators import telemetry as TM  # noqa: E402
+from tagstream.operators import topk as TK  # noqa: E402
+from tagstream.sources.tables import read_table  # noqa: E402
+
+
+def _report_inputs(spark, sf):
+    """readings := orders, oee := lineitem (many per order), locations :=
+    supplier (keyed by supplier key)."""
+    readings = read_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("sensor"), F.col("o_totalprice").alias("value"),
+        F.col("o_orderpriority").alias("unit"), F.col("o_orderdate").alias("record_time"))
+    oee = read_table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("sensor_id"), F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").alias("up_time"), F.col("l_suppkey").alias("location"))
+    locations = read_table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("location_code"), F.col("s_name").alias("site_name"),
+        F.col("s_nationkey").alias("address_number"))
+    return readings, oee, locations
+
+
+@q("left_join_fanout")
+def left_join_fanout(spark, sf):
+    """J-01: readings LEFT JOIN oee -- every match kept, unmatched -> NULLs."""
+    readings, oee, _ = _report_inputs(spark, sf)
+    j = J.left_join(readings, oee, "sensor", "sensor_id")
+    return j.select("sensor", "record_time", "value", "line", "up_time", "location")
+
+
+@q("left_join_chain")
+def left_join_chain(spark, sf):
+    """J-02: oee LEFT JOIN locations LEFT JOIN nation (size-checked broadcasts)."""
+    _, oee, locations = _report_inputs(spark, sf)
+    nation = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
+    j = J.left_join(oee, locations, "location", "location_code", broadcast_max_rows=J.DIM_MAX_ROWS)
+    j = J.left_join(j, nation, "address_number", "n_nationkey", broadcast_max_rows=J.DIM_MAX_ROWS)
+    return j.select("sensor_id", "line", "location", "site_name", "address_number", "n_name")
+
+
+@q("report_top6")
+def report_top6(spark, sf):
+    """J-03/O-02/S-10: the 3-table report, newest 6 rows."""
+    readings, oee, locations = _report_inputs(spark, sf)
+    out = J.latest_report(
+        readings, oee, locations, "sensor", "sensor_id", "location", "location_code",
+        reading_order=[F.col("record_time").desc(), F.col("sensor").desc()],
+        tie_order=[F.col("line").asc_nulls_first()], n=6)
+    return out.select("sensor", "location", "site_name", "address_number", "value", "unit",
+                      "up_time", "record_time")
+
+
+@q("top_words")
+def top_words(spark, sf):
+    """O-01: the 25 most frequent tokens (ties by word)."""
+    wc = TX.word_count(TX.words(I.doc_lines(spark, sf), "line", min_len=2))
+    return TK.top_n(wc, [F.col("cnt").desc(), F.col("word").asc()], 25)
+
+
+@q("top_words_sql")
+def top_words_sql(spark, sf):
+    """O-03: the same leaderboard as SQL over a registered view."""
+    wc = TX.word_count(TX.words(I.doc_lines(spark, sf), "line", min_len=2))
+    return TK.sql_over_view(wc, "SELECT word, cnt FROM {view} ORDER BY cnt DESC, word ASC LIMIT 25")
+
+
+@q("tail_n")
+def tail_n(spark, sf):
+    """O-04: the last 10 lines of the text (document order)."""
+    return TK.tail_n(I.doc_lines(spark, sf), ["doc_id", "line_no"], 10)
+
+
+@q("top_n_per_key")
+def top_n_per_key(spark, sf):
+    """O-04 per key: the 3 largest readings of each sensor (salted, exact)."""
+    r = I.readings(spark, sf).select("sensor", "seq", "value")
+    return TK.top_n_per_key(r, ["sensor"], [F.col("value").desc(), F.col("seq").asc()], 3)
+
+
+# --------------------------------------------------------------------------
+# Table maintenance and constraints
+# --------------------------------------------------------------------------
+
+def _hourly(e):
+    return e.select(F.col("event_type").alias("sensor"), F.concat(F.lit("u_"), "event_type").alias("unit"),
+                    TB.decimal_fit("value").alias("value"),
+                    F.window("ts", "1 hour").start.alias("record_time"), "event_id")
+
+
+@q("upsert_readings")
+def upsert_readings(spark, sf):
+    """K-04: stored hourly readings (first reading of each hour, days 1-15)
+    upserted with a replayed batch (last reading per hour, days 11-30)."""
+    e = I.events(spark, sf)
+    stored = TB.first_per_key(_hourly(e.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))),
+                              ["sensor", "record_time"], "event_id").drop("event_id")
+    batch = _hourly(e.where(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz")))
+    return TB.upsert(stored, batch, ["sensor", "record_time"], "event_id")
+
+
+@q("upsert_oee")
+def upsert_oee(spark, sf):
+    """K-05: per (customer, order date) keep the latest order's price and
+    priority: orders before 1999 upserted with orders from 1998 on."""
+    o = read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("sensor_id"), F.col("o_orderdate").alias("record_time"),
+        F.col("o_totalprice").alias("up_time"), F.col("o_orderpriority").alias("location"), "o_orderkey")
+    stored = TB.first_per_key(o.where(F.col("record_time") < F.lit("1999-01-01").cast("timestamp_ntz")),
+                              ["sensor_id", "record_time"], "o_orderkey").drop("o_orderkey")
+    batch = o.where(F.col("record_time") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    return TB.upsert(stored, batch, ["sensor_id", "record_time"], "o_orderkey")
+
+
+@q("insert_ignore")
+def insert_ignore(spark, sf):
+    """K-06/J-04: location-style insert-if-absent keyed by customer: the
+    table of first orders before 1998 plus first orders of new customers."""
+    o = read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("location_code"), F.col("o_orderpriority").alias("site_name"),
+        F.col("o_orderkey").alias("address_number"), "o_orderdate")
+    stored = TB.first_per_key(o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")),
+                              ["location_code"], "address_number").drop("o_orderdate")
+    batch = o.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    return TB.insert_if_absent(stored, batch, ["location_code"], "address_number")
+
+
+@q("pk_violations")
+def pk_violations(spark, sf):
+    """C-01: (event type, minute) used as a key: duplicated keys."""
+    e = I.events(spark, sf).select("event_type", F.window("ts", "1 minute").start.alias("minute"))
+    return TB.pk_violations(e, ["event_type", "minute"])
+
+
+@q("decimal_fit")
+def decimal_fit(spark, sf):
+    """C-03: prices into decimal(5,2): fitted value or NULL (reject)."""
+    li = read_table(spark, sf, "lineitem")
+    d = TB.decimal_fit("l_extendedprice", 5, 2)
+    return li.select("l_orderkey", "l_linenumber", d.alias("price_5_2"), d.isNotNull().alias("fits"))
+
+
+@q("length_check")
+def length_check(spark, sf):
+    """C-04: VARCHAR(40) check on page URLs."""
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id", F.length("url").alias("url_len"), TB.length_ok("url", 40).alias("url_ok"))
+
+
+# --------------------------------------------------------------------------
+# Telemetry: lineitem rows as archived device polls
+# --------------------------------------------------------------------------
+
+from tagstream import schemas as S  # noqa: E402
+from tagstream.functions.scalars import clock_mod, truncating_scale  # noqa: E402
+
+LAYOUTS = {"water_plant": S.WATER_PLANT_REGISTERS, "tank": S.TANK_REGISTERS, "belt": S.BELT_REGISTERS}
+POLL_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def _device_class():
+    k = F.pmod(F.col("l_suppkey"), F.lit(3))
+    return F.when(k == 0, "water_plant").when(k == 1, "tank").otherwise("belt")
+
+
+def _encoded(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    fields = [("l_quantity", 100), ("l_discount", 1000), ("l_tax", 1000), ("l_extendedprice", 0.1),
+              (F.pmod("l_partkey", F.lit(1400)), 1), (clock_mod("l_shipdate"), 1)]
+    keep = [*POLL_KEYS, F.col("l_suppkey").alias("device"), F.col("l_shipdate").alias("ts"),
+            _device_class().alias("device_class"),
+            F.slice(F.array(F.col("l_returnflag") == "R", F.col("l_linestatus") == "O",
+                            F.col("l_discount") > 0.05, F.col("l_quantity") > 25, F.col("l_tax") > 0.04,
+                            F.col("l_returnflag") == "A", F.col("l_quantity") < 3, F.col("l_discount") < 0.09),
+                    1, F.least(F.lit(8), F.col("l_linenumber") + 3)).alias("bits")]
+    return TM.encode_registers(li, fields, keep)
+
+
+def _polls(spark, sf):
+    """Polls: registers cut to ``min(6, line + 1)`` positions, so short
+    reads (and their defaults) occur."""
+    e = _encoded(spark, sf)
+    return e.withColumn("registers", F.slice("registers", 1, F.least(F.lit(6), F.col("l_linenumber") + 1)))
+
+
+@q("encode_registers")
+def encode_registers(spark, sf):
+    """R-06: values -> scaled 16-bit register array (truncating)."""
+    return _encoded(spark, sf).select(*POLL_KEYS, "registers")
+
+
+@q("decode_registers")
+def decode_registers(spark, sf):
+    """R-01/R-02/R-05: registers present in each poll, decoded by the
+    poll's device map."""
+    m = TM.register_map(spark, LAYOUTS)
+    return TM.decode_registers(_polls(spark, sf), m, POLL_KEYS)
+
+
+@q("decode_registers_default")
+def decode_registers_default(spark, sf):
+    """R-03: every mapped tag, missing registers as 0 (flagged)."""
+    m = TM.register_map(spark, LAYOUTS)
+    return TM.decode_registers_default(_polls(spark, sf), m, POLL_KEYS)
+
+
+@q("decode_bits")
+def decode_bits(spark, sf):
+    """R-04: named status booleans, missing bits False."""
+    return TM.decode_bits(_polls(spark, sf), S.WATER_PLANT_BITS, POLL_KEYS)
+
+
+@q("alarm_list")
+def alarm_list(spark, sf):
+    """R-09: active alarms per poll or "All systems normal"."""
+    st = TM.decode_bits(_polls(spark, sf), S.WATER_PLANT_BITS, POLL_KEYS)
+    return TM.alarm_list(st, POLL_KEYS)
+
+
+STATUS_AS = [("pump_running", "pump_status"), ("valve_open", "valve_status"), ("heater_on", "heater_status"),
+             ("temp_alarm", "temp_alarm"), ("pressure_alarm", "pressure_alarm")]
+
+
+def _wide_poll(spark, sf):
+    """Sensors and status of each poll side by side, decoded in one pass."""
+    p = _polls(spark, sf)
+    both = TM.decode_bits(TM.decode_wide(p, S.WATER_PLANT_REGISTERS[:5], [*POLL_KEYS, "bits"]),
+                          S.WATER_PLANT_BITS, [*POLL_KEYS, *[t for _p, t, _d, _u in S.WATER_PLANT_REGISTERS[:5]]])
+    return both.select(*POLL_KEYS, *[t for _p, t, _d, _u in S.WATER_PLANT_REGISTERS[:5]],
+                       *[F.col(a).alias(b) for a, b in STATUS_AS])
+
+
+@q("unpivot_readings")
+def unpivot_readings(spark, sf):
+    """R-07: wide poll -> ten long readings with units (bool -> 1/0)."""
+    w = _wide_poll(spark, sf)
+    cols = [t for t, _u in S.POLL_UNITS]
+    return TM.unpivot_readings(w, POLL_KEYS, cols, dict(S.POLL_UNITS), decimals=3)
+
+
+@q("threshold_alarms")
+def threshold_alarms(spark, sf):
+    """R-08: readings over their rule limits."""
+    w = _wide_poll(spark, sf)
+    long = TM.unpivot_readings(w, POLL_KEYS, [t for t, _u in S.POLL_UNITS], dict(S.POLL_UNITS))
+    return TM.threshold_alarms(long, spark, S.THRESHOLD_RULES)
+
+
+@q("latest_snapshot")
+def latest_snapshot(spark, sf):
+    """R-10: latest value of every (device, sensor)."""
+    r = I.readings(spark, sf)
+    return TM.latest_snapshot(r, ["device", "sensor"], ["value"], ["ts", "seq"])
+
+
+@q("dashboard")
+def dashboard(spark, sf):
+    """R-11: per device, the latest poll's sensors and status side by side,
+    with setpoints where the device has them."""
+    p = _polls(spark, sf).withColumn("_o", F.struct("ts", *POLL_KEYS, "registers", "bits"))
+    last = TB.last_per_key(p.select("device", "_o", "registers", "bits"), ["device"], "_o")
+    sensors = TM.decode_wide(last, S.WATER_PLANT_REGISTERS, ["device"])
+    status = TM.decode_bits(last, S.WATER_PLANT_BITS, ["device"])
+    sup = read_table(spark, sf, "supplier").where(F.col("s_acctbal") >= 0)
+    sp_regs = TM.encode_registers(sup, [("s_acctbal", 1), (F.col("s_nationkey") * 100, 1),
+                                        (F.pmod("s_suppkey", F.lit(1000)), 1)],
+                                  [F.col("s_suppkey").alias("device")])
+    setpoints = TM.decode_wide(sp_regs, S.WATER_PLANT_SETPOINTS, ["device"])
+    return TM.dashboard(sensors, status, setpoints, "device")
+
+
+EVENT_ALIASES = [("view", "page_view"), ("click", "tap")]
+
+
+@q("normalize_tags")
+def normalize_tags(spark, sf):
+    """R-12: tag names mapped between schemes, unmapped kept."""
+    e = I.events(spark, sf).select("event_id", F.col("event_type").alias("original"))
+    return TM.normalize_tags(e, EVENT_ALIASES, tag_col="original", out="tag")
+
+
+@q("multi_device_union")
+def multi_device_union(spark, sf):
+    """R-13: devices with different tag sets in one table."""
+    tank = read_table(spark, sf, "supplier").select(
+        F.concat(F.lit("tank_"), F.col("s_suppkey").cast("string")).alias("device"),
+        F.col("s_acctbal").alias("temperature"), F.col("s_nationkey").cast("double").alias("pressure"))
+    dis = read_table(spark, sf, "customer").select(
+        F.concat(F.lit("disinfection_"), F.col("c_custkey").cast("string")).alias("device"),
+        F.col("c_acctbal").alias("uv"), F.col("c_nationkey").cast("double").alias("chlorine"),
+        F.length("c_name").cast("double").alias("turbidity"))
+    return TM.union_devices([tank, dis])
+
+
+@q("device_list")
+def device_list(spark, sf):
+    """R-14: the devices seen in the polls."""
+    return TM.device_list(_polls(spark, sf), "device")
+
+
+# --------------------------------------------------------------------------
+# Scalar function projections
+# --------------------------------------------------------------------------
+
+from tagstream.functions.scalars import bit_to_bool, bool_to_number, hhmmss, trim_all  # noqa: E402
+
+
+@q("scalar_text")
+def scalar_text(spark, sf):
+    """F-01..F-06: lower/upper, split, strip, length, substring, in-list."""
+    e = I.events(spark, sf)
+    k_text = trim_all(F.regexp_replace(F.split("props", ":").getItem(1), "}", ""))
+    return e.select("event_id", F.lower("event_type").alias("lower_type"),
+                    F.upper("event_type").alias("upper_type"),
+                    F.length("props").alias("props_len"),
+                    trim_all(F.concat(F.lit("  "), "event_type", F.lit(" "))).alias("trimmed"),
+                    F.col("props").contains("9").alias("has_nine"),
+                    F.col("event_type").isin("click", "view").alias("in_list"),
+                    k_text.alias("k_text"))
+
+
+@q("scalar_numeric")
+def scalar_numeric(spark, sf):
+    """F-07, F-09, F-10, F-14, F-15, F-16: parse, max, rounding, bool and
+    bit conversions, truncating scale."""
+    li = read_table(spark, sf, "lineitem")
+    return li.select(*POLL_KEYS,
+                     F.col("l_quantity").cast("int").cast("string").try_cast("int").alias("qty_parsed"),
+                     F.greatest("l_quantity", F.col("l_tax") * 1000).alias("max_of_two"),
+                     F.round(F.col("l_discount") * 100, 0).alias("discount_pct"),
+                     bool_to_number(F.col("l_returnflag") == "R").alias("returned_num"),
+                     bit_to_bool(F.col("l_linenumber") % 2).alias("odd_line"),
+                     truncating_scale("l_tax", 100).alias("tax_x100"))
+
+
+@q("scalar_time")
+def scalar_time(spark, sf):
+    """F-12, F-13, F-18 and epoch ms: clock text, date-time text, 16-bit
+    seconds clock."""
+    e = I.events(spark, sf)
+    return e.select("event_id", hhmmss("ts").alias("hhmmss"),
+                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("datetime_text"),
+                    clock_mod("ts").alias("clock16"),
+                    ts_to_epoch_ms("ts").alias("ts_ms"))

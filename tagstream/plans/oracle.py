@@ -217,3 +217,262 @@ SELECT sensor, window_start,
 FROM (SELECT sensor, {_tb('1 hour')} AS window_start, sum(CAST(round(value * 100) AS BIGINT)) AS sum_cents,
              count(*) AS cnt, max(ts) AS max_ts, any_value(unit) AS unit
       FROM {READINGS} GROUP BY ALL)"""
+
+
+# ---------------------------------------------------------------------------
+# Projection, recode, JSON encode
+# ---------------------------------------------------------------------------
+
+ORACLE["filter_project"] = "SELECT event_id, user_id, value FROM events WHERE value > 40"
+
+ORACLE["conditional_recode"] = """
+SELECT event_id, CASE WHEN event_type = 'signup' THEN 'register' ELSE event_type END AS event_type, value
+FROM events"""
+
+ORACLE["db_row_projection"] = f"""
+SELECT seq, 'line_' || CAST(user_id % 2 + 1 AS VARCHAR) AS area, event_type AS sensor_id,
+       value AS avg_value, 1 AS cnt, epoch_us(ts) // 1000 AS ts
+FROM {JSON_MESSAGES} WHERE shape = 'A'"""
+
+ORACLE["encode_json"] = """
+SELECT event_id AS seq, event_type AS key,
+       CAST(json_object('sensor_id', event_type, 'area', 'line_' || CAST(user_id % 2 + 1 AS VARCHAR),
+                        'value', value, 'timestamp', epoch_us(ts) // 1000) AS VARCHAR) AS value
+FROM events"""
+
+# ---------------------------------------------------------------------------
+# Joins and top-k (readings := orders, oee := lineitem, locations := supplier)
+# ---------------------------------------------------------------------------
+
+ORACLE["left_join_fanout"] = """
+SELECT o_orderkey AS sensor, o_orderdate AS record_time, o_totalprice AS value,
+       l_linenumber AS line, l_quantity AS up_time, l_suppkey AS location
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey"""
+
+ORACLE["left_join_chain"] = """
+SELECT l_orderkey AS sensor_id, l_linenumber AS line, l_suppkey AS location, s_name AS site_name,
+       s_nationkey AS address_number, n_name
+FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey"""
+
+ORACLE["report_top6"] = """
+SELECT o_orderkey AS sensor, l_suppkey AS location, s_name AS site_name, s_nationkey AS address_number,
+       o_totalprice AS value, o_orderpriority AS unit, l_quantity AS up_time, o_orderdate AS record_time
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+ORDER BY o_orderdate DESC, o_orderkey DESC, l_linenumber ASC NULLS FIRST LIMIT 6"""
+
+ORACLE["top_words"] = f"""
+SELECT word, count(*) AS cnt FROM {DOC_WORDS} WHERE length(word) > 2
+GROUP BY word ORDER BY cnt DESC, word ASC LIMIT 25"""
+
+ORACLE["top_words_sql"] = ORACLE["top_words"]
+
+ORACLE["tail_n"] = f"SELECT doc_id, line_no, line FROM {DOC_LINES} ORDER BY doc_id DESC, line_no DESC LIMIT 10"
+
+ORACLE["top_n_per_key"] = """
+SELECT sensor, seq, value FROM (
+  SELECT event_type AS sensor, event_id AS seq, value,
+         row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id ASC) AS rn FROM events)
+WHERE rn <= 3"""
+
+# ---------------------------------------------------------------------------
+# Table maintenance and constraints
+# ---------------------------------------------------------------------------
+
+ORACLE["upsert_readings"] = f"""
+WITH h AS (SELECT event_type AS sensor, 'u_' || event_type AS unit,
+                  TRY_CAST(round(value, 2) AS DECIMAL(5,2)) AS value,
+                  {_tb('1 hour')} AS record_time, event_id, ts FROM events),
+stored AS (SELECT sensor, record_time, arg_min(unit, event_id) AS unit, arg_min(value, event_id) AS value
+           FROM h WHERE ts < TIMESTAMP '2024-01-16' GROUP BY sensor, record_time),
+batch AS (SELECT sensor, record_time, arg_max(unit, event_id) AS unit, arg_max(value, event_id) AS value
+          FROM h WHERE ts >= TIMESTAMP '2024-01-11' GROUP BY sensor, record_time)
+SELECT sensor, record_time, unit, value FROM stored s
+WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.sensor = s.sensor AND b.record_time = s.record_time)
+UNION ALL SELECT sensor, record_time, unit, value FROM batch"""
+
+ORACLE["upsert_oee"] = """
+WITH stored AS (SELECT o_custkey AS sensor_id, o_orderdate AS record_time,
+                       arg_min(o_totalprice, o_orderkey) AS up_time, arg_min(o_orderpriority, o_orderkey) AS location
+                FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01' GROUP BY ALL),
+batch AS (SELECT o_custkey AS sensor_id, o_orderdate AS record_time,
+                 arg_max(o_totalprice, o_orderkey) AS up_time, arg_max(o_orderpriority, o_orderkey) AS location
+          FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY ALL)
+SELECT * FROM stored s
+WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.sensor_id = s.sensor_id AND b.record_time = s.record_time)
+UNION ALL SELECT * FROM batch"""
+
+ORACLE["insert_ignore"] = """
+WITH stored AS (SELECT o_custkey AS location_code, arg_min(o_orderpriority, o_orderkey) AS site_name,
+                       min(o_orderkey) AS address_number
+                FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY ALL),
+batch AS (SELECT o_custkey AS location_code, arg_min(o_orderpriority, o_orderkey) AS site_name,
+                 min(o_orderkey) AS address_number
+          FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY ALL)
+SELECT * FROM stored
+UNION ALL SELECT * FROM batch b WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.location_code = b.location_code)"""
+
+ORACLE["pk_violations"] = f"""
+SELECT event_type, {_tb('1 minute')} AS minute, count(*) AS n,
+       (event_type IS NULL OR {_tb('1 minute')} IS NULL) AS has_null
+FROM events GROUP BY ALL HAVING count(*) > 1 OR bool_or(event_type IS NULL)"""
+
+ORACLE["decimal_fit"] = """
+SELECT l_orderkey, l_linenumber, TRY_CAST(round(l_extendedprice, 2) AS DECIMAL(5,2)) AS price_5_2,
+       TRY_CAST(round(l_extendedprice, 2) AS DECIMAL(5,2)) IS NOT NULL AS fits
+FROM lineitem"""
+
+ORACLE["length_check"] = """
+SELECT page_id, CAST(length(url) AS INTEGER) AS url_len, (url IS NULL OR length(url) <= 40) AS url_ok FROM pages"""
+
+# ---------------------------------------------------------------------------
+# Telemetry (lineitem rows as device polls).  Map tables are rendered from
+# the same fixed layouts the Spark side uses.
+# ---------------------------------------------------------------------------
+
+from tagstream import schemas as _S  # noqa: E402
+
+_LAYOUTS = {"water_plant": _S.WATER_PLANT_REGISTERS, "tank": _S.TANK_REGISTERS, "belt": _S.BELT_REGISTERS}
+
+
+def _values(rows, names):
+    body = ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in rows)
+    return f"(SELECT * FROM (VALUES {body}) t({', '.join(names)}))"
+
+
+def _lit(v):
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return str(v)
+
+
+REGMAP = _values([(c, p, t, float(d), u) for c, lay in _LAYOUTS.items() for p, t, d, u in lay],
+                 ["device_class", "pos", "tag", "divisor", "unit"])
+
+ENCODED = """(SELECT l_orderkey, l_linenumber, l_suppkey AS device, l_shipdate AS ts,
+  CASE l_suppkey % 3 WHEN 0 THEN 'water_plant' WHEN 1 THEN 'tank' ELSE 'belt' END AS device_class,
+  [CAST(trunc(l_quantity * 100) AS INTEGER), CAST(trunc(l_discount * 1000) AS INTEGER),
+   CAST(trunc(l_tax * 1000) AS INTEGER), CAST(trunc(l_extendedprice * CAST(0.1 AS DOUBLE)) AS INTEGER),
+   CAST(l_partkey % 1400 AS INTEGER), CAST((epoch_us(l_shipdate) // 1000000) % 65535 AS INTEGER)] AS registers,
+  ([l_returnflag = 'R', l_linestatus = 'O', l_discount > 0.05, l_quantity > 25, l_tax > 0.04,
+    l_returnflag = 'A', l_quantity < 3, l_discount < 0.09])[1:least(8, l_linenumber + 3)] AS bits
+  FROM lineitem)"""
+
+POLLS = f"""(SELECT l_orderkey, l_linenumber, device, ts, device_class,
+  registers[1:least(6, l_linenumber + 1)] AS registers, bits FROM {ENCODED})"""
+
+
+def _wide_regs(layout, src="registers"):
+    return ", ".join(f"coalesce({src}[{p + 1}], 0) / CAST({float(d)!r} AS DOUBLE) AS {t}" for p, t, d, _u in layout)
+
+
+def _bits(names, src="bits"):
+    return ", ".join(f"coalesce({src}[{i + 1}], false) AS {n}" for i, n in enumerate(names))
+
+
+BITS_DECODED = f"(SELECT l_orderkey, l_linenumber, {_bits(_S.WATER_PLANT_BITS)} FROM {POLLS})"
+
+_STATUS_AS = [("pump_running", "pump_status"), ("valve_open", "valve_status"), ("heater_on", "heater_status"),
+              ("temp_alarm", "temp_alarm"), ("pressure_alarm", "pressure_alarm")]
+
+WIDE_POLL = f"""(SELECT l_orderkey, l_linenumber, {_wide_regs(_S.WATER_PLANT_REGISTERS[:5])},
+  {", ".join(f"CAST(coalesce(bits[{_S.WATER_PLANT_BITS.index(a) + 1}], false) AS DOUBLE) AS {b}" for a, b in _STATUS_AS)}
+  FROM {POLLS})"""
+
+_UNIT_CASE = "CASE sensor " + " ".join(f"WHEN '{t}' THEN '{u}'" for t, u in _S.POLL_UNITS) + " END"
+
+LONG_READINGS = f"""(SELECT l_orderkey, l_linenumber, sensor, round(value, 3) AS value, {_UNIT_CASE} AS unit
+  FROM (UNPIVOT {WIDE_POLL} ON {", ".join(t for t, _u in _S.POLL_UNITS)} INTO NAME sensor VALUE value))"""
+
+ORACLE["encode_registers"] = f"SELECT l_orderkey, l_linenumber, registers FROM {ENCODED}"
+
+ORACLE["decode_registers"] = f"""
+SELECT l_orderkey, l_linenumber, tag, raw, raw / divisor AS value, unit
+FROM (SELECT l_orderkey, l_linenumber, device_class, unnest(registers) AS raw,
+             unnest(range(len(registers))) AS pos FROM {POLLS}) x
+JOIN {REGMAP} m USING (device_class, pos)"""
+
+ORACLE["decode_registers_default"] = f"""
+SELECT l_orderkey, l_linenumber, tag, coalesce(registers[pos + 1], 0) / divisor AS value, unit,
+       registers[pos + 1] IS NULL AS is_default
+FROM {POLLS} p JOIN {REGMAP} m USING (device_class)"""
+
+ORACLE["decode_bits"] = f"SELECT * FROM {BITS_DECODED}"
+
+_ALARM_PARTS = ", ".join(f"CASE WHEN {b} = {str(pol).lower()} THEN '{txt}' END" for b, pol, txt in _S.ALARM_TEXTS)
+
+ORACLE["alarm_list"] = f"""
+SELECT l_orderkey, l_linenumber, a AS alarms,
+       CASE WHEN len(a) = 0 THEN '{_S.ALL_NORMAL}' ELSE array_to_string(a, '; ') END AS alarm_text
+FROM (SELECT l_orderkey, l_linenumber, list_filter([{_ALARM_PARTS}], lambda x: x IS NOT NULL) AS a
+      FROM {BITS_DECODED})"""
+
+ORACLE["unpivot_readings"] = f"SELECT * FROM {LONG_READINGS}"
+
+RULES = _values(_S.THRESHOLD_RULES, ["sensor", "op", '"limit"', "label"])
+
+ORACLE["threshold_alarms"] = f"""
+SELECT r.l_orderkey, r.l_linenumber, r.sensor, r.value, r.unit, t."limit" AS "limit", t.label
+FROM {LONG_READINGS} r JOIN {RULES} t ON r.sensor = t.sensor
+WHERE CASE t.op WHEN '>' THEN r.value > t."limit" WHEN '>=' THEN r.value >= t."limit"
+                WHEN '<' THEN r.value < t."limit" WHEN '<=' THEN r.value <= t."limit" ELSE false END"""
+
+ORACLE["latest_snapshot"] = """
+SELECT CAST(user_id AS VARCHAR) AS device, event_type AS sensor, arg_max(value, (ts, event_id)) AS value,
+       max(ts) AS latest_ts
+FROM events GROUP BY ALL"""
+
+ORACLE["dashboard"] = f"""
+WITH last AS (SELECT device, arg_max(registers, (ts, l_orderkey, l_linenumber, registers, bits)) AS registers,
+                     arg_max(bits, (ts, l_orderkey, l_linenumber, registers, bits)) AS bits
+              FROM {POLLS} GROUP BY device),
+sp AS (SELECT s_suppkey AS device, [CAST(trunc(s_acctbal) AS INTEGER), CAST(s_nationkey * 100 AS INTEGER),
+                                    CAST(s_suppkey % 1000 AS INTEGER)] AS spr
+       FROM supplier WHERE s_acctbal >= 0)
+SELECT last.device AS device, {_wide_regs(_S.WATER_PLANT_REGISTERS)}, {_bits(_S.WATER_PLANT_BITS)},
+       CASE WHEN sp.device IS NOT NULL THEN coalesce(spr[1], 0) / 100.0::DOUBLE END AS temp_setpoint,
+       CASE WHEN sp.device IS NOT NULL THEN coalesce(spr[2], 0) / 100.0::DOUBLE END AS pressure_setpoint,
+       CASE WHEN sp.device IS NOT NULL THEN coalesce(spr[3], 0) / 10.0::DOUBLE END AS flow_setpoint
+FROM last LEFT JOIN sp ON last.device = sp.device"""
+
+ORACLE["normalize_tags"] = """
+SELECT event_id, event_type AS original,
+       CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'tap' ELSE event_type END AS tag
+FROM events"""
+
+ORACLE["multi_device_union"] = """
+SELECT 'tank_' || CAST(s_suppkey AS VARCHAR) AS device, s_acctbal AS temperature,
+       CAST(s_nationkey AS DOUBLE) AS pressure FROM supplier
+UNION ALL BY NAME
+SELECT 'disinfection_' || CAST(c_custkey AS VARCHAR) AS device, c_acctbal AS uv,
+       CAST(c_nationkey AS DOUBLE) AS chlorine, CAST(length(c_name) AS DOUBLE) AS turbidity FROM customer"""
+
+ORACLE["device_list"] = "SELECT DISTINCT l_suppkey AS device FROM lineitem"
+
+# ---------------------------------------------------------------------------
+# Scalar projections
+# ---------------------------------------------------------------------------
+
+ORACLE["scalar_text"] = """
+SELECT event_id, lower(event_type) AS lower_type, upper(event_type) AS upper_type,
+       CAST(length(props) AS INTEGER) AS props_len,
+       regexp_replace('  ' || event_type || ' ', '^\\s+|\\s+$', '', 'g') AS trimmed,
+       contains(props, '9') AS has_nine, event_type IN ('click', 'view') AS in_list,
+       regexp_replace(replace(string_split(props, ':')[2], '}', ''), '^\\s+|\\s+$', '', 'g') AS k_text
+FROM events"""
+
+ORACLE["scalar_numeric"] = """
+SELECT l_orderkey, l_linenumber,
+       TRY_CAST(CAST(CAST(trunc(l_quantity) AS INTEGER) AS VARCHAR) AS INTEGER) AS qty_parsed,
+       greatest(l_quantity, l_tax * 1000) AS max_of_two,
+       round(l_discount * 100, 0) AS discount_pct,
+       CAST(l_returnflag = 'R' AS DOUBLE) AS returned_num,
+       CAST(l_linenumber % 2 AS BOOLEAN) AS odd_line,
+       CAST(trunc(l_tax * 100) AS INTEGER) AS tax_x100
+FROM lineitem"""
+
+ORACLE["scalar_time"] = """
+SELECT event_id, strftime(ts, '%H:%M:%S') AS hhmmss, strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime_text,
+       (epoch_us(ts) // 1000000) % 65535 AS clock16, epoch_us(ts) // 1000 AS ts_ms
+FROM events"""
