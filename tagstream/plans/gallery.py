@@ -696,3 +696,55 @@ def scalar_time(spark, sf):
                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("datetime_text"),
                     clock_mod("ts").alias("clock16"),
                     ts_to_epoch_ms("ts").alias("ts_ms"))
+
+
+# --------------------------------------------------------------------------
+# Streams run to completion (availableNow) and read back
+# --------------------------------------------------------------------------
+
+from tagstream.session import scratch_path  # noqa: E402
+from tagstream.sinks import files as FS  # noqa: E402
+from tagstream.sources.tables import events_as_readings, stream_table  # noqa: E402
+from tagstream.streaming import runner as RN  # noqa: E402
+from tagstream.streaming import stateful as ST  # noqa: E402
+
+
+@q("stream_tumbling")
+def stream_tumbling(spark, sf):
+    """T-02/T-07/T-09: the flagship window as a stream: event-time
+    watermark (zero out-of-orderness), update mode through foreachBatch so
+    the end of the bounded input flushes every window."""
+    base = scratch_path(spark, "stream_tumbling")
+    r = events_as_readings(stream_table(spark, sf, "events"))
+    r = r.withColumn("ets", RN.ntz_to_instant("ts")).withWatermark("ets", "0 seconds")
+    agg = r.groupBy("sensor", F.window("ets", "1 hour").alias("window")).agg(
+        F.avg("value").alias("avg_value"), F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
+    res = RN.run_updates(agg, ["sensor", "window"], f"{base}/out", f"{base}/checkpoint")
+    return res.select("sensor", RN.instant_to_ntz("window.start").alias("window_start"),
+                      RN.instant_to_ntz("window.end").alias("window_end"),
+                      F.round("avg_value", 6).alias("avg_value"), "cnt", "max_ts")
+
+
+@q("file_sink_roundtrip")
+def file_sink_roundtrip(spark, sf):
+    """K-02: parsed JSON readings formatted as text lines, streamed into a
+    text file sink (exactly-once via its log) and read back."""
+    base = scratch_path(spark, "file_sink")
+    msgs = I.json_messages_from(stream_table(spark, sf, "events"))
+    ok = P.accepted(P.parse_json_readings(msgs))
+    line = F.format_string("%s | %s | Value: %.2f | Ts: %d", F.coalesce("area", F.lit("-")),
+                           "sensor", "value_num", "ts_ms")
+    q = FS.text_stream(ok.select(line.alias("value")), f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.text(f"{base}/out")
+
+
+@q("running_sum_stream")
+def running_sum_stream(spark, sf):
+    """A-01 streaming: one updated total per input reading, per sensor,
+    kept in checkpointed state (applyInPandasWithState)."""
+    base = scratch_path(spark, "running_stream")
+    r = events_as_readings(stream_table(spark, sf, "events"))
+    out = ST.running_sum_stream(r, "sensor", "seq", "value")
+    res = RN.run_to_files(out, f"{base}/out", f"{base}/checkpoint")
+    return res.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))

@@ -55,7 +55,11 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
 def json_messages(spark: SparkSession, sf: str) -> DataFrame:
     """JSON readings in the two producer shapes (by user parity), with some
     malformed messages."""
-    e = events(spark, sf)
+    return json_messages_from(events(spark, sf))
+
+
+def json_messages_from(e: DataFrame) -> DataFrame:
+    """``json_messages`` over any events DataFrame (batch or stream)."""
     ms = ts_to_epoch_ms("ts")
     area = F.concat(F.lit("line_"), (F.col("user_id") % 2 + 1).cast("string"))
     shape_a = F.to_json(F.struct(F.col("event_type").alias("sensor_id"), area.alias("area"),

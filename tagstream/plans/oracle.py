@@ -476,3 +476,23 @@ ORACLE["scalar_time"] = """
 SELECT event_id, strftime(ts, '%H:%M:%S') AS hhmmss, strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime_text,
        (epoch_us(ts) // 1000000) % 65535 AS clock16, epoch_us(ts) // 1000 AS ts_ms
 FROM events"""
+
+
+# ---------------------------------------------------------------------------
+# Streams (results equal the batch formulation)
+# ---------------------------------------------------------------------------
+
+ORACLE["stream_tumbling"] = ORACLE["tumbling_avg"]
+
+ORACLE["file_sink_roundtrip"] = f"""
+SELECT printf('%s | %s | Value: %.2f | Ts: %d',
+              CASE WHEN shape = 'A' THEN 'line_' || CAST(user_id % 2 + 1 AS VARCHAR) ELSE '-' END,
+              CASE WHEN shape = 'A' THEN event_type ELSE upper(event_type) END,
+              value, epoch_us(ts) // 1000) AS value
+FROM {JSON_MESSAGES} WHERE shape IS NOT NULL"""
+
+ORACLE["running_sum_stream"] = """
+SELECT event_id AS seq, event_type AS sensor, value,
+       round(sum(value) OVER (PARTITION BY event_type ORDER BY event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_total
+FROM events"""
