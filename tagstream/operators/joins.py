@@ -9,8 +9,9 @@ measured shuffle sizes) when the side is larger.
 newest N).  Since a left join gives every reading at least one row and the
 order is led by reading columns, the newest N output rows come from the
 newest N readings.  So the N readings are taken first (per-task top-N, then a
-merge of N rows per task), and only their matches are fetched: the big tables
-are scanned once with a semi-join filter against N keys and never shuffled.
+merge of N rows per task), and only their matches are fetched: each big
+table is scanned once, with an ``IN`` filter on at most N keys pushed into
+the scan, and never shuffled whole.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagstream.operators.topk import top_n_per_key
+
 DIM_MAX_ROWS = 1_000_000
 
 
@@ -54,25 +57,36 @@ def latest_report(
 ) -> DataFrame:
     """``readings LEFT JOIN oee ON r_key = o_key LEFT JOIN locations ON
     o_loc = l_key ORDER BY reading_order, tie_order LIMIT n``, computed
-    without shuffling the large inputs.
+    with one scan of each input and no shuffle of the large ones.
 
     ``reading_order`` (reading columns only) must be a total order over
     readings; ``tie_order`` orders a reading's fanned-out rows (oee columns;
-    locations are joined on their primary key and add no rows).  Column names must be distinct across the inputs.
+    all oee columns are appended as a final tie-break).  Locations are
+    joined on their primary key.  Column names must be distinct.
+
+    Steps, each bounded by ``n``: the newest ``n`` readings (per-task top-n,
+    merged); their oee matches through an ``IN`` filter on ``n`` keys pushed
+    into the scan, reduced to the first ``n`` per key (salted, so a hot key
+    is spread); the first ``n`` joined rows; their locations by key.
     """
-    order = [*reading_order, *tie_order]
-    top_r = readings.orderBy(*reading_order).limit(n)
-    keys = F.broadcast(top_r.select(F.col(r_key).alias(o_key)).distinct())
-    oee_hit = oee.join(keys, o_key, "left_semi")
-    # Inner matches: the filtered oee rows stream against N broadcast readings.
-    matched = oee_hit.join(F.broadcast(top_r), F.col(o_key) == F.col(r_key), "inner")
-    matched = matched.orderBy(*order).limit(n)
-    hit_keys = oee_hit.select(F.col(o_key).alias(r_key)).distinct()
-    unmatched = top_r.join(F.broadcast(hit_keys), r_key, "left_anti")
-    rows = matched.unionByName(unmatched, allowMissingColumns=True)
+    spark = readings.sparkSession
+    top = readings.orderBy(*reading_order).limit(n)
+    top_rows = top.collect()  # at most n rows
+    top_df = spark.createDataFrame(top_rows, top.schema)
+    keys = sorted({r[r_key] for r in top_rows if r[r_key] is not None})
+    ties = [*tie_order, *[F.col(c).asc_nulls_first() for c in oee.columns]]
+    if keys:
+        hit = oee.where(F.col(o_key).isin(keys))
+        best = top_n_per_key(hit, [o_key], ties, n)
+        best_df = spark.createDataFrame(best.collect(), oee.schema)  # at most n * n rows
+    else:
+        best_df = spark.createDataFrame([], oee.schema)
+    order = [*reading_order, *ties]
+    rows = top_df.join(F.broadcast(best_df), top_df[r_key] == best_df[o_key], "left")
     rows = rows.orderBy(*order).limit(n)
-    loc_keys = F.broadcast(rows.select(F.col(o_loc).alias(l_key))
-                           .where(F.col(l_key).isNotNull()).distinct())
-    loc_hit = locations.join(loc_keys, l_key, "left_semi")
+    row_list = rows.collect()  # at most n rows
+    rows = spark.createDataFrame(row_list, rows.schema)
+    codes = sorted({r[o_loc] for r in row_list if r[o_loc] is not None})
+    loc_hit = locations.where(F.col(l_key).isin(codes)) if codes else locations.limit(0)
     out = rows.join(loc_hit, rows[o_loc] == loc_hit[l_key], "left")
     return out.orderBy(*order).limit(n)

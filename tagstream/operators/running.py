@@ -20,7 +20,7 @@ sums; double sums may differ in the last bits because addition order differs.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,12 +40,18 @@ def bucketed_prefix(
     sums: Mapping[str, Column] | None = None,
     rank_col: str | None = "rn",
     total_col: str | None = None,
+    coarse: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Add running sums (inclusive of the row) and a 1-based rank per key.
 
     ``order`` must be a total order within a key (add a unique ``seq``), and
     ``bucket`` must be non-decreasing along it.  ``total_col`` adds the row
     count of the key (the rank of its last row).
+
+    ``coarse`` maps the bucket column to a coarser, still non-decreasing
+    bucket; the offsets over buckets are then computed by the same method
+    one level up instead of in one window per key.  Use it when a key (or
+    the whole table, with no keys) has too many buckets for one task.
     """
     sums = dict(sums or {})
     keys = list(keys)
@@ -54,15 +60,38 @@ def bucketed_prefix(
     part_aggs += [F.sum(e).alias(f"_tg_s_{i}") for i, e in enumerate(sums.values())]
     per_bucket = b.groupBy(*keys, _B).agg(*part_aggs)
 
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    off_cols = [F.coalesce(F.sum("_tg_c").over(before), F.lit(0)).alias("_tg_oc")]
-    for i, e in enumerate(sums.values()):
-        zero = F.lit(0).cast(per_bucket.schema[f"_tg_s_{i}"].dataType)
-        off_cols.append(F.coalesce(F.sum(f"_tg_s_{i}").over(before), zero).alias(f"_tg_os_{i}"))
-    if total_col:
-        off_cols.append(F.sum("_tg_c").over(Window.partitionBy(*keys)).alias("_tg_n"))
+    n_sums = len(sums)
+    if coarse is None:
+        before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+        off_cols = [F.coalesce(F.sum("_tg_c").over(before), F.lit(0)).alias("_tg_oc")]
+        for i in range(n_sums):
+            zero = F.lit(0).cast(per_bucket.schema[f"_tg_s_{i}"].dataType)
+            off_cols.append(F.coalesce(F.sum(f"_tg_s_{i}").over(before), zero).alias(f"_tg_os_{i}"))
+        if total_col:
+            off_cols.append(F.sum("_tg_c").over(Window.partitionBy(*keys)).alias("_tg_n"))
+        with_off = per_bucket.select(*keys, _B, *off_cols)
+    else:
+        # Offsets = inclusive prefix over buckets minus the bucket's own total,
+        # computed by the same two-pass method on the (smaller) bucket table.
+        level = per_bucket.withColumnRenamed(_B, "_tg_b1")
+        inc = {"_tg_ic": F.col("_tg_c"), **{f"_tg_is_{i}": F.col(f"_tg_s_{i}") for i in range(n_sums)}}
+        up = bucketed_prefix(level, keys, ["_tg_b1"], coarse(F.col("_tg_b1")), inc, rank_col=None)
+        off_cols = [(F.col("_tg_ic") - F.col("_tg_c")).alias("_tg_oc")]
+        off_cols += [(F.col(f"_tg_is_{i}") - F.col(f"_tg_s_{i}")).alias(f"_tg_os_{i}") for i in range(n_sums)]
+        with_off = up.select(*keys, F.col("_tg_b1").alias(_B), *off_cols)
+        if total_col:
+            if keys:
+                totals = per_bucket.groupBy(*keys).agg(F.sum("_tg_c").alias("_tg_n")).select(
+                    *[F.col(k).alias(f"_tg_t{i}") for i, k in enumerate(keys)], "_tg_n")
+                tcond = [with_off[k].eqNullSafe(totals[f"_tg_t{i}"]) for i, k in enumerate(keys)]
+                with_off = with_off.join(totals, tcond, "inner").drop(
+                    *[f"_tg_t{i}" for i in range(len(keys))])
+            else:  # one number for the whole input
+                n_all = per_bucket.agg(F.sum("_tg_c")).collect()[0][0] or 0
+                with_off = with_off.withColumn("_tg_n", F.lit(n_all).cast("long"))
     renamed = [F.col(k).alias(f"_tg_k{i}") for i, k in enumerate(keys)]
-    offsets = per_bucket.select(*renamed, F.col(_B).alias("_tg_kb"), *off_cols)
+    offsets = with_off.select(*renamed, F.col(_B).alias("_tg_kb"),
+                              *[c for c in with_off.columns if c not in set(keys) | {_B}])
 
     cond = [b[k].eqNullSafe(offsets[f"_tg_k{i}"]) for i, k in enumerate(keys)]
     cond.append(b[_B] == offsets["_tg_kb"])
@@ -81,7 +110,7 @@ def bucketed_prefix(
     return out.drop(*drop)
 
 
-def seq_bucket(seq: str | Column, width: int = 1 << 16) -> Column:
+def seq_bucket(seq: str | Column, width: int = 1 << 20) -> Column:
     """Bucket of a dense sequence number: ``seq div width``."""
     c = F.col(seq) if isinstance(seq, str) else seq
     return F.floor(c / F.lit(width)).cast("long")
@@ -99,11 +128,14 @@ def running_sum(df: DataFrame, keys: Sequence[str], value: str | Column,
 
 def running_global_means(df: DataFrame, measures: Mapping[str, Column],
                          order: Sequence[str | Column], bucket: Column,
-                         count_col: str = "n_lines") -> DataFrame:
+                         count_col: str = "n_lines",
+                         coarse: Callable[[Column], Column] | None = None) -> DataFrame:
     """Global running fold of several measures: running sums, running count,
-    and running means ``sum / count`` named ``avg_<measure>``."""
+    and running means ``sum / count`` named ``avg_<measure>``.  With no key
+    every bucket's offset comes from one prefix over all buckets, so pass
+    ``coarse`` when the bucket count can be large."""
     sums = {f"sum_{k}": v for k, v in measures.items()}
-    out = bucketed_prefix(df, [], order, bucket, sums, rank_col=count_col)
+    out = bucketed_prefix(df, [], order, bucket, sums, rank_col=count_col, coarse=coarse)
     for k in measures:
         out = out.withColumn(f"avg_{k}", F.col(f"sum_{k}") / F.col(count_col))
     return out

@@ -57,7 +57,7 @@ def tumbling_avg(spark, sf):
 def tumbling_pairwise_avg(spark, sf):
     """W-01: the ordered ``(acc + v) / 2`` fold per sensor and hour."""
     r = I.readings(spark, sf)
-    out = W.pairwise_avg(r, ["sensor"], "ts", "seq", "value", "1 hour", "5 minutes", unit="unit")
+    out = W.pairwise_avg(r, ["sensor"], "ts", "seq", "value", "1 hour", "10 seconds", unit="unit")
     return out.select("sensor", "window_start", "window_end",
                       F.floor(F.col("pairwise_avg") * 1000 + F.lit(0.3137)).cast("bigint")
                       .alias("pairwise_avg_milli"),
@@ -183,7 +183,7 @@ def keyed_sum(spark, sf):
 def running_sum(spark, sf):
     """A-01: running total per sensor in event order (one row per event)."""
     r = I.readings(spark, sf).select("seq", "sensor", "value")
-    out = R.running_sum(r, ["sensor"], _dec("value"), ["seq"], R.seq_bucket("seq", 1024))
+    out = R.running_sum(r, ["sensor"], _dec("value"), ["seq"], R.seq_bucket("seq", 1 << 16))
     return out
 
 
@@ -203,9 +203,12 @@ def global_line_stats(spark, sf):
 def running_global_stats(spark, sf):
     """A-04 running: after each line (document order), the running means."""
     m = TX.line_metrics(I.doc_lines(spark, sf), keep=["doc_id", "line_no"])
+    # Buckets: (document, block of 4096 lines); their offsets are summed one
+    # level up over blocks of 4096 documents, so no task sees every bucket.
     bucket = F.struct("doc_id", F.floor(F.col("line_no") / 4096).alias("b"))
     out = R.running_global_means(m, {"chars": F.col("n_chars"), "words": F.col("n_words")},
-                                 ["doc_id", "line_no"], bucket, count_col="n_lines")
+                                 ["doc_id", "line_no"], bucket, count_col="n_lines",
+                                 coarse=lambda b: F.floor(b["doc_id"] / 4096))
     return out.select("doc_id", "line_no", "n_lines", "avg_chars", "avg_words")
 
 

@@ -49,7 +49,7 @@ def test_pairwise_average_is_the_ordered_fold(spark):
     assert got["one"].pairwise_avg == 7.25
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 4999), st.integers(0, 10_000)), min_size=1, max_size=40))
 def test_pairwise_closed_form_matches_fold_property(spark, pts):
     rows = [("k", t, i, v / 100.0, "u") for i, (t, v) in enumerate(pts)]
