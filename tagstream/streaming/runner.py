@@ -64,3 +64,25 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
     q.awaitTermination()
     reader = stream.sparkSession.read
     return reader.text(path) if fmt == "text" else reader.format(fmt).load(path)
+
+
+def stamp_processing_time(df: DataFrame, col: str = "ingest_ts") -> DataFrame:
+    """Processing-time windows: stamp each row once at the source with the
+    micro-batch's time, then window on that column like event time.  Such
+    results depend on arrival timing and are not replayable; batch runs pass
+    an ingest-time column instead."""
+    return df.withColumn(col, F.current_timestamp())
+
+
+def fan_out(*writers):
+    """A ``foreachBatch`` function sending each micro-batch to several
+    outputs (e.g. a file and the console).  The batch is persisted once so
+    the outputs do not recompute it, and released afterwards."""
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for w in writers:
+                w(batch, batch_id)
+        finally:
+            batch.unpersist()
+    return _write

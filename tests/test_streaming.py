@@ -97,3 +97,46 @@ def test_kafka_shaped_source_decodes(spark, tmp_dir):
     assert [(r.seq, r.sensor, r.value_num) for r in out.collect()] == [(0, "therm", 20.5)]
     enc = K.encode(spark.createDataFrame([("s1", 1.5)], "sensor string, value double"), "sensor").collect()[0]
     assert enc.key == "s1" and json.loads(enc.value) == {"sensor": "s1", "value": 1.5}
+
+
+def test_fan_out_two_outputs_and_stream_static_join(spark, tmp_dir):
+    # T-10 (two outputs from one stream) and J-05 (stream x static left join)
+    from tagstream.operators import joins as J
+    src = f"{tmp_dir}/in"
+    _write_json_batches(src, [[{"sensor": "s1", "v": 1.0}, {"sensor": "s9", "v": 2.0}]])
+    locs = spark.createDataFrame([("s1", "London")], "code string, site string")
+    s = spark.readStream.schema("sensor string, v double").json(src)
+    joined = J.left_join(s, locs, "sensor", "code", broadcast_max_rows=100)
+
+    def to_a(b, i):
+        b.write.mode("overwrite").parquet(f"{tmp_dir}/a/batch_id={i}")
+
+    def to_b(b, i):
+        b.select("sensor").write.mode("overwrite").parquet(f"{tmp_dir}/b/batch_id={i}")
+
+    q = (joined.writeStream.foreachBatch(RN.fan_out(to_a, to_b))
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    a = sorted((r.sensor, r.site) for r in spark.read.parquet(f"{tmp_dir}/a").collect())
+    assert a == [("s1", "London"), ("s9", None)]
+    assert spark.read.parquet(f"{tmp_dir}/b").count() == 2
+
+
+def test_processing_time_window(spark, tmp_dir):
+    # W-03/W-09: stamp at source, window on the stamp
+    src = f"{tmp_dir}/in"
+    _write_json_batches(src, [[{"w": "a"}, {"w": "a"}, {"w": "b"}]])
+    s = RN.stamp_processing_time(spark.readStream.schema("w string").json(src))
+    s = s.withWatermark("ingest_ts", "0 seconds")
+    agg = s.groupBy("w", F.window("ingest_ts", "2 seconds").alias("window")).agg(F.count(F.lit(1)).alias("n"))
+    out = RN.run_updates(agg, ["w", "window"], f"{tmp_dir}/out", f"{tmp_dir}/ck")
+    assert sorted((r.w, r.n) for r in out.collect()) == [("a", 2), ("b", 1)]
+
+
+def test_create_table_if_absent(spark, tmp_dir):
+    from tagstream.schemas import TABLES
+    from tagstream.sinks.catalog import create_table
+    create_table(spark, "tg_readings_test", TABLES["readings"], f"{tmp_dir}/readings", drop=True)
+    create_table(spark, "tg_readings_test", TABLES["readings"], f"{tmp_dir}/readings")
+    assert spark.table("tg_readings_test").columns == ["sensor", "unit", "value", "record_time"]
+    spark.sql("DROP TABLE IF EXISTS tg_readings_test")
