@@ -73,9 +73,13 @@ def clock_mod(ts, modulus: int = 65535) -> Column:
     return F.pmod(secs, F.lit(modulus))
 
 
+WHITESPACE = " \t\n\r\f\u000b"
+
+
 def trim_all(x) -> Column:
-    """Strip leading and trailing whitespace of any kind."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """Strip leading and trailing ASCII whitespace (space, tab, newline,
+    carriage return, form feed, vertical tab)."""
+    return F.btrim(_c(x), F.lit(WHITESPACE))
 
 
 def whitespace_tokens(x) -> Column:

@@ -77,10 +77,17 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def decimal_fit(x: Column | str, precision: int = 5, scale: int = 2) -> Column:
-    """Round to ``scale`` places and fit ``decimal(precision, scale)``;
-    NULL when it does not fit (never raises)."""
+    """Round half-up to ``scale`` places and fit ``decimal(precision,
+    scale)``; NULL when it does not fit (never raises).
+
+    The range is checked on the number before any cast: a ``try_cast`` that
+    overflows takes Spark's exception path, which is slow when most values
+    do not fit.  Values below the bound are cast to one extra integer digit
+    (so rounding up to the bound still fits), then bounded again."""
     c = F.col(x) if isinstance(x, str) else x
-    return F.round(c, scale).try_cast(T.DecimalType(precision, scale))
+    bound = 10 ** (precision - scale)
+    wide = F.when(F.abs(c) < F.lit(float(bound)), c.cast(T.DecimalType(precision + 1, scale)))
+    return F.when(F.abs(wide) < F.lit(bound), wide.cast(T.DecimalType(precision, scale)))
 
 
 def length_ok(x: Column | str, max_len: int) -> Column:

@@ -13,19 +13,23 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagstream.functions.scalars import trim_all, whitespace_tokens
+from tagstream.functions.scalars import trim_all
 from tagstream.schemas import LINE_CLASS_DEFAULT, LINE_CLASSES
 
 
 def words(df: DataFrame, text_col: str = "line", keep: Sequence[str] = (),
           min_len: int = 0, with_pos: bool = False) -> DataFrame:
     """One row per lower-cased whitespace token (``word``), tokens longer
-    than ``min_len`` characters only; ``keep`` columns are carried along."""
-    toks = whitespace_tokens(F.lower(F.col(text_col)))
+    than ``min_len`` characters only; ``keep`` columns are carried along.
+    Empty tokens are dropped after the explode, inside generated code."""
+    toks = F.split(F.lower(F.col(text_col)), r"\s+")
     if with_pos:
-        out = df.select(*keep, F.posexplode(toks).alias("pos", "word"))
+        # Trimmed first, so there is no leading empty token and positions
+        # count real tokens (an all-blank text gives one empty token).
+        toks = F.split(F.lower(trim_all(F.col(text_col))), r"\s+")
+        out = df.select(*keep, F.posexplode(toks).alias("pos", "word")).where(F.col("word") != "")
     else:
-        out = df.select(*keep, F.explode(toks).alias("word"))
+        out = df.select(*keep, F.explode(toks).alias("word")).where(F.col("word") != "")
     if min_len:
         out = out.where(F.length("word") > min_len)
     return out
@@ -59,9 +63,9 @@ def classify(text: str | Column, rules: Sequence[tuple[str, str]] = LINE_CLASSES
 
 def line_metrics(df: DataFrame, text_col: str = "line", keep: Sequence[str] = ()) -> DataFrame:
     """Per line: characters and words (``n_chars``, ``n_words``)."""
-    return df.select(*keep,
-                     F.length(text_col).alias("n_chars"),
-                     F.size(whitespace_tokens(F.col(text_col))).alias("n_words"))
+    t = trim_all(F.col(text_col))
+    n_words = F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"\s+")))
+    return df.select(*keep, F.length(text_col).alias("n_chars"), n_words.alias("n_words"))
 
 
 def global_line_stats(metrics: DataFrame) -> DataFrame:

@@ -238,7 +238,7 @@ def word_tokens(spark, sf):
 @q("word_count")
 def word_count(spark, sf):
     """A-03/P-13: count of each token longer than 2 characters."""
-    w = TX.words(I.doc_lines(spark, sf), "line", min_len=2)
+    w = TX.words(I.doc_texts(spark, sf), "text", min_len=2)
     return TX.word_count(w)
 
 
@@ -248,7 +248,7 @@ STOP_WORDS = ["the", "and", "for", "that", "with"]
 @q("stopword_filter")
 def stopword_filter(spark, sf):
     """P-14: word counts with a stop list removed."""
-    w = TX.words(I.doc_lines(spark, sf), "line", min_len=2)
+    w = TX.words(I.doc_texts(spark, sf), "text", min_len=2)
     return TX.word_count(TX.drop_words(w, STOP_WORDS))
 
 
@@ -411,14 +411,14 @@ def report_top6(spark, sf):
 @q("top_words")
 def top_words(spark, sf):
     """O-01: the 25 most frequent tokens (ties by word)."""
-    wc = TX.word_count(TX.words(I.doc_lines(spark, sf), "line", min_len=2))
+    wc = TX.word_count(TX.words(I.doc_texts(spark, sf), "text", min_len=2))
     return TK.top_n(wc, [F.col("cnt").desc(), F.col("word").asc()], 25)
 
 
 @q("top_words_sql")
 def top_words_sql(spark, sf):
     """O-03: the same leaderboard as SQL over a registered view."""
-    wc = TX.word_count(TX.words(I.doc_lines(spark, sf), "line", min_len=2))
+    wc = TX.word_count(TX.words(I.doc_texts(spark, sf), "text", min_len=2))
     return TK.sql_over_view(wc, "SELECT word, cnt FROM {view} ORDER BY cnt DESC, word ASC LIMIT 25")
 
 

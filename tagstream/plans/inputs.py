@@ -75,3 +75,10 @@ def json_messages_from(e: DataFrame) -> DataFrame:
 def doc_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of every document: ``doc_id, line_no, line``."""
     return split_lines(read_table(spark, sf, "documents"), "text", "doc_id")
+
+
+def doc_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole document texts (``doc_id, text``).  Tokenising whole texts
+    gives the same tokens as tokenising their lines (a newline is
+    whitespace) without exploding lines first."""
+    return read_table(spark, sf, "documents").select("doc_id", "text")

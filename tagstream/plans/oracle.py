@@ -183,7 +183,7 @@ SELECT doc_id, line_no,
 FROM {DOC_LINES}"""
 
 ORACLE["distinct_lines"] = f"""
-SELECT DISTINCT l AS line FROM (SELECT regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS l FROM {DOC_LINES})
+SELECT DISTINCT l AS line FROM (SELECT trim(line, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) AS l FROM {DOC_LINES})
 WHERE l <> ''"""
 
 ORACLE["parse_lines"] = f"""
@@ -457,9 +457,9 @@ ORACLE["device_list"] = "SELECT DISTINCT l_suppkey AS device FROM lineitem"
 ORACLE["scalar_text"] = """
 SELECT event_id, lower(event_type) AS lower_type, upper(event_type) AS upper_type,
        CAST(length(props) AS INTEGER) AS props_len,
-       regexp_replace('  ' || event_type || ' ', '^\\s+|\\s+$', '', 'g') AS trimmed,
+       trim('  ' || event_type || ' ', ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) AS trimmed,
        contains(props, '9') AS has_nine, event_type IN ('click', 'view') AS in_list,
-       regexp_replace(replace(string_split(props, ':')[2], '}', ''), '^\\s+|\\s+$', '', 'g') AS k_text
+       trim(replace(string_split(props, ':')[2], '}', ''), ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) AS k_text
 FROM events"""
 
 ORACLE["scalar_numeric"] = """
