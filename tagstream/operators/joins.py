@@ -37,13 +37,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
 
 
 def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-              broadcast_max_rows: int | None = None) -> DataFrame:
+              broadcast_max_rows: int | None = None, hot_right_keys: bool = False) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key``.  Many matches fan
     out; unmatched left rows get NULLs.  With ``broadcast_max_rows`` the
-    right side is broadcast when it is proven to be that small."""
+    right side is broadcast when it is proven to be that small.
+
+    ``hot_right_keys``: the right side may hold a key with a large share of
+    its rows.  AQE can split skewed partitions only on the left side of a
+    left outer join, so the join is computed as an inner join (AQE splits
+    either side) plus the left rows whose key has no match -- found with an
+    anti join against the right side's distinct keys, which are reduced
+    map-side first -- padded with NULLs.  Same rows, no oversized task.
+    """
     if broadcast_max_rows:
         right = bounded_broadcast(right, broadcast_max_rows)
-    return left.join(right, left[left_key] == right[right_key], "left")
+    cond = left[left_key] == right[right_key]
+    if not hot_right_keys:
+        return left.join(right, cond, "left")
+    matched = left.join(right, cond, "inner")
+    keys = right.select(F.col(right_key).alias("_tg_rk")).where(F.col("_tg_rk").isNotNull()).distinct()
+    lonely = left.join(keys, left[left_key] == keys["_tg_rk"], "left_anti")
+    return matched.unionByName(lonely, allowMissingColumns=True)
 
 
 def _order(cols: Sequence[str | Column]) -> list[Column]:

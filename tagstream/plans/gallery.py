@@ -382,7 +382,7 @@ def _report_inputs(spark, sf):
 def left_join_fanout(spark, sf):
     """J-01: readings LEFT JOIN oee -- every match kept, unmatched -> NULLs."""
     readings, oee, _ = _report_inputs(spark, sf)
-    j = J.left_join(readings, oee, "sensor", "sensor_id")
+    j = J.left_join(readings, oee, "sensor", "sensor_id", hot_right_keys=True)
     return j.select("sensor", "record_time", "value", "line", "up_time", "location")
 
 
@@ -599,7 +599,10 @@ def unpivot_readings(spark, sf):
 def threshold_alarms(spark, sf):
     """R-08: readings over their rule limits."""
     w = _wide_poll(spark, sf)
-    long = TM.unpivot_readings(w, POLL_KEYS, [t for t, _u in S.POLL_UNITS], dict(S.POLL_UNITS))
+    # Only tags that have a rule are unpivoted: the rule join cannot be
+    # pushed through the unpivot, so the filter is applied by construction.
+    ruled = sorted({t for t, _op, _lim, _lab in S.THRESHOLD_RULES} & set(w.columns))
+    long = TM.unpivot_readings(w, POLL_KEYS, ruled, dict(S.POLL_UNITS))
     return TM.threshold_alarms(long, spark, S.THRESHOLD_RULES)
 
 

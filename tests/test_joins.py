@@ -52,3 +52,12 @@ def test_left_join_bounded_broadcast(spark):
         j.explain()
     assert "Broadcast" in buf.getvalue()
     assert J.fits(locations, 3) and not J.fits(locations, 2)
+
+
+def test_left_join_hot_right_keys_same_rows(spark):
+    left = spark.createDataFrame([(k,) for k in ["a", "b", "c", None]], "k string")
+    right = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1), (None, 2)], "rk string, v int")
+    plain = J.left_join(left, right, "k", "rk")
+    safe = J.left_join(left, right, "k", "rk", hot_right_keys=True)
+    key = lambda r: (str(r.k), str(r.v))
+    assert sorted(map(key, safe.select("k", "v").collect())) == sorted(map(key, plain.select("k", "v").collect()))
