@@ -754,3 +754,41 @@ def running_sum_stream(spark, sf):
     out = ST.running_sum_stream(r, "sensor", "seq", "value")
     res = RN.run_to_files(out, f"{base}/out", f"{base}/checkpoint")
     return res.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))
+
+
+from tagstream.sinks import kafka as KF  # noqa: E402
+from tagstream.streaming import dedupe as DD  # noqa: E402
+from tagstream.sources.text import split_lines  # noqa: E402
+
+
+@q("distinct_lines_stream")
+def distinct_lines_stream(spark, sf):
+    """T-06/S-04 streaming: document lines arriving as a file stream,
+    stripped, blanks skipped, each distinct line emitted once (state bounded
+    by a watermark on arrival time)."""
+    base = scratch_path(spark, "distinct_stream")
+    lines = split_lines(stream_table(spark, sf, "documents"), "text", "doc_id").withColumnRenamed("line", "value")
+    d = DD.distinct_lines_stream(lines, "value", within="1 hour")
+    out = RN.run_to_files(d.select(F.col("value").alias("line")), f"{base}/out", f"{base}/checkpoint")
+    return out
+
+
+KAFKA_SCHEMA = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
+
+
+@q("kafka_json_stream")
+def kafka_json_stream(spark, sf):
+    """S-06/K-09/P-05 on a stream: JSON readings published as Kafka-shaped
+    records (key, value bytes, topic, partition, offset, timestamp), consumed
+    from the earliest offset as a stream, decoded and parsed."""
+    base = scratch_path(spark, "kafka_json")
+    msgs = I.json_messages(spark, sf)
+    records = msgs.select(F.lit(None).cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"),
+                          F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
+                          F.col("seq").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    records.write.parquet(f"{base}/topic")
+    stream = spark.readStream.schema(KAFKA_SCHEMA).parquet(f"{base}/topic")
+    ok = P.accepted(P.parse_json_readings(KF.values(stream)))
+    out = RN.run_to_files(ok.select("seq", "sensor", "area", F.col("value_num").alias("value"), "ts_ms", "count"),
+                          f"{base}/out", f"{base}/checkpoint")
+    return out

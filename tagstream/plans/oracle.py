@@ -496,3 +496,7 @@ SELECT event_id AS seq, event_type AS sensor, value,
        round(sum(value) OVER (PARTITION BY event_type ORDER BY event_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_total
 FROM events"""
+
+ORACLE["distinct_lines_stream"] = ORACLE["distinct_lines"]
+
+ORACLE["kafka_json_stream"] = ORACLE["parse_json"]

@@ -67,3 +67,18 @@ def test_aliases_union_latest_dashboard(spark):
     d = TM.dashboard(sens, stat, sp, "device").collect()
     assert [(x.device, x.temp_setpoint) for x in d] == [("d1", None)]
     assert sorted(r.device for r in TM.device_list(sens).collect()) == ["d1", "d2"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.floats(-300, 300, allow_nan=False), min_size=1, max_size=30), st.sampled_from([10, 100]))
+def test_encode_decode_within_one_step(spark, values, factor):
+    # SURVEY 5 property: decode(encode(v)) is within 1/factor of v
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, v double")
+    enc = TM.encode_registers(df, [("v", factor)], ["i"]).withColumn("device_class", F.lit("x"))
+    m = TM.register_map(spark, {"x": [(0, "v", float(factor), "u")]})
+    dec = {r.i: r.value for r in TM.decode_registers(enc, m, ["i"]).collect()}
+    assert all(abs(dec[i] - v) < 1.0 / factor + 1e-9 for i, v in enumerate(values))
