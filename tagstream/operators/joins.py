@@ -23,12 +23,16 @@ from pyspark.sql import functions as F
 
 from tagstream.operators.topk import top_n_per_key
 
-DIM_MAX_ROWS = 1_000_000
+DIM_MAX_ROWS = 200_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded job)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``take`` scans partitions incrementally and stops once it has
+    ``max_rows + 1`` rows, and projecting a literal reads no columns, so a
+    large table costs a few partitions' row counts, not a full scan."""
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:

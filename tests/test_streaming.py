@@ -140,3 +140,17 @@ def test_create_table_if_absent(spark, tmp_dir):
     create_table(spark, "tg_readings_test", TABLES["readings"], f"{tmp_dir}/readings")
     assert spark.table("tg_readings_test").columns == ["sensor", "unit", "value", "record_time"]
     spark.sql("DROP TABLE IF EXISTS tg_readings_test")
+
+
+def test_console_outputs(spark, tmp_dir, capsys):
+    # K-01 / K-11: grid print of a batch result and the console sink
+    from tagstream.sinks import console as C
+    C.show_grid(spark.createDataFrame([("flowmeter_1", 1.5)], "sensor string, value double"))
+    assert "flowmeter_1" in capsys.readouterr().out
+    src = f"{tmp_dir}/lines"
+    os.makedirs(src)
+    with open(f"{src}/a.txt", "w") as f:
+        f.write("hello\n")
+    q = C.console_stream(spark.readStream.text(src), f"{tmp_dir}/ck")
+    q.awaitTermination()
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 1
