@@ -792,3 +792,13 @@ def kafka_json_stream(spark, sf):
     out = RN.run_to_files(ok.select("seq", "sensor", "area", F.col("value_num").alias("value"), "ts_ms", "count"),
                           f"{base}/out", f"{base}/checkpoint")
     return out
+
+
+@q("running_sum_stream_batches")
+def running_sum_stream_batches(spark, sf):
+    """A-01 streaming, distributed: per-record running totals per sensor
+    from micro-batches (bucketed prefix in each batch + carried state)."""
+    base = scratch_path(spark, "running_batches")
+    r = events_as_readings(stream_table(spark, sf, "events"))
+    out = ST.running_sum_batches(r, "sensor", "seq", "value", f"{base}/data", f"{base}/checkpoint")
+    return out.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))

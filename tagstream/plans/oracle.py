@@ -500,3 +500,5 @@ FROM events"""
 ORACLE["distinct_lines_stream"] = ORACLE["distinct_lines"]
 
 ORACLE["kafka_json_stream"] = ORACLE["parse_json"]
+
+ORACLE["running_sum_stream_batches"] = ORACLE["running_sum_stream"]

@@ -154,3 +154,14 @@ def test_console_outputs(spark, tmp_dir, capsys):
     q = C.console_stream(spark.readStream.text(src), f"{tmp_dir}/ck")
     q.awaitTermination()
     assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 1
+
+
+def test_running_sum_batches_carries_state(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    _write_json_batches(src, [[{"k": "Rita", "seq": 0, "v": 100.0}, {"k": "Bob", "seq": 1, "v": 50.0}],
+                              [{"k": "Rita", "seq": 2, "v": 200.0}, {"k": "Bob", "seq": 4, "v": 150.0},
+                               {"k": "Rita", "seq": 5, "v": 50.0}]])
+    s = spark.readStream.schema("k string, seq long, v double").option("maxFilesPerTrigger", 1).json(src)
+    out = ST.running_sum_batches(s, "k", "seq", "v", f"{tmp_dir}/data", f"{tmp_dir}/ck", width=1)
+    got = [(r.k, r.running_total) for r in out.orderBy("seq").collect()]
+    assert got == [("Rita", 100.0), ("Bob", 50.0), ("Rita", 300.0), ("Bob", 200.0), ("Rita", 350.0)]
