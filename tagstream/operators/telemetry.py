@@ -122,11 +122,13 @@ def latest_snapshot(readings: DataFrame, keys: Sequence[str], values: Sequence[s
             .select(*keys, "_tg_v.*", "latest_ts"))
 
 
-def dashboard(sensors: DataFrame, status: DataFrame, setpoints: DataFrame | None,
+def dashboard(sensors: DataFrame, status: DataFrame | None, setpoints: DataFrame | None,
               key: str) -> DataFrame:
     """One row per device: sensors and status side by side (a device
-    missing either is skipped), setpoints when present."""
-    out = sensors.join(status, key, "inner")
+    missing either is skipped), setpoints when present.  Pass
+    ``status=None`` when ``sensors`` already carries the status columns
+    (both decoded from the same poll)."""
+    out = sensors if status is None else sensors.join(status, key, "inner")
     if setpoints is not None:
         out = out.join(setpoints, key, "left")
     return out

@@ -59,3 +59,17 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (never reused)."""
     return f"{shared_dir(spark)}/tagstream/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared folder and read it back.
+
+    Used before multi-pass algorithms over an expensive derived input (e.g.
+    metrics computed from whole texts): the source is read and the
+    derivation runs once, later passes read the small columnar result, and
+    the lineage is cut (a lost executor recomputes from the files, not from
+    the raw input)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
