@@ -55,13 +55,26 @@ def run_updates(stream: DataFrame, keys: Sequence[str], base: str, checkpoint: s
     return last_per_key(out, list(keys), "batch_id").drop("batch_id")
 
 
+def late_rows_dropped(query) -> int:
+    """Rows the stateful operators discarded as later than the watermark,
+    summed over the query's recent progress reports."""
+    total = 0
+    for prog in query.recentProgress:
+        for op in prog.get("stateOperators", []):
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total
+
+
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                 trigger: dict | None = None) -> DataFrame:
-    """Append a stream to files until drained; return the files' contents."""
+                 trigger: dict | None = None, on_done=None) -> DataFrame:
+    """Append a stream to files until drained; return the files' contents.
+    ``on_done(query)`` is called after the run (e.g. to read metrics)."""
     q = (stream.writeStream.format(fmt).option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(**(trigger or {"availableNow": True})).start())
     q.awaitTermination()
+    if on_done:
+        on_done(q)
     reader = stream.sparkSession.read
     return reader.text(path) if fmt == "text" else reader.format(fmt).load(path)
 

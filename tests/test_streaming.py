@@ -36,10 +36,13 @@ def test_late_rows_and_unflushed_window(spark, tmp_dir):
     s = spark.readStream.schema("key string, t long, n int").option("maxFilesPerTrigger", 1).json(src)
     s = W.event_time(s, "t", "s").withColumn("ets", RN.ntz_to_instant("ts")).withWatermark("ets", "0 seconds")
     agg = s.groupBy("key", F.window("ets", "3 seconds").alias("window")).agg(F.sum("n").alias("s"))
+    seen = {}
     out = RN.run_to_files(agg.select("key", F.col("window.start").alias("ws"), "s"),
-                          f"{tmp_dir}/out", f"{tmp_dir}/ck")
+                          f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                          on_done=lambda q: seen.update(dropped=RN.late_rows_dropped(q)))
     got = sorted((r.key, int(r.ws.timestamp()), r.s) for r in out.collect())
     assert got == [("a", 0, 8), ("a", 3, 2), ("a", 9, 3)]
+    assert seen["dropped"] == 1
 
 
 def test_update_mode_flushes_like_batch(spark):
@@ -165,3 +168,23 @@ def test_running_sum_batches_carries_state(spark, tmp_dir):
     out = ST.running_sum_batches(s, "k", "seq", "v", f"{tmp_dir}/data", f"{tmp_dir}/ck", width=1)
     got = [(r.k, r.running_total) for r in out.orderBy("seq").collect()]
     assert got == [("Rita", 100.0), ("Bob", 50.0), ("Rita", 300.0), ("Bob", 200.0), ("Rita", 350.0)]
+
+
+def test_gapped_hopping_stream_append_equals_batch(spark, tmp_dir):
+    # Gapped windows group by the window struct, so append mode works on a
+    # stream; with a final far-future row every real window is closed.
+    batches = [[{"w": "a", "t": t} for t in (0, 1999, 2000, 4900)],
+               [{"w": "a", "t": t} for t in (5000, 6500, 11000, 12000)],
+               [{"w": "z", "t": 100000}]]
+    src = f"{tmp_dir}/in"
+    _write_json_batches(src, batches)
+    s = spark.readStream.schema("w string, t long").option("maxFilesPerTrigger", 1).json(src)
+    s = W.event_time(s, "t", "ms").withColumn("ets", RN.ntz_to_instant("ts")).withWatermark("ets", "0 seconds")
+    g = W.hopping_gapped(s, ["w"], "ets", "2 seconds", "5 seconds", [F.count(F.lit(1)).alias("n")])
+    out = RN.run_to_files(g, f"{tmp_dir}/out", f"{tmp_dir}/ck")
+    got = sorted((r.w, int(r.window_start.timestamp()), r.n) for r in out.where("w = 'a'").collect())
+    b = spark.createDataFrame([(r["w"], r["t"]) for rows in batches for r in rows], "w string, t long")
+    b = W.event_time(b, "t", "ms")
+    ref = W.hopping_gapped(b, ["w"], "ts", "2 seconds", "5 seconds", [F.count(F.lit(1)).alias("n")])
+    expect = sorted((r.w, r.window_start.second, r.n) for r in ref.where("w = 'a'").collect())
+    assert got == expect == [("a", 0, 2), ("a", 5, 2), ("a", 10, 1)]
