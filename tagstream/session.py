@@ -39,24 +39,28 @@ def build_session(app: str = "tagstream", cpus: int | str = "*",
 
 
 def recommended_conf(input_bytes: int, total_cores: int,
-                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+                     input_per_partition: int = 1 << 30,
+                     advisory_partition_bytes: int = 256 << 20,
+                     max_partitions: int = 100_000) -> dict[str, str]:
     """Shuffle and scan sizing for a job reading ``input_bytes`` on a
     cluster with ``total_cores`` executor cores.
 
-    Shuffle partitions start at ~``target_partition_bytes`` of input each
-    (at least three per core) and AQE coalesces small ones and splits
-    skewed ones at runtime; scans split files at 256 MB.  At 100 TB on 8,000
-    cores this gives ~400k initial partitions coalesced to what the data
-    needs, each fitting executor memory without spilling."""
-    parts = max(total_cores * 3, -(-int(input_bytes) // target_partition_bytes))
+    The initial shuffle partition count is ~1 GB of *input* per partition
+    (shuffles carry far less after pruning and map-side partial
+    aggregation), at least three per core, capped at ``max_partitions`` so
+    map-output tracking stays small.  AQE then coalesces partitions to
+    ~256 MB and splits skewed ones at runtime.  Scans split files at 256 MB.
+    At 100 TB on 8,000 cores: 100,000 initial partitions."""
+    parts = max(total_cores * 3, -(-int(input_bytes) // input_per_partition))
+    parts = min(parts, max(max_partitions, total_cores * 3))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(advisory_partition_bytes * 2),
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
