@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagstream.functions.scalars import trim_all
 from tagstream.schemas import JSON_READING
 
 OK, REASON = "_ok", "_reason"
@@ -53,8 +54,8 @@ def parse_log_lines(df: DataFrame, col: str = "value") -> DataFrame:
     three parts, integer ts.  Adds ``level, ts_ms, message, n``."""
     parts = F.split(F.col(col), r"\|", -1)
     staged = _stage(df, "_tg_p", F.struct(
-        F.size(parts).alias("n"), F.trim(F.get(parts, 0)).alias("level"),
-        F.trim(F.get(parts, 1)).try_cast("bigint").alias("ts"), F.trim(F.get(parts, 2)).alias("msg")))
+        F.size(parts).alias("n"), trim_all(F.get(parts, 0)).alias("level"),
+        trim_all(F.get(parts, 1)).try_cast("bigint").alias("ts"), trim_all(F.get(parts, 2)).alias("msg")))
     p = F.col("_tg_p")
     reason = (F.when(F.col(col).isNull(), "null")
               .when(p["n"] != 3, "field_count")

@@ -38,10 +38,12 @@ LOG_LINES = f"""(SELECT event_id AS seq,
   FROM events)"""
 
 # Parsed log lines (accepted only), as a relation.
-PARSED_LOGS = f"""(SELECT seq, trim(p[1]) AS level, CAST(trim(p[2]) AS BIGINT) AS ts_ms,
-       trim(p[3]) AS message, 1 AS n
+WS = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+
+PARSED_LOGS = f"""(SELECT seq, trim(p[1], {WS}) AS level, CAST(trim(p[2], {WS}) AS BIGINT) AS ts_ms,
+       trim(p[3], {WS}) AS message, 1 AS n
   FROM (SELECT seq, string_split(value, '|') AS p FROM {LOG_LINES})
-  WHERE len(p) = 3 AND TRY_CAST(trim(p[2]) AS BIGINT) IS NOT NULL)"""
+  WHERE len(p) = 3 AND TRY_CAST(trim(p[2], {WS}) AS BIGINT) IS NOT NULL)"""
 
 JSON_MESSAGES = """(SELECT event_id AS seq, user_id, ts, event_type, value,
   CASE WHEN event_id % 19 = 0 THEN NULL

@@ -45,3 +45,9 @@ def test_accepts_plus_rejects_is_input(spark):
     parsed = P.parse_sensor_lines(lines)
     assert P.accepted(parsed).count() + P.rejected(parsed).count() == lines.count()
     assert parsed.where(F.col("_ok").isNull()).count() == 0
+
+
+def test_log_fields_strip_all_whitespace(spark):
+    parsed = P.parse_log_lines(_lines(spark, ["\tWARN |\t42 | disk\tfull \r"]))
+    r = P.accepted(parsed).collect()[0]
+    assert (r.level, r.ts_ms, r.message) == ("WARN", 42, "disk\tfull")
