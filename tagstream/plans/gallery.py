@@ -14,14 +14,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagstream import schemas as S
 from tagstream.functions import format as fmt
-from tagstream.functions.scalars import epoch_ms_to_ts, ts_to_epoch_ms
+from tagstream.functions.scalars import (bit_to_bool, bool_to_number, clock_mod, epoch_ms_to_ts,
+                                         hhmmss, trim_all, truncating_scale, ts_to_epoch_ms)
 from tagstream.operators import aggregate as agg
+from tagstream.operators import joins as J
 from tagstream.operators import parse as P
 from tagstream.operators import running as R
+from tagstream.operators import tables as TB
+from tagstream.operators import telemetry as TM
 from tagstream.operators import text as TX
+from tagstream.operators import topk as TK
 from tagstream.operators import windows as W
 from tagstream.plans import inputs as I
+from tagstream.session import materialize, scratch_path
+from tagstream.sinks import files as FS
+from tagstream.sinks import kafka as KF
+from tagstream.sources.tables import events_as_readings, read_table, stream_table
+from tagstream.sources.text import split_lines
+from tagstream.streaming import dedupe as DD
+from tagstream.streaming import runner as RN
+from tagstream.streaming import stateful as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 GALLERY: dict[str, Query] = {}
@@ -202,7 +216,6 @@ def global_line_stats(spark, sf):
 @q("running_global_stats")
 def running_global_stats(spark, sf):
     """A-04 running: after each line (document order), the running means."""
-    from tagstream.session import materialize
     # The prefix reads its input twice; read the texts once and keep the
     # four-number metrics per line.
     m = materialize(TX.line_metrics(I.doc_lines(spark, sf), keep=["doc_id", "line_no"]), "line_metrics")
@@ -359,12 +372,6 @@ def encode_json(spark, sf):
 # Joins and top-k
 # --------------------------------------------------------------------------
 
-from tagstream.operators import joins as J  # noqa: E402
-from tagstream.operators import tables as TB  # noqa: E402
-from tagstream.operators import telemetry as TM  # noqa: E402
-from tagstream.operators import topk as TK  # noqa: E402
-from tagstream.sources.tables import read_table  # noqa: E402
-
 
 def _report_inputs(spark, sf):
     """readings := orders, oee := lineitem (many per order), locations :=
@@ -511,8 +518,6 @@ def length_check(spark, sf):
 # Telemetry: lineitem rows as archived device polls
 # --------------------------------------------------------------------------
 
-from tagstream import schemas as S  # noqa: E402
-from tagstream.functions.scalars import clock_mod, truncating_scale  # noqa: E402
 
 LAYOUTS = {"water_plant": S.WATER_PLANT_REGISTERS, "tank": S.TANK_REGISTERS, "belt": S.BELT_REGISTERS}
 POLL_KEYS = ["l_orderkey", "l_linenumber"]
@@ -667,8 +672,6 @@ def device_list(spark, sf):
 # Scalar function projections
 # --------------------------------------------------------------------------
 
-from tagstream.functions.scalars import bit_to_bool, bool_to_number, hhmmss, trim_all  # noqa: E402
-
 
 @q("scalar_text")
 def scalar_text(spark, sf):
@@ -713,12 +716,6 @@ def scalar_time(spark, sf):
 # Streams run to completion (availableNow) and read back
 # --------------------------------------------------------------------------
 
-from tagstream.session import scratch_path  # noqa: E402
-from tagstream.sinks import files as FS  # noqa: E402
-from tagstream.sources.tables import events_as_readings, stream_table  # noqa: E402
-from tagstream.streaming import runner as RN  # noqa: E402
-from tagstream.streaming import stateful as ST  # noqa: E402
-
 
 @q("stream_tumbling")
 def stream_tumbling(spark, sf):
@@ -761,11 +758,6 @@ def running_sum_stream(spark, sf):
     return res.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))
 
 
-from tagstream.sinks import kafka as KF  # noqa: E402
-from tagstream.streaming import dedupe as DD  # noqa: E402
-from tagstream.sources.text import split_lines  # noqa: E402
-
-
 @q("distinct_lines_stream")
 def distinct_lines_stream(spark, sf):
     """T-06/S-04 streaming: document lines arriving as a file stream,
