@@ -118,12 +118,13 @@ def seq_bucket(seq: str | Column, width: int = 1 << 20) -> Column:
 
 def running_sum(df: DataFrame, keys: Sequence[str], value: str | Column,
                 order: Sequence[str | Column], bucket: Column,
-                out: str = "running_total") -> DataFrame:
+                out: str = "running_total",
+                coarse: Callable[[Column], Column] | None = None) -> DataFrame:
     """Keyed running sum: one updated total per input row (a keyed reduce
     seen in streaming mode).  Batch form; see ``streaming.stateful`` for the
-    per-record stream form."""
+    per-record stream forms.  ``coarse`` as in ``bucketed_prefix``."""
     v = F.col(value) if isinstance(value, str) else value
-    return bucketed_prefix(df, keys, order, bucket, {out: v}, rank_col=None)
+    return bucketed_prefix(df, keys, order, bucket, {out: v}, rank_col=None, coarse=coarse)
 
 
 def running_global_means(df: DataFrame, measures: Mapping[str, Column],
