@@ -17,11 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def with_batch_id(df: DataFrame, batch_id: int | None) -> DataFrame:
+    """Tag rows with their micro-batch id (replays carry the same id)."""
+    return df if batch_id is None else df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+
+
 def append_batch(df: DataFrame, url: str, table: str, props: Mapping[str, str],
                  batch_id: int | None = None, batchsize: int = 100, retries: int = 3,
                  backoff_s: float = 1.0) -> None:
     """Append one batch; retry the whole batch up to ``retries`` times."""
-    out = df if batch_id is None else df.withColumn("batch_id", F.lit(int(batch_id)))
+    out = with_batch_id(df, batch_id)
     opts = {**props, "batchsize": str(batchsize)}
     for attempt in range(retries + 1):
         try:
