@@ -782,12 +782,7 @@ def kafka_json_stream(spark, sf):
     records (key, value bytes, topic, partition, offset, timestamp), consumed
     from the earliest offset as a stream, decoded and parsed."""
     base = scratch_path(spark, "kafka_json")
-    msgs = I.json_messages(spark, sf)
-    records = msgs.select(F.lit(None).cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"),
-                          F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
-                          F.col("seq").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
-    records.write.parquet(f"{base}/topic")
-    stream = spark.readStream.schema(KAFKA_SCHEMA).parquet(f"{base}/topic")
+    stream = _kafka_records(spark, sf, base)
     ok = P.accepted(P.parse_json_readings(KF.values(stream)))
     out = RN.run_to_files(ok.select("seq", "sensor", "area", F.col("value_num").alias("value"), "ts_ms", "count"),
                           f"{base}/out", f"{base}/checkpoint")
@@ -802,3 +797,36 @@ def running_sum_stream_batches(spark, sf):
     r = events_as_readings(stream_table(spark, sf, "events"))
     out = ST.running_sum_batches(r, "sensor", "seq", "value", f"{base}/data", f"{base}/checkpoint")
     return out.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))
+
+
+def _kafka_records(spark, sf, base):
+    """JSON readings published as Kafka-shaped records under ``base``."""
+    msgs = I.json_messages(spark, sf)
+    records = msgs.select(F.lit(None).cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"),
+                          F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
+                          F.col("seq").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    records.write.parquet(f"{base}/topic")
+    return spark.readStream.schema(KAFKA_SCHEMA).parquet(f"{base}/topic")
+
+
+@q("area_window_report_stream")
+def area_window_report_stream(spark, sf):
+    """E1 end to end: Kafka-shaped JSON records -> parse -> not-null filter
+    (readings with an area) -> event-time watermark -> hourly windows per
+    area (first sensor, count, latest ts, mean) -> one report line each.
+    The bounded input is drained and every window flushed."""
+    base = scratch_path(spark, "area_report")
+    parsed = P.accepted(P.parse_json_readings(KF.values(_kafka_records(spark, sf, base))))
+    r = (parsed.where(F.col("area").isNotNull())
+         .withColumn("ts", epoch_ms_to_ts("ts_ms"))
+         .withColumn("ets", RN.ntz_to_instant("ts")).withWatermark("ets", "0 seconds"))
+    agg = r.groupBy("area", F.window("ets", "1 hour").alias("window")).agg(
+        F.min_by("sensor", F.struct("ts_ms", "seq")).alias("first_sensor"),
+        F.count(F.lit(1)).alias("cnt"), F.max("ts_ms").alias("max_ts_ms"),
+        F.sum(F.round(F.col("value_num") * 100).cast("bigint")).alias("sum_cents"))
+    done = RN.run_updates(agg, ["area", "window"], f"{base}/out", f"{base}/checkpoint")
+    cents = F.floor((F.col("sum_cents") * 2 + F.col("cnt")) / (F.col("cnt") * 2)).cast("bigint")
+    done = done.withColumn("avg_value", cents / F.lit(100.0))
+    return done.select("area", RN.instant_to_ntz("window.start").alias("window_start"),
+                       F.format_string("%s | %s | Avg. Value: %.2f | Count: %d | Ts: %d", "area", "first_sensor",
+                                       "avg_value", "cnt", "max_ts_ms").alias("line"))

@@ -504,3 +504,15 @@ ORACLE["distinct_lines_stream"] = ORACLE["distinct_lines"]
 ORACLE["kafka_json_stream"] = ORACLE["parse_json"]
 
 ORACLE["running_sum_stream_batches"] = ORACLE["running_sum_stream"]
+
+ORACLE["area_window_report_stream"] = f"""
+WITH r AS (SELECT seq, 'line_' || CAST(user_id % 2 + 1 AS VARCHAR) AS area, event_type AS sensor, value,
+                  epoch_us(ts) // 1000 AS ts_ms
+           FROM {JSON_MESSAGES} WHERE shape = 'A'),
+g AS (SELECT area, {_tb('1 hour', 'epoch_ms(ts_ms)')} AS window_start, arg_min(sensor, (ts_ms, seq)) AS first_sensor,
+             count(*) AS cnt, max(ts_ms) AS max_ts_ms, sum(CAST(round(value * 100) AS BIGINT)) AS sum_cents
+      FROM r GROUP BY ALL)
+SELECT area, window_start,
+       printf('%s | %s | Avg. Value: %.2f | Count: %d | Ts: %d', area, first_sensor,
+              CAST(floor((sum_cents * 2 + cnt) / (cnt * 2)) AS BIGINT) / 100.0, cnt, max_ts_ms) AS line
+FROM g"""
