@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagstream.functions.scalars import ts_to_epoch_ms
-from tagstream.sources.tables import events_as_readings, read_table
+from tagstream.sources.tables import events_as_readings, read_table, spread
 from tagstream.sources.text import split_lines
 
 
@@ -74,11 +74,11 @@ def json_messages_from(e: DataFrame) -> DataFrame:
 
 def doc_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Every line of every document: ``doc_id, line_no, line``."""
-    return split_lines(read_table(spark, sf, "documents"), "text", "doc_id")
+    return split_lines(spread(read_table(spark, sf, "documents").select("doc_id", "text")), "text", "doc_id")
 
 
 def doc_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Whole document texts (``doc_id, text``).  Tokenising whole texts
     gives the same tokens as tokenising their lines (a newline is
     whitespace) without exploding lines first."""
-    return read_table(spark, sf, "documents").select("doc_id", "text")
+    return spread(read_table(spark, sf, "documents").select("doc_id", "text"))

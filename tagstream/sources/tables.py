@@ -12,6 +12,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over the cluster's cores before CPU-heavy per-row work
+    (tokenising whole texts) when the scan yields fewer partitions than the
+    default parallelism -- e.g. a file with a single row group is read by
+    one task however it is split.  A round-robin shuffle of the raw rows,
+    skipped entirely when the scan already has enough partitions (any large
+    input) and for streams."""
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """The same table as a file stream (new files become micro-batches)."""
