@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagstream.operators.topk import top_n_per_key
 
@@ -92,7 +93,8 @@ def latest_report(
     top_rows = top.collect()  # at most n rows
     top_df = spark.createDataFrame(top_rows, top.schema)
     keys = sorted({r[r_key] for r in top_rows if r[r_key] is not None})
-    ties = [*tie_order, *[F.col(c).asc_nulls_first() for c in oee.columns]]
+    orderable = [f.name for f in oee.schema.fields if not isinstance(f.dataType, T.MapType)]
+    ties = [*tie_order, *[F.col(c).asc_nulls_first() for c in orderable]]
     if keys:
         hit = oee.where(F.col(o_key).isin(keys))
         best = top_n_per_key(hit, [o_key], ties, n)

@@ -51,10 +51,18 @@ def run_updates(stream: DataFrame, keys: Sequence[str], base: str, checkpoint: s
          .trigger(**(trigger or {"availableNow": True})).start())
     q.awaitTermination()
     spark: SparkSession = stream.sparkSession
+    if not q.recentProgress or not _has_output(q):
+        return spark.createDataFrame([], stream.schema)
     out = spark.read.parquet(base)
     return last_per_key(out, list(keys), "batch_id").drop("batch_id")
 
 
+def _has_output(query) -> bool:
+    """Whether any micro-batch with input rows ran (foreachBatch writes
+    nothing for a drained, empty source)."""
+    return any(int(p.get("numInputRows", 0) or 0) > 0 for p in query.recentProgress)
+
+
 def late_rows_dropped(query) -> int:
     """Rows the stateful operators discarded as later than the watermark,
     summed over the query's recent progress reports."""

@@ -78,4 +78,6 @@ def running_sum_batches(stream: DataFrame, key: str, seq: str, value: str, base:
     q = (stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})).start())
     q.awaitTermination()
+    if not any(int(p.get("numInputRows", 0) or 0) > 0 for p in q.recentProgress):
+        return spark.createDataFrame([], f"{key} string, {seq} long, {value} double, {out} double")
     return spark.read.parquet(f"{base}/out").drop("batch_id")

@@ -188,3 +188,13 @@ def test_gapped_hopping_stream_append_equals_batch(spark, tmp_dir):
     ref = W.hopping_gapped(b, ["w"], "ts", "2 seconds", "5 seconds", [F.count(F.lit(1)).alias("n")])
     expect = sorted((r.w, r.window_start.second, r.n) for r in ref.where("w = 'a'").collect())
     assert got == expect == [("a", 0, 2), ("a", 5, 2), ("a", 10, 1)]
+
+
+def test_empty_stream_inputs(spark, tmp_dir):
+    src = f"{tmp_dir}/empty"
+    os.makedirs(src)
+    s = spark.readStream.schema("k string, seq long, v double, ts timestamp").json(src)
+    agg = (s.withWatermark("ts", "0 seconds").groupBy("k", F.window("ts", "1 hour").alias("window"))
+           .agg(F.count(F.lit(1)).alias("n")))
+    assert RN.run_updates(agg, ["k", "window"], f"{tmp_dir}/o1", f"{tmp_dir}/c1").count() == 0
+    assert ST.running_sum_batches(s, "k", "seq", "v", f"{tmp_dir}/d2", f"{tmp_dir}/c2").count() == 0
