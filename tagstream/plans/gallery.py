@@ -745,8 +745,7 @@ def file_sink_roundtrip(spark, sf):
     ok = P.accepted(P.parse_json_readings(msgs))
     line = F.format_string("%s | %s | Value: %.2f | Ts: %d", F.coalesce("area", F.lit("-")),
                            "sensor", "value_num", "ts_ms")
-    q = FS.text_stream(ok.select(line.alias("value")), f"{base}/out", f"{base}/checkpoint")
-    q.awaitTermination()
+    RN.start(lambda: FS.text_stream(ok.select(line.alias("value")), f"{base}/out", f"{base}/checkpoint"), spark)
     return spark.read.text(f"{base}/out")
 
 

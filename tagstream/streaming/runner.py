@@ -13,7 +13,8 @@ so the result is independent of the session time zone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,32 @@ def instant_to_ntz(ts: str | Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.expr(EPOCH_NTZ))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start streaming queries with ``n`` state partitions (default: the
+    cluster's default parallelism, one per core).
+
+    A stateful stream fixes its state partition count from
+    ``spark.sql.shuffle.partitions`` at first start, and AQE does not
+    resize it.  The session value is restored once the query has started."""
+    n = n or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def start(writer_fn: Callable[[], object], spark: SparkSession):
+    """Start a streaming query built by ``writer_fn`` under
+    ``state_partitions`` and wait until its bounded input is drained."""
+    with state_partitions(spark):
+        q = writer_fn()
+    q.awaitTermination()
+    return q
+
+
 def run_updates(stream: DataFrame, keys: Sequence[str], base: str, checkpoint: str,
                 trigger: dict | None = None) -> DataFrame:
     """Run an aggregating stream in update mode until its input is drained
@@ -46,11 +73,10 @@ def run_updates(stream: DataFrame, keys: Sequence[str], base: str, checkpoint: s
     def _write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
 
-    q = (stream.writeStream.outputMode("update").foreachBatch(_write)
-         .option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"availableNow": True})).start())
-    q.awaitTermination()
     spark: SparkSession = stream.sparkSession
+    q = start(lambda: stream.writeStream.outputMode("update").foreachBatch(_write)
+              .option("checkpointLocation", checkpoint)
+              .trigger(**(trigger or {"availableNow": True})).start(), spark)
     if not q.recentProgress or not _has_output(q):
         return spark.createDataFrame([], stream.schema)
     out = spark.read.parquet(base)
@@ -77,10 +103,9 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parq
                  trigger: dict | None = None, on_done=None) -> DataFrame:
     """Append a stream to files until drained; return the files' contents.
     ``on_done(query)`` is called after the run (e.g. to read metrics)."""
-    q = (stream.writeStream.format(fmt).option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(**(trigger or {"availableNow": True})).start())
-    q.awaitTermination()
+    q = start(lambda: stream.writeStream.format(fmt).option("path", path)
+              .option("checkpointLocation", checkpoint).outputMode("append")
+              .trigger(**(trigger or {"availableNow": True})).start(), stream.sparkSession)
     if on_done:
         on_done(q)
     reader = stream.sparkSession.read

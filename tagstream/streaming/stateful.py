@@ -75,9 +75,9 @@ def running_sum_batches(stream: DataFrame, key: str, seq: str, value: str, base:
                .select(key, (F.coalesce("_tg_total", F.lit(0.0)) + F.coalesce("_tg_d", F.lit(0.0))).alias("_tg_total")))
         new.write.mode("overwrite").parquet(f"{base}/state/batch_id={bid}")
 
-    q = (stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"availableNow": True})).start())
-    q.awaitTermination()
+    from tagstream.streaming.runner import start
+    q = start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
+              .trigger(**(trigger or {"availableNow": True})).start(), spark)
     if not any(int(p.get("numInputRows", 0) or 0) > 0 for p in q.recentProgress):
         return spark.createDataFrame([], f"{key} string, {seq} long, {value} double, {out} double")
     return spark.read.parquet(f"{base}/out").drop("batch_id")
