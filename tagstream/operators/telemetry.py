@@ -3,9 +3,9 @@
 A poll row carries a register array (16-bit scaled integers by position) and
 a bit array (discrete inputs).  Decoding is driven by *map tables* -- rows of
 ``(device_class, pos, tag, divisor, unit)`` -- so scales are data, not code.
-Maps are small fixed lists (bounded by the device layouts), so joining them
-is a broadcast of a table whose size is known up front; the poll table itself
-is never shuffled by decoding.
+Maps are small (bounded by the device layouts); they are broadcast after a
+size check, so the poll table itself is never shuffled by decoding.  Rule
+lists are Python lists, so their size is known up front.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagstream.functions.scalars import truncating_scale
+from tagstream.operators.joins import bounded_broadcast
 from tagstream.schemas import ALARM_TEXTS, ALL_NORMAL
 
 MAP_SCHEMA = "device_class string, pos int, tag string, divisor double, unit string"
+MAP_MAX_ROWS = 100_000  # a register map larger than this is joined without a broadcast
 RULE_SCHEMA = "tag string, op string, limit double, label string"
 
 
@@ -35,7 +37,7 @@ def decode_registers(polls: DataFrame, regmap: DataFrame, keep: Sequence[str],
     raw, value, unit`` with ``value = raw / divisor``.  Positions the map
     does not name are ignored; missing positions give no row."""
     exploded = polls.select(*keep, class_col, F.posexplode(reg_col).alias("pos", "raw"))
-    j = exploded.join(F.broadcast(regmap), [class_col, "pos"], "inner")
+    j = exploded.join(bounded_broadcast(regmap, MAP_MAX_ROWS), [class_col, "pos"], "inner")
     return j.select(*keep, "tag", "raw", (F.col("raw") / F.col("divisor")).alias("value"), "unit")
 
 
@@ -43,7 +45,7 @@ def decode_registers_default(polls: DataFrame, regmap: DataFrame, keep: Sequence
                              reg_col: str = "registers", class_col: str = "device_class") -> DataFrame:
     """Every mapped tag of the poll's device class; a register the poll
     lacks decodes to 0 and is flagged ``is_default``."""
-    j = polls.select(*keep, class_col, reg_col).join(F.broadcast(regmap), class_col, "inner")
+    j = polls.select(*keep, class_col, reg_col).join(bounded_broadcast(regmap, MAP_MAX_ROWS), class_col, "inner")
     raw = F.try_element_at(F.col(reg_col), F.col("pos") + 1)
     return j.select(*keep, "tag",
                     (F.coalesce(raw, F.lit(0)) / F.col("divisor")).alias("value"),
