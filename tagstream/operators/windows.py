@@ -63,7 +63,8 @@ def sliding(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
 def _seconds(spec: str) -> float:
     n, unit = spec.split()
     unit = unit.lower().rstrip("s")
-    scale = {"millisecond": 1e-3, "second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
+    scale = {"millisecond": 1e-3, "second": 1, "minute": 60, "hour": 3600, "day": 86400,
+             "week": 604800}[unit]
     return float(n) * scale
 
 
