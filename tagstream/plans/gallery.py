@@ -84,7 +84,7 @@ def tumbling_sum_count_avg(spark, sf):
     r = I.readings(spark, sf)
     return W.tumbling(r, ["sensor"], "ts", "30 minutes", [
         F.max("ts").alias("max_ts"),
-        F.sum(_dec("value")).alias("sum_value"),
+        F.sum(_dec("value")).cast("decimal(38,2)").alias("sum_value"),
         F.count(F.lit(1)).alias("cnt"),
         F.round(F.avg("value"), 6).alias("avg_value"),
     ])
@@ -190,7 +190,8 @@ def event_time(spark, sf):
 def keyed_sum(spark, sf):
     """A-02: final sum per user."""
     e = I.events(spark, sf)
-    return agg.keyed_sum(e, ["user_id"], _dec("value"), out="total")
+    out = agg.keyed_sum(e, ["user_id"], _dec("value"), out="total")
+    return out.withColumn("total", F.col("total").cast("decimal(38,2)"))
 
 
 @q("running_sum")
@@ -201,7 +202,7 @@ def running_sum(spark, sf):
     # to prefix in one task, which is cheap; beyond ~1e7 buckets per key pass
     # ``coarse`` to prefix the bucket offsets in blocks as well.
     out = R.running_sum(r, ["sensor"], _dec("value"), ["seq"], R.seq_bucket("seq", 1 << 16))
-    return out
+    return out.withColumn("running_total", F.col("running_total").cast("decimal(38,2)"))
 
 
 @q("row_count")

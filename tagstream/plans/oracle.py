@@ -50,13 +50,13 @@ JSON_MESSAGES = """(SELECT event_id AS seq, user_id, ts, event_type, value,
        WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS shape
   FROM events)"""
 
-DOC_LINES = """(SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line
+DOC_LINES = """(SELECT doc_id, CAST(unnest(range(len(parts))) AS INTEGER) AS line_no, unnest(parts) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))"""
 
 # Lower-cased whitespace tokens with their position in the line.
 DOC_WORDS = f"""(SELECT doc_id, line_no, w.pos AS pos, w.word AS word FROM (
   SELECT doc_id, line_no,
-         unnest(list_transform(toks, lambda x, i: {{'pos': i - 1, 'word': x}})) AS w
+         unnest(list_transform(toks, lambda x, i: {{'pos': CAST(i - 1 AS INTEGER), 'word': x}})) AS w
   FROM (SELECT doc_id, line_no,
                list_filter(regexp_split_to_array(lower(line), '\\s+'), lambda x: x <> '') AS toks
         FROM {DOC_LINES})))"""
