@@ -114,3 +114,42 @@ def conform(df: DataFrame, table: Mapping) -> DataFrame:
             ok = ok & c.isNotNull()
         cols.append(c2.alias(f.name))
     return df.select(*cols, ok.alias("_valid"))
+
+
+def upsert_into(path: str, batch: DataFrame, keys: Sequence[str], order: Column | str,
+                partition_col: str, max_partitions: int = 100_000) -> None:
+    """Upsert a batch into a parquet table partitioned by ``partition_col``,
+    rewriting only the partitions the batch touches.
+
+    ``partition_col`` must be one of ``keys`` (a key lives in one
+    partition).  The touched partitions' rows are merged with the batch
+    (``upsert``), the result is staged in the shared folder (a table cannot
+    be overwritten while it is read), then written back with dynamic
+    partition overwrite, which replaces exactly those partitions.  Other
+    partitions are neither read nor written.
+    """
+    from tagstream.operators.joins import bounded_broadcast
+    from tagstream.session import scratch_path
+
+    if partition_col not in keys:
+        raise ValueError("partition_col must be part of the key")
+    spark = batch.sparkSession
+    cols = [c for c in batch.columns if c != "_tg_ord"]
+    try:
+        current = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - first write: no table yet
+        current = None
+    if current is None:
+        merged = last_per_key(_with_order(batch, cols, order), keys, "_tg_ord").select(*cols)
+    else:
+        target_cols = [c for c in current.columns]
+        touched = bounded_broadcast(batch.select(partition_col).distinct(), max_partitions)
+        current = current.join(touched, partition_col, "left_semi").select(*target_cols)
+        merged = upsert(current, batch, keys, order)
+    stage = scratch_path(spark, "upsert_stage")
+    merged.write.parquet(stage)
+    # Rebalance by partition value: few files per partition, while AQE still
+    # splits a partition holding a large share of the rows over many tasks.
+    (spark.read.parquet(stage).hint("rebalance", partition_col)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))

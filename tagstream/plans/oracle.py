@@ -516,3 +516,5 @@ SELECT area, window_start,
        printf('%s | %s | Avg. Value: %.2f | Count: %d | Ts: %d', area, first_sensor,
               CAST(floor((sum_cents * 2 + cnt) / (cnt * 2)) AS BIGINT) / 100.0, cnt, max_ts_ms) AS line
 FROM g"""
+
+ORACLE["upsert_partitioned"] = ORACLE["upsert_readings"]

@@ -60,3 +60,18 @@ def test_conform_readings(spark):
 def test_length_ok(spark):
     df = spark.createDataFrame([("abc",), ("abcdef",), (None,)], "s string")
     assert [r.ok for r in df.select(TB.length_ok("s", 3).alias("ok")).collect()] == [True, False, True]
+
+
+def test_upsert_into_rewrites_only_touched_partitions(spark, tmp_dir):
+    import os
+    path = f"{tmp_dir}/tbl"
+    target = spark.createDataFrame([("s1", 1, "d1", 1.0), ("s2", 1, "d1", 2.0), ("s1", 2, "d2", 3.0)],
+                                   "sensor string, hour int, day string, value double")
+    target.write.partitionBy("day").parquet(path)
+    d1_before = sorted(os.listdir(f"{path}/day=d1"))
+    batch = spark.createDataFrame([("s1", 2, "d2", 30.0, 1), ("s1", 2, "d2", 31.0, 2), ("s3", 2, "d2", 5.0, 3)],
+                                  "sensor string, hour int, day string, value double, seq long")
+    TB.upsert_into(path, batch, ["sensor", "hour", "day"], "seq", "day")
+    got = sorted((r.sensor, r.hour, r.day, r.value) for r in spark.read.parquet(path).collect())
+    assert got == [("s1", 1, "d1", 1.0), ("s1", 2, "d2", 31.0), ("s2", 1, "d1", 2.0), ("s3", 2, "d2", 5.0)]
+    assert sorted(os.listdir(f"{path}/day=d1")) == d1_before
