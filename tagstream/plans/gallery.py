@@ -850,3 +850,13 @@ def upsert_partitioned(spark, sf):
     batch = by_day(_hourly(e.where(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz"))))
     TB.upsert_into(base, batch, keys, "event_id", "record_date")
     return spark.read.parquet(base).select("sensor", "record_time", "unit", "value")
+
+
+@q("distinct_lines_exact_stream")
+def distinct_lines_exact_stream(spark, sf):
+    """T-06 exact on a stream: document lines from a file stream, each
+    distinct line emitted once for the whole stream; per-batch partial
+    dedupe, earlier outputs as the seen set."""
+    base = scratch_path(spark, "distinct_exact")
+    lines = split_lines(stream_table(spark, sf, "documents"), "text", "doc_id").withColumnRenamed("line", "value")
+    return DD.distinct_lines_batches(lines, f"{base}/data", f"{base}/checkpoint")

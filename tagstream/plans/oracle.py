@@ -518,3 +518,5 @@ SELECT area, window_start,
 FROM g"""
 
 ORACLE["upsert_partitioned"] = ORACLE["upsert_readings"]
+
+ORACLE["distinct_lines_exact_stream"] = ORACLE["distinct_lines"]

@@ -20,3 +20,37 @@ def distinct_lines_stream(df: DataFrame, text_col: str = "value", ts_col: str =
         df = df.withColumn(ts_col, F.current_timestamp())
     lines = clean_lines(df, text_col)
     return lines.withWatermark(ts_col, within).dropDuplicatesWithinWatermark([text_col])
+
+
+def distinct_lines_batches(stream: DataFrame, base: str, checkpoint: str, text_col: str = "value",
+                           trigger: dict | None = None) -> DataFrame:
+    """Each stripped, non-blank line once over the whole stream, exactly.
+
+    Per micro-batch: distinct lines of the batch (a partial/final aggregate,
+    so a line repeated in a third of the rows is reduced map-side before any
+    shuffle), minus every line already emitted.  The emitted lines are the
+    state: earlier batches' outputs (``base/out/batch_id<N``) are the seen
+    set, kept as a table in the shared folder rather than in memory.  A
+    replayed batch overwrites its own output, so replays are idempotent.
+    Returns all emitted lines once the input is drained.
+    """
+    from tagstream.streaming.runner import start
+
+    spark = stream.sparkSession
+    out_dir = f"{base}/out"
+
+    def _process(batch: DataFrame, bid: int) -> None:
+        lines = clean_lines(batch, text_col).select(F.col(text_col).alias("line")).dropDuplicates(["line"])
+        if bid > 0:
+            try:
+                seen = spark.read.parquet(out_dir).where(F.col("batch_id") < bid).select("line")
+                lines = lines.join(seen, "line", "left_anti")
+            except Exception:  # noqa: BLE001 - no earlier output yet
+                pass
+        lines.write.mode("overwrite").parquet(f"{out_dir}/batch_id={bid}")
+
+    q = start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
+              .trigger(**(trigger or {"availableNow": True})).start(), spark)
+    if not any(int(p.get("numInputRows", 0) or 0) > 0 for p in q.recentProgress):
+        return spark.createDataFrame([], "line string")
+    return spark.read.parquet(out_dir).select("line")

@@ -198,3 +198,16 @@ def test_empty_stream_inputs(spark, tmp_dir):
            .agg(F.count(F.lit(1)).alias("n")))
     assert RN.run_updates(agg, ["k", "window"], f"{tmp_dir}/o1", f"{tmp_dir}/c1").count() == 0
     assert ST.running_sum_batches(s, "k", "seq", "v", f"{tmp_dir}/d2", f"{tmp_dir}/c2").count() == 0
+
+
+def test_distinct_lines_exact_across_batches(spark, tmp_dir):
+    src = f"{tmp_dir}/lines"
+    os.makedirs(src)
+    for i, body in enumerate(["a\n b \n\na\n", "b\nc\na\n", "c\nd\n"]):
+        with open(f"{src}/f{i}.txt", "w") as f:
+            f.write(body)
+        t = time.time() + i
+        os.utime(f"{src}/f{i}.txt", (t, t))
+    s = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
+    out = D.distinct_lines_batches(s, f"{tmp_dir}/data", f"{tmp_dir}/ck")
+    assert sorted(r.line for r in out.collect()) == ["a", "b", "c", "d"]
