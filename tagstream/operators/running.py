@@ -94,7 +94,7 @@ def bucketed_prefix(
                               *[c for c in with_off.columns if c not in set(keys) | {_B}])
 
     cond = [b[k].eqNullSafe(offsets[f"_tg_k{i}"]) for i, k in enumerate(keys)]
-    cond.append(b[_B] == offsets["_tg_kb"])
+    cond.append(b[_B].eqNullSafe(offsets["_tg_kb"]))  # a NULL order value keeps its rows
     joined = b.join(offsets, cond, "inner").drop(*[f"_tg_k{i}" for i in range(len(keys))], "_tg_kb")
 
     inside = Window.partitionBy(*keys, _B).orderBy(*_cols(order))

@@ -67,3 +67,13 @@ def test_top_n_per_key_with_hot_key(spark):
     w = Window.partitionBy("k").orderBy(*order)
     ref = df.withColumn("rn", F.row_number().over(w)).where("rn <= 3").drop("rn")
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in ref.collect())
+
+
+def test_bucketed_prefix_keeps_null_order_rows(spark):
+    df = spark.createDataFrame([("a", None, 5), ("a", 1, 1), ("a", 2, 2), (None, None, 7)], "k string, seq long, v long")
+    got = R.bucketed_prefix(df, ["k"], ["seq"], R.seq_bucket("seq", 1), {"s": F.col("v")})
+    w = Window.partitionBy("k").orderBy("seq")
+    ref = df.select("k", "seq", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
+    key = lambda r: (str(r.k), str(r.seq), r.s)
+    assert sorted(map(key, got.select("k", "seq", "s").collect())) == sorted(map(key, ref.collect()))
+    assert got.count() == 4
