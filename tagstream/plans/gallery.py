@@ -3,8 +3,8 @@
 Each entry is ``fn(spark, sf_dir) -> DataFrame`` over whole tables.  Column
 names match the oracle SQL in ``tagstream.plans.oracle``.  Numeric outputs
 that two engines could round differently are made exact: sums of 2-decimal
-values are ``decimal(18,2)``, means are rounded to 6 places, and the
-pairwise fold is reported in fixed point (``*_milli``).
+values are decimals, means are rounded half-up to 6 places in integer
+arithmetic, and the pairwise fold is reported in fixed point (``*_milli``).
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tagstream import schemas as S
 from tagstream.functions import format as fmt
-from tagstream.functions.scalars import (bit_to_bool, bool_to_number, clock_mod, epoch_ms_to_ts,
+from tagstream.functions.scalars import (bit_to_bool, bool_to_number, cents, clock_mod, epoch_ms_to_ts,
+                                         mean_half_up,
                                          hhmmss, trim_all, truncating_scale, ts_to_epoch_ms)
 from tagstream.operators import aggregate as agg
 from tagstream.operators import joins as J
@@ -48,6 +49,16 @@ def q(name: str):
     return deco
 
 
+def _with_mean(g: DataFrame) -> DataFrame:
+    """Replace ``_sum_cents`` by ``avg_value``: the mean rounded half-up to
+    6 decimals exactly (see ``functions.scalars.mean_half_up``)."""
+    cols = [c for c in g.columns if c != "_sum_cents"]
+    idx = cols.index("cnt")
+    out = [F.col(c) for c in cols]
+    out.insert(idx, mean_half_up("_sum_cents", "cnt", 6).alias("avg_value"))
+    return g.select(*out)
+
+
 def _dec(c) -> F.Column:
     return F.col(c).cast("decimal(18,2)") if isinstance(c, str) else c.cast("decimal(18,2)")
 
@@ -60,11 +71,11 @@ def _dec(c) -> F.Column:
 def tumbling_avg(spark, sf):
     """W-02: mean per sensor and 1-hour tumbling window (flagship)."""
     r = I.readings(spark, sf)
-    return W.tumbling(r, ["sensor"], "ts", "1 hour", [
-        F.round(F.avg("value"), 6).alias("avg_value"),
+    return _with_mean(W.tumbling(r, ["sensor"], "ts", "1 hour", [
+        F.sum(cents("value")).alias("_sum_cents"),
         F.count(F.lit(1)).alias("cnt"),
         F.max("ts").alias("max_ts"),
-    ])
+    ]))
 
 
 @q("tumbling_pairwise_avg")
@@ -82,23 +93,23 @@ def tumbling_pairwise_avg(spark, sf):
 def tumbling_sum_count_avg(spark, sf):
     """W-03: per sensor and 30-minute window: max ts, sum, count, mean."""
     r = I.readings(spark, sf)
-    return W.tumbling(r, ["sensor"], "ts", "30 minutes", [
+    return _with_mean(W.tumbling(r, ["sensor"], "ts", "30 minutes", [
         F.max("ts").alias("max_ts"),
         F.sum(_dec("value")).cast("decimal(38,2)").alias("sum_value"),
         F.count(F.lit(1)).alias("cnt"),
-        F.round(F.avg("value"), 6).alias("avg_value"),
-    ])
+        F.sum(cents("value")).alias("_sum_cents"),
+    ]))
 
 
 @q("tumbling_area_avg")
 def tumbling_area_avg(spark, sf):
     """W-04 default: mean per area and hour."""
     r = I.readings(spark, sf)
-    return W.tumbling(r, ["area"], "ts", "1 hour", [
-        F.round(F.avg("value"), 6).alias("avg_value"),
+    return _with_mean(W.tumbling(r, ["area"], "ts", "1 hour", [
+        F.sum(cents("value")).alias("_sum_cents"),
         F.count(F.lit(1)).alias("cnt"),
         F.max("ts").alias("max_ts"),
-    ])
+    ]))
 
 
 @q("tumbling_first_over_count")
@@ -327,7 +338,7 @@ def format_report(spark, sf):
         F.max("ts").alias("max_ts"),
         F.first("unit").alias("unit"),
     ])
-    cents = F.floor((F.col("sum_cents") * 2 + F.col("cnt")) / (F.col("cnt") * 2)).cast("bigint")
+    cents = F.expr("(sum_cents * 2 + cnt) div (cnt * 2)")
     g = g.withColumn("avg_value", cents / F.lit(100.0))
     return g.select("sensor", "window_start",
                     fmt.sensor_report_line("sensor", "avg_value", "unit", "cnt", "max_ts").alias("line"))
@@ -730,11 +741,11 @@ def stream_tumbling(spark, sf):
     r = events_as_readings(stream_table(spark, sf, "events"))
     r = r.withColumn("ets", RN.ntz_to_instant("ts")).withWatermark("ets", "0 seconds")
     agg = r.groupBy("sensor", F.window("ets", "1 hour").alias("window")).agg(
-        F.avg("value").alias("avg_value"), F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
+        F.sum(cents("value")).alias("_sum_cents"), F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
     res = RN.run_updates(agg, ["sensor", "window"], f"{base}/out", f"{base}/checkpoint")
     return res.select("sensor", RN.instant_to_ntz("window.start").alias("window_start"),
                       RN.instant_to_ntz("window.end").alias("window_end"),
-                      F.round("avg_value", 6).alias("avg_value"), "cnt", "max_ts")
+                      mean_half_up("_sum_cents", "cnt", 6).alias("avg_value"), "cnt", "max_ts")
 
 
 @q("file_sink_roundtrip")
@@ -825,7 +836,7 @@ def area_window_report_stream(spark, sf):
         F.count(F.lit(1)).alias("cnt"), F.max("ts_ms").alias("max_ts_ms"),
         F.sum(F.round(F.col("value_num") * 100).cast("bigint")).alias("sum_cents"))
     done = RN.run_updates(agg, ["area", "window"], f"{base}/out", f"{base}/checkpoint")
-    cents = F.floor((F.col("sum_cents") * 2 + F.col("cnt")) / (F.col("cnt") * 2)).cast("bigint")
+    cents = F.expr("(sum_cents * 2 + cnt) div (cnt * 2)")
     done = done.withColumn("avg_value", cents / F.lit(100.0))
     return done.select("area", RN.instant_to_ntz("window.start").alias("window_start"),
                        F.format_string("%s | %s | Avg. Value: %.2f | Count: %d | Ts: %d", "area", "first_sensor",

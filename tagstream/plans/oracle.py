@@ -70,7 +70,7 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["tumbling_avg"] = f"""
 SELECT sensor, {_tb('1 hour')} AS window_start, {_tb('1 hour')} + INTERVAL '1 hour' AS window_end,
-       round(avg(value), 6) AS avg_value, count(*) AS cnt, max(ts) AS max_ts
+       CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value, count(*) AS cnt, max(ts) AS max_ts
 FROM {READINGS} GROUP BY ALL"""
 
 ORACLE["tumbling_pairwise_avg"] = f"""
@@ -86,12 +86,12 @@ FROM k GROUP BY sensor, ws"""
 ORACLE["tumbling_sum_count_avg"] = f"""
 SELECT sensor, {_tb('30 minutes')} AS window_start, {_tb('30 minutes')} + INTERVAL '30 minutes' AS window_end,
        max(ts) AS max_ts, sum(CAST(value AS DECIMAL(18,2))) AS sum_value, count(*) AS cnt,
-       round(avg(value), 6) AS avg_value
+       CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value
 FROM {READINGS} GROUP BY ALL"""
 
 ORACLE["tumbling_area_avg"] = f"""
 SELECT area, {_tb('1 hour')} AS window_start, {_tb('1 hour')} + INTERVAL '1 hour' AS window_end,
-       round(avg(value), 6) AS avg_value, count(*) AS cnt, max(ts) AS max_ts
+       CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value, count(*) AS cnt, max(ts) AS max_ts
 FROM {READINGS} GROUP BY ALL"""
 
 ORACLE["tumbling_first_over_count"] = f"""
@@ -214,7 +214,7 @@ FROM {JSON_MESSAGES} WHERE shape IS NOT NULL"""
 ORACLE["format_report"] = f"""
 SELECT sensor, window_start,
        printf('Sensor: %s | Avg: %.2f %s | Count: %d | Window: %s', sensor,
-              CAST(floor((sum_cents * 2 + cnt) / (cnt * 2)) AS BIGINT) / 100.0, unit, cnt,
+              ((sum_cents * 2 + cnt) // (cnt * 2)) / 100.0, unit, cnt,
               strftime(max_ts, '%H:%M:%S')) AS line
 FROM (SELECT sensor, {_tb('1 hour')} AS window_start, sum(CAST(round(value * 100) AS BIGINT)) AS sum_cents,
              count(*) AS cnt, max(ts) AS max_ts, any_value(unit) AS unit
@@ -514,7 +514,7 @@ g AS (SELECT area, {_tb('1 hour', 'epoch_ms(ts_ms)')} AS window_start, arg_min(s
       FROM r GROUP BY ALL)
 SELECT area, window_start,
        printf('%s | %s | Avg. Value: %.2f | Count: %d | Ts: %d', area, first_sensor,
-              CAST(floor((sum_cents * 2 + cnt) / (cnt * 2)) AS BIGINT) / 100.0, cnt, max_ts_ms) AS line
+              ((sum_cents * 2 + cnt) // (cnt * 2)) / 100.0, cnt, max_ts_ms) AS line
 FROM g"""
 
 ORACLE["upsert_partitioned"] = ORACLE["upsert_readings"]
