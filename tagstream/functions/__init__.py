@@ -4,10 +4,12 @@ from tagstream.functions.scalars import (  # noqa: F401
     EPOCH_NTZ,
     bit_to_bool,
     bool_to_number,
+    cents,
     clock_mod,
     epoch_ms_to_ts,
     fmt_decimals,
     hhmmss,
+    mean_half_up,
     now_ms,
     safe_double,
     safe_long,
