@@ -4,7 +4,10 @@
 the merge semantics of keyed tables, built from a keyed ``max_by``/``min_by``
 (partial aggregation -- a hot key is reduced map-side), a ``left_anti`` join
 and a union.  The result is a new table state; writing it is the sink's job
-(``sinks.files.write_table`` swaps it in atomically).
+(``sinks.files.write_snapshot`` commits it as a whole; ``upsert_into``
+rewrites only the touched partitions of a partitioned table).  Keys are
+primary keys: non-NULL (``pk_violations`` finds rows that break this; such
+rows are kept, never dropped).
 """
 
 from __future__ import annotations
