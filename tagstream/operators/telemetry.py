@@ -61,10 +61,14 @@ def decode_wide(polls: DataFrame, layout: Sequence[tuple], keep: Sequence[str],
 
 
 def decode_bits(polls: DataFrame, names: Sequence[str], keep: Sequence[str],
-                bits_col: str = "bits") -> DataFrame:
-    """Named booleans from a bit array by position; missing bits are False."""
+                bits_col: str = "bits", with_count: bool = False) -> DataFrame:
+    """Named booleans from a bit array by position; missing bits are False.
+    ``with_count`` adds ``bits_read`` (bits actually present), so a False
+    that is only a default can be told from a read False."""
     cols = [F.coalesce(F.try_element_at(F.col(bits_col), F.lit(i + 1)), F.lit(False)).alias(n)
             for i, n in enumerate(names)]
+    if with_count:
+        cols.append(F.coalesce(F.size(bits_col), F.lit(0)).alias("bits_read"))
     return polls.select(*keep, *cols)
 
 

@@ -586,8 +586,9 @@ def decode_registers_default(spark, sf):
 
 @q("decode_bits")
 def decode_bits(spark, sf):
-    """R-04: named status booleans, missing bits False."""
-    return TM.decode_bits(_polls(spark, sf), S.WATER_PLANT_BITS, POLL_KEYS)
+    """R-04: named status booleans, missing bits False, with the number of
+    bits actually read."""
+    return TM.decode_bits(_polls(spark, sf), S.WATER_PLANT_BITS, POLL_KEYS, with_count=True)
 
 
 @q("alarm_list")

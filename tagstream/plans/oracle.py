@@ -400,7 +400,9 @@ SELECT l_orderkey, l_linenumber, tag, coalesce(registers[pos + 1], 0) / divisor
        registers[pos + 1] IS NULL AS is_default
 FROM {POLLS} p JOIN {REGMAP} m USING (device_class)"""
 
-ORACLE["decode_bits"] = f"SELECT * FROM {BITS_DECODED}"
+ORACLE["decode_bits"] = f"""
+SELECT l_orderkey, l_linenumber, {_bits(_S.WATER_PLANT_BITS)}, CAST(coalesce(len(bits), 0) AS INTEGER) AS bits_read
+FROM {POLLS}"""
 
 _ALARM_PARTS = ", ".join(f"CASE WHEN {b} = {str(pol).lower()} THEN '{txt}' END" for b, pol, txt in _S.ALARM_TEXTS)
 
