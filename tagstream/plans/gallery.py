@@ -872,3 +872,19 @@ def distinct_lines_exact_stream(spark, sf):
     base = scratch_path(spark, "distinct_exact")
     lines = split_lines(stream_table(spark, sf, "documents"), "text", "doc_id").withColumnRenamed("line", "value")
     return DD.distinct_lines_batches(lines, f"{base}/data", f"{base}/checkpoint")
+
+
+@q("log_levels_stream")
+def log_levels_stream(spark, sf):
+    """P-04 + W-06/W-07 as a stream: log lines followed from files, parsed
+    (rejects routed out), event-time windows per level under a watermark;
+    the bounded input is drained and every window flushed."""
+    base = scratch_path(spark, "log_levels")
+    logs = P.accepted(P.parse_log_lines(I.log_lines_from(stream_table(spark, sf, "events"))))
+    logs = logs.withColumn("ts", epoch_ms_to_ts("ts_ms")).withColumn("ets", RN.ntz_to_instant("ts"))
+    agg = logs.withWatermark("ets", "0 seconds").groupBy("level", F.window("ets", "1 hour").alias("window")).agg(
+        F.max("ts_ms").alias("max_ts_ms"), F.min_by("message", F.struct("ts", "seq")).alias("first_message"),
+        F.count(F.lit(1)).alias("cnt"))
+    res = RN.run_updates(agg, ["level", "window"], f"{base}/out", f"{base}/checkpoint")
+    return res.select("level", RN.instant_to_ntz("window.start").alias("window_start"),
+                      RN.instant_to_ntz("window.end").alias("window_end"), "max_ts_ms", "first_message", "cnt")

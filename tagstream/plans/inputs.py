@@ -40,7 +40,11 @@ def sensor_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def log_lines(spark: SparkSession, sf: str) -> DataFrame:
     """``LEVEL | ts_ms | Message no. <id>`` per event."""
-    e = events(spark, sf)
+    return log_lines_from(events(spark, sf))
+
+
+def log_lines_from(e: DataFrame) -> DataFrame:
+    """``log_lines`` over any events DataFrame (batch or stream)."""
     ms = ts_to_epoch_ms("ts").cast("string")
     level = (F.when(F.col("event_type") == "error", "ERROR")
              .when(F.col("event_type") == "signup", "WARN").otherwise("INFO"))

@@ -522,3 +522,5 @@ FROM g"""
 ORACLE["upsert_partitioned"] = ORACLE["upsert_readings"]
 
 ORACLE["distinct_lines_exact_stream"] = ORACLE["distinct_lines"]
+
+ORACLE["log_levels_stream"] = ORACLE["tumbling_log_levels"]
