@@ -888,3 +888,19 @@ def log_levels_stream(spark, sf):
     res = RN.run_updates(agg, ["level", "window"], f"{base}/out", f"{base}/checkpoint")
     return res.select("level", RN.instant_to_ntz("window.start").alias("window_start"),
                       RN.instant_to_ntz("window.end").alias("window_end"), "max_ts_ms", "first_message", "cnt")
+
+
+@q("sensor_lines_stream")
+def sensor_lines_stream(spark, sf):
+    """S-09/P-03 + W-02 as a stream (the device-poll job): line-protocol
+    events parsed with rejects routed out, event time from the line,
+    hourly mean per sensor (exact half-up), count and latest ts."""
+    base = scratch_path(spark, "sensor_lines")
+    ok = P.accepted(P.parse_sensor_lines(I.sensor_lines_from(stream_table(spark, sf, "events"))))
+    r = ok.withColumn("ts", epoch_ms_to_ts("ts_ms")).withColumn("ets", RN.ntz_to_instant("ts"))
+    agg = r.withWatermark("ets", "0 seconds").groupBy("sensor", F.window("ets", "1 hour").alias("window")).agg(
+        F.sum(cents("value_num")).alias("_sum_cents"), F.count(F.lit(1)).alias("cnt"),
+        F.max("ts_ms").alias("max_ts_ms"))
+    res = RN.run_updates(agg, ["sensor", "window"], f"{base}/out", f"{base}/checkpoint")
+    return res.select("sensor", RN.instant_to_ntz("window.start").alias("window_start"),
+                      mean_half_up("_sum_cents", "cnt", 6).alias("avg_value"), "cnt", "max_ts_ms")

@@ -26,7 +26,11 @@ def readings(spark: SparkSession, sf: str) -> DataFrame:
 
 def sensor_lines(spark: SparkSession, sf: str) -> DataFrame:
     """``ts_ms|sensor|value|unit`` per event (value with 3 decimals)."""
-    e = events(spark, sf)
+    return sensor_lines_from(events(spark, sf))
+
+
+def sensor_lines_from(e: DataFrame) -> DataFrame:
+    """``sensor_lines`` over any events DataFrame (batch or stream)."""
     ms = ts_to_epoch_ms("ts").cast("string")
     val = F.format_string("%.3f", F.col("value"))
     unit = F.concat(F.lit("u_"), F.col("event_type"))

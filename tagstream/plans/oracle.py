@@ -524,3 +524,12 @@ ORACLE["upsert_partitioned"] = ORACLE["upsert_readings"]
 ORACLE["distinct_lines_exact_stream"] = ORACLE["distinct_lines"]
 
 ORACLE["log_levels_stream"] = ORACLE["tumbling_log_levels"]
+
+ORACLE["sensor_lines_stream"] = f"""
+WITH ok AS (SELECT seq, CAST(p[1] AS BIGINT) AS ts_ms, p[2] AS sensor, CAST(p[3] AS DOUBLE) AS value
+            FROM (SELECT seq, string_split(value, '|') AS p FROM {SENSOR_LINES})
+            WHERE len(p) = 4 AND TRY_CAST(p[1] AS BIGINT) IS NOT NULL AND TRY_CAST(p[3] AS DOUBLE) IS NOT NULL)
+SELECT sensor, {_tb('1 hour', 'epoch_ms(ts_ms)')} AS window_start,
+       CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value,
+       count(*) AS cnt, max(ts_ms) AS max_ts_ms
+FROM ok GROUP BY ALL"""
