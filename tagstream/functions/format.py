@@ -16,13 +16,13 @@ def sensor_report_line(sensor="sensor", avg="avg_value", unit="unit",
         F.col(sensor), F.col(avg), F.col(unit), F.col(count), hhmmss(F.col(ts)))
 
 
-def area_report_line(area="area", sensor="sensor", avg="avg_value",
+def area_report_line(area="area", sensor="first_sensor", avg="avg_value",
                      count="cnt", ts_ms="max_ts_ms") -> Column:
-    """``area | sensor | Avg. Value: x | Count: n | Ts: ms`` (2-dec rounding)."""
+    """``area | sensor | Avg. Value: 12.34 | Count: n | Ts: ms``; pass an
+    average already rounded to cents so the text is exact."""
     return F.format_string(
-        "%s | %s | Avg. Value: %s | Count: %d | Ts: %d",
-        F.col(area), F.col(sensor), F.round(F.col(avg), 2).cast("string"),
-        F.col(count), F.col(ts_ms))
+        "%s | %s | Avg. Value: %.2f | Count: %d | Ts: %d",
+        F.col(area), F.col(sensor), F.col(avg), F.col(count), F.col(ts_ms))
 
 
 def log_report_line(level="level", message="first_message", count="cnt",

@@ -840,8 +840,7 @@ def area_window_report_stream(spark, sf):
     cents = F.expr("(sum_cents * 2 + cnt) div (cnt * 2)")
     done = done.withColumn("avg_value", cents / F.lit(100.0))
     return done.select("area", RN.instant_to_ntz("window.start").alias("window_start"),
-                       F.format_string("%s | %s | Avg. Value: %.2f | Count: %d | Ts: %d", "area", "first_sensor",
-                                       "avg_value", "cnt", "max_ts_ms").alias("line"))
+                       fmt.area_report_line().alias("line"))
 
 
 @q("upsert_partitioned")
