@@ -903,3 +903,12 @@ def sensor_lines_stream(spark, sf):
     res = RN.run_updates(agg, ["sensor", "window"], f"{base}/out", f"{base}/checkpoint")
     return res.select("sensor", RN.instant_to_ntz("window.start").alias("window_start"),
                       mean_half_up("_sum_cents", "cnt", 6).alias("avg_value"), "cnt", "max_ts_ms")
+
+
+@q("row_count_stream")
+def row_count_stream(spark, sf):
+    """S-11 as a stream: the running row count of a table fed as a stream
+    (a key-less aggregate in update mode); the last update is the count."""
+    base = scratch_path(spark, "row_count")
+    counts = agg.row_count(stream_table(spark, sf, "events"))
+    return RN.run_updates(counts, [], f"{base}/out", f"{base}/checkpoint")

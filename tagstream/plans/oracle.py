@@ -533,3 +533,5 @@ SELECT sensor, {_tb('1 hour', 'epoch_ms(ts_ms)')} AS window_start,
        CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value,
        count(*) AS cnt, max(ts_ms) AS max_ts_ms
 FROM ok GROUP BY ALL"""
+
+ORACLE["row_count_stream"] = ORACLE["row_count"]
