@@ -535,3 +535,5 @@ SELECT sensor, {_tb('1 hour', 'epoch_ms(ts_ms)')} AS window_start,
 FROM ok GROUP BY ALL"""
 
 ORACLE["row_count_stream"] = ORACLE["row_count"]
+
+ORACLE["tumbling_pairwise_stream"] = ORACLE["tumbling_pairwise_avg"]

@@ -81,3 +81,67 @@ def running_sum_batches(stream: DataFrame, key: str, seq: str, value: str, base:
     if not any(int(p.get("numInputRows", 0) or 0) > 0 for p in q.recentProgress):
         return spark.createDataFrame([], f"{key} string, {seq} long, {value} double, {out} double")
     return spark.read.parquet(f"{base}/out").drop("batch_id")
+
+
+def pairwise_avg_batches(stream: DataFrame, keys: list[str], ts: str, seq: str, value: str,
+                         unit: str, size: str, sub_bucket: str, base: str, checkpoint: str,
+                         trigger: dict | None = None) -> DataFrame:
+    """The ordered ``acc = (acc + v) / 2`` window fold on a stream.
+
+    The fold continues across micro-batches: a batch of ``m`` rows (ranked
+    by ``(ts, seq)`` with ``bucketed_prefix``, so no hot window is sorted in
+    one task) turns a carried ``acc`` into
+    ``acc * 2^-m + sum(v_i * 2^(rank_i - m - 1))``; a window's first batch
+    uses the closed form with the first row's extra weight.  State per
+    (key, window) -- ``acc, cnt, max_ts, first_unit`` -- is written per batch
+    id and read from the previous one, so replays are idempotent.  Rows of
+    one batch are folded in ``(ts, seq)`` order, batches in arrival order.
+    Returns ``keys, window_start, pairwise_avg, cnt, max_ts, first_unit``.
+    """
+    from pyspark.sql import functions as F
+
+    from tagstream.operators.running import bucketed_prefix
+    from tagstream.streaming.runner import start
+
+    spark = stream.sparkSession
+    part = [*keys, "window_start"]
+    state_cols = ["acc", "cnt", "max_ts", "first_unit"]
+
+    def _process(batch: DataFrame, bid: int) -> None:
+        b = batch.withColumn("window_start", F.window(ts, size).start)
+        ranked = bucketed_prefix(b, part, [ts, seq], F.window(ts, sub_bucket).start,
+                                 rank_col="_rn", total_col="_m")
+        order = F.struct(ts, seq)
+        g = ranked.groupBy(*part).agg(
+            F.sum(F.col(value) * F.pow(F.lit(2.0), F.col("_rn") - F.col("_m") - 1)).alias("_s"),
+            F.max("_m").alias("_m"), F.min_by(value, order).alias("_v1"),
+            F.min_by(unit, order).alias("_u1"), F.max(ts).alias("_mx"))
+        if bid == 0:
+            prev = g.select(*part, *[F.lit(None).alias(c) for c in state_cols]).limit(0)
+            prev = prev.select(*part, F.col("acc").cast("double"), F.col("cnt").cast("long"),
+                               F.col("max_ts").cast(g.schema["_mx"].dataType), F.col("first_unit").cast("string"))
+        else:
+            prev = spark.read.parquet(f"{base}/state/batch_id={bid - 1}")
+        p = prev.select(*[F.col(c).alias(f"_p_{c}") for c in part], *[F.col(c).alias(f"_p_{c}") for c in state_cols])
+        cond = [g[c].eqNullSafe(p[f"_p_{c}"]) for c in part]
+        j = g.join(p, cond, "full")
+        halve = F.pow(F.lit(2.0), -F.col("_m"))
+        acc = (F.when(F.col("_m").isNull(), F.col("_p_acc"))
+               .when(F.col("_p_cnt").isNull(), F.col("_s") + F.col("_v1") * halve)
+               .otherwise(F.col("_p_acc") * halve + F.col("_s")))
+        new = j.select(*[F.coalesce(F.col(c), F.col(f"_p_{c}")).alias(c) for c in part],
+                       acc.alias("acc"),
+                       (F.coalesce("_p_cnt", F.lit(0)) + F.coalesce("_m", F.lit(0))).cast("long").alias("cnt"),
+                       F.greatest("_p_max_ts", "_mx").alias("max_ts"),
+                       F.coalesce("_p_first_unit", "_u1").alias("first_unit"))
+        new.write.mode("overwrite").parquet(f"{base}/state/batch_id={bid}")
+
+    q = start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
+              .trigger(**(trigger or {"availableNow": True})).start(), spark)
+    last = max((int(p.get("batchId", -1)) for p in q.recentProgress
+                if int(p.get("numInputRows", 0) or 0) > 0), default=-1)
+    if last < 0:
+        return spark.createDataFrame([], f"{', '.join(f'{k} string' for k in keys)}, window_start timestamp, "
+                                         "pairwise_avg double, cnt long, max_ts timestamp, first_unit string")
+    out = spark.read.parquet(f"{base}/state/batch_id={last}")
+    return out.select(*part, F.col("acc").alias("pairwise_avg"), "cnt", "max_ts", "first_unit")

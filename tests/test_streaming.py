@@ -211,3 +211,18 @@ def test_distinct_lines_exact_across_batches(spark, tmp_dir):
     s = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
     out = D.distinct_lines_batches(s, f"{tmp_dir}/data", f"{tmp_dir}/ck")
     assert sorted(r.line for r in out.collect()) == ["a", "b", "c", "d"]
+
+
+def test_pairwise_fold_continues_across_batches(spark, tmp_dir):
+    import functools
+    src = f"{tmp_dir}/in"
+    rows = [(1000, 10.0), (1500, 20.0), (2000, 40.0), (2500, 5.0), (3000, 7.0)]
+    _write_json_batches(src, [[{"s": "a", "t": t, "seq": i, "v": v, "u": f"u{i}"} for i, (t, v) in enumerate(rows[:2])],
+                              [{"s": "a", "t": t, "seq": i + 2, "v": v, "u": "x"} for i, (t, v) in enumerate(rows[2:])]])
+    s = spark.readStream.schema("s string, t long, seq long, v double, u string").option("maxFilesPerTrigger", 1).json(src)
+    s = W.event_time(s, "t", "ms")
+    out = ST.pairwise_avg_batches(s, ["s"], "ts", "seq", "v", "u", "10 seconds", "1 second",
+                                  f"{tmp_dir}/data", f"{tmp_dir}/ck").collect()
+    assert len(out) == 1
+    expect = functools.reduce(lambda a, b: (a + b) / 2, [v for _t, v in rows])
+    assert abs(out[0].pairwise_avg - expect) < 1e-12 and out[0].cnt == 5 and out[0].first_unit == "u0"
