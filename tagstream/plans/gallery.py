@@ -917,11 +917,12 @@ def row_count_stream(spark, sf):
 @q("tumbling_pairwise_stream")
 def tumbling_pairwise_stream(spark, sf):
     """W-01 as a stream (the device-poll job's fold): ``(acc + v) / 2`` per
-    sensor and hour, continued across micro-batches from carried state."""
+    sensor and hour, continued across micro-batches from carried state;
+    windows behind the watermark are finalised and leave the state."""
     base = scratch_path(spark, "pairwise_stream")
     r = events_as_readings(stream_table(spark, sf, "events"))
     out = ST.pairwise_avg_batches(r, ["sensor"], "ts", "seq", "value", "unit", "1 hour", "10 seconds",
-                                  f"{base}/data", f"{base}/checkpoint")
+                                  f"{base}/data", f"{base}/checkpoint", lateness="0 seconds")
     return out.select("sensor", "window_start",
                       (F.col("window_start") + F.expr("INTERVAL 1 hour")).alias("window_end"),
                       F.floor(F.col("pairwise_avg") * 1000 + F.lit(0.3137)).cast("bigint").alias("pairwise_avg_milli"),

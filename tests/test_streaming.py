@@ -226,3 +226,23 @@ def test_pairwise_fold_continues_across_batches(spark, tmp_dir):
     assert len(out) == 1
     expect = functools.reduce(lambda a, b: (a + b) / 2, [v for _t, v in rows])
     assert abs(out[0].pairwise_avg - expect) < 1e-12 and out[0].cnt == 5 and out[0].first_unit == "u0"
+
+
+def test_pairwise_fold_evicts_closed_windows(spark, tmp_dir):
+    import functools
+    src = f"{tmp_dir}/in"
+    b1 = [{"s": "a", "t": 1000, "seq": 0, "v": 10.0, "u": "u"}, {"s": "a", "t": 2000, "seq": 1, "v": 20.0, "u": "u"}]
+    b2 = [{"s": "a", "t": 12000, "seq": 2, "v": 40.0, "u": "u"}, {"s": "a", "t": 13000, "seq": 3, "v": 8.0, "u": "u"}]
+    b3 = [{"s": "a", "t": 3000, "seq": 4, "v": 99.0, "u": "u"}, {"s": "a", "t": 14000, "seq": 5, "v": 2.0, "u": "u"}]
+    _write_json_batches(src, [b1, b2, b3])
+    s = spark.readStream.schema("s string, t long, seq long, v double, u string").option("maxFilesPerTrigger", 1).json(src)
+    s = W.event_time(s, "t", "ms")
+    out = ST.pairwise_avg_batches(s, ["s"], "ts", "seq", "v", "u", "10 seconds", "1 second",
+                                  f"{tmp_dir}/data", f"{tmp_dir}/ck", lateness="0 seconds").collect()
+    got = {r.window_start.second: (r.pairwise_avg, r.cnt) for r in out}
+    fold = lambda xs: functools.reduce(lambda a, b: (a + b) / 2, xs)
+    # window 0-10 s closed after batch 2 (watermark 13 s): the late 99.0 row is dropped
+    assert got[0] == (fold([10.0, 20.0]), 2)
+    assert abs(got[10][0] - fold([40.0, 8.0, 2.0])) < 1e-12 and got[10][1] == 3
+    assert not os.path.exists(f"{tmp_dir}/data/state/batch_id=2") or \
+        spark.read.parquet(f"{tmp_dir}/data/state/batch_id=2").count() == 1
