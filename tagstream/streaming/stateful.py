@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -115,17 +116,26 @@ def pairwise_avg_batches(stream: DataFrame, keys: list[str], ts: str, seq: str,
 
     span = F.expr(f"INTERVAL {size}")
 
+    def _micros(c):
+        # Epoch microseconds of a timestamp or timestamp_ntz value, without
+        # any time-zone conversion (the watermark is carried as a number).
+        if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):
+            return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c)
+        return F.unix_micros(c)
+
+    window_end_us = _micros(F.col("window_start") + span)
+
     def _prev_wm(bid: int):
         if lateness is None or bid == 0:
             return None
         rows = spark.read.parquet(f"{base}/wm/batch_id={bid - 1}").collect()  # one row
-        return rows[0]["wm"] if rows else None
+        return rows[0]["wm_us"] if rows else None
 
     def _process(batch: DataFrame, bid: int) -> None:
         b = batch.withColumn("window_start", F.window(ts, size).start)
         prev_wm = _prev_wm(bid)
         if prev_wm is not None:  # rows of windows already final are late
-            b = b.where(F.col("window_start") + span > F.lit(prev_wm))
+            b = b.where(window_end_us > F.lit(prev_wm))
         ranked = bucketed_prefix(b, part, [ts, seq], F.window(ts, sub_bucket).start,
                                  rank_col="_rn", total_col="_m")
         order = F.struct(ts, seq)
@@ -152,18 +162,13 @@ def pairwise_avg_batches(stream: DataFrame, keys: list[str], ts: str, seq: str,
                        F.greatest("_p_max_ts", "_mx").alias("max_ts"),
                        F.coalesce("_p_first_unit", "_u1").alias("first_unit"))
         if lateness is not None:
-            ts_type = batch.schema[ts].dataType.simpleString()
-            seen = batch.agg(F.max(ts).alias("m")).collect()[0]["m"]  # one value
-            wm = None
-            if seen is not None:
-                wm = (spark.createDataFrame([(seen,)], f"m {ts_type}")
-                      .select((F.col("m") - F.expr(f"INTERVAL {lateness}")).alias("wm")).collect()[0]["wm"])
+            wm = batch.agg(_micros(F.max(ts) - F.expr(f"INTERVAL {lateness}")).alias("w")).collect()[0]["w"]
             if prev_wm is not None and (wm is None or wm < prev_wm):
                 wm = prev_wm
-            spark.createDataFrame([(wm,)], f"wm {ts_type}").write.mode("overwrite") \
+            spark.createDataFrame([(wm,)], "wm_us long").write.mode("overwrite") \
                 .parquet(f"{base}/wm/batch_id={bid}")
             if wm is not None:
-                closed = F.col("window_start") + span <= F.lit(wm)
+                closed = window_end_us <= F.lit(wm)
                 new.where(closed).write.mode("overwrite").parquet(f"{base}/final/batch_id={bid}")
                 new = new.where(~closed)
         new.write.mode("overwrite").parquet(f"{base}/state/batch_id={bid}")
