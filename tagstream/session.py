@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -67,20 +67,19 @@ def recommended_conf(input_bytes: int, total_cores: int,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for checkpoints and intermediate tables.
+    """The cluster-wide folder for checkpoints and intermediate tables: the
+    session's ``spark.checkpoint.dir`` (or the context's checkpoint folder).
 
-    Read from the session (``spark.checkpoint.dir`` / the context's
-    checkpoint dir).  Only when nothing is configured -- local tests -- a
-    fresh folder is made and registered, so later calls agree.
-    """
-    sc = spark.sparkContext
-    base = sc.getCheckpointDir()
-    if not base:
-        base = spark.conf.get("spark.checkpoint.dir", None)
+    Where none is set, a ``local[N]`` session -- one machine, one process --
+    gets a folder in its warehouse; on a cluster that is an error, since a
+    folder of one machine is not shared."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tagstream-shared-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+        if not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{spark.sparkContext.applicationId}"
+        spark.sparkContext.setCheckpointDir(base)
+        base = spark.sparkContext.getCheckpointDir() or base
     return base.rstrip("/")
 
 
