@@ -136,7 +136,7 @@ def benchmark_slices(benchmark: DataFrame, slice_chars: int = SLICE_CHARS) -> li
 
 
 def _automata(shared: list) -> list[ahocorasick.Automaton]:
-    return [build_automaton(b.value) for b in shared]
+    return [a for a in (build_automaton(b.value) for b in shared) if len(a)]
 
 
 def contaminated(n_words: int, n_hit: int) -> bool:
