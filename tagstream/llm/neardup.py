@@ -7,11 +7,12 @@
 2. Documents with equal sets form one class; only its smallest id, the
    representative, goes on.  Copies never make pairs.
 3. Representatives that share a band bucket are candidates.  First each is
-   compared with the bucket's smallest member; what is linked to it needs no
-   further pairs among itself.  Then, in the buckets that still hold several
-   components, members outside the smallest member's component are compared
-   with the members of other components.  Every pair must pass the sketch
-   before full sets are compared, and only links found on full sets count.
+   compared with one partner, the smallest id in any of its buckets; what is
+   linked already needs no further pairs.  Next, in buckets that still hold
+   several components, members are compared with the bucket's smallest member;
+   last, members outside its component with the members of other components, a
+   pair only in the first bucket that both share.  Every pair must pass the
+   sketch before full sets are compared, and only links on full sets count.
 4. Connected components of classes and links give the groups.
 
 No step makes all pairs of a group: copies are classes, near copies are linked
@@ -47,7 +48,7 @@ BANDS, ROWS = 36, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Least similarity estimate that is compared on full sets.
-SKETCH_FLOOR = 0.55
+SKETCH_FLOOR = 0.64
 #: Words whose hashes a task keeps at a time.
 CACHE_WORDS = 1_000_000
 
@@ -236,42 +237,59 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "do
                        "dup-reps")
     copies = materialize(copies, "dup-copies")
 
-    keyed = reps.select(F.explode("bands").alias("key"), "id")
+    keyed = reps.select(F.posexplode("bands").alias("band", "key"), "id")
     buckets = materialize(keyed.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("last"))
                           .where(F.col("last") != F.col("center")).select("key", "center"), "dup-buckets")
     in_buckets = materialize(keyed.join(buckets, "key"), "dup-members")
 
-    facts = reps.select("id", "n_shingles", "sketch")
+    facts = reps.select("id", "n_shingles", "sketch", "bands")
     fa = facts.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
     fb = facts.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
     near = close_sizes("na", "nb", percent) & (differing_bits("sa", "sb") <= max_difference(SKETCH_FLOOR))
 
-    stars = in_buckets.where(F.col("id") != F.col("center")).select(
-        F.col("id").alias("a"), F.col("center").alias("b")).distinct()
-    stars = stars.join(fa, "a").join(fb, "b").where(near).select("a", "b")
-    links = _links(stars, reps, docs, words, percent, id_col, "dup-star")
-    found = materialize(components(links), "dup-components")
-
-    # buckets that the first links left in several parts
-    label = found.select(F.col("vertex").alias("id"), "component")
-    part = in_buckets.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_keys = part.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-        "lo <> hi").select("key")
-    members = part.join(open_keys, "key", "left_semi").join(facts, "id")
-    members = materialize(members, "dup-open")
-    center_part = members.where(F.col("id") == F.col("center")).select(
-        "key", F.col("component").alias("center_component"))
-    members = members.join(center_part, "key").withColumn(
-        "outside", F.col("component") != F.col("center_component"))
-    x = members.select("key", "center", F.col("id").alias("a"), F.col("component").alias("ca"),
-                       F.col("n_shingles").alias("na"), F.col("sketch").alias("sa")).where("outside")
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        return _links(pairs.join(fa, "a").join(fb, "b").where(near).select("a", "b"), reps, docs, words, percent,
+                      id_col, name)
+
+    def as_edges(label: DataFrame) -> DataFrame:
+        return label.select(F.col("vertex").alias("a"), F.col("component").alias("b"))
+
+    # one partner for each: the smallest id in any of its buckets
+    partners = in_buckets.where(F.col("id") != F.col("center")).groupBy("id").agg(F.min("center").alias("partner"))
+    partners = materialize(partners.select(F.col("id").alias("a"), F.col("partner").alias("b")), "dup-partners")
+    found = materialize(components(linked(partners, "dup-first")), "dup-found-1")
+
+    # the smallest member of buckets that are still in several parts
+    def parts(label: DataFrame) -> DataFrame:
+        own = label.select(F.col("vertex").alias("id"), "component")
+        of_center = label.select(F.col("vertex").alias("center"), F.col("component").alias("center_component"))
+        part = in_buckets.join(own, "id", "left").join(of_center, "center", "left")
+        return part.withColumn("component", F.coalesce("component", "id")).withColumn(
+            "center_component", F.coalesce("center_component", "center"))
+
+    stars = parts(found).where("component <> center_component").select(
+        F.col("id").alias("a"), F.col("center").alias("b")).distinct().join(partners, ["a", "b"], "left_anti")
+    stars = linked(stars, "dup-star")
+    found = materialize(components(as_edges(found).unionByName(stars)), "dup-found-2")
+
+    # what lies outside the smallest member's component, with the others
+    part = parts(found).withColumn("outside", F.col("component") != F.col("center_component"))
+    open_keys = part.where("outside").select("key").distinct()
+    members = materialize(part.join(open_keys, "key", "left_semi").join(facts, "id"), "dup-open")
+    x = members.select("key", "band", "center", F.col("id").alias("a"), F.col("component").alias("ca"),
+                       F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"),
+                       F.col("bands").alias("ba")).where("outside")
     y = members.select(F.col("key").alias("_k"), F.col("id").alias("b"), F.col("component").alias("cb"),
-                       F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"), F.col("outside").alias("ob"))
+                       F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"), F.col("bands").alias("bb"),
+                       F.col("outside").alias("ob"))
+    # band keys differ between bands: equal keys among the bands before this
+    # one mean that the pair is met there
+    first = ~F.arrays_overlap(F.slice("ba", F.lit(1), F.col("band")), F.slice("bb", F.lit(1), F.col("band")))
     rest = x.join(y, (x["key"] == y["_k"]) & (F.col("ca") != F.col("cb")) & (F.col("b") != F.col("center"))
-                  & (~F.col("ob") | (F.col("a") < F.col("b"))) & near).select("a", "b").distinct()
+                  & (~F.col("ob") | (F.col("a") < F.col("b"))) & near & first).select("a", "b").distinct()
     more = _links(rest, reps, docs, words, percent, id_col, "dup-rest")
 
-    edges = found.select(F.col("vertex").alias("a"), F.col("component").alias("b")).unionByName(more)
+    edges = as_edges(found).unionByName(more)
     label = components(edges.unionByName(copies)).select(F.col("vertex").alias("doc_id"), "component")
     out = rows.select("doc_id", "n_shingles").join(label, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

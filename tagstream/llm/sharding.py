@@ -22,6 +22,9 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +39,7 @@ SAMPLE_KEYS = 16_384
 #: A range of more than so many times the mean is subdivided.
 OVERFULL = 4
 _HASH_RANGE = float(1 << 32)
+LEAST_KEY = -float(2 ** 64)
 
 
 def records(docs: DataFrame, key_col: str) -> DataFrame:
@@ -47,16 +51,20 @@ def records(docs: DataFrame, key_col: str) -> DataFrame:
 
 
 def quantiles(df: DataFrame, n: int) -> list[float]:
-    """At most ``n - 1`` boundaries that cut the keys of ``df`` evenly."""
+    """The ``n - 1`` keys that cut ``df`` evenly (one may come up often)."""
     row = df.agg(F.percentile_approx("key", [k / n for k in range(1, n)], 10 * n).alias("q")).first()
-    return sorted(set(row["q"] or []))
+    return list(row["q"] or [])
+
+
+def isolating(cuts: list[float]) -> list[float]:
+    """Boundaries at the quantiles; one that comes up more than once is a key
+    with many rows and gets a range of its own."""
+    return [*cuts, *(math.nextafter(c, math.inf) for c, n in Counter(cuts).items() if n > 1)]
 
 
 def with_range(df: DataFrame, bounds: list[float]) -> DataFrame:
     """``range``: how many boundaries lie at or under the key."""
-    splits = [-float("inf"), *bounds, float("inf")]
-    if len(splits) < 3:
-        return df.withColumn("range", F.lit(0))
+    splits = [-math.inf, *bounds, math.inf]
     return Bucketizer(splits=splits, inputCol="key", outputCol="_range").transform(df).withColumn(
         "range", F.col("_range").cast("int")).drop("_range")
 
@@ -67,23 +75,24 @@ def shards(docs: DataFrame, n_shards: int = SHARDS, key_col: str = "doc_id", n_r
     spark = docs.sparkSession
     # the cast to double keeps the order; equal doubles share a range and are
     # ordered by the exact key inside it
-    rows = records(docs, key_col).withColumn("key", F.coalesce(F.col("doc_id").cast("double"), F.lit(-float("inf"))))
+    rows = records(docs, key_col).withColumn("key", F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf)))
     totals = rows.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     empty = "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int"
     if not totals["rows"]:
         return spark.createDataFrame([], empty)
     total = totals["bytes"]
     drawn = F.abs(F.xxhash64("doc_id", "place", F.lit(17)) % (1 << 32)) / _HASH_RANGE
-    sample = rows.where((drawn * total < F.col("size") * float(sample_keys)) & (F.col("key") > -float("inf")))
-    bounds = quantiles(sample, n_ranges)
+    sample = rows.where((drawn * total < F.col("size") * float(sample_keys)) & (F.col("key") >= LEAST_KEY))
+    # rows without a key (minus infinity) have a range of their own
+    bounds = sorted({LEAST_KEY, *isolating(quantiles(sample, n_ranges))})
 
     counted = with_range(rows, bounds).groupBy("range").agg(
         F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
     limit = OVERFULL * max(1, totals["rows"] // n_ranges)
     full = [r["range"] for r in counted.where(F.col("n") > limit).collect()]  # at most OVERFULL-th of the ranges
     if full:
-        crowded = with_range(rows, bounds).where(F.col("range").isin(full) & (F.col("key") > -float("inf")))
-        bounds = sorted({*bounds, *quantiles(crowded, n_ranges)})
+        crowded = with_range(rows, bounds).where(F.col("range").isin(full) & (F.col("key") >= LEAST_KEY))
+        bounds = sorted({*bounds, *isolating(quantiles(crowded, n_ranges))})
     ranged = with_range(rows, bounds)
     counted = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
     # where one key fills a range, several tasks share it by a hash of the row

@@ -83,7 +83,7 @@ def test_exactly_the_limit_links():
     a, b = [f"x{k}" for k in range(9)], [f"x{k}" for k in range(8)]
     # 8 shingles against 7, 7 shared: 7/8
     assert len(shingles(" ".join(a), 2) & shingles(" ".join(b), 2)) * 100 >= 80 * 8
-    assert N.max_difference(0.55) > N.max_difference(0.8) > 0
+    assert N.max_difference(0.64) > N.max_difference(0.8) > 0
 
 
 def test_sketch_estimates_high_similarity():
