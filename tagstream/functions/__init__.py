@@ -4,12 +4,13 @@ from tagstream.functions.scalars import (  # noqa: F401
     EPOCH_NTZ,
     bit_to_bool,
     bool_to_number,
-    cents,
     clock_mod,
     epoch_ms_to_ts,
+    exact_mean,
     fmt_decimals,
     hhmmss,
-    mean_half_up,
+    mean_to_cents,
+    micros,
     now_ms,
     safe_double,
     safe_long,

@@ -87,19 +87,17 @@ def whitespace_tokens(x) -> Column:
     return F.filter(F.split(_c(x), r"\s+"), lambda t: t != "")
 
 
-def cents(x) -> Column:
-    """A 2-decimal amount as integer cents (exact for 2-decimal inputs)."""
-    return F.round(_c(x) * 100).cast("bigint")
-
-
-def mean_half_up(sum_cents: str, count: str, places: int = 6) -> Column:
-    """Mean of 2-decimal amounts, rounded half-up to ``places`` decimals in
-    exact integer arithmetic, then returned as a double.
-
-    Rounding a floating-point mean is engine-dependent on exact ties (a sum
-    over 32 rows can end in ...5 at the 7th decimal); 64-bit integer
-    division (``div``) is not, and stays exact where a double would not
-    (beyond 2^53).  Takes column names; intended for non-negative amounts."""
-    scale = 2 * 10 ** (places - 2)
-    units = F.expr(f"(`{sum_cents}` * {scale} + `{count}`) div (2 * `{count}`)")
-    return units / F.lit(float(10 ** places))
+def micros(x) -> Column:
+    """An amount as an exact decimal with 6 places, so sums don't depend on
+    the order of addition.  Readings carry 2 or 3 decimals."""
+    return _c(x).cast("decimal(24,6)")
+
+
+def exact_mean(total: str, count: str) -> Column:
+    """Mean of amounts summed as ``micros``: one correctly rounded division."""
+    return F.col(total).cast("double") / F.col(count)
+
+
+def mean_to_cents(total: str, count: str) -> Column:
+    """The same mean rounded to 2 places, halves away from zero."""
+    return F.round(F.col(total) / F.col(count).cast("decimal(20,0)"), 2).cast("double")

@@ -132,17 +132,14 @@ def upsert_into(path: str, batch: DataFrame, keys: Sequence[str], order: Column
     partitions are neither read nor written.
     """
     from tagstream.operators.joins import bounded_broadcast
-    from tagstream.session import scratch_path
+    from tagstream.session import path_exists, scratch_path
 
     if partition_col not in keys:
         raise ValueError("partition_col must be part of the key")
     spark = batch.sparkSession
-    cols = [c for c in batch.columns if c != "_tg_ord"]
-    try:
-        current = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first write: no table yet
-        current = None
-    if current is None:
+    cols = [c for c in batch.columns if c not in ("_tg_ord", order if isinstance(order, str) else None)]
+    current = spark.read.parquet(path) if path_exists(spark, path) else None
+    if current is None:  # first write; an error of the store is raised above
         merged = last_per_key(_with_order(batch, cols, order), keys, "_tg_ord").select(*cols)
     else:
         target_cols = [c for c in current.columns]

@@ -2,9 +2,8 @@
 
 Each entry is ``fn(spark, sf_dir) -> DataFrame`` over whole tables.  Column
 names match the oracle SQL in ``tagstream.plans.oracle``.  Numeric outputs
-that two engines could round differently are made exact: sums of 2-decimal
-values are decimals, means are rounded half-up to 6 places in integer
-arithmetic, and the pairwise fold is reported in fixed point (``*_milli``).
+that two engines could round differently are made exact: sums of readings are
+decimals with 6 places, means one division of them, and the pairwise fold is reported in fixed point (``*_milli``).
 """
 
 from __future__ import annotations
@@ -16,9 +15,8 @@ from pyspark.sql import functions as F
 
 from tagstream import schemas as S
 from tagstream.functions import format as fmt
-from tagstream.functions.scalars import (bit_to_bool, bool_to_number, cents, clock_mod, epoch_ms_to_ts,
-                                         mean_half_up,
-                                         hhmmss, trim_all, truncating_scale, ts_to_epoch_ms)
+from tagstream.functions.scalars import (bit_to_bool, bool_to_number, clock_mod, epoch_ms_to_ts,
+                                         exact_mean, hhmmss, mean_to_cents, micros, trim_all, truncating_scale, ts_to_epoch_ms)
 from tagstream.operators import aggregate as agg
 from tagstream.operators import joins as J
 from tagstream.operators import parse as P
@@ -50,12 +48,11 @@ def q(name: str):
 
 
 def _with_mean(g: DataFrame) -> DataFrame:
-    """Replace ``_sum_cents`` by ``avg_value``: the mean rounded half-up to
-    6 decimals exactly (see ``functions.scalars.mean_half_up``)."""
-    cols = [c for c in g.columns if c != "_sum_cents"]
+    """Replace ``_sum`` (an exact decimal) by ``avg_value``, the mean."""
+    cols = [c for c in g.columns if c != "_sum"]
     idx = cols.index("cnt")
     out = [F.col(c) for c in cols]
-    out.insert(idx, mean_half_up("_sum_cents", "cnt", 6).alias("avg_value"))
+    out.insert(idx, exact_mean("_sum", "cnt").alias("avg_value"))
     return g.select(*out)
 
 
@@ -72,7 +69,7 @@ def tumbling_avg(spark, sf):
     """W-02: mean per sensor and 1-hour tumbling window (flagship)."""
     r = I.readings(spark, sf)
     return _with_mean(W.tumbling(r, ["sensor"], "ts", "1 hour", [
-        F.sum(cents("value")).alias("_sum_cents"),
+        F.sum(micros("value")).alias("_sum"),
         F.count(F.lit(1)).alias("cnt"),
         F.max("ts").alias("max_ts"),
     ]))
@@ -97,7 +94,7 @@ def tumbling_sum_count_avg(spark, sf):
         F.max("ts").alias("max_ts"),
         F.sum(_dec("value")).cast("decimal(38,2)").alias("sum_value"),
         F.count(F.lit(1)).alias("cnt"),
-        F.sum(cents("value")).alias("_sum_cents"),
+        F.sum(micros("value")).alias("_sum"),
     ]))
 
 
@@ -106,7 +103,7 @@ def tumbling_area_avg(spark, sf):
     """W-04 default: mean per area and hour."""
     r = I.readings(spark, sf)
     return _with_mean(W.tumbling(r, ["area"], "ts", "1 hour", [
-        F.sum(cents("value")).alias("_sum_cents"),
+        F.sum(micros("value")).alias("_sum"),
         F.count(F.lit(1)).alias("cnt"),
         F.max("ts").alias("max_ts"),
     ]))
@@ -329,17 +326,16 @@ def parse_json(spark, sf):
 
 @q("format_report")
 def format_report(spark, sf):
-    """P-19: one text line per sensor and hour, mean rounded half-up to
-    cents in exact integer arithmetic."""
+    """P-19: one text line per sensor and hour, mean rounded to cents from the
+    exact decimal sum."""
     r = I.readings(spark, sf)
     g = W.tumbling(r, ["sensor"], "ts", "1 hour", [
-        F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("sum_cents"),
+        F.sum(micros("value")).alias("_sum"),
         F.count(F.lit(1)).alias("cnt"),
         F.max("ts").alias("max_ts"),
         F.first("unit").alias("unit"),
     ])
-    cents = F.expr("(sum_cents * 2 + cnt) div (cnt * 2)")
-    g = g.withColumn("avg_value", cents / F.lit(100.0))
+    g = g.withColumn("avg_value", mean_to_cents("_sum", "cnt"))
     return g.select("sensor", "window_start",
                     fmt.sensor_report_line("sensor", "avg_value", "unit", "cnt", "max_ts").alias("line"))
 
@@ -366,9 +362,9 @@ def conditional_recode(spark, sf):
 @q("db_row_projection")
 def db_row_projection(spark, sf):
     """P-08: parsed JSON reading -> sink row (area, sensor_id, raw value as
-    avg_value, count 1, ts)."""
+    avg_value, count 1, ts); a reading without an area keeps a null."""
     ok = P.accepted(P.parse_json_readings(I.json_messages(spark, sf)))
-    return ok.where(F.col("area").isNotNull()).select(
+    return ok.select(
         "seq", "area", F.col("sensor").alias("sensor_id"),
         F.col("value_num").cast("double").alias("avg_value"),
         F.lit(1).alias("cnt"), F.col("ts_ms").cast("long").alias("ts"))
@@ -735,18 +731,18 @@ def scalar_time(spark, sf):
 
 @q("stream_tumbling")
 def stream_tumbling(spark, sf):
-    """T-02/T-07/T-09: the flagship window as a stream: event-time
-    watermark (zero out-of-orderness), update mode through foreachBatch so
-    the end of the bounded input flushes every window."""
+    """T-02/T-07/T-09: the flagship window as a stream in update mode; the
+    input is bounded and its files come in any order, so no watermark drops
+    rows that the batch form keeps."""
     base = scratch_path(spark, "stream_tumbling")
     r = events_as_readings(stream_table(spark, sf, "events"))
-    r = r.withColumn("ets", RN.ntz_to_instant("ts")).withWatermark("ets", "0 seconds")
+    r = r.withColumn("ets", RN.ntz_to_instant("ts"))
     agg = r.groupBy("sensor", F.window("ets", "1 hour").alias("window")).agg(
-        F.sum(cents("value")).alias("_sum_cents"), F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
+        F.sum(micros("value")).alias("_sum"), F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
     res = RN.run_updates(agg, ["sensor", "window"], f"{base}/out", f"{base}/checkpoint")
     return res.select("sensor", RN.instant_to_ntz("window.start").alias("window_start"),
                       RN.instant_to_ntz("window.end").alias("window_end"),
-                      mean_half_up("_sum_cents", "cnt", 6).alias("avg_value"), "cnt", "max_ts")
+                      exact_mean("_sum", "cnt").alias("avg_value"), "cnt", "max_ts")
 
 
 @q("file_sink_roundtrip")
@@ -776,25 +772,21 @@ def running_sum_stream(spark, sf):
 @q("distinct_lines_stream")
 def distinct_lines_stream(spark, sf):
     """T-06/S-04 streaming: document lines arriving as a file stream,
-    stripped, blanks skipped, each distinct line emitted once (state bounded
-    by a watermark on arrival time)."""
+    stripped, blanks skipped, each distinct line emitted once (the set of lines
+    seen is kept by the state store)."""
     base = scratch_path(spark, "distinct_stream")
     lines = split_lines(stream_table(spark, sf, "documents"), "text", "doc_id").withColumnRenamed("line", "value")
-    d = DD.distinct_lines_stream(lines, "value", within="1 hour")
+    d = DD.distinct_lines_stream(lines, "value")
     out = RN.run_to_files(d.select(F.col("value").alias("line")), f"{base}/out", f"{base}/checkpoint")
     return out
 
 
-KAFKA_SCHEMA = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
-
-
 @q("kafka_json_stream")
 def kafka_json_stream(spark, sf):
-    """S-06/K-09/P-05 on a stream: JSON readings published as Kafka-shaped
-    records (key, value bytes, topic, partition, offset, timestamp), consumed
-    from the earliest offset as a stream, decoded and parsed."""
+    """S-06/K-09/P-05 on a stream: the table stream's JSON readings in the
+    columns of a Kafka source, decoded and parsed."""
     base = scratch_path(spark, "kafka_json")
-    stream = _kafka_records(spark, sf, base)
+    stream = _kafka_records(spark, sf)
     ok = P.accepted(P.parse_json_readings(KF.values(stream)))
     out = RN.run_to_files(ok.select("seq", "sensor", "area", F.col("value_num").alias("value"), "ts_ms", "count"),
                           f"{base}/out", f"{base}/checkpoint")
@@ -811,34 +803,31 @@ def running_sum_stream_batches(spark, sf):
     return out.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))
 
 
-def _kafka_records(spark, sf, base):
-    """JSON readings published as Kafka-shaped records under ``base``."""
-    msgs = I.json_messages(spark, sf)
-    records = msgs.select(F.lit(None).cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"),
-                          F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
-                          F.col("seq").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
-    records.write.parquet(f"{base}/topic")
-    return spark.readStream.schema(KAFKA_SCHEMA).parquet(f"{base}/topic")
+def _kafka_records(spark, sf):
+    """The table stream's JSON readings as Kafka-shaped records."""
+    msgs = I.json_messages_from(stream_table(spark, sf, "events"))
+    return msgs.select(F.lit(None).cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"),
+                       F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
+                       F.col("seq").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
 
 
 @q("area_window_report_stream")
 def area_window_report_stream(spark, sf):
-    """E1 end to end: Kafka-shaped JSON records -> parse -> not-null filter
-    (readings with an area) -> event-time watermark -> hourly windows per
-    area (first sensor, count, latest ts, mean) -> one report line each.
-    The bounded input is drained and every window flushed."""
+    """E1 end to end: Kafka-shaped JSON records -> parse -> hourly windows per
+    area (``-`` where a reading has none): first sensor, count, latest ts,
+    mean -> one report line each.  The bounded input is drained and every
+    window returned."""
     base = scratch_path(spark, "area_report")
-    parsed = P.accepted(P.parse_json_readings(KF.values(_kafka_records(spark, sf, base))))
-    r = (parsed.where(F.col("area").isNotNull())
+    parsed = P.accepted(P.parse_json_readings(KF.values(_kafka_records(spark, sf))))
+    r = (parsed.withColumn("area", F.coalesce("area", F.lit("-")))
          .withColumn("ts", epoch_ms_to_ts("ts_ms"))
-         .withColumn("ets", RN.ntz_to_instant("ts")).withWatermark("ets", "0 seconds"))
+         .withColumn("ets", RN.ntz_to_instant("ts")))
     agg = r.groupBy("area", F.window("ets", "1 hour").alias("window")).agg(
         F.min_by("sensor", F.struct("ts_ms", "seq")).alias("first_sensor"),
         F.count(F.lit(1)).alias("cnt"), F.max("ts_ms").alias("max_ts_ms"),
-        F.sum(F.round(F.col("value_num") * 100).cast("bigint")).alias("sum_cents"))
+        F.sum(micros("value_num")).alias("_sum"))
     done = RN.run_updates(agg, ["area", "window"], f"{base}/out", f"{base}/checkpoint")
-    cents = F.expr("(sum_cents * 2 + cnt) div (cnt * 2)")
-    done = done.withColumn("avg_value", cents / F.lit(100.0))
+    done = done.withColumn("avg_value", mean_to_cents("_sum", "cnt"))
     return done.select("area", RN.instant_to_ntz("window.start").alias("window_start"),
                        fmt.area_report_line().alias("line"))
 
@@ -876,12 +865,12 @@ def distinct_lines_exact_stream(spark, sf):
 @q("log_levels_stream")
 def log_levels_stream(spark, sf):
     """P-04 + W-06/W-07 as a stream: log lines followed from files, parsed
-    (rejects routed out), event-time windows per level under a watermark;
-    the bounded input is drained and every window flushed."""
+    (rejects routed out), event-time windows per level; the bounded input is
+    drained and every window returned."""
     base = scratch_path(spark, "log_levels")
     logs = P.accepted(P.parse_log_lines(I.log_lines_from(stream_table(spark, sf, "events"))))
     logs = logs.withColumn("ts", epoch_ms_to_ts("ts_ms")).withColumn("ets", RN.ntz_to_instant("ts"))
-    agg = logs.withWatermark("ets", "0 seconds").groupBy("level", F.window("ets", "1 hour").alias("window")).agg(
+    agg = logs.groupBy("level", F.window("ets", "1 hour").alias("window")).agg(
         F.max("ts_ms").alias("max_ts_ms"), F.min_by("message", F.struct("ts", "seq")).alias("first_message"),
         F.count(F.lit(1)).alias("cnt"))
     res = RN.run_updates(agg, ["level", "window"], f"{base}/out", f"{base}/checkpoint")
@@ -897,12 +886,12 @@ def sensor_lines_stream(spark, sf):
     base = scratch_path(spark, "sensor_lines")
     ok = P.accepted(P.parse_sensor_lines(I.sensor_lines_from(stream_table(spark, sf, "events"))))
     r = ok.withColumn("ts", epoch_ms_to_ts("ts_ms")).withColumn("ets", RN.ntz_to_instant("ts"))
-    agg = r.withWatermark("ets", "0 seconds").groupBy("sensor", F.window("ets", "1 hour").alias("window")).agg(
-        F.sum(cents("value_num")).alias("_sum_cents"), F.count(F.lit(1)).alias("cnt"),
+    agg = r.groupBy("sensor", F.window("ets", "1 hour").alias("window")).agg(
+        F.sum(micros("value_num")).alias("_sum"), F.count(F.lit(1)).alias("cnt"),
         F.max("ts_ms").alias("max_ts_ms"))
     res = RN.run_updates(agg, ["sensor", "window"], f"{base}/out", f"{base}/checkpoint")
     return res.select("sensor", RN.instant_to_ntz("window.start").alias("window_start"),
-                      mean_half_up("_sum_cents", "cnt", 6).alias("avg_value"), "cnt", "max_ts_ms")
+                      exact_mean("_sum", "cnt").alias("avg_value"), "cnt", "max_ts_ms")
 
 
 @q("row_count_stream")
@@ -917,12 +906,11 @@ def row_count_stream(spark, sf):
 @q("tumbling_pairwise_stream")
 def tumbling_pairwise_stream(spark, sf):
     """W-01 as a stream (the device-poll job's fold): ``(acc + v) / 2`` per
-    sensor and hour, continued across micro-batches from carried state;
-    windows behind the watermark are finalised and leave the state."""
+    sensor and hour, continued across micro-batches from carried state."""
     base = scratch_path(spark, "pairwise_stream")
     r = events_as_readings(stream_table(spark, sf, "events"))
     out = ST.pairwise_avg_batches(r, ["sensor"], "ts", "seq", "value", "unit", "1 hour", "10 seconds",
-                                  f"{base}/data", f"{base}/checkpoint", lateness="0 seconds")
+                                  f"{base}/data", f"{base}/checkpoint")
     return out.select("sensor", "window_start",
                       (F.col("window_start") + F.expr("INTERVAL 1 hour")).alias("window_end"),
                       F.floor(F.col("pairwise_avg") * 1000 + F.lit(0.3137)).cast("bigint").alias("pairwise_avg_milli"),

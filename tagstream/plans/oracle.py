@@ -70,7 +70,7 @@ ORACLE: dict[str, str] = {}
 
 ORACLE["tumbling_avg"] = f"""
 SELECT sensor, {_tb('1 hour')} AS window_start, {_tb('1 hour')} + INTERVAL '1 hour' AS window_end,
-       CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value, count(*) AS cnt, max(ts) AS max_ts
+       CAST(sum(CAST(value AS DECIMAL(24,6))) AS DOUBLE) / count(*) AS avg_value, count(*) AS cnt, max(ts) AS max_ts
 FROM {READINGS} GROUP BY ALL"""
 
 ORACLE["tumbling_pairwise_avg"] = f"""
@@ -86,12 +86,12 @@ FROM k GROUP BY sensor, ws"""
 ORACLE["tumbling_sum_count_avg"] = f"""
 SELECT sensor, {_tb('30 minutes')} AS window_start, {_tb('30 minutes')} + INTERVAL '30 minutes' AS window_end,
        max(ts) AS max_ts, sum(CAST(value AS DECIMAL(18,2))) AS sum_value, count(*) AS cnt,
-       CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value
+       CAST(sum(CAST(value AS DECIMAL(24,6))) AS DOUBLE) / count(*) AS avg_value
 FROM {READINGS} GROUP BY ALL"""
 
 ORACLE["tumbling_area_avg"] = f"""
 SELECT area, {_tb('1 hour')} AS window_start, {_tb('1 hour')} + INTERVAL '1 hour' AS window_end,
-       CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value, count(*) AS cnt, max(ts) AS max_ts
+       CAST(sum(CAST(value AS DECIMAL(24,6))) AS DOUBLE) / count(*) AS avg_value, count(*) AS cnt, max(ts) AS max_ts
 FROM {READINGS} GROUP BY ALL"""
 
 ORACLE["tumbling_first_over_count"] = f"""
@@ -214,9 +214,9 @@ FROM {JSON_MESSAGES} WHERE shape IS NOT NULL"""
 ORACLE["format_report"] = f"""
 SELECT sensor, window_start,
        printf('Sensor: %s | Avg: %.2f %s | Count: %d | Window: %s', sensor,
-              ((sum_cents * 2 + cnt) // (cnt * 2)) / 100.0, unit, cnt,
+              sign(m) * ((abs(m) * 2 + cnt * 10000) // (cnt * 20000)) / 100.0, unit, cnt,
               strftime(max_ts, '%H:%M:%S')) AS line
-FROM (SELECT sensor, {_tb('1 hour')} AS window_start, sum(CAST(round(value * 100) AS BIGINT)) AS sum_cents,
+FROM (SELECT sensor, {_tb('1 hour')} AS window_start, sum(CAST(round(value * 1000000) AS HUGEINT)) AS m,
              count(*) AS cnt, max(ts) AS max_ts, any_value(unit) AS unit
       FROM {READINGS} GROUP BY ALL)"""
 
@@ -232,9 +232,9 @@ SELECT event_id, CASE WHEN event_type = 'signup' THEN 'register' ELSE event_type
 FROM events"""
 
 ORACLE["db_row_projection"] = f"""
-SELECT seq, 'line_' || CAST(user_id % 2 + 1 AS VARCHAR) AS area, event_type AS sensor_id,
-       value AS avg_value, 1 AS cnt, epoch_us(ts) // 1000 AS ts
-FROM {JSON_MESSAGES} WHERE shape = 'A'"""
+SELECT seq, CASE WHEN shape = 'A' THEN 'line_' || CAST(user_id % 2 + 1 AS VARCHAR) END AS area,
+       CASE WHEN shape = 'A' THEN event_type ELSE upper(event_type) END AS sensor_id, value AS avg_value, 1 AS cnt, epoch_us(ts) // 1000 AS ts
+FROM {JSON_MESSAGES} WHERE shape IS NOT NULL"""
 
 ORACLE["encode_json"] = """
 SELECT event_id AS seq, event_type AS key,
@@ -508,15 +508,16 @@ ORACLE["kafka_json_stream"] = ORACLE["parse_json"]
 ORACLE["running_sum_stream_batches"] = ORACLE["running_sum_stream"]
 
 ORACLE["area_window_report_stream"] = f"""
-WITH r AS (SELECT seq, 'line_' || CAST(user_id % 2 + 1 AS VARCHAR) AS area, event_type AS sensor, value,
+WITH r AS (SELECT seq, CASE WHEN shape = 'A' THEN 'line_' || CAST(user_id % 2 + 1 AS VARCHAR) ELSE '-' END AS area,
+                  CASE WHEN shape = 'A' THEN event_type ELSE upper(event_type) END AS sensor, value,
                   epoch_us(ts) // 1000 AS ts_ms
-           FROM {JSON_MESSAGES} WHERE shape = 'A'),
+           FROM {JSON_MESSAGES} WHERE shape IS NOT NULL),
 g AS (SELECT area, {_tb('1 hour', 'epoch_ms(ts_ms)')} AS window_start, arg_min(sensor, (ts_ms, seq)) AS first_sensor,
-             count(*) AS cnt, max(ts_ms) AS max_ts_ms, sum(CAST(round(value * 100) AS BIGINT)) AS sum_cents
+             count(*) AS cnt, max(ts_ms) AS max_ts_ms, sum(CAST(round(value * 1000000) AS HUGEINT)) AS m
       FROM r GROUP BY ALL)
 SELECT area, window_start,
        printf('%s | %s | Avg. Value: %.2f | Count: %d | Ts: %d', area, first_sensor,
-              ((sum_cents * 2 + cnt) // (cnt * 2)) / 100.0, cnt, max_ts_ms) AS line
+              sign(m) * ((abs(m) * 2 + cnt * 10000) // (cnt * 20000)) / 100.0, cnt, max_ts_ms) AS line
 FROM g"""
 
 ORACLE["upsert_partitioned"] = ORACLE["upsert_readings"]
@@ -530,7 +531,7 @@ WITH ok AS (SELECT seq, CAST(p[1] AS BIGINT) AS ts_ms, p[2] AS sensor, CAST(p[3]
             FROM (SELECT seq, string_split(value, '|') AS p FROM {SENSOR_LINES})
             WHERE len(p) = 4 AND TRY_CAST(p[1] AS BIGINT) IS NOT NULL AND TRY_CAST(p[3] AS DOUBLE) IS NOT NULL)
 SELECT sensor, {_tb('1 hour', 'epoch_ms(ts_ms)')} AS window_start,
-       CAST((sum(CAST(round(value * 100) AS BIGINT)) * 20000 + count(*)) // (2 * count(*)) AS DOUBLE) / 1e6 AS avg_value,
+       CAST(sum(CAST(value AS DECIMAL(24,6))) AS DOUBLE) / count(*) AS avg_value,
        count(*) AS cnt, max(ts_ms) AS max_ts_ms
 FROM ok GROUP BY ALL"""
 

@@ -88,6 +88,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tagstream/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at ``path``, in whatever store it lies?  Errors of
+    the store are raised, not taken for an absent path."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared folder and read it back.
 

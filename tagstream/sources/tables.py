@@ -29,13 +29,14 @@ def spread(df: DataFrame) -> DataFrame:
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same table as a file stream (new files become micro-batches)."""
-    schema = read_table(spark, sf_dir, name).schema
-    reader = (spark.readStream.schema(schema)
-              .option("pathGlobFilter", f"{name}.parquet"))
+    """The same table, one file or a folder of files, as a file stream (new
+    files become micro-batches)."""
+    # as a pattern the path may name a file; a plain one must be a folder
+    path = f"{sf_dir.rstrip('/')}/{name}.parque[t]"
+    reader = spark.readStream.schema(read_table(spark, sf_dir, name).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def events_as_readings(events: DataFrame) -> DataFrame:

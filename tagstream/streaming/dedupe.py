@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagstream.operators.text import clean_lines
+from tagstream.session import path_exists
 
 
 def distinct_lines_stream(df: DataFrame, text_col: str = "value", ts_col: str = "ingest_ts",
-                          within: str = "1 hour") -> DataFrame:
-    """Emit each stripped, non-blank line once per ``within`` of event time.
-
-    An exact "seen forever" set grows without bound; the watermark lets
-    Spark evict a line's state once no duplicate can arrive within the
-    horizon.  Use ``operators.text.distinct_lines`` for exact batch dedupe.
+                          within: str | None = None) -> DataFrame:
+    """Emit each stripped, non-blank line once: over the whole stream, or,
+    with ``within``, once per that span of event time, after which a line's
+    state is evicted.  The set of lines seen lies in the state store, sharded
+    by line.
     """
+    if within is None:
+        return clean_lines(df, text_col).dropDuplicates([text_col])
     if ts_col not in df.columns:
         df = df.withColumn(ts_col, F.current_timestamp())
     lines = clean_lines(df, text_col)
@@ -41,16 +43,13 @@ def distinct_lines_batches(stream: DataFrame, base: str, checkpoint: str, text_c
 
     def _process(batch: DataFrame, bid: int) -> None:
         lines = clean_lines(batch, text_col).select(F.col(text_col).alias("line")).dropDuplicates(["line"])
-        if bid > 0:
-            try:
-                seen = spark.read.parquet(out_dir).where(F.col("batch_id") < bid).select("line")
-                lines = lines.join(seen, "line", "left_anti")
-            except Exception:  # noqa: BLE001 - no earlier output yet
-                pass
+        if bid > 0 and path_exists(spark, out_dir):
+            seen = spark.read.schema("line string, batch_id long").parquet(out_dir).where(F.col("batch_id") < bid)
+            lines = lines.join(seen.select("line"), "line", "left_anti")
         lines.write.mode("overwrite").parquet(f"{out_dir}/batch_id={bid}")
 
-    q = start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
+    start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
               .trigger(**(trigger or {"availableNow": True})).start(), spark)
-    if not any(int(p.get("numInputRows", 0) or 0) > 0 for p in q.recentProgress):
+    if not path_exists(spark, out_dir):
         return spark.createDataFrame([], "line string")
     return spark.read.parquet(out_dir).select("line")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tagstream.functions.scalars import EPOCH_NTZ
 from tagstream.operators.tables import last_per_key
+from tagstream.session import path_exists
 
 
 def ntz_to_instant(ts: str | Column) -> Column:
@@ -74,21 +75,15 @@ def run_updates(stream: DataFrame, keys: Sequence[str], base: str, checkpoint: s
         batch.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
 
     spark: SparkSession = stream.sparkSession
-    q = start(lambda: stream.writeStream.outputMode("update").foreachBatch(_write)
+    start(lambda: stream.writeStream.outputMode("update").foreachBatch(_write)
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or {"availableNow": True})).start(), spark)
-    if not q.recentProgress or not _has_output(q):
+    if not path_exists(spark, base):  # no micro-batch ever had rows
         return spark.createDataFrame([], stream.schema)
     out = spark.read.parquet(base)
     return last_per_key(out, list(keys), "batch_id").drop("batch_id")
 
 
-def _has_output(query) -> bool:
-    """Whether any micro-batch with input rows ran (foreachBatch writes
-    nothing for a drained, empty source)."""
-    return any(int(p.get("numInputRows", 0) or 0) > 0 for p in query.recentProgress)
-
-
 def late_rows_dropped(query) -> int:
     """Rows the stateful operators discarded as later than the watermark,
     summed over the query's recent progress reports."""

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tagstream.session import path_exists
+
 
 def running_sum_stream(df: DataFrame, key: str, seq: str, value: str,
                        out: str = "running_total") -> DataFrame:
@@ -77,9 +79,9 @@ def running_sum_batches(stream: DataFrame, key: str, seq: str, value: str, base:
         new.write.mode("overwrite").parquet(f"{base}/state/batch_id={bid}")
 
     from tagstream.streaming.runner import start
-    q = start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
-              .trigger(**(trigger or {"availableNow": True})).start(), spark)
-    if not any(int(p.get("numInputRows", 0) or 0) > 0 for p in q.recentProgress):
+    start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
+          .trigger(**(trigger or {"availableNow": True})).start(), spark)
+    if not path_exists(spark, f"{base}/out"):
         return spark.createDataFrame([], f"{key} string, {seq} long, {value} double, {out} double")
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
@@ -173,18 +175,15 @@ def pairwise_avg_batches(stream: DataFrame, keys: list[str], ts: str, seq: str,
                 new = new.where(~closed)
         new.write.mode("overwrite").parquet(f"{base}/state/batch_id={bid}")
 
-    q = start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
-              .trigger(**(trigger or {"availableNow": True})).start(), spark)
-    last = max((int(p.get("batchId", -1)) for p in q.recentProgress
-                if int(p.get("numInputRows", 0) or 0) > 0), default=-1)
-    if last < 0:
+    start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
+          .trigger(**(trigger or {"availableNow": True})).start(), spark)
+    if not path_exists(spark, f"{base}/state"):
         return spark.createDataFrame([], f"{', '.join(f'{k} string' for k in keys)}, window_start timestamp, "
                                          "pairwise_avg double, cnt long, max_ts timestamp, first_unit string")
-    out = spark.read.parquet(f"{base}/state/batch_id={last}")
-    if lateness is not None:
-        try:
-            final = spark.read.parquet(f"{base}/final").drop("batch_id")
-            out = out.unionByName(final.select(*out.columns))
-        except Exception:  # noqa: BLE001 - no window closed during the run
-            pass
+    states = spark.read.parquet(f"{base}/state")
+    last = states.agg(F.max("batch_id")).first()[0]
+    out = spark.read.parquet(f"{base}/state/batch_id={last}") if last is not None else states.drop("batch_id")
+    if lateness is not None and path_exists(spark, f"{base}/final"):
+        final = spark.read.parquet(f"{base}/final").drop("batch_id")
+        out = out.unionByName(final.select(*out.columns))
     return out.select(*part, F.col("acc").alias("pairwise_avg"), "cnt", "max_ts", "first_unit")
