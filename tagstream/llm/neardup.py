@@ -240,23 +240,27 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "do
     keyed = reps.select(F.posexplode("bands").alias("band", "key"), "id")
     buckets = materialize(keyed.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("last"))
                           .where(F.col("last") != F.col("center")).select("key", "center"), "dup-buckets")
-    in_buckets = materialize(keyed.join(buckets, "key"), "dup-members")
-
     facts = reps.select("id", "n_shingles", "sketch", "bands")
+    # each member sees its bucket's smallest member and that one's sketch
+    centers = buckets.join(facts.select(F.col("id").alias("center"), F.col("n_shingles").alias("nb"),
+                                        F.col("sketch").alias("sb")), "center")
+    in_buckets = materialize(keyed.join(centers, "key"), "dup-members")
+
     fa = facts.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"))
-    fb = facts.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"))
     near = close_sizes("na", "nb", percent) & (differing_bits("sa", "sb") <= max_difference(SKETCH_FLOOR))
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
-        return _links(pairs.join(fa, "a").join(fb, "b").where(near).select("a", "b"), reps, docs, words, percent,
-                      id_col, name)
+        """Links among (a, b, nb, sb): the sketch decides inside the join."""
+        return _links(pairs.join(fa, "a").where(near).select("a", "b"), reps, docs, words, percent, id_col, name)
 
     def as_edges(label: DataFrame) -> DataFrame:
         return label.select(F.col("vertex").alias("a"), F.col("component").alias("b"))
 
     # one partner for each: the smallest id in any of its buckets
-    partners = in_buckets.where(F.col("id") != F.col("center")).groupBy("id").agg(F.min("center").alias("partner"))
-    partners = materialize(partners.select(F.col("id").alias("a"), F.col("partner").alias("b")), "dup-partners")
+    partners = in_buckets.where(F.col("id") != F.col("center")).groupBy("id").agg(
+        F.min(F.struct("center", "nb", "sb")).alias("partner"))
+    partners = materialize(partners.select(F.col("id").alias("a"), F.col("partner.center").alias("b"),
+                                           "partner.nb", "partner.sb"), "dup-partners")
     found = materialize(components(linked(partners, "dup-first")), "dup-found-1")
 
     # the smallest member of buckets that are still in several parts
@@ -267,15 +271,17 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "do
         return part.withColumn("component", F.coalesce("component", "id")).withColumn(
             "center_component", F.coalesce("center_component", "center"))
 
-    stars = parts(found).where("component <> center_component").select(
-        F.col("id").alias("a"), F.col("center").alias("b")).distinct().join(partners, ["a", "b"], "left_anti")
+    stars = parts(found).where("component <> center_component").groupBy(
+        F.col("id").alias("a"), F.col("center").alias("b")).agg(F.min(F.struct("nb", "sb")).alias("f"))
+    stars = stars.select("a", "b", "f.nb", "f.sb").join(partners.select("a", "b"), ["a", "b"], "left_anti")
     stars = linked(stars, "dup-star")
     found = materialize(components(as_edges(found).unionByName(stars)), "dup-found-2")
 
     # what lies outside the smallest member's component, with the others
     part = parts(found).withColumn("outside", F.col("component") != F.col("center_component"))
     open_keys = part.where("outside").select("key").distinct()
-    members = materialize(part.join(open_keys, "key", "left_semi").join(facts, "id"), "dup-open")
+    members = part.drop("nb", "sb").join(open_keys, "key", "left_semi")
+    members = materialize(members.join(facts, "id"), "dup-open")
     x = members.select("key", "band", "center", F.col("id").alias("a"), F.col("component").alias("ca"),
                        F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"),
                        F.col("bands").alias("ba")).where("outside")
