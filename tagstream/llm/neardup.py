@@ -13,6 +13,11 @@
    last, members outside its component with the members of other components, a
    pair only in the first bucket that both share.  Every pair must pass the
    sketch before full sets are compared, and only links on full sets count.
+   In the last step, where a large group of half-similar texts would pass the
+   first sketch in numbers that grow with its square, pairs must also pass a
+   finer odd sketch of one-permutation MinHash samples (one minimum per bin of
+   the hash range), which tells 0.8 from 0.7; it is built only for members of
+   buckets still open.
 4. Connected components of classes and links give the groups.
 
 No step makes all pairs of a group: copies are classes, near copies are linked
@@ -21,7 +26,8 @@ collected.
 
 Recall: with 36 bands of 5 rows a pair at similarity 0.8 shares a bucket with
 probability 1 - (1 - 0.8^5)^36 > 0.999999.  The sketch passes pairs whose
-estimate is at least ``SKETCH_FLOOR`` (about five standard errors under 0.8).
+estimate is at least ``SKETCH_FLOOR`` (about five standard errors under 0.8),
+the finer one those of at least ``FINE_FLOOR`` (five standard errors too).
 
 Defined cases: null texts and texts without words have the empty set and are
 linked with nothing; a text with fewer words than a shingle has one shingle of
@@ -49,6 +55,11 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Least similarity estimate that is compared on full sets.
 SKETCH_FLOOR = 0.64
+#: The finer sketch: bins of the hash range with one minimum each, and bits.
+FINE_BINS, FINE_BITS = 1024, 2048
+#: Least estimate of it, five standard errors under 0.8: where at most a third
+#: of the bins are filled (nearly every shingle is a sample), and elsewhere.
+FINE_FLOOR_SPARSE, FINE_FLOOR = 0.75, 0.73
 #: Words whose hashes a task keeps at a time.
 CACHE_WORDS = 1_000_000
 
@@ -118,9 +129,21 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def odd_sketch(sig: np.ndarray) -> np.ndarray:
     """Parity bitmap of (sample, value) as ``SKETCH_BITS / 64`` words."""
-    bit = _mix(sig ^ _SEEDS) % _U(SKETCH_BITS)
-    parity = np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64)
+    return _bitmap(np.bincount((_mix(sig ^ _SEEDS) % _U(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1)
+
+
+def fine_sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bitmap of the minimum in each bin, and the bitmap of bins that
+    are not empty, of a non-empty set."""
+    x = np.sort(_mix(hashes ^ _OFFSETS[0]))
+    bins, at = np.unique(x // _U(2 ** 64 // FINE_BINS), return_index=True)
+    bit = (_mix(x[at] + _SEEDS[0]) % _U(FINE_BITS)).astype(np.int64)
+    return (_bitmap(np.bincount(bit, minlength=FINE_BITS) & 1),
+            _bitmap(np.bincount(bins.astype(np.int64), minlength=FINE_BINS)))
+
+
+def _bitmap(bits: np.ndarray) -> np.ndarray:
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def max_difference(floor: float) -> int:
@@ -174,9 +197,13 @@ def one_per_id(rows: DataFrame) -> DataFrame:
     return materialize(best.select(rows.columns).unionByName(rows.where("doc_id is null")), "dup-one")
 
 
-def shingle_sets(docs: DataFrame, words: int, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, its full shingle set and the set's digest."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text().alias("text"))
+def of_sets(wanted: DataFrame, docs: DataFrame, words: int, id_col: str, names: list[str], derive) -> DataFrame:
+    """``derive``'s long arrays of the full shingle sets of ``wanted`` (id and
+    set digest d1, d2): the texts are fetched by a semi join, their sets built
+    again.  Columns doc_id and ``names``."""
+    texts = docs.join(wanted.select(F.col("id").alias("_w")), docs[id_col] == F.col("_w"), "left_semi")
+    rows = texts.select(F.col(id_col).cast("long").alias("doc_id"), whole_text().alias("text"))
+    arrays = pa.list_(pa.int64())
 
     def make():
         shingler = Shingler(words)
@@ -184,19 +211,41 @@ def shingle_sets(docs: DataFrame, words: int, id_col: str = "doc_id") -> DataFra
         def fn(batch):
             sets = [shingler.hashes(t) for t in batch.column(1).to_pylist()]
             digests = [set_digest(h) for h in sets]
+            made = list(zip(*(derive(h) for h in sets)))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64())),
-                 pa.array([int(d[0]) for d in digests], pa.int64()),
-                 pa.array([int(d[1]) for d in digests], pa.int64())], names=["doc_id", "items", "d1", "d2"])
+                [batch.column(0), pa.array([int(d[0]) for d in digests], pa.int64()),
+                 pa.array([int(d[1]) for d in digests], pa.int64()), *(pa.array(m, arrays) for m in made)],
+                names=["doc_id", "d1", "d2", *names])
         return fn
 
-    return arrow_map(rows, "doc_id long, items array<long>, d1 long, d2 long", make)
+    out = arrow_map(rows, "doc_id long, d1 long, d2 long, " + ", ".join(f"{n} array<long>" for n in names), make)
+    out = out.join(wanted.select(F.col("id").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"], "left_semi")
+    return out.dropDuplicates(["doc_id"]).select("doc_id", *names)
 
 
 def differing_bits(a: str, b: str):
     return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
 
 
+def _count(a: str, b: str, op):
+    """Bits set in two bitmaps of longs combined by ``op``."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(op(x, y))), F.lit(0), lambda n, x: n + x)
+
+
+def finely_close(parity_a: str, parity_b: str, bins_a: str, bins_b: str):
+    """Do the finer sketches estimate a similarity of the floor or more?
+
+    The odd bits give the number of samples that differ; with the numbers of
+    bins that either or both sets fill, that gives the share of equal ones."""
+    odd = _count(parity_a, parity_b, lambda x, y: x.bitwiseXOR(y))
+    filled = _count(bins_a, bins_b, lambda x, y: x.bitwiseOR(y))
+    samples = filled + _count(bins_a, bins_b, lambda x, y: x.bitwiseAND(y))
+    # equal = (samples - differing) / 2 >= floor * filled, as a bound of odd bits
+    floor = F.when(filled <= FINE_BINS // 3, FINE_FLOOR_SPARSE).otherwise(FINE_FLOOR)
+    most = samples - 2 * floor * filled
+    return (most >= 0) & (odd <= FINE_BITS / 2 * (1 - F.pow(F.lit(1 - 2 / FINE_BITS), most)))
+
+
 def close_sizes(a: str, b: str, percent: int):
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
@@ -212,15 +261,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int, id_col: str,
            name: str) -> DataFrame:
-    """Verify candidate pairs: the texts of their documents are fetched by a
-    semi join, their sets built again and compared."""
+    """Verify candidate pairs on the full sets of their documents."""
     pairs = materialize(pairs, f"{name}-pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     wanted = wanted.join(reps.select("id", "d1", "d2"), "id")
-    texts = docs.join(wanted.select(F.col("id").alias("_w")), docs[id_col] == F.col("_w"), "left_semi")
-    sets = shingle_sets(texts, words, id_col)
-    sets = sets.join(wanted.withColumnRenamed("id", "doc_id"), ["doc_id", "d1", "d2"], "left_semi")
-    sets = materialize(sets.dropDuplicates(["doc_id"]).select("doc_id", "items"), f"{name}-sets")
+    sets = of_sets(wanted, docs, words, id_col, ["items"], lambda h: (h.view(np.int64),))
+    sets = materialize(sets, f"{name}-sets")
     return materialize(verified(pairs, sets, percent), f"{name}-links")
 
 
@@ -281,18 +327,22 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "do
     part = parts(found).withColumn("outside", F.col("component") != F.col("center_component"))
     open_keys = part.where("outside").select("key").distinct()
     members = part.drop("nb", "sb").join(open_keys, "key", "left_semi")
-    members = materialize(members.join(facts, "id"), "dup-open")
+    wanted = members.select("id").distinct().join(reps.select("id", "d1", "d2"), "id")
+    fine = of_sets(wanted, docs, words, id_col, ["parity", "bins"], fine_sketch).withColumnRenamed("doc_id", "id")
+    members = materialize(members.join(facts.join(fine, "id"), "id"), "dup-open")
     x = members.select("key", "band", "center", F.col("id").alias("a"), F.col("component").alias("ca"),
                        F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"),
-                       F.col("bands").alias("ba")).where("outside")
+                       F.col("bands").alias("ba"), F.col("parity").alias("pa"),
+                       F.col("bins").alias("fa")).where("outside")
     y = members.select(F.col("key").alias("_k"), F.col("id").alias("b"), F.col("component").alias("cb"),
                        F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"), F.col("bands").alias("bb"),
-                       F.col("outside").alias("ob"))
+                       F.col("parity").alias("pb"), F.col("bins").alias("fb"), F.col("outside").alias("ob"))
     # band keys differ between bands: equal keys among the bands before this
     # one mean that the pair is met there
     first = ~F.arrays_overlap(F.slice("ba", F.lit(1), F.col("band")), F.slice("bb", F.lit(1), F.col("band")))
     rest = x.join(y, (x["key"] == y["_k"]) & (F.col("ca") != F.col("cb")) & (F.col("b") != F.col("center"))
-                  & (~F.col("ob") | (F.col("a") < F.col("b"))) & near & first).select("a", "b").distinct()
+                  & (~F.col("ob") | (F.col("a") < F.col("b"))) & near & first
+                  & finely_close("pa", "pb", "fa", "fb")).select("a", "b").distinct()
     more = _links(rest, reps, docs, words, percent, id_col, "dup-rest")
 
     edges = as_edges(found).unionByName(more)

@@ -1,6 +1,9 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 from tagstream.llm import neardup as N
 from tagstream.llm.components import components
@@ -102,6 +105,37 @@ def test_sketch_estimates_high_similarity():
         assert truth < 0.8 or differ <= N.max_difference(N.SKETCH_FLOOR)
 
 
+def test_fine_sketch_tells_linked_from_half_similar(spark):
+    rng = np.random.default_rng(4)
+    pairs = []
+    for size in (5, 150, 900, 6000):
+        for percent in (60, 80, 100):
+            for _ in range(30):
+                h = rng.integers(0, 2**64, size, dtype=np.uint64)
+                both = -(-size * percent // 100)
+                half = both + (size - both) // 2
+                a, b = N.fine_sketch(h[:half]), N.fine_sketch(np.concatenate([h[:both], h[half:]]))
+                pairs.append((size, percent, *([int(v) for v in part] for part in (*a, *b))))
+    df = spark.createDataFrame(pairs, "size int, percent int, pa array<long>, fa array<long>, pb array<long>, fb array<long>")
+    got = df.withColumn("close", N.finely_close("pa", "pb", "fa", "fb")).groupBy("size", "percent").agg(
+        F.sum(F.col("close").cast("int")).alias("n")).collect()
+    for r in got:
+        if r["percent"] >= 80:
+            assert r["n"] == 30, r
+        elif r["size"] > 5:
+            assert r["n"] == 0, r
+
+
+def test_large_half_similar_group_keeps_its_links(spark):
+    """A base with copies edited to very different degrees: most pairs are
+    half similar, and every link counts."""
+    rnd = random.Random(7)
+    base = [f"b{k}" for k in range(150)]
+    texts = [t for edits in (1, 2, 3, 4, 5, 6, 7, 8, 9) for t in variants(rnd, base, 40, edits)]
+    rnd.shuffle(texts)
+    check(N.groups(docs_frame(spark, texts), words=5), list(enumerate(texts)), 5)
+
+
 def test_components_of_paths_cycles_and_hubs(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200),
                                                                                     (300, 300), (None, 5)]
