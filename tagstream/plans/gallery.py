@@ -643,7 +643,7 @@ def dashboard(spark, sf):
     sensor_cols = [t for _p, t, _d, _u in S.WATER_PLANT_REGISTERS]
     both = TM.decode_bits(TM.decode_wide(last, S.WATER_PLANT_REGISTERS, ["device", "bits"]),
                           S.WATER_PLANT_BITS, ["device", *sensor_cols])
-    sup = read_table(spark, sf, "supplier").where(F.col("s_acctbal") >= 0)
+    sup = read_table(spark, sf, "supplier")
     sp_regs = TM.encode_registers(sup, [("s_acctbal", 1), (F.col("s_nationkey") * 100, 1),
                                         (F.pmod("s_suppkey", F.lit(1000)), 1)],
                                   [F.col("s_suppkey").alias("device")])

@@ -433,7 +433,7 @@ WITH last AS (SELECT device, arg_max(registers, (ts, l_orderkey, l_linenumber, r
               FROM {POLLS} GROUP BY device),
 sp AS (SELECT s_suppkey AS device, [CAST(trunc(s_acctbal) AS INTEGER), CAST(s_nationkey * 100 AS INTEGER),
                                     CAST(s_suppkey % 1000 AS INTEGER)] AS spr
-       FROM supplier WHERE s_acctbal >= 0)
+       FROM supplier)
 SELECT last.device AS device, {_wide_regs(_S.WATER_PLANT_REGISTERS)}, {_bits(_S.WATER_PLANT_BITS)},
        CASE WHEN sp.device IS NOT NULL THEN coalesce(spr[1], 0) / 100.0::DOUBLE END AS temp_setpoint,
        CASE WHEN sp.device IS NOT NULL THEN coalesce(spr[2], 0) / 100.0::DOUBLE END AS pressure_setpoint,
