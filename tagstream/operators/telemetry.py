@@ -85,11 +85,13 @@ def unpivot_readings(wide: DataFrame, ids: Sequence[str], value_cols: Sequence[s
                      units: Mapping[str, str], decimals: int | None = 3) -> DataFrame:
     """Wide poll -> long readings ``ids..., sensor, value, unit``; booleans
     become 1.0/0.0, values are rounded to ``decimals``."""
-    w = wide.select(*ids, *[F.col(c).cast("double").alias(c) for c in value_cols])
-    long = w.unpivot(list(ids), list(value_cols), "sensor", "value")
-    unit_map = F.create_map(*[F.lit(x) for kv in units.items() for x in kv])
-    v = F.round("value", decimals) if decimals is not None else F.col("value")
-    return long.select(*ids, "sensor", v.alias("value"), F.try_element_at(unit_map, F.col("sensor")).alias("unit"))
+
+    def reading(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return F.struct(F.lit(c).alias("sensor"), (v if decimals is None else F.round(v, decimals)).alias("value"),
+                        F.lit(units.get(c)).cast("string").alias("unit"))
+
+    return wide.select(*ids, F.inline(F.array(*[reading(c) for c in value_cols])))
 
 
 def threshold_alarms(readings: DataFrame, spark: SparkSession, rules: Sequence[tuple],
