@@ -1,6 +1,6 @@
 """Scalar column helpers; all are native Spark expressions."""
 
-from tagstream.functions.scalars import (  # noqa: F401
+from tagstream.functions.scalars import (
     EPOCH_NTZ,
     bit_to_bool,
     bool_to_number,
@@ -19,4 +19,5 @@ from tagstream.functions.scalars import (  # noqa: F401
     ts_to_epoch_ms,
     whitespace_tokens,
 )
-from tagstream.functions.format import sensor_report_line, area_report_line, log_report_line  # noqa: F401
+from tagstream.functions.format import (area_report_line, log_report_line, mean_report_line,  # noqa: F401
+                                         sensor_report_line)

@@ -1,4 +1,6 @@
-"""Report-line formatting (pipe-joined text lines) as Column expressions."""
+"""Report-line formatting (pipe-joined text lines) as Column expressions.
+
+The line texts are fixed values: they must equal what the jobs print."""
 
 from __future__ import annotations
 
@@ -25,8 +27,13 @@ def area_report_line(area="area", sensor="first_sensor", avg="avg_value",
         F.col(area), F.col(sensor), F.col(avg), F.col(count), F.col(ts_ms))
 
 
-def log_report_line(level="level", message="first_message", count="cnt",
-                    ts_ms="max_ts_ms") -> Column:
-    """``LEVEL | count | first message | last ts``."""
-    return F.format_string("%s | %d | %s | %d", F.col(level), F.col(count),
-                           F.col(message), F.col(ts_ms))
+def mean_report_line(ts_ms="max_ts_ms", sensor="sensor", avg="avg_value", count="cnt") -> Column:
+    """``ms | Sensor: s | Avg Value: 12.34 | Count: n``; pass an average
+    already rounded to cents so the text is exact."""
+    return F.format_string("%d | Sensor: %s | Avg Value: %.2f | Count: %d", F.col(ts_ms), F.col(sensor),
+                           F.col(avg), F.col(count))
+
+
+def log_report_line(level="level", count="cnt", ts_ms="max_ts_ms") -> Column:
+    """``LEVEL | Count: n | TS: ms``."""
+    return F.format_string("%s | Count: %d | TS: %d", F.col(level), F.col(count), F.col(ts_ms))

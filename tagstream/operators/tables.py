@@ -2,8 +2,8 @@
 
 ``upsert`` (last write wins) and ``insert_if_absent`` (first write wins) are
 the merge semantics of keyed tables, built from a keyed ``max_by``/``min_by``
-(partial aggregation -- a hot key is reduced map-side), a ``left_anti`` join
-and a union.  The result is a new table state; writing it is the sink's job
+(partial aggregation -- a hot key is reduced map-side) over the union of both
+inputs, or with a ``left_anti`` join.  The result is a new table state; writing it is the sink's job
 (``sinks.files.write_snapshot`` commits it as a whole; ``upsert_into``
 rewrites only the touched partitions of a partitioned table).  Keys are
 primary keys: non-NULL (``pk_violations`` finds rows that break this; such
@@ -44,11 +44,20 @@ def _with_order(batch: DataFrame, cols: Sequence[str], order: Column | str) -> D
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Column | str) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE``: the batch's last row per
     key (by ``order``, e.g. input sequence) replaces the target's row.
-    Re-applying the same batch gives the same table (idempotent)."""
+    Re-applying the same batch gives the same table (idempotent).  One keyed
+    aggregate over both inputs picks each key's row: one scan of each, one
+    shuffle.  The target's keys are unique, as primary keys are; rows whose
+    key has a NULL part all stay."""
     cols = target.columns
-    latest = last_per_key(_with_order(batch, cols, order), keys, "_tg_ord").select(*cols)
-    kept = target.join(latest.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(latest)
+    new = _with_order(batch, cols, order)
+    old = target.select(*cols, F.lit(None).cast(new.schema["_tg_ord"].dataType).alias("_tg_ord"))
+    both = old.withColumn("_tg_new", F.lit(0)).unionByName(new.withColumn("_tg_new", F.lit(1)))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    # a key with a NULL part matches nothing: each such row is its own group
+    both = both.withColumn("_tg_own", F.when(no_key, F.monotonically_increasing_id()))
+    return last_per_key(both, [*keys, "_tg_own"], F.struct("_tg_new", "_tg_ord")).select(*cols)
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str],

@@ -15,11 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagstream.functions.scalars import epoch_ms_to_ts
-from tagstream.operators.running import bucketed_prefix
 
 _UNIT_MS = {"ms": 1, "s": 1000, "us": None}
 
@@ -60,6 +59,17 @@ def sliding(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
     return _flatten(g, keys)
 
 
+def sliding_count(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
+                  out: str = "cnt") -> DataFrame:
+    """Row counts of sliding windows, from panes of one ``slide``: rows are
+    counted per pane first, and only the panes are dealt to the windows that
+    hold them.  Batch only; ``slide`` must divide ``size``."""
+    if _seconds(size) % _seconds(slide):
+        return sliding(df, keys, ts, size, slide, [F.count(F.lit(1)).alias(out)])
+    panes = df.groupBy(*keys, F.window(ts, slide).start.alias("_tg_pane")).agg(F.count(F.lit(1)).alias("_tg_n"))
+    return sliding(panes, keys, "_tg_pane", size, slide, [F.sum("_tg_n").alias(out)])
+
+
 def _seconds(spec: str) -> float:
     n, unit = spec.split()
     unit = unit.lower().rstrip("s")
@@ -94,28 +104,36 @@ def pairwise_avg(df: DataFrame, keys: Sequence[str], ts: str, seq: str, value: s
     exponentially weighted fold over arrival order.  In closed form, with
     ``rn`` the 1-based rank by ``(ts, seq)`` and ``n`` the window's count,
     ``fold = sum(v * 2^(rn - n - 1))`` except the first row weighs
-    ``2^(1 - n)``.  Ranks come from ``bucketed_prefix`` over ``sub_bucket``
-    sub-windows, so no (key, window) is sorted in one piece.  A one-row
-    window returns its value.  Also returns max ts, count and first unit.
+    ``2^(1 - n)``.  Rows are ranked from the end inside ``sub_bucket``
+    sub-windows, each of which folds to one row (weighted sum, count, first
+    row); these few rows are then weighed by the counts that follow them.  So
+    the input is scanned and shuffled once, and no (key, window) is sorted in
+    one piece.  A one-row window returns its value.  Also returns max ts,
+    count and first unit.
     """
-    w = df.withColumn("_tg_ws", F.window(ts, size).start)
+    keys = list(keys)
+    w = df.withColumn("_tg_ws", F.window(ts, size).start).withColumn("_tg_bucket", F.window(ts, sub_bucket).start)
     part = [*keys, "_tg_ws"]
-    ranked = bucketed_prefix(w, part, [ts, seq], F.window(ts, sub_bucket).start,
-                             rank_col="_tg_rn", total_col="_tg_n")
-    expo = F.when(F.col("_tg_rn") == 1, F.lit(1) - F.col("_tg_n")) \
-        .otherwise(F.col("_tg_rn") - F.col("_tg_n") - F.lit(1))
-    weighted = ranked.withColumn("_tg_wv", F.col(value) * F.pow(F.lit(2.0), expo))
-    aggs = [
-        F.sum("_tg_wv").alias("pairwise_avg"),
-        F.max(ts).alias("max_ts"),
-        F.count(F.lit(1)).alias("cnt"),
-    ]
-    if unit:
-        aggs.append(F.min_by(unit, F.struct(ts, seq)).alias("first_unit"))
-    g = weighted.groupBy(*keys, "_tg_ws").agg(*aggs)
+    from_end = Window.partitionBy(*part, "_tg_bucket").orderBy(F.col(ts).desc(), F.col(seq).desc())
+    ranked = w.withColumn("_tg_r", F.row_number().over(from_end))
+    # rank numbers fall along the order: the largest is the sub-window's first
+    firsts = [value] + ([unit] if unit else [])
+    subs = ranked.groupBy(*part, "_tg_bucket").agg(
+        F.sum(F.col(value) * F.pow(F.lit(2.0), -F.col("_tg_r"))).alias("_tg_s"),
+        F.count(F.lit(1)).alias("_tg_c"), F.max(ts).alias("_tg_max"),
+        F.max_by(F.struct(*firsts), "_tg_r").alias("_tg_first"))
+    after = Window.partitionBy(*part).orderBy(F.col("_tg_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    subs = subs.withColumn("_tg_after", F.coalesce(F.sum("_tg_c").over(after), F.lit(0)))
+    g = subs.groupBy(*part).agg(
+        F.sum(F.col("_tg_s") * F.pow(F.lit(2.0), -F.col("_tg_after"))).alias("_tg_fold"),
+        F.max("_tg_max").alias("max_ts"), F.sum("_tg_c").alias("cnt"),
+        F.min_by("_tg_first", "_tg_bucket").alias("_tg_first"))
+    # the first row weighs twice what its rank gives
+    first = F.coalesce(F.col("_tg_first")[value] * F.pow(F.lit(2.0), -F.col("cnt")), F.lit(0.0))
     return g.select(*keys, F.col("_tg_ws").alias("window_start"),
                     (F.col("_tg_ws") + _interval(size)).alias("window_end"),
-                    *[c for c in g.columns if c not in set(keys) | {"_tg_ws"}])
+                    (F.col("_tg_fold") + first).alias("pairwise_avg"), "max_ts", "cnt",
+                    *([F.col("_tg_first")[unit].alias("first_unit")] if unit else []))
 
 
 def first_over_count(df: DataFrame, keys: Sequence[str], ts: str, seq: str,

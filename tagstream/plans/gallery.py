@@ -168,9 +168,7 @@ def tumbling_word_count(spark, sf):
 def sliding_count(spark, sf):
     """W-11/W-14: 10-minute windows every 2 minutes, count per event type."""
     e = I.events(spark, sf)
-    return W.sliding(e, ["event_type"], "ts", "10 minutes", "2 minutes", [
-        F.count(F.lit(1)).alias("cnt"),
-    ])
+    return W.sliding_count(e, ["event_type"], "ts", "10 minutes", "2 minutes")
 
 
 @q("hopping_gapped")
@@ -183,6 +181,41 @@ def hopping_gapped(spark, sf):
     ])
 
 
+@q("ingest_mean_report")
+def ingest_mean_report(spark, sf):
+    """W-03/P-19: JSON readings in 30-minute windows of their arrival time
+    per sensor: latest event time, count, mean as one report line."""
+    r = P.accepted(P.parse_json_readings(I.json_messages(spark, sf)))
+    g = W.tumbling(I.with_arrival(r, "ts_ms", "seq"), ["sensor"], "ingest_ts", "30 minutes", [
+        F.max("ts_ms").alias("max_ts_ms"), F.sum(micros("value_num")).alias("_sum"),
+        F.count(F.lit(1)).alias("cnt")])
+    g = g.withColumn("avg_value", mean_to_cents("_sum", "cnt"))
+    return g.select("sensor", "window_start", fmt.mean_report_line().alias("line"))
+
+
+@q("ingest_log_report")
+def ingest_log_report(spark, sf):
+    """W-06/P-19: log lines in 30-minute windows of their arrival time per
+    level: count and latest event time as one report line."""
+    logs = P.accepted(P.parse_log_lines(I.log_lines(spark, sf)))
+    g = W.tumbling(I.with_arrival(logs, "ts_ms", "seq"), ["level"], "ingest_ts", "30 minutes", [
+        F.max("ts_ms").alias("max_ts_ms"), F.count(F.lit(1)).alias("cnt")])
+    return g.select("level", "window_start", fmt.log_report_line().alias("line"))
+
+
+@q("ingest_word_count")
+def ingest_word_count(spark, sf):
+    """W-09/W-10: count per word and 5-minute window of arrival time."""
+    return W.tumbling(_words_with_ingest(spark, sf), ["word"], "ingest_ts", "5 minutes", [
+        F.sum("n").alias("cnt")])
+
+
+@q("ingest_word_sliding")
+def ingest_word_sliding(spark, sf):
+    """W-11: count per word in 10-minute windows of arrival time every 5."""
+    return W.sliding_count(_words_with_ingest(spark, sf), ["word"], "ingest_ts", "10 minutes", "5 minutes")
+
+
 @q("event_time")
 def event_time(spark, sf):
     """T-01: epoch-ms field -> event-time column."""
@@ -270,6 +303,17 @@ def word_count(spark, sf):
     return TX.word_count(w)
 
 
+def _words_with_ingest(spark, sf):
+    return TX.words(I.doc_arrivals(spark, sf), "text", keep=["doc_id", "ingest_ts"], min_len=2).select(
+        "doc_id", "word", F.lit(1).alias("n"), "ingest_ts")
+
+
+@q("words_with_ingest")
+def words_with_ingest(spark, sf):
+    """P-12: (word, 1, arrival time) of each token longer than 2 characters."""
+    return _words_with_ingest(spark, sf)
+
+
 STOP_WORDS = ["the", "and", "for", "that", "with"]
 
 
@@ -317,6 +361,18 @@ def parse_logs(spark, sf):
     return ok.select("seq", "level", "ts_ms", "message", "n")
 
 
+@q("parse_rejects_logs")
+def parse_rejects_logs(spark, sf):
+    """P-11: rejected log lines with the reason."""
+    return P.rejected(P.parse_log_lines(I.log_lines(spark, sf)), keep=("seq",))
+
+
+@q("parse_rejects_json")
+def parse_rejects_json(spark, sf):
+    """P-11: rejected JSON messages with the reason."""
+    return P.rejected(P.parse_json_readings(I.json_messages(spark, sf)), keep=("seq",))
+
+
 @q("parse_json")
 def parse_json(spark, sf):
     """P-05/P-06: JSON readings of both shapes in one schema."""
@@ -510,6 +566,21 @@ def pk_violations(spark, sf):
     return TB.pk_violations(e, ["event_type", "minute"])
 
 
+@q("pk_violations_single")
+def pk_violations_single(spark, sf):
+    """C-02: a single column used as a key (location code := customer of an
+    order): duplicated keys."""
+    o = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("location_code"))
+    return TB.pk_violations(o, ["location_code"])
+
+
+@q("default_timestamps")
+def default_timestamps(spark, sf):
+    """C-05: readings without a time (the signups) take the batch's stamp."""
+    e = I.events(spark, sf).select("event_id", F.when(F.col("event_type") != "signup", F.col("ts")).alias("record_time"))
+    return TB.stamp_batch(e, "record_time", F.lit("2024-02-01").cast("timestamp_ntz"))
+
+
 @q("decimal_fit")
 def decimal_fit(spark, sf):
     """C-03: prices into decimal(5,2): fitted value or NULL (reject)."""
@@ -615,15 +686,25 @@ def unpivot_readings(spark, sf):
     return TM.unpivot_readings(w, POLL_KEYS, cols, dict(S.POLL_UNITS), decimals=3)
 
 
-@q("threshold_alarms")
-def threshold_alarms(spark, sf):
-    """R-08: readings over their rule limits."""
+def _alarms(spark, sf, rules):
     w = _wide_poll(spark, sf)
     # Only tags that have a rule are unpivoted: the rule join cannot be
     # pushed through the unpivot, so the filter is applied by construction.
-    ruled = sorted({t for t, _op, _lim, _lab in S.THRESHOLD_RULES} & set(w.columns))
+    ruled = sorted({t for t, _op, _lim, _lab in rules} & set(w.columns))
     long = TM.unpivot_readings(w, POLL_KEYS, ruled, dict(S.POLL_UNITS))
-    return TM.threshold_alarms(long, spark, S.THRESHOLD_RULES)
+    return TM.threshold_alarms(long, spark, rules)
+
+
+@q("threshold_alarms")
+def threshold_alarms(spark, sf):
+    """R-08: readings over their rule limits."""
+    return _alarms(spark, sf, S.THRESHOLD_RULES)
+
+
+@q("threshold_alarms_second")
+def threshold_alarms_second(spark, sf):
+    """R-08: the same readings under the second server's limits."""
+    return _alarms(spark, sf, S.SECOND_THRESHOLD_RULES)
 
 
 @q("latest_snapshot")
@@ -781,6 +862,17 @@ def distinct_lines_stream(spark, sf):
     return out
 
 
+@q("stream_static_join")
+def stream_static_join(spark, sf):
+    """J-05: the events as a stream LEFT JOIN the static customer table."""
+    base = scratch_path(spark, "stream_static")
+    e = stream_table(spark, sf, "events").select("event_id", "user_id", "value")
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    j = J.left_join(e, c, "user_id", "c_custkey")
+    return RN.run_to_files(j.select("event_id", "user_id", "value", "c_name", "c_nationkey"),
+                           f"{base}/out", f"{base}/checkpoint")
+
+
 @q("kafka_json_stream")
 def kafka_json_stream(spark, sf):
     """S-06/K-09/P-05 on a stream: the table stream's JSON readings in the

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.functions.scalars import ts_to_epoch_ms
+from tagstream.functions.scalars import epoch_ms_to_ts, ts_to_epoch_ms
 from tagstream.sources.tables import events_as_readings, read_table, spread
 from tagstream.sources.text import split_lines
 
@@ -90,3 +90,14 @@ def doc_texts(spark: SparkSession, sf: str) -> DataFrame:
     gives the same tokens as tokenising their lines (a newline is
     whitespace) without exploding lines first."""
     return spread(read_table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def with_arrival(df: DataFrame, ts_ms: str, seq: str) -> DataFrame:
+    """Adds ``ingest_ts``: rows arrive up to 96 seconds after their event
+    time, by a fixed rule on ``seq`` (a live stream stamps the clock)."""
+    return df.withColumn("ingest_ts", epoch_ms_to_ts(F.col(ts_ms) + F.col(seq) % 97 * 1000))
+
+
+def doc_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """``doc_texts`` with ``ingest_ts``: one document arrives each second."""
+    return doc_texts(spark, sf).withColumn("ingest_ts", epoch_ms_to_ts(F.col("doc_id") * 1000))

@@ -538,3 +538,61 @@ FROM ok GROUP BY ALL"""
 ORACLE["row_count_stream"] = ORACLE["row_count"]
 
 ORACLE["tumbling_pairwise_stream"] = ORACLE["tumbling_pairwise_avg"]
+
+
+# ---------------------------------------------------------------------------
+# Arrival-time windows, reject tables, defaults, the second rule set
+# ---------------------------------------------------------------------------
+
+ORACLE["ingest_mean_report"] = f"""
+WITH g AS (SELECT sensor, {_tb('30 minutes', 'epoch_ms(ts_ms + seq % 97 * 1000)')} AS window_start,
+                  sum(CAST(round(value * 1000000) AS HUGEINT)) AS m, count(*) AS cnt, max(ts_ms) AS max_ts_ms
+           FROM ({ORACLE["parse_json"]}) GROUP BY ALL)
+SELECT sensor, window_start,
+       printf('%d | Sensor: %s | Avg Value: %.2f | Count: %d', max_ts_ms, sensor,
+              sign(m) * ((abs(m) * 2 + cnt * 10000) // (cnt * 20000)) / 100.0, cnt) AS line
+FROM g"""
+
+ORACLE["ingest_log_report"] = f"""
+WITH g AS (SELECT level, {_tb('30 minutes', 'epoch_ms(ts_ms + seq % 97 * 1000)')} AS window_start,
+                  max(ts_ms) AS max_ts_ms, count(*) AS cnt
+           FROM {PARSED_LOGS} GROUP BY ALL)
+SELECT level, window_start, printf('%s | Count: %d | TS: %d', level, cnt, max_ts_ms) AS line FROM g"""
+
+ORACLE["words_with_ingest"] = f"""
+SELECT doc_id, word, 1 AS n, epoch_ms(doc_id * 1000) AS ingest_ts FROM {DOC_WORDS} WHERE length(word) > 2"""
+
+ORACLE["ingest_word_count"] = f"""
+SELECT word, {_tb('5 minutes', 'ingest_ts')} AS window_start,
+       {_tb('5 minutes', 'ingest_ts')} + INTERVAL '5 minutes' AS window_end, count(*) AS cnt
+FROM ({ORACLE["words_with_ingest"]}) GROUP BY ALL"""
+
+ORACLE["ingest_word_sliding"] = f"""
+SELECT word, window_start, window_start + INTERVAL '10 minutes' AS window_end, count(*) AS cnt
+FROM (SELECT word, {_tb('5 minutes', 'ingest_ts')} - to_minutes(unnest([0, 5])) AS window_start
+      FROM ({ORACLE["words_with_ingest"]}))
+GROUP BY ALL"""
+
+ORACLE["parse_rejects_logs"] = f"""
+SELECT seq, value AS raw, CASE WHEN len(string_split(value, '|')) <> 3 THEN 'field_count' ELSE 'bad_ts' END AS reason
+FROM {LOG_LINES}
+WHERE seq NOT IN (SELECT seq FROM {PARSED_LOGS})"""
+
+ORACLE["parse_rejects_json"] = f"""
+SELECT seq, '{{bad ' || CAST(seq AS VARCHAR) AS raw, 'malformed' AS reason
+FROM {JSON_MESSAGES} WHERE shape IS NULL"""
+
+ORACLE["pk_violations_single"] = """
+SELECT o_custkey AS location_code, count(*) AS n, o_custkey IS NULL AS has_null
+FROM orders GROUP BY o_custkey HAVING count(*) > 1 OR o_custkey IS NULL"""
+
+ORACLE["default_timestamps"] = """
+SELECT event_id, CASE WHEN event_type <> 'signup' THEN ts ELSE TIMESTAMP '2024-02-01' END AS record_time
+FROM events"""
+
+ORACLE["threshold_alarms_second"] = ORACLE["threshold_alarms"].replace(
+    RULES, _values(_S.SECOND_THRESHOLD_RULES, ["sensor", "op", '"limit"', "label"]))
+
+ORACLE["stream_static_join"] = """
+SELECT event_id, user_id, value, c_name, c_nationkey
+FROM events LEFT JOIN customer ON user_id = c_custkey"""

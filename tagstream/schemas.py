@@ -152,6 +152,12 @@ THRESHOLD_RULES = [
     ("inlet_pressure", ">", 4.0, "pressure_alarm"),
 ]
 
+# The second device server's rules (its flow limit differs).
+SECOND_THRESHOLD_RULES = [
+    ("flow_rate", ">", 180.0, "flow_alarm"),
+    ("temperature", ">", 30.0, "temp_alarm"),
+]
+
 # Client tag name -> server tag name (the two naming schemes disagree).
 TAG_ALIASES = [
     ("PhLevel", "PhRatio"),

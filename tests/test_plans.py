@@ -59,3 +59,17 @@ def test_dimension_joins_broadcast(spark):
 def test_no_cartesian_products(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_pairwise_fold_scans_and_shuffles_rows_once(spark):
+    text = plan(spark, "tumbling_pairwise_avg")
+    assert len(read_schemas(text)) == 1 and "Join" not in text
+    # the rows by sub-window, then only the folded sub-windows
+    assert len(re.findall(r"\(\d+\) Exchange\n", text)) == 2
+
+
+def test_upsert_scans_each_input_once(spark):
+    text = plan(spark, "upsert_readings")
+    assert len(read_schemas(text)) == 2 and "Join" not in text
+    # one for the stored table of the query, one for the upsert
+    assert len(re.findall(r"\(\d+\) Exchange\n", text)) == 2

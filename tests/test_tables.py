@@ -75,3 +75,20 @@ def test_upsert_into_rewrites_only_touched_partitions(spark, tmp_dir):
     got = sorted((r.sensor, r.hour, r.day, r.value) for r in spark.read.parquet(path).collect())
     assert got == [("s1", 1, "d1", 1.0), ("s1", 2, "d2", 31.0), ("s2", 1, "d1", 2.0), ("s3", 2, "d2", 5.0)]
     assert sorted(os.listdir(f"{path}/day=d1")) == d1_before
+
+
+def test_upsert_keeps_rows_without_a_key(spark):
+    schema = "k string, v int"
+    target = spark.createDataFrame([("a", 1), (None, 2), (None, 3), ("b", 4)], schema)
+    batch = spark.createDataFrame([("a", 5, 1), (None, 6, 2), ("c", 7, 3), ("c", 8, 4)], schema + ", seq long")
+    out = TB.upsert(target, batch, ["k"], "seq")
+    assert out.columns == ["k", "v"]
+    assert sorted((r.k or "", r.v) for r in out.collect()) == [("", 2), ("", 3), ("", 6), ("a", 5), ("b", 4), ("c", 8)]
+
+
+def test_upsert_of_empty_inputs(spark):
+    schema = "k string, v int"
+    rows, none = spark.createDataFrame([("a", 1)], schema), spark.createDataFrame([], schema)
+    empty_batch = spark.createDataFrame([], schema + ", seq long")
+    assert [tuple(r) for r in TB.upsert(rows, empty_batch, ["k"], "seq").collect()] == [("a", 1)]
+    assert TB.upsert(none, empty_batch, ["k"], "seq").collect() == []

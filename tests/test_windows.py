@@ -96,3 +96,11 @@ def test_gapped_is_subset_of_tumbling_by_slide(spark):
     t = W.tumbling(df, ["event_type"], "ts", "5 minutes", [F.count(F.lit(1)).alias("m")])
     j = g.join(t, ["event_type", "window_start"])
     assert j.count() == g.count() and j.where("n > m").count() == 0
+
+
+def test_sliding_count_by_panes_equals_sliding(spark):
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for size, slide in (("10 minutes", "2 minutes"), ("10 minutes", "4 minutes")):
+        got = W.sliding_count(e, ["event_type"], "ts", size, slide)
+        want = W.sliding(e, ["event_type"], "ts", size, slide, [F.count(F.lit(1)).alias("cnt")])
+        assert sorted(got.collect()) == sorted(want.collect())
