@@ -14,13 +14,13 @@ SF = "/root/testdata/sf0.001"
 STREAMS = ["stream_tumbling", "file_sink_roundtrip", "running_sum_stream", "distinct_lines_stream",
            "kafka_json_stream", "running_sum_stream_batches", "area_window_report_stream",
            "distinct_lines_exact_stream", "log_levels_stream", "sensor_lines_stream", "row_count_stream",
-           "tumbling_pairwise_stream"]
+           "tumbling_pairwise_stream", "stream_static_join"]
 
 
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("tables"))
-    for name, key in (("events", "event_id"), ("documents", "doc_id")):
+    for name, key in (("events", "event_id"), ("documents", "doc_id"), ("customer", "c_custkey")):
         spark.read.parquet(f"{SF}/{name}.parquet").repartitionByRange(4, key).sortWithinPartitions(key).write.parquet(
             f"{base}/{name}.parquet")
     return base
@@ -36,7 +36,7 @@ def test_folder_tables_give_the_rows_of_file_tables(spark, folder, name):
 
 
 @pytest.mark.parametrize("name", ["stream_tumbling", "log_levels_stream", "sensor_lines_stream", "row_count_stream",
-                                  "distinct_lines_stream", "distinct_lines_exact_stream"])
+                                  "distinct_lines_stream", "distinct_lines_exact_stream", "stream_static_join"])
 def test_one_file_per_micro_batch(spark, folder, name, monkeypatch):
     whole = rows(G.GALLERY[name](spark, SF))
     monkeypatch.setattr(G, "stream_table", lambda s, d, t: SRC.stream_table(s, d, t, 1))
