@@ -3,12 +3,12 @@
 Each document's character-class histogram and common-word histogram are
 compared with those of its nearest language reference by Jensen-Shannon
 distance.  References are summed over *all* documents of the language that
-pass the base rules; word histograms have minimum-length guards.  A document
-goes when it fails the base rules or lies too far from every reference.
+pass the base rules.  A document goes when it fails the base rules or lies too
+far from every reference; how far is too far depends on its length.
 
-Two passes read the texts: one sums the reference histograms (a few hundred
-numbers per language come to the driver), one judges each row.  Neither pass
-shuffles a text.
+Three passes read the texts: one sums the reference histograms (a few hundred
+numbers per language come to the driver), one takes the spread of the distances
+to them (one histogram), one judges each row.  None shuffles a text.
 
 Defined cases: a null text is the empty text (no words, so it fails the base
 rules); ties and repeated rows are judged alike, each row on its own; an empty
@@ -39,11 +39,17 @@ COMMON_WORDS = {
 #: Base rules.
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Largest distances from the nearest reference that are kept.
-MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.33
-#: The common-word histogram is judged from this many words on.
-MIN_WORDS_FOR_WORDS = 160
+#: Largest squared distance from the nearest reference that is kept: floor +
+#: slope / length, up to a largest value.  A short text scatters more (its bins
+#: hold few counts, and one address or key in it moves a share of 1 / length).
+#: Chosen from the spread over all documents of the given tables.  Characters:
+CHAR_FLOOR, CHAR_SLOPE, CHAR_MOST = 0.0145, 24, 0.30 ** 2
+#: Common words (length in words):
+WORD_FLOOR, WORD_SLOPE, WORD_MOST = 0.105, 3, 0.383 ** 2
+#: The floor for characters is at least this many times the median squared
+#: distance of all documents from their nearest references.
+SPREAD = 1.2
+SPREAD_BINS = 2000
 
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 SPACES = b" \t\n\x0b\x0c\r"
@@ -114,16 +120,19 @@ def base_fails(n_words: int, n_repeat: int) -> bool:
     return n_words < MIN_WORDS or 100 * n_repeat > MAX_REPEAT_PERCENT * n_words
 
 
+def char_histogram(data: bytes) -> np.ndarray:
+    return (np.bincount(np.frombuffer(data, np.uint8), minlength=256) @ CLASS_OF_BYTE)[:7]
+
+
 def histograms(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Character-class counts and common-word counts (last bin: all others)."""
     data = text.encode("utf-8", "surrogatepass")
-    chars = np.bincount(np.frombuffer(data, np.uint8), minlength=256) @ CLASS_OF_BYTE
     words = data.translate(_WORD_ONLY).split()
     index = _VOCAB_INDEX
     found = [index[w] for w in words if w in index]
     counts = np.bincount(found, minlength=len(VOCAB) + 1) if found else np.zeros(len(VOCAB) + 1, np.int64)
     counts[-1] = len(words) - len(found)
-    return chars[:7], counts
+    return char_histogram(data), counts
 
 
 def js_distance(counts: np.ndarray, refs: np.ndarray) -> np.ndarray:
@@ -142,7 +151,14 @@ def js_distance(counts: np.ndarray, refs: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((kl(p, m) + kl(refs, m)) / 2, 0, 1))
 
 
-def language_references(docs: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
+class References(dict):
+    """Language -> summed histograms.  ``spread``: median squared character
+    distance of all documents from their nearest references."""
+
+    spread = 0.0
+
+
+def language_references(docs: DataFrame) -> References:
     """Summed histograms of all documents per known language.  Each task
     returns one small row per language, so what reaches the driver is bounded
     by the word table, not by the corpus."""
@@ -167,28 +183,54 @@ def language_references(docs: DataFrame) -> dict[str, tuple[list[int], list[int]
     out = {lang: np.zeros(width, np.int64) for lang in langs}
     for r in parts.groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect():  # at most langs x width rows
         out[r["lang"]][r["bin"]] = r["n"]
-    return {k: (v[:7].tolist(), v[7:].tolist()) for k, v in out.items() if v.any()}
+    refs = References({k: (v[:7].tolist(), v[7:].tolist()) for k, v in out.items() if v.any()})
+    refs.spread = _spread(known, refs) if refs else 0.0
+    return refs
+
+
+def _spread(known: DataFrame, refs: References) -> float:
+    """Median squared character distance of all documents with enough words;
+    at most ``SPREAD_BINS`` + 1 rows are gathered."""
+    schema = pa.schema([("bin", pa.int32()), ("n", pa.int64())])
+
+    def make():
+        judge = Judge(refs)
+
+        def fn(batch):
+            counts = np.zeros(SPREAD_BINS + 1, np.int64)
+            for text in batch.column(0).to_pylist():
+                data = text.encode("utf-8", "surrogatepass")
+                if len(data.split()) >= MIN_WORDS:
+                    counts[int(js_distance(char_histogram(data), judge.chars).min() ** 2 * SPREAD_BINS)] += 1
+            bins = np.flatnonzero(counts)
+            return record_batch(schema, [bins.astype(np.int32), counts[bins]])
+        return fn
+
+    parts = arrow_map(known, "bin int, n long", make).groupBy("bin").agg(F.sum("n").alias("n"))
+    at, n = np.array(sorted((r["bin"], r["n"]) for r in parts.collect())).T
+    return (float(at[np.searchsorted(np.cumsum(n), n.sum() / 2)]) + 0.5) / SPREAD_BINS
 
 
 class Judge:
     """Verdict on one text under given references."""
 
-    def __init__(self, refs: dict, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE,
-                 min_words_for_words: int = MIN_WORDS_FOR_WORDS):
+    def __init__(self, refs: dict):
         norm = [[np.array(h, float) / max(1, sum(h)) for h in refs[k]] for k in sorted(refs)]
         self.chars = np.array([x[0] for x in norm])
         self.words = np.array([x[1] for x in norm])
-        self.max_char, self.max_word, self.min_words = max_char, max_word, min_words_for_words
+        self.floor = max(CHAR_FLOOR, SPREAD * getattr(refs, "spread", 0.0))
 
-    def distances(self, text: str) -> tuple[float, float]:
+    def distances(self, text: str) -> tuple[float, float, float, float]:
+        """Distances by characters and by words, and the largest ones kept."""
         if not len(self.chars):
-            return 0.0, 0.0
+            return 0.0, 0.0, 1.0, 1.0
         chars, words = histograms(text)
-        far = js_distance(words, self.words).min() if words.sum() >= self.min_words else 0.0
-        return float(js_distance(chars, self.chars).min()), float(far)
+        return (float(js_distance(chars, self.chars).min()), float(js_distance(words, self.words).min()),
+                min(max(CHAR_MOST, self.floor), self.floor + CHAR_SLOPE / max(1, chars.sum())) ** 0.5,
+                min(WORD_MOST, WORD_FLOOR + WORD_SLOPE / max(1, words.sum())) ** 0.5)
 
-    def keeps(self, far: tuple[float, float]) -> bool:
-        return far[0] <= self.max_char and far[1] <= self.max_word
+    def keeps(self, far: tuple[float, float, float, float]) -> bool:
+        return far[0] <= far[2] and far[1] <= far[3]
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

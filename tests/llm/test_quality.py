@@ -81,3 +81,24 @@ def test_awkward_rows(spark):
     assert Q.quality(empty_docs(spark)).count() == 0 and Q.keep_good(empty_docs(spark)).count() == 0
     plain = docs_frame(spark, ["alpha beta gamma " + " ".join(f"w{k}" for k in range(60))])
     assert [r["kept"] for r in Q.quality(plain.withColumn("lang", plain["source"])).collect()] == [True]
+
+
+def test_bounds_follow_the_length(spark):
+    refs = Q.language_references(spark.read.parquet(f"{SF}/documents.parquet"))
+    judge = Q.Judge(refs)
+    assert 0.01 < refs.spread < 0.015
+    bounds = [judge.distances(" ".join(f"the of and river{k}" for k in range(n)))[2:] for n in (15, 40, 200, 2000)]
+    assert all(a[0] > b[0] and a[1] >= b[1] for a, b in zip(bounds, bounds[1:]))
+    # no function words: judged under 160 words too
+    assert not judge.keeps(judge.distances(" ".join(f"river{'abcdefgh'[k % 8]}" for k in range(120))))
+    # where the references are spread wider, the bound is wider
+    refs.spread = 0.05
+    assert np.isclose(Q.Judge(refs).floor, 0.06)
+
+
+def test_kept_share_of_bad_documents_at_a_larger_size(spark):
+    sf = "/root/testdata/sf0.1"
+    got = by_id(Q.quality(spark.read.parquet(f"{sf}/documents.parquet")))
+    labels = [x for x in table("labels", sf) if not got[x["doc_id"]]["base_failed"]]
+    assert all(got[x["doc_id"]]["kept"] for x in labels if x["quality"] == 1)
+    assert np.mean([got[x["doc_id"]]["kept"] for x in labels if x["quality"] == 0]) < 0.34
