@@ -10,7 +10,10 @@ Only urls and links are shuffled, never a page.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path,
 fits no rule, has no aliases and is allowed; a null page has no links; equal
-urls (after lower-casing the host and dropping the fragment) are one vertex;
+urls (after lower-casing the host, dropping the fragment, removing dot segments
+and reading an empty path as ``/``) are one vertex; relative links are resolved
+against the page's ``<base>`` or else its url; links of schemes without ``//``
+(``mailto:``) are none;
 links to urls outside the table still join components; repeated rows get equal
 results; an empty table gives an empty result; other columns are ignored.
 """
@@ -48,12 +51,42 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
+def without_dots(path: Column) -> Column:
+    """The path without its ``.`` and ``..`` segments; an empty one is ``/``."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(
+            x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    whole = F.concat(F.lit("/"), F.array_join(kept, "/"),
+                     F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
+    return F.when(path == "", "/").when(path.rlike(r"/\.\.?(/|$)"), whole).otherwise(path)
+
+
 def vertex_of(url: Column) -> Column:
-    """The url without its fragment, host in lower case; null without ://."""
+    """The url without its fragment and dot segments, host in lower case, at
+    least ``/`` as its path; null without ://."""
     bare = F.regexp_replace(url, r"(?s)#.*$", "")
     scheme = F.lower(F.regexp_extract(bare, r"^(?s:.*?)://", 0))
     return F.when(F.instr(bare, "://") > 0, F.concat(
-        scheme, host_of(bare), F.regexp_replace(bare, r"^(?s:.*?)://[^/?#]*", "")))
+        scheme, host_of(bare), without_dots(path_of(bare)),
+        F.regexp_replace(bare, r"^(?s:.*?)://[^?]*", "")))
+
+
+def resolve(target: Column, base: Column) -> Column:
+    """The absolute url of a link on a page with url ``base``; null without a
+    target or where it has a scheme but no ``//``."""
+    origin = F.regexp_extract(base, r"^(?s:.*?)://[^/?#]*", 0)
+    path = path_of(base)
+    folder = F.regexp_extract(path, r"^(?s:.*/)", 0)
+    return (F.when(target == "", None)
+            .when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), target)
+            .when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*:"), None)
+            .when(target.startswith("//"), F.concat(F.regexp_extract(base, r"^(?s:.*?:)(?=//)", 0), target))
+            .when(target.startswith("/"), F.concat(origin, target))
+            .when(target.startswith("?"), F.concat(origin, path, target))
+            .when(target.startswith("#"), base)
+            .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), target)))
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -63,20 +96,22 @@ def _attribute(tag: Column, name: str) -> Column:
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(a, b): vertices of a page and of its canonical or redirect target.
-    Targets are absolute, start with // or start with /."""
-    tags = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(
+    Relative targets are resolved against the page's base."""
+    html = F.coalesce("html", F.lit(""))
+    tags = F.regexp_extract_all(html, F.lit(
         r"(?is)(<(?:link|meta)\b[^>]*\b(?:canonical|refresh)\b[^>]*>)"), 1)
-    t = materialize(pages.select("url", F.explode(tags).alias("tag")), "link-tags")
+    base = F.regexp_extract(html, r"(?is)<base\b[^>]*\shref\b[^>]*>", 0).alias("base")
+    t = materialize(pages.select(F.col("url").cast("string").alias("url"), base, F.explode(tags).alias("tag")),
+                    "link-tags")
     canonical = F.when(F.lower(_attribute(F.col("tag"), "rel")) == "canonical", _attribute(F.col("tag"), "href"))
     refresh = F.when(F.lower(_attribute(F.col("tag"), "http-equiv")) == "refresh", F.regexp_extract(
         _attribute(F.col("tag"), "content"), r"(?i)url\s*=\s*['\"]?([^'\"\s]+)", 1))
-    t = materialize(t.select("url", F.coalesce(canonical, refresh).alias("to"),
-                             F.regexp_extract("url", r"^(?s:.*?)://", 0).alias("scheme"),
-                             F.regexp_extract("url", r"^(?s:.*?)://[^/?#]*", 0).alias("origin")), "link-targets")
-    target = (F.when(F.instr("to", "://") > 0, F.col("to"))
-              .when(F.col("to").startswith("//"), F.concat(F.regexp_replace("scheme", "//$", ""), F.col("to")))
-              .when(F.col("to").startswith("/"), F.concat("origin", "to")))
-    t = materialize(t.where("scheme <> ''").select("url", target.alias("to")), "link-ends")
+    t = materialize(t.where(F.instr("url", "://") > 0).select(
+        "url", F.coalesce(canonical, refresh).alias("to"), _attribute(F.col("base"), "href").alias("base")),
+        "link-targets")
+    t = materialize(t.select("url", "to", F.coalesce(resolve(F.col("base"), F.col("url")), "url").alias("base")),
+                    "link-bases")
+    t = materialize(t.select("url", resolve(F.col("to"), F.col("base")).alias("to")), "link-ends")
     return t.select(vertex_of(F.col("url")).alias("a"), vertex_of(F.col("to")).alias("b"))
 
 

@@ -1,3 +1,5 @@
+from urllib.parse import urljoin
+
 import __spark_entry__ as E
 from tagstream.llm import urls
 from tests.llm.helpers import SF, table
@@ -81,3 +83,31 @@ def test_hosts_and_paths(spark):
 
 def test_empty_table(spark):
     assert urls.judge(frame(spark, [])).count() == 0
+
+
+def test_relative_links_are_resolved(spark):
+    base = "http://a.example.net/x/y/page.html?q=/../1#f"
+    targets = ["page2.html", "../z", "?p=2", "./", ".", "..", "../../../es/1", "q/./r/../s?u=/a/../b", "//h.org", "//h.org?x",
+               "/a/../b/.", "/login?u=http://z.org/", "go?u=http://z.org/..", "http://o.org", "#top",
+               "...", "a..b/.c"]
+    rows = [(base, canonical(f"{t}")) for t in targets] + [(base, refresh(t)) for t in targets]
+    got = {(r["a"], r["b"]) for r in urls.page_links(spark.createDataFrame(rows, "url string, html string")).collect()}
+
+    def bare(url):
+        head, mark, query = url.split("#")[0].partition("?")
+        return head + "/" * (head.count("/") == 2) + mark + query
+    want = {(bare(base), bare(urljoin(base, t))) for t in targets}
+    assert got == want
+    odd = [(base, canonical("http://o.org/a/./b/../c")), (base, canonical("mailto:x@y")), (base, "<link rel=canonical>"), ("http://h", canonical("p")), (None, canonical("p")),
+           (base, "<base href='/en/'>" + canonical("p?x")), ("http://h?q", canonical("../.."))]
+    got = urls.page_links(spark.createDataFrame(odd, "url string, html string")).collect()
+    assert {(r["a"], r["b"]) for r in got if r["b"]} == {
+        (bare(base), "http://o.org/a/c"), ("http://h/", "http://h/p"), (bare(base), "http://a.example.net/en/p?x"), ("http://h/?q", "http://h/")}
+
+
+def test_relative_links_carry_block(spark):
+    rows = [(1, "http://f.example.net/de/p", refresh("../es/other")), (2, "http://g.org", canonical("http://f.example.net/fr/1")),
+            (3, "http://k.org/a", canonical("HTTP://G.org/")), (4, "http://k.org/b", canonical("x/../../a")),
+            (5, "http://k.org/c/d", canonical("e"))]
+    assert {r["page_id"]: r["verdict"] for r in urls.judge(frame(spark, rows)).collect()} == {
+        1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
