@@ -8,14 +8,17 @@ far from every reference; how far is too far depends on its length.
 
 Three passes read the texts: one sums the reference histograms (a few hundred
 numbers per language come to the driver), one takes the spread of the distances
-to them (one histogram), one judges each row.  None shuffles a text.
+to them (a histogram for the languages with a word list and one for each other),
+one judges each row.  None shuffles a text.
 
 Defined cases: a null text is the empty text (no words, so it fails the base
 rules); ties and repeated rows are judged alike, each row on its own; an empty
 table gives an empty result; other columns are carried through a filter
-untouched, whatever their names; a null or unknown language counts to no
-reference and is compared with all; without any reference (no document passes
-the base rules) only the base rules decide.
+untouched, whatever their names; a document is compared with the references of
+all languages that have a word list, and where its own language has none, also
+with that one's, by characters only; null counts as a language without a word
+list, and a language's reference is no shelter for documents of others; without
+any reference (no document passes the base rules) only the base rules decide.
 """
 
 from __future__ import annotations
@@ -152,81 +155,115 @@ def js_distance(counts: np.ndarray, refs: np.ndarray) -> np.ndarray:
 
 
 class References(dict):
-    """Language -> summed histograms.  ``spread``: median squared character
-    distance of all documents from their nearest references."""
+    """Language -> summed histograms.  ``spread``: group of languages (see
+    ``group_of``) -> median squared character distance of all its documents
+    from their nearest references."""
 
-    spread = 0.0
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.spread: dict[str, float] = {}
+
+
+#: The group of the languages with a word list.
+LISTED = "en"
+
+
+def group_of(lang: str) -> str:
+    """Languages with a word list are compared as one group, others alone."""
+    return LISTED if lang in COMMON_WORDS else lang
+
+
+def language(name: str = "lang"):
+    """The language column with null as the empty string."""
+    return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
 def language_references(docs: DataFrame) -> References:
-    """Summed histograms of all documents per known language.  Each task
-    returns one small row per language, so what reaches the driver is bounded
-    by the word table, not by the corpus."""
-    langs = list(COMMON_WORDS)
+    """Summed histograms of all documents per language.  Each task returns
+    small rows per language, so what reaches the driver is bounded by the word
+    table and the number of languages, not by the corpus."""
     width = 7 + len(VOCAB) + 1
     schema = pa.schema([("lang", pa.string()), ("bin", pa.int32()), ("n", pa.int64())])
 
     def make():
         def fn(batch):
-            sums = np.zeros((len(langs), width), np.int64)
+            sums: dict[str, np.ndarray] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = text.encode("utf-8", "surrogatepass").split()
                 if len(words) < MIN_WORDS or base_fails(len(words), repeat_words(words)):
                     continue
-                sums[langs.index(lang)] += np.concatenate(histograms(text))
-            rows, bins = np.nonzero(sums)
-            return record_batch(schema, [[langs[r] for r in rows], bins.astype(np.int32), sums[rows, bins]])
+                sums[lang] = sums.get(lang, 0) + np.concatenate(histograms(text))
+            langs = list(sums)
+            rows, bins = np.nonzero(np.array([sums[k] for k in langs]).reshape(-1, width))
+            counts = [int(sums[langs[r]][b]) for r, b in zip(rows, bins)]
+            return record_batch(schema, [[langs[r] for r in rows], bins.astype(np.int32), counts])
         return fn
 
-    known = docs.select(whole_text().alias("text"), F.col("lang")).where(F.col("lang").isin(langs))
-    parts = arrow_map(known, "lang string, bin int, n long", make)
-    out = {lang: np.zeros(width, np.int64) for lang in langs}
+    rows = docs.select(whole_text().alias("text"), language().alias("lang"))
+    parts = arrow_map(rows, "lang string, bin int, n long", make)
+    out: dict[str, np.ndarray] = {}
     for r in parts.groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect():  # at most langs x width rows
-        out[r["lang"]][r["bin"]] = r["n"]
+        out.setdefault(r["lang"], np.zeros(width, np.int64))[r["bin"]] = r["n"]
     refs = References({k: (v[:7].tolist(), v[7:].tolist()) for k, v in out.items() if v.any()})
-    refs.spread = _spread(known, refs) if refs else 0.0
+    refs.spread = _spread(rows, refs) if refs else {}
     return refs
 
 
-def _spread(known: DataFrame, refs: References) -> float:
-    """Median squared character distance of all documents with enough words;
-    at most ``SPREAD_BINS`` + 1 rows are gathered."""
-    schema = pa.schema([("bin", pa.int32()), ("n", pa.int64())])
+def _spread(rows: DataFrame, refs: References) -> dict[str, float]:
+    """Median squared character distance of all documents with enough words,
+    by group; at most ``SPREAD_BINS`` + 1 rows a group are gathered."""
+    schema = pa.schema([("lang", pa.string()), ("bin", pa.int32()), ("n", pa.int64())])
 
     def make():
         judge = Judge(refs)
 
         def fn(batch):
-            counts = np.zeros(SPREAD_BINS + 1, np.int64)
-            for text in batch.column(0).to_pylist():
-                data = text.encode("utf-8", "surrogatepass")
-                if len(data.split()) >= MIN_WORDS:
-                    counts[int(js_distance(char_histogram(data), judge.chars).min() ** 2 * SPREAD_BINS)] += 1
-            bins = np.flatnonzero(counts)
-            return record_batch(schema, [bins.astype(np.int32), counts[bins]])
+            counts: dict[tuple[str, int], int] = {}
+            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                data, near = text.encode("utf-8", "surrogatepass"), judge.references_for(lang)
+                if len(near) and len(data.split()) >= MIN_WORDS:
+                    far = js_distance(char_histogram(data), near).min()
+                    key = group_of(lang), int(far * far * SPREAD_BINS)
+                    counts[key] = counts.get(key, 0) + 1
+            return record_batch(schema, [[k[0] for k in counts], [k[1] for k in counts], list(counts.values())])
         return fn
 
-    parts = arrow_map(known, "bin int, n long", make).groupBy("bin").agg(F.sum("n").alias("n"))
-    at, n = np.array(sorted((r["bin"], r["n"]) for r in parts.collect())).T
-    return (float(at[np.searchsorted(np.cumsum(n), n.sum() / 2)]) + 0.5) / SPREAD_BINS
+    parts = arrow_map(rows, "lang string, bin int, n long", make).groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    bins: dict[str, list[tuple[int, int]]] = {}
+    for r in parts.collect():
+        bins.setdefault(r["lang"], []).append((r["bin"], r["n"]))
+    out = {}
+    for lang, found in bins.items():
+        at, n = np.array(sorted(found)).T
+        out[lang] = (float(at[np.searchsorted(np.cumsum(n), n.sum() / 2)]) + 0.5) / SPREAD_BINS
+    return out
 
 
 class Judge:
     """Verdict on one text under given references."""
 
     def __init__(self, refs: dict):
-        norm = [[np.array(h, float) / max(1, sum(h)) for h in refs[k]] for k in sorted(refs)]
-        self.chars = np.array([x[0] for x in norm])
-        self.words = np.array([x[1] for x in norm])
-        self.floor = max(CHAR_FLOOR, SPREAD * getattr(refs, "spread", 0.0))
-
-    def distances(self, text: str) -> tuple[float, float, float, float]:
+        norm = {k: [np.array(h, float) / max(1, sum(h)) for h in v] for k, v in refs.items()}
+        listed = sorted(set(refs) & set(COMMON_WORDS))
+        self.chars = np.array([norm[k][0] for k in listed]).reshape(-1, 7)
+        self.words = np.array([norm[k][1] for k in listed]).reshape(-1, len(VOCAB) + 1)
+        self.own = {k: np.vstack([self.chars, norm[k][0]]) for k in refs if k not in COMMON_WORDS}
+        self.floors = {k: max(CHAR_FLOOR, SPREAD * v) for k, v in getattr(refs, "spread", {}).items()}
+
+    def references_for(self, lang: str) -> np.ndarray:
+        """The character references that a document of ``lang`` is held against."""
+        return self.own.get(lang, self.chars)
+
+    def distances(self, text: str, lang: str = LISTED) -> tuple[float, float, float, float]:
         """Distances by characters and by words, and the largest ones kept."""
-        if not len(self.chars):
+        refs = self.references_for(lang)
+        if not len(refs):
             return 0.0, 0.0, 1.0, 1.0
         chars, words = histograms(text)
-        return (float(js_distance(chars, self.chars).min()), float(js_distance(words, self.words).min()),
-                min(max(CHAR_MOST, self.floor), self.floor + CHAR_SLOPE / max(1, chars.sum())) ** 0.5,
+        floor = self.floors.get(group_of(lang), CHAR_FLOOR)
+        by_words = lang in COMMON_WORDS and len(self.words)
+        return (float(js_distance(chars, refs).min()), float(js_distance(words, self.words).min()) if by_words else 0.0,
+                min(max(CHAR_MOST, floor), floor + CHAR_SLOPE / max(1, chars.sum())) ** 0.5,
                 min(WORD_MOST, WORD_FLOOR + WORD_SLOPE / max(1, words.sum())) ** 0.5)
 
     def keeps(self, far: tuple[float, float, float, float]) -> bool:
@@ -237,7 +274,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Per row: id, the base counts, both distances (rounded to 6 places),
     ``base_failed`` and ``kept``."""
     refs = language_references(docs)
-    rows = docs.select(F.col(id_col).alias("doc_id"), whole_text().alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), whole_text().alias("text"), language().alias("lang"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     out = (f"doc_id {id_type}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
            "n_repeat_words long, char_distance double, word_distance double, base_failed boolean, kept boolean")
@@ -247,10 +284,10 @@ def quality(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
         def fn(batch):
             cols: list[list] = [[] for _ in range(9)]
-            for text in batch.column(1).to_pylist():
+            for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 m = measure(text)
                 failed = base_fails(m[0], m[4])
-                far = judge.distances(text)
+                far = judge.distances(text, lang)
                 for c, v in zip(cols, (*m, round(far[0], 6), round(far[1], 6), failed,
                                        not failed and judge.keeps(far))):
                     c.append(v)
@@ -265,17 +302,19 @@ def quality(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, all columns as they were."""
     refs = language_references(docs)
-    at = docs.columns.index("text")
+    at, lang_at = docs.columns.index("text"), docs.columns.index("lang")
 
     def make():
         judge = Judge(refs)
 
-        def good(text):
+        def good(text, lang):
             words = (text or "").encode("utf-8", "surrogatepass").split()
-            return not base_fails(len(words), repeat_words(words)) and judge.keeps(judge.distances(text))
+            return not base_fails(len(words), repeat_words(words)) and judge.keeps(
+                judge.distances(text, "" if lang is None else str(lang)))
 
         def fn(batch):
-            return batch.filter(pa.array([good(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+            rows = zip(batch.column(at).to_pylist(), batch.column(lang_at).to_pylist())
+            return batch.filter(pa.array([good(*r) for r in rows], pa.bool_()))
         return fn
 
     return arrow_map(docs, docs.schema, make)

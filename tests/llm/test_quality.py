@@ -86,14 +86,14 @@ def test_awkward_rows(spark):
 def test_bounds_follow_the_length(spark):
     refs = Q.language_references(spark.read.parquet(f"{SF}/documents.parquet"))
     judge = Q.Judge(refs)
-    assert 0.01 < refs.spread < 0.015
+    assert set(refs.spread) == {Q.LISTED} and 0.01 < refs.spread[Q.LISTED] < 0.015
     bounds = [judge.distances(" ".join(f"the of and river{k}" for k in range(n)))[2:] for n in (15, 40, 200, 2000)]
     assert all(a[0] > b[0] and a[1] >= b[1] for a, b in zip(bounds, bounds[1:]))
     # no function words: judged under 160 words too
     assert not judge.keeps(judge.distances(" ".join(f"river{'abcdefgh'[k % 8]}" for k in range(120))))
     # where the references are spread wider, the bound is wider
-    refs.spread = 0.05
-    assert np.isclose(Q.Judge(refs).floor, 0.06)
+    refs.spread = {Q.LISTED: 0.05}
+    assert np.isclose(Q.Judge(refs).floors[Q.LISTED], 0.06)
 
 
 def test_kept_share_of_bad_documents_at_a_larger_size(spark):
@@ -102,3 +102,17 @@ def test_kept_share_of_bad_documents_at_a_larger_size(spark):
     labels = [x for x in table("labels", sf) if not got[x["doc_id"]]["base_failed"]]
     assert all(got[x["doc_id"]]["kept"] for x in labels if x["quality"] == 1)
     assert np.mean([got[x["doc_id"]]["kept"] for x in labels if x["quality"] == 0]) < 0.34
+
+
+def test_languages_without_a_word_list_are_kept(spark):
+    given = [(d["doc_id"], d["text"], d["lang"]) for d in table("documents")[:200]]
+    letters = np.random.default_rng(7).integers(0x430, 0x450, (60, 220, 8))
+    cyrillic = [" ".join("".join(map(chr, w[:3 + j % 6])) for j, w in enumerate(text)) for text in letters]
+    junk = "| # $ % & < > * " * 40 + " ".join(f"|{k}#" for k in range(300))
+    docs = given + [(f"{lang}{k}", t, lang) for k, t in enumerate(cyrillic) for lang in ("ru", None)]
+    docs += [(f"junk-{lang}", junk, lang) for lang in ("ru", None, "en", "zz")]
+    docs = spark.createDataFrame([(str(i), t, lang) for i, t, lang in docs], "doc_id string, text string, lang string")
+    got = by_id(Q.quality(docs))
+    assert all(got[f"{lang}{k}"]["kept"] for k in range(60) for lang in ("ru", None))
+    assert not any(got[f"junk-{lang}"]["kept"] for lang in ("ru", None, "en"))  # zz has no other document
+    assert set(by_id(Q.keep_good(docs))) == {i for i, r in got.items() if r["kept"]}
