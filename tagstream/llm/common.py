@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
@@ -92,3 +93,34 @@ def make_folder(uri: str) -> str:
 def input_tasks(df: DataFrame, rows: int) -> DataFrame:
     """One row per task, for small frames whose every row is a file."""
     return df.repartition(max(1, rows))
+
+
+def per_block(rows: DataFrame, n_blocks: int, order: list[str], write: Callable[[pa.Table], str]) -> list[tuple[int, str]]:
+    """Call ``write(table)`` with the rows of every block (column ``block``,
+    of bounded size), sorted, in a task; the (block, file name) pairs.  Only
+    the names that successful attempts return count."""
+    names = rows.columns
+    dealt = rows.repartition(n_blocks, "block").sortWithinPartitions("block", *order)
+
+    def run(batches):
+        held, block = [], None
+
+        def done():
+            return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()),
+                                               "file": [write(pa.Table.from_batches(held))]})
+
+        for batch in batches:
+            ids = batch.column(names.index("block")).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if held and ids[a] != block:
+                    yield done()
+                    held = []
+                block = int(ids[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield done()
+
+    return sorted((r["block"], r["file"]) for r in dealt.mapInArrow(run, "block int, file string").collect())

@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagstream.llm.common import attempt_name, filesystem, make_folder, map_file, whole_text
+from tagstream.llm.common import attempt_name, filesystem, make_folder, map_file, per_block, whole_text
 from tagstream.session import materialize, scratch_path
 
 #: Positions that a task handles at a time.
@@ -60,6 +60,9 @@ CACHE_WORDS = 400_000
 #: Multipliers that deal first pairs of codes to blocks (in SQL and numpy alike).
 _DEAL = (40_503, 30_011)
 
+#: Bits of a trie's digit, and children of the nodes that are placed at once.
+_DIGIT, _FEW = 8, 12
+
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _TO_BREAK = bytes(0x2E if b in _PIECE_ENDS else b for b in range(256))
 _BREAK = b"."  # ends pieces, so it is no part of any word
@@ -127,7 +130,7 @@ def vocabulary(counts: DataFrame, min_count: int, block_words: int = BLOCK_WORDS
             out.write_table(pa.Table.from_arrays([key.combine_chunks(), table["code"].cast(pa.int32())], schema=schema))
         return name
 
-    files = _per_block(coded.select("block", "code", "lang", "word"), n_blocks, ["code"], write)
+    files = per_block(coded.select("block", "code", "lang", "word"), n_blocks, ["code"], write)
     return coded.select("lang", "word", "f", "code"), [f"{folder}/{name}" for _, name in files]
 
 
@@ -148,36 +151,6 @@ def _numbered(rows: DataFrame, order: list[str], name: str, first: int) -> DataF
         name, (F.col("_start") + F.col("_in") - 1).cast("int")).drop("_in", "_start")
 
 
-def _per_block(rows: DataFrame, n_blocks: int, order: list[str], write) -> list[tuple[int, str]]:
-    """Call ``write(table)`` with every block's rows, sorted, in a task; the
-    (block, file name) pairs."""
-    names = rows.columns
-    dealt = rows.repartition(n_blocks, "block").sortWithinPartitions("block", *order)
-
-    def run(batches):
-        held, block = [], None
-
-        def done():
-            return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()),
-                                               "file": [write(pa.Table.from_batches(held))]})
-
-        for batch in batches:
-            ids = batch.column(names.index("block")).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if held and ids[a] != block:
-                    yield done()
-                    held = []
-                block = int(ids[a])
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield done()
-
-    return sorted((r["block"], r["file"]) for r in dealt.mapInArrow(run, "block int, file string").collect())
-
-
 class Vocabulary:
     """Codes of (language, word), looked up in mapped files, kept by worker."""
 
@@ -248,67 +221,102 @@ def build_trie(phrases: np.ndarray) -> bytes:
     flat file: the symbols that occur, ``base``, ``check`` and the row number
     that a state accepts.
 
-    Symbols are numbered from 1.  State 0 is the root, whose children lie at
-    their symbols.  Below it, nodes take the first base found at which all
-    their children's slots are free: nodes with many children first, one by
-    one over batches of bases, the others all at once in rounds of proposals
-    where the first claim to a slot holds."""
+    The symbols that occur are numbered, and a number is spelt in digits of
+    ``_DIGIT`` bits, so that no node has many children and frequent words'
+    nodes don't crowd each other out.  State 0 is the root.  A node takes a
+    base at which all its children's slots are free.  Nodes of more than
+    ``_FEW`` children come first, largest first: a few random bases are tried
+    before the array grows.  The others propose random bases in rounds, those
+    of one size all at once, where the first claim to a slot holds."""
     m, depth = phrases.shape
     symbols = np.unique(phrases)
-    local = (np.searchsorted(symbols, phrases) + 1).astype(np.int64)
-    n_symbols = len(symbols)
-    firsts = []  # per level, the first row of each prefix
-    new = np.zeros(m, bool)
-    for level in range(depth):
-        new[1:] |= local[1:, level] != local[:-1, level]
+    digits = max(1, -(-(len(symbols) - 1).bit_length() // _DIGIT))
+    local = np.searchsorted(symbols, phrases).astype(np.int64)
+    shifts = _DIGIT * np.arange(digits - 1, -1, -1)
+    spelt = (local[:, :, None] >> shifts & ((1 << _DIGIT) - 1)).reshape(m, depth * digits)
+    firsts, new = [np.zeros(1, np.int64)], np.zeros(m, bool)  # per level, the first row of each prefix
+    for level in range(depth * digits):
+        new[1:] |= spelt[1:, level] != spelt[:-1, level]
         new[:1] = True
         firsts.append(np.flatnonzero(new))
-        new = new.copy()
-    size = n_symbols + 1 + 4 * sum(map(len, firsts)) + 64
-    size += n_symbols  # a base never passes the last slot less the last symbol
-    base = np.zeros(size, np.int32)
-    check = np.full(size, -1, np.int32)
+    n_nodes = sum(map(len, firsts))
+    room = 4 * n_nodes + (1 << _DIGIT)
+    array = _Slots(room)
     rng = np.random.default_rng(m)
-    slots = local[firsts[0], 0]
-    check[slots] = 0
-    check[0] = -2  # the root is nobody's child
-    for level in range(1, depth):
-        rows = firsts[level]
-        parent = np.searchsorted(firsts[level - 1], rows, side="right") - 1
-        symbol = local[rows, level]
-        starts = np.searchsorted(parent, np.arange(len(firsts[level - 1])))
+    slots = np.zeros(1, np.int64)
+    for level in range(depth * digits):
+        rows = firsts[level + 1]
+        parent = np.searchsorted(firsts[level], rows, side="right") - 1
+        symbol = spelt[rows, level]
+        starts = np.searchsorted(parent, np.arange(len(slots)))
         counts = np.diff(np.append(starts, len(rows)))
         chosen = np.zeros(len(counts), np.int64)
-        top = size - n_symbols - 1
-        for node in np.argsort(-counts, kind="stable")[:int((counts > 12).sum())]:
+        for node in np.argsort(-counts, kind="stable")[:int((counts > _FEW).sum())].tolist():
             kids = symbol[starts[node]:starts[node] + counts[node]]
-            found = np.zeros(0, np.int64)
-            while not len(found):
-                tries = rng.integers(0, top, 16)
-                found = tries[(check[tries[:, None] + kids] == -1).all(axis=1)]
-            chosen[node] = found[0]
-            check[found[0] + kids] = slots[node]
-        left = np.flatnonzero(counts <= 12)
-        while len(left):
-            proposed = rng.integers(0, top, len(left))
-            at = np.repeat(np.arange(len(left)), counts[left])
-            kid = np.arange(len(at)) - np.repeat(np.cumsum(counts[left]) - counts[left], counts[left])
-            slot = proposed[at] + symbol[starts[left][at] + kid]
-            owner = np.full(size, -1, np.int64)
-            owner[slot[::-1]] = at[::-1]
-            good = (check[slot] == -1) & (owner[slot] == at)
-            ok = np.ones(len(left), bool)
-            ok[at[~good]] = False
-            chosen[left[ok]] = proposed[ok]
-            use = ok[at]
-            check[slot[use]] = slots[left[at[use]]]
-            left = left[~ok]
-        base[slots] = chosen
+            chosen[node] = array.place(rng, kids, slots[node])
+        for size in range(_FEW, 0, -1):
+            left = np.flatnonzero(counts == size)
+            while len(left):
+                kids = symbol[starts[left][:, None] + np.arange(size)]
+                ok, bases = array.propose(rng, kids, slots[left])
+                chosen[left[ok]] = bases[ok]
+                left = left[~ok]
+        array.base[slots] = chosen
         slots = chosen[parent] + symbol
-    accept = np.full(size, -1, np.int32)
+    end = array.end()
+    accept = np.full(end, -1, np.int32)
     accept[slots] = np.arange(m)
-    arrays = [symbols.astype("<i4"), base, check, accept]
-    return b"".join([np.array([depth, *map(len, arrays)], "<i4").tobytes(), *(a.astype("<i4").tobytes() for a in arrays)])
+    arrays = [symbols, array.base[:end], array.check[:end], accept]
+    head = np.array([depth, digits, *map(len, arrays)], "<i4")
+    return b"".join([head.tobytes(), *(a.astype("<i4").tobytes() for a in arrays)])
+
+
+class _Slots:
+    """The growing arrays of a trie under construction."""
+
+    def __init__(self, room: int):
+        self.room = room  # where random bases lie, at least
+        self.top = 1  # slots from here on are free
+        self.base = np.zeros(room + (2 << _DIGIT), np.int32)
+        self.check = np.full(len(self.base), -1, np.int32)
+        self.check[0] = -2  # the root is nobody's child
+        self.owner = np.zeros(len(self.base), np.int64)
+
+    def _reach(self, size: int) -> None:
+        if size > len(self.base):
+            more = max(size, len(self.base) * 3 // 2) - len(self.base)
+            self.base = np.concatenate([self.base, np.zeros(more, np.int32)])
+            self.check = np.concatenate([self.check, np.full(more, -1, np.int32)])
+            self.owner = np.concatenate([self.owner, np.zeros(more, np.int64)])
+
+    def place(self, rng, kids: np.ndarray, parent: int) -> int:
+        """A base for one node of many children; grows if need be."""
+        tries = rng.integers(0, self.top, 24)
+        good = np.flatnonzero((self.check[tries[:, None] + kids] == -1).all(axis=1))
+        at = int(tries[good[0]]) if len(good) else self.top
+        self._reach(at + (2 << _DIGIT))
+        self.check[at + kids] = parent
+        self.top = max(self.top, at + int(kids[-1]) + 1)
+        return at
+
+    def propose(self, rng, kids: np.ndarray, parents: np.ndarray):
+        """Random bases for nodes (rows of ``kids``): which of them hold."""
+        top = max(self.room, self.top)
+        self._reach(top + (2 << _DIGIT))
+        bases = rng.integers(1, top, len(kids))
+        slot = bases[:, None] + kids
+        mine = np.broadcast_to(np.arange(len(kids))[:, None], slot.shape)
+        self.owner[slot[::-1]] = mine[::-1]
+        ok = ((self.check[slot] == -1) & (self.owner[slot] == mine)).all(axis=1)
+        self.check[slot[ok]] = parents[ok][:, None]
+        return ok, bases
+
+    def end(self) -> int:
+        """Slots in use, and as many as any base may point past them."""
+        used = int(np.flatnonzero(self.check != -1)[-1]) + 1
+        end = max(used, int(self.base.max())) + (1 << _DIGIT)
+        self._reach(end)
+        return end
 
 
 class Trie:
@@ -316,11 +324,11 @@ class Trie:
 
     def __init__(self, buffer, n_codes: int):
         flat = np.frombuffer(buffer, "<i4")
-        self.depth = int(flat[0])
-        ends = 5 + np.cumsum([0, *flat[1:5]])
+        self.depth, self.digits = flat[:2].tolist()
+        ends = 6 + np.cumsum([0, *flat[2:6]])
         symbols, self.base, self.check, self.accept = (flat[a:b] for a, b in zip(ends, ends[1:]))
-        self.local = np.zeros(n_codes + 1, np.int32)
-        self.local[symbols] = np.arange(1, len(symbols) + 1)
+        self.local = np.full(n_codes + 1, -1, np.int32)
+        self.local[symbols] = np.arange(len(symbols))
 
     def find(self, codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The positions of ``at`` where a phrase begins, and its number.
@@ -330,9 +338,13 @@ class Trie:
             inside = at + level < len(codes)
             at, state = at[inside], state[inside]
             symbol = self.local[codes[at + level]]
-            target = self.base[state] + symbol
-            alive = (symbol > 0) & (self.check[target] == state)
-            at, state = at[alive], target[alive]
+            alive = symbol >= 0
+            for k in range(self.digits - 1, -1, -1):
+                at, state, symbol = at[alive], state[alive], symbol[alive]
+                target = self.base[state] + (symbol >> _DIGIT * k & ((1 << _DIGIT) - 1))
+                alive = self.check[target] == state
+                state = target
+            at, state = at[alive], state[alive]
         return at, self.accept[state]
 
 
@@ -356,7 +368,7 @@ def compile_tries(cands: DataFrame, depth: int,
             f.write(data)
         return name
 
-    files = dict(_per_block(cands.select("block", *cols), n_blocks, cols, write))
+    files = dict(per_block(cands.select("block", *cols), n_blocks, cols, write))
     first = {r["block"]: r["first"] for r in cands.groupBy("block").agg(F.min("id").alias("first")).collect()}
     return cands, [(b, first[b], f"{folder}/{files[b]}") for b in sorted(files)], n_blocks
 
