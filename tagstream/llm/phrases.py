@@ -309,6 +309,8 @@ class _Slots:
         self.owner[slot[::-1]] = mine[::-1]
         ok = ((self.check[slot] == -1) & (self.owner[slot] == mine)).all(axis=1)
         self.check[slot[ok]] = parents[ok][:, None]
+        if ok.any():
+            self.top = max(self.top, int(slot[ok].max()) + 1)
         return ok, bases
 
     def end(self) -> int:

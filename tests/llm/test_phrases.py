@@ -91,7 +91,7 @@ def test_no_rows(spark):
 
 def test_trie_finds_what_it_holds():
     rng = np.random.default_rng(1)
-    for depth, size, m in ((2, 50, 900), (3, 40, 4000), (3, 100_000, 3000)):
+    for depth, size, m in ((2, 50, 900), (2, 400, 9000), (3, 40, 4000), (3, 600, 30_000), (3, 100_000, 3000)):
         rows = np.unique(rng.integers(1, size, (m, depth)), axis=0)
         trie = phrases.Trie(phrases.build_trie(rows), size)
         codes = np.concatenate([rows.ravel(), rng.integers(0, size, 5000)]).astype(np.int32)
