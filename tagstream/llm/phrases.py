@@ -50,13 +50,11 @@ from tagstream.session import materialize, scratch_path
 #: Positions that a task handles at a time.
 CHUNK = 1 << 19
 #: Distinct words or phrases that a counting task gathers before it hands them on.
-GATHER = 1 << 20
+GATHER = 1 << 19
 BLOCK_PHRASES = 400_000
 MAX_BLOCKS = 512
 #: Words of one vocabulary file.
-BLOCK_WORDS = 500_000
-#: Codes of words that a Python worker keeps.
-CACHE_WORDS = 400_000
+BLOCK_WORDS = 400_000
 #: Multipliers that deal first pairs of codes to blocks (in SQL and numpy alike).
 _DEAL = (40_503, 30_011)
 
@@ -98,7 +96,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 counts.setdefault(lang, Counter()).update(tokens(text.as_py()))
-                if sum(map(len, counts.values())) > GATHER // 4:
+                if sum(map(len, counts.values())) > GATHER // 2:
                     yield from flush()
         yield from flush()
 
@@ -152,56 +150,61 @@ def _numbered(rows: DataFrame, order: list[str], name: str, first: int) -> DataF
 
 
 class Vocabulary:
-    """Codes of (language, word), looked up in mapped files, kept by worker."""
-
-    def __init__(self, files: tuple[str, ...]):
-        self.files, self.known = files, {}
-
-    def learn(self, lang: str, words: set[bytes]) -> dict[bytes, int]:
-        if sum(map(len, self.known.values())) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known.setdefault(lang, {_BREAK: 0})
-        new = [w for w in words if w not in known]
-        if new:
-            prefix = lang.encode() + b"\t"
-            keys = pa.array([prefix + w for w in new], pa.large_binary())
-            codes = np.zeros(len(new), np.int64)
-            for uri in self.files:  # one block in memory at a time
-                table = pa.ipc.open_file(pa.BufferReader(map_file(uri))).read_all()
-                at = pc.index_in(keys, value_set=table["key"].combine_chunks())
-                hit = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
-                codes[hit] = table["code"].to_numpy()[at.drop_null().to_numpy()]
-            known.update(zip(new, codes.tolist()))
+    """Codes of words per language, from mapped files.  A vocabulary of one
+    file is held as a dictionary; of a larger one only the words of the texts
+    at hand are looked up, one file in memory at a time."""
+
+    def __init__(self, files: list[str]):
+        self.files, self.all = files, None
+        if len(files) == 1:
+            table = self._table(files[0])
+            self.all = {}
+            for key, code in zip(table["key"], table["code"].to_pylist()):
+                lang, word = key.as_py().rsplit(b"\t", 1)
+                self.all.setdefault(lang.decode(), {})[word] = code
+
+    @staticmethod
+    def _table(uri: str) -> pa.Table:
+        return pa.ipc.open_file(pa.BufferReader(map_file(uri))).read_all()
+
+    def codes(self, lang: str, texts: list[list[bytes]]) -> dict[bytes, int]:
+        """A dictionary that has all coded words of the texts."""
+        if self.all is not None:
+            return self.all.get(lang, {})
+        words = list({w for t in texts for w in t})
+        keys = pa.array([lang.encode() + b"\t" + w for w in words], pa.large_binary())
+        known = {}
+        for uri in self.files:
+            table = self._table(uri)
+            at = pc.index_in(keys, value_set=table["key"].combine_chunks())
+            hit = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+            codes = table["code"].to_numpy()[at.drop_null().to_numpy()]
+            known.update(zip((words[k] for k in hit.tolist()), codes.tolist()))
         return known
 
 
-@lru_cache(maxsize=1)
-def load_vocabulary(files: tuple[str, ...]) -> Vocabulary:
-    return Vocabulary(files)
-
-
 def code_texts(docs: DataFrame, files: list[str]) -> DataFrame:
     """The corpus as rows of code sequences (``codes``: little-endian int32,
     0 between pieces and texts and for rare words), in a table of the shared
     folder."""
-    files_key = tuple(files)
-
     def run(batches):
-        known = load_vocabulary(files_key)
+        vocabulary = None
         held: dict[str, list[list[bytes]]] = {}
         size = 0
 
         def flush():
             for lang, texts in held.items():
-                codes = known.learn(lang, {w for t in texts for w in t})
-                flat = [c for t in texts for c in (*map(codes.__getitem__, t), 0)]
-                arr = np.array(flat, "<i4")
+                code = vocabulary.codes(lang, texts).get
+                n = sum(map(len, texts)) + len(texts)
+                # a text's end is a border, as the borders of pieces
+                arr = np.fromiter((code(w, 0) for t in texts for w in (*t, _BREAK)), "<i4", n)
                 # runs of zeros say no more than one does
                 arr = arr[np.concatenate([[True], (arr[1:] > 0) | (arr[:-1] > 0)])] if len(arr) else arr
                 yield pa.RecordBatch.from_arrays([pa.array([arr.tobytes()], pa.binary())], names=["codes"])
             held.clear()
 
         for batch in batches:
+            vocabulary = vocabulary or Vocabulary(files)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = tokens(text.as_py())
                 held.setdefault(lang, []).append(words)
@@ -543,7 +546,8 @@ def _score(a, l, r):
 
 
 def collocations(docs: DataFrame, min_count: int = 10, top: int = 2000, within_percent: int = 50,
-                 block_phrases: int = BLOCK_PHRASES, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+                 block_phrases: int = BLOCK_PHRASES, max_blocks: int = MAX_BLOCKS,
+                 block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per language, the ``top`` phrases of two or three words by score:
     lang, rank, phrase, a (its count), l and r (the counts of the parts of
     its weakest cut), n (all words of the language), score.
@@ -552,7 +556,7 @@ def collocations(docs: DataFrame, min_count: int = 10, top: int = 2000, within_p
     ``within_percent`` per cent of its count."""
     counts = materialize(word_counts(docs), "phrase-counts")
     total = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-    words, files = vocabulary(counts, min_count)
+    words, files = vocabulary(counts, min_count, block_words)
     n_codes = words.agg(F.max("code")).first()[0] or 0
     coded = code_texts(docs, files)
     f2, f3 = frequent_phrases(coded, n_codes, min_count, block_phrases, max_blocks)

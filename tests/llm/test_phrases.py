@@ -56,7 +56,7 @@ def test_equal_to_brute_force_on_a_table(spark):
     assert mined(phrases.collocations(df)) == want
 
 
-@pytest.mark.parametrize("how", [{"block_phrases": 60}, {"block_phrases": 2, "max_blocks": 0}])
+@pytest.mark.parametrize("how", [{"block_phrases": 60, "block_words": 9}, {"block_phrases": 2, "max_blocks": 0}])
 def test_many_blocks_and_the_way_without_tries(spark, how):
     rng = np.random.default_rng(5)
     words = [f"w{k}" for k in range(25)] + ["new", "york", "City", "Été"]
