@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tagstream.llm import (bpe, conversations, decontaminate, html_text, neardup, phrases, pii, quality, sharding,
-                           token_files, urls, warc)
+from tagstream.llm import (bpe, conversations, decontaminate, html_text, neardup, phrases, pii, quality, repeats,
+                           sharding, token_files, urls, warc)
 from tagstream.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -68,6 +68,11 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"), with_text=False)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_pii, op2_url_filter, op3_warc, op4_html_text, op5_neardup, op6_token_files, op7_sharding,
-    op8_decontaminate, op9_bpe, op10_quality, op11_phrases, op12_conversations)}
+    op8_decontaminate, op9_bpe, op10_quality, op11_phrases, op12_conversations,
+    op13_repeats)}
