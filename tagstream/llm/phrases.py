@@ -58,6 +58,8 @@ BLOCK_WORDS = 400_000
 #: Multipliers that deal first pairs of codes to blocks (in SQL and numpy alike).
 _DEAL = (40_503, 30_011)
 
+#: Bits of a phrase's number inside a slice of counts.
+_SLICE = 12
 #: Bits of a trie's digit, and children of the nodes that are placed at once.
 _DIGIT, _FEW = 8, 12
 
@@ -473,10 +475,14 @@ def _trie_counts(coded: DataFrame, cands: DataFrame, tries, n_blocks: int, n_cod
 
         def flush():
             keys, counts = tally.take()
-            for at in range(0, len(keys), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + 50_000]), pa.array(counts[at:at + 50_000])],
-                                                 names=["id", "n"])
-
+            cuts = np.flatnonzero(np.concatenate([[True], np.diff(keys >> _SLICE) > 0])) if len(keys) else []
+            rows = [(int(k[0] >> _SLICE), (k & ((1 << _SLICE) - 1)).astype("<u2").tobytes(), c.astype("<i8").tobytes())
+                    for k, c in zip(np.split(keys, cuts[1:]), np.split(counts, cuts[1:])) if len(k)]
+            for at in range(0, len(rows), 100):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at:at + 100]), types)],
+                                                 names=["slice", "ids", "counts"])
+
+        types = [pa.int64(), pa.binary(), pa.binary()]
         for batch in batches:
             for row in batch.column(0):
                 got = keys_of(np.frombuffer(row.as_buffer(), "<i4"))
@@ -486,7 +492,27 @@ def _trie_counts(coded: DataFrame, cands: DataFrame, tries, n_blocks: int, n_cod
                     yield from flush()
         yield from flush()
 
-    sums = coded.select("codes").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("f"))
+    def add_up(batches):
+        at, total = None, np.zeros(1 << _SLICE, np.int64)
+
+        def done():
+            ids = np.flatnonzero(total)
+            return pa.RecordBatch.from_arrays([pa.array(ids + (at << _SLICE)), pa.array(total[ids])], names=["id", "f"])
+
+        for batch in batches:
+            for part, ids, counts in zip(*(batch.column(k) for k in range(3))):
+                if part.as_py() != at:
+                    if at is not None:
+                        yield done()
+                    at = part.as_py()
+                    total[:] = 0
+                total[np.frombuffer(ids.as_buffer(), "<u2")] += np.frombuffer(counts.as_buffer(), "<i8")
+        if at is not None:
+            yield done()
+
+    # shards hand on one row per slice of 2^_SLICE phrases; slices are added up apart
+    shards = coded.select("codes").mapInArrow(run, "slice long, ids binary, counts binary")
+    sums = shards.repartition("slice").sortWithinPartitions("slice").mapInArrow(add_up, "id long, f long")
     return cands.drop("block").join(sums, "id").drop("id")
 
 
