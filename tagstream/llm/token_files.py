@@ -17,9 +17,8 @@ Only files that the manifest names belong to the data set: a lost or
 speculative attempt leaves unnamed files behind, never wrong rows.
 
 Encoding uses the ``tokenizers`` library.  A text's tokens never cross ASCII
-white space, so distinct words are encoded (many in one call, with a special
-token between them) and their ids joined; tests compare with whole-text
-encoding.
+white space, so distinct words are encoded, many in one call, and their ids
+joined; tests compare with whole-text encoding.
 
 Defined cases: a null text is empty and has only the end id; a null document
 id sorts first; repeated ids keep one entry per row, ordered by text; an empty
@@ -43,13 +42,19 @@ from tagstream.session import scratch_path
 
 END_ID = 2
 #: Words whose ids a task keeps at a time.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 NULL_ID = np.iinfo(np.int64).min
 SLICE_ROWS = 128
 
 
 class LibraryEncoder:
-    """Ids of texts by the ``tokenizers`` library, word results kept."""
+    """Ids of texts by the ``tokenizers`` library, results of words kept.
+
+    Words of letters, with or without one closing punctuation mark, are cut
+    into these pieces, A-Z lower-cased (the library does so itself), so forms
+    of a word are encoded once.  Pieces are encoded many in one text: a piece's
+    last token, and no other, ends in the vocabulary's word-end suffix.  Other
+    words are encoded with a special token between them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,38 +62,83 @@ class LibraryEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        size = self.tok.get_vocab_size(with_added_tokens=True)
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        size = max(vocab.values()) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items() if t.special}
         self.mark, self.mark_id = next(iter(special.items()))
         self.markers = [s.encode() for s in special]
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(size, bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # the words known before the last change of generation
+        self.pieces: dict[bytes, bytes] = {}
+
+    def _cut(self, word: bytes) -> tuple[bytes, bytes] | None:
+        """(letters, mark or nothing), or None for words of other forms."""
+        if word[-1] in b".,;:!?":
+            head, tail = word[:-1], word[-1:]
+        else:
+            head, tail = word, b""
+        if head.isalpha() or (not head.isascii() and head.decode("utf-8", "replace").isalpha()):
+            return head.lower(), tail
+        return None
+
+    def _ids(self, words: list[bytes], between: str) -> np.ndarray:
+        text = between.join([w.decode("utf-8", "surrogatepass") for w in words])
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _split(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        data, size = ids.tobytes(), self.dtype.itemsize
+        return [data[a:b] for a, b in zip((starts * size).tolist(), (ends * size).tolist())]
+
+    def _marked(self, words: list[bytes]) -> list[bytes]:
+        ids = self._ids(words, f" {self.mark} ")
+        cuts = np.flatnonzero(ids == self.mark_id)
+        return self._split(ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))
+
+    def _spaced(self, pieces: list[bytes]) -> list[bytes]:
+        ids = self._ids(pieces, " ")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(pieces):  # some piece is not one word to the library
+            return self._marked(pieces)
+        return self._split(ids, np.append(0, ends[:-1]), ends)
 
     def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"<" not in w or not any(m in w for m in self.markers)]
-        for w in set(words).difference(plain):
-            ids = self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
-            self.known[w] = np.array(ids, self.dtype).tobytes()
-        for at in range(0, len(plain), 4096):
-            some = plain[at:at + 4096]
-            text = f" {self.mark} ".join([w.decode("utf-8", "surrogatepass") for w in some])
-            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-            cuts = np.flatnonzero(ids == self.mark_id)
-            data, size = ids.tobytes(), self.dtype.itemsize
-            starts = [0, *((cuts + 1) * size).tolist()]
-            ends = [*(cuts * size).tolist(), len(data)]
-            self.known.update((w, data[a:b]) for w, a, b in zip(some, starts, ends))
+        cut = {w: self._cut(w) for w in words} if self.ends.any() else dict.fromkeys(words)
+        new = list({p for c in cut.values() if c for p in c if p and p not in self.pieces})
+        if len(self.pieces) + len(new) > CACHE_WORDS:
+            self.pieces.clear()
+            new = list({p for c in cut.values() if c for p in c if p})
+        for at in range(0, len(new), 4096):
+            some = new[at:at + 4096]
+            self.pieces.update(zip(some, self._spaced(some)))
+        rest = []
+        for w, c in cut.items():
+            if c:
+                self.known[w] = self.pieces[c[0]] + self.pieces[c[1]] if c[1] else self.pieces[c[0]]
+            elif b"<" in w and any(m in w for m in self.markers):
+                ids = self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+                self.known[w] = np.array(ids, self.dtype).tobytes()
+            else:
+                rest.append(w)
+        for at in range(0, len(rest), 4096):
+            some = rest[at:at + 4096]
+            self.known.update(zip(some, self._marked(some)))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        distinct = {w for ws in words for w in ws}
-        new = [w for w in distinct if w not in self.known]
+        known, older = self.known, self.older
+        new = [w for w in {w for ws in words for w in ws} if w not in known]
         if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known.clear()
-                new = list(distinct)
-            self.learn(new)
-        get = self.known.__getitem__
+            if known and len(known) + len(new) > CACHE_WORDS:
+                self.known, self.older = {}, known
+                return self.encode_all(texts)
+            known.update((w, older[w]) for w in new if w in older)
+            self.learn([w for w in new if w not in known])
+        get = known.__getitem__
         return [b"".join(map(get, ws)) for ws in words]
 
 
