@@ -23,11 +23,12 @@ empty result and an empty lexicon; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
 from collections import Counter
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagstream.llm.common import arrow_map, filesystem, make_folder, map_file, sha256_hex, whole_text
-from tagstream.session import scratch_path
+from tagstream.session import materialize, scratch_path
 
 LEXICON_WORDS = 1 << 16
 #: Words whose results a task keeps at a time.
 CACHE_WORDS = 400_000
 #: Distinct words that a counting task gathers before it hands them on.
 COUNT_WORDS = 200_000
-#: Longer words are merged one by one.
+#: Longer words are merged one by one, by a heap.
 BATCH_SYMBOLS = 40
 
 _NONE = np.iinfo(np.int32).max
@@ -109,7 +110,11 @@ class Merges:
         at = 0
         while at < len(order):
             width = len(pieces[order[at]])
-            limit = width + 2 if width <= BATCH_SYMBOLS else width
+            if width > BATCH_SYMBOLS:
+                out[order[at]] = self._merge_long(pieces[order[at]])
+                at += 1
+                continue
+            limit = min(width + 2, BATCH_SYMBOLS)
             stop = at + 1
             while stop < len(order) and stop - at < 2048 and len(pieces[order[stop]]) <= limit:
                 stop += 1
@@ -161,6 +166,51 @@ class Merges:
         all_ids = result[result >= 0].tolist()
         return [all_ids[a:b] for a, b in zip(counts, counts[1:])]
 
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """One long piece, by a heap of (rank, place) over linked symbols:
+        n log n steps for n bytes."""
+        flat = np.frombuffer(piece, np.uint8)
+        start = self.inner[flat]
+        start[-1] = self.final[flat[-1]]
+        n, size = len(start), self.size
+        of, left, right, merged = self.by_rank
+        ranks = self.ranks(start[:-1], start[1:])
+        at = np.flatnonzero(ranks < _NONE)
+        ids = start.tolist()
+        heap = (ranks[at].astype(np.int64) << 32 | at).tolist()  # rank first, then place
+        heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            key = pop(heap)
+            rank, k = key >> 32, key & 0xFFFFFFFF
+            j = after[k]
+            if ids[k] != left[rank] or j >= n or ids[j] != right[rank]:
+                continue  # one of the two has been merged since
+            ids[k] = new = merged[rank]
+            ids[j] = -1
+            j = after[k] = after[j]
+            if j < n:
+                before[j] = k
+                r = of.get(new * size + ids[j])
+                if r is not None:
+                    push(heap, r << 32 | k)
+            i = before[k]
+            if i >= 0:
+                r = of.get(ids[i] * size + new)
+                if r is not None:
+                    push(heap, r << 32 | i)
+        return [x for x in ids if x >= 0]
+
+    @cached_property
+    def by_rank(self) -> tuple[dict[int, int], list[int], list[int], list[int]]:
+        """For look-ups one by one: rank by pair; left, right and merged
+        symbol by rank."""
+        keys = np.empty_like(self.keys)
+        keys[self.ranked] = self.keys
+        return (dict(zip(self.keys.tolist(), self.ranked.tolist())), (keys // self.size).tolist(),
+                (keys % self.size).tolist(), self.merged.tolist())
+
     def pieces(self, word: bytes) -> list[bytes | int]:
         """A word without ASCII white space, cut into pieces; special tokens
         come as their ids."""
@@ -392,11 +442,31 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> DataFrame:
+    """The words that occur ``cut`` times or more, for the least ``cut`` at
+    which they are ``most`` at the most.  ``cut`` comes from a histogram of the
+    counts, exact below 4,096 and by powers of two above: some 4,150 rows."""
+    top = 4096
+    step = F.when(F.col("n") < top, F.col("n")).otherwise(
+        (top * F.pow(F.lit(2.0), F.floor(F.log2(F.col("n") / top)))).cast("long"))
+    hist = sorted(((r["at"], r["k"]) for r in counts.groupBy(step.alias("at")).agg(F.count(F.lit(1)).alias("k")).collect()),
+                  reverse=True)
+    cut, words = None, 0
+    for at, k in hist:
+        words += k
+        if words > most:
+            break
+        cut = at
+    return counts.where(F.col("n") >= cut) if cut is not None else counts.limit(0)
+
+
 def build_lexicon(docs: DataFrame, tokenizer_path: str, n_words: int = LEXICON_WORDS) -> str:
-    """Compile the ``n_words`` most frequent words of all texts; the URI of
-    the file.  At most ``n_words`` rows come to the driver."""
+    """Compile the most frequent words of all texts, ``n_words`` at most
+    (words seen once are left out); the URI of the file.  Only these words come
+    to the driver, whatever the number of partitions."""
     merges = load_merges(tokenizer_path)
-    top = word_counts(docs).orderBy(F.col("n").desc(), "word").limit(n_words).collect()
+    counts = materialize(word_counts(docs).where(F.col("n") > 1), "word-counts")
+    top = frequent_words(counts, n_words).select("word").collect()
     pieces = list({p for r in top for p in merges.pieces(bytes(r["word"])) if not isinstance(p, int)})
     data = compile_lexicon(dict(zip(pieces, merges.merge(pieces))))
     uri = make_folder(scratch_path(docs.sparkSession, "lexicon")) + "/words.fst"

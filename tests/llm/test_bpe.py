@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 import tokenizers
@@ -80,3 +81,25 @@ def test_awkward_rows(spark):
     (eight,) = [r for r in rows if r["doc_id"] == 8]
     assert eight["ids"] == library("mail a@b.co or 10.0.0.1 \u00e9\u00df\U0001f600 +1 (555) 123-4567")[0]
     assert bpe.encode(empty_docs(spark), PATH).count() == 0
+
+
+def test_long_words_equal_the_library_in_little_time():
+    rnd = random.Random(4)
+    merges = bpe.load_merges(PATH)
+    for n in (bpe.BATCH_SYMBOLS, bpe.BATCH_SYMBOLS + 1, 300, 20_000):
+        for letters in ("a", "ab", "etaoinshrdlu", "\u00e9\u4e2d"):
+            word = "".join(rnd.choices(letters, k=n))
+            assert merges.merge([word.encode()]) == [library(word)[0]]
+    word = "".join(rnd.choices("etaoinshrdlucmf", k=1_000_000))
+    begin = time.process_time()
+    got = merges.merge([word.encode()])[0]
+    assert time.process_time() - begin < 20  # a quadratic merge takes half an hour
+    assert got == library(word)[0]
+
+
+def test_frequent_words_are_cut_by_their_count(spark):
+    rows = [(b"w%d" % k, n) for k, n in enumerate([1, 1, 2, 2, 2, 5, 9, 4095, 4096, 5000, 9000, 20_000])]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    for most, want in ((100, 12), (11, 10), (9, 7), (7, 7), (5, 5), (4, 4), (3, 2), (2, 2), (1, 1), (0, 0)):
+        assert bpe.frequent_words(counts, most).count() == want
+    assert bpe.frequent_words(counts.limit(0), 5).count() == 0
