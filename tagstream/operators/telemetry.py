@@ -157,3 +157,12 @@ def union_devices(frames: Sequence[DataFrame]) -> DataFrame:
 def device_list(df: DataFrame, device_col: str = "device") -> DataFrame:
     """The distinct devices seen."""
     return df.select(device_col).distinct()
+
+
+def snapshot_of_state(state: DataFrame) -> DataFrame:
+    """Device, sensor, value and latest_ts from the state (``key``, ``value``
+    structs) of a stream that keeps ``max_by(value, (ts, seq))`` and ``max(ts)``
+    per (device, sensor): the latest reading of each as of the state's batch."""
+    k, v = (state.schema[c].dataType.fieldNames() for c in ("key", "value"))
+    return state.select(F.col("key")[k[0]].alias("device"), F.col("key")[k[1]].alias("sensor"),
+                        F.col("value")[v[0]].alias("value"), F.col("value")[v[2]].alias("latest_ts"))

@@ -18,6 +18,7 @@ from tagstream.functions import format as fmt
 from tagstream.functions.scalars import (bit_to_bool, bool_to_number, clock_mod, epoch_ms_to_ts,
                                          exact_mean, hhmmss, mean_to_cents, micros, trim_all, truncating_scale, ts_to_epoch_ms)
 from tagstream.operators import aggregate as agg
+from tagstream.operators import folds as FO
 from tagstream.operators import joins as J
 from tagstream.operators import parse as P
 from tagstream.operators import running as R
@@ -30,6 +31,7 @@ from tagstream.plans import inputs as I
 from tagstream.session import materialize, scratch_path
 from tagstream.sinks import files as FS
 from tagstream.sinks import kafka as KF
+from tagstream.sources.growing import drain, follow_lines
 from tagstream.sources.tables import events_as_readings, read_table, stream_table
 from tagstream.sources.text import split_lines
 from tagstream.streaming import dedupe as DD
@@ -841,12 +843,12 @@ def file_sink_roundtrip(spark, sf):
 
 @q("running_sum_stream")
 def running_sum_stream(spark, sf):
-    """A-01 streaming: one updated total per input reading, per sensor,
-    kept in checkpointed state (applyInPandasWithState)."""
+    """A-01 streaming: one updated total per input reading, per sensor; the
+    state store keeps a total per (sensor, 1,024 readings of the sequence), so
+    the rows of one sensor are dealt over all tasks."""
     base = scratch_path(spark, "running_stream")
     r = events_as_readings(stream_table(spark, sf, "events"))
-    out = ST.running_sum_stream(r, "sensor", "seq", "value")
-    res = RN.run_to_files(out, f"{base}/out", f"{base}/checkpoint")
+    res = ST.running_sum_batches(r, "sensor", "seq", "value", base, f"{base}/checkpoint", width=1 << 10)
     return res.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))
 
 
@@ -887,14 +889,40 @@ def kafka_json_stream(spark, sf):
 
 @q("running_sum_stream_batches")
 def running_sum_stream_batches(spark, sf):
-    """A-01 streaming, distributed: per-record running totals per sensor
-    from micro-batches (bucketed prefix in each batch + carried state)."""
+    """A-01 streaming over several micro-batches: the readings followed as
+    lines of growing files, a capped number of lines a batch."""
     base = scratch_path(spark, "running_batches")
-    r = events_as_readings(stream_table(spark, sf, "events"))
-    out = ST.running_sum_batches(r, "sensor", "seq", "value", f"{base}/data", f"{base}/checkpoint")
+    lines = _followed_readings(spark, sf, f"{base}/in")
+    out = ST.running_sum_batches(lines, "sensor", "seq", "value", f"{base}/data", f"{base}/checkpoint", width=1 << 10,
+                                 trigger={"processingTime": "0 seconds"})
     return out.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))
 
 
+def _reading_lines(spark, sf) -> DataFrame:
+    """``seq|sensor|micros|unit|value`` per reading, in files by ranges of the
+    sequence, so that files in name order are in its order."""
+    r = I.readings(spark, sf)
+    top = r.agg(F.max("seq")).first()[0] or 0
+    us = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts"))
+    return r.select(F.floor(F.col("seq") * 8 / F.lit(top + 1)).cast("int").alias("file_no"), F.col("seq").alias("ord"),
+                    F.concat_ws("|", "seq", "sensor", us.cast("string"), "unit", F.col("value").cast("string")).alias("value"))
+
+
+def _read_back(lines: DataFrame) -> DataFrame:
+    p = F.split("value", "\\|")
+    return lines.select(p[0].cast("long").alias("seq"), p[1].alias("sensor"),
+                        F.timestamp_add("MICROSECOND", p[2].cast("long"), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")).alias("ts"),
+                        p[3].alias("unit"), p[4].cast("double").alias("value"))
+
+
+def _followed_readings(spark, sf, folder: str, batches: int = 4) -> DataFrame:
+    """The readings as lines of growing files, followed in about ``batches``
+    micro-batches by a cap on their lines."""
+    lines = _reading_lines(spark, sf)
+    I.write_growing(lines, folder)
+    return _read_back(follow_lines(spark, folder, max_lines=max(1, -(-lines.count() // batches))))
+
+
 def _kafka_records(spark, sf):
     """The table stream's JSON readings as Kafka-shaped records."""
     msgs = I.json_messages_from(stream_table(spark, sf, "events"))
@@ -1001,9 +1029,110 @@ def tumbling_pairwise_stream(spark, sf):
     sensor and hour, continued across micro-batches from carried state."""
     base = scratch_path(spark, "pairwise_stream")
     r = events_as_readings(stream_table(spark, sf, "events"))
-    out = ST.pairwise_avg_batches(r, ["sensor"], "ts", "seq", "value", "unit", "1 hour", "10 seconds",
+    out = ST.pairwise_avg_batches(r, ["sensor"], "ts", "seq", "value", "unit", "1 hour", "1 hour",
                                   f"{base}/data", f"{base}/checkpoint")
     return out.select("sensor", "window_start",
                       (F.col("window_start") + F.expr("INTERVAL 1 hour")).alias("window_end"),
                       F.floor(F.col("pairwise_avg") * 1000 + F.lit(0.3137)).cast("bigint").alias("pairwise_avg_milli"),
                       "max_ts", "cnt", "first_unit")
+
+
+# --------------------------------------------------------------------------
+# Growing files, general folds, recovery, late rows, live state, clustered
+# and bucketed tables, versioned dimensions
+# --------------------------------------------------------------------------
+
+
+@q("follow_growing_files")
+def follow_growing_files(spark, sf):
+    """S-04/S-05: lines of all documents appended to known files in two
+    pieces; the files are followed with a cap on a batch's lines, the query is
+    stopped between the pieces, and every line arrives once."""
+    base = scratch_path(spark, "growing")
+    lines = I.doc_lines(spark, sf).select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(8)).cast("int").alias("file_no"), F.struct("doc_id", "line_no").alias("ord"),
+        F.concat_ws("\t", F.col("doc_id").cast("string"), F.col("line_no").cast("string"), "line").alias("value"))
+    half = lines.agg(F.percentile_approx("ord.doc_id", 0.5)).first()[0]
+    cap = max(1, -(-lines.count() // 3))
+    for piece in (lines.where(F.col("ord.doc_id") <= half), lines):  # the second holds the first
+        I.write_growing(piece, f"{base}/in")
+        out = drain(follow_lines(spark, f"{base}/in", max_lines=cap), f"{base}/out", f"{base}/checkpoint")
+    p = F.split("value", "\t", 3)
+    return out.select(p[0].cast("long").alias("doc_id"), p[1].cast("int").alias("line_no"), p[2].alias("line"))
+
+
+def _milli(c: str):
+    return F.floor(F.col(c) * 1000 + F.lit(0.3137)).cast("bigint")
+
+
+@q("exponential_mean")
+def exponential_mean(spark, sf):
+    """U-03: exponential mean (weight 0.2) of each sensor's readings per hour,
+    an ordered fold by composition of affine maps."""
+    r = I.readings(spark, sf).withColumn("window_start", F.date_trunc("HOUR", "ts").cast("timestamp_ntz"))
+    g = FO.affine_fold(r, ["sensor", "window_start"], ["ts", "seq"], "value", FO.exponential("value", 0.2),
+                       F.date_trunc("MINUTE", "ts"), "ema", first=["unit"])
+    return g.select("sensor", "window_start", _milli("ema").alias("ema_milli"), "cnt", "max_ts", "first_unit")
+
+
+@q("exponential_mean_stream")
+def exponential_mean_stream(spark, sf):
+    """U-03 as a stream: the same means, carried over micro-batches in the
+    state store as one affine map per (sensor, hour)."""
+    base = scratch_path(spark, "ema_stream")
+    r = _followed_readings(spark, sf, f"{base}/in")
+    g = ST.affine_fold_stream(r, ["sensor"], "ts", "seq", "value", FO.exponential("value", 0.2), "1 hour", "1 hour",
+                              f"{base}/data", f"{base}/checkpoint", ["unit"], "ema",
+                              trigger={"processingTime": "0 seconds"})
+    return g.select("sensor", "window_start", _milli("ema").alias("ema_milli"), "cnt", "max_ts", "first_unit")
+
+
+@q("recovered_windows")
+def recovered_windows(spark, sf):
+    """T-05: the flagship window on a 10-second trigger, the query stopped and
+    started again from its checkpoint after every micro-batch."""
+    base = scratch_path(spark, "recovered")
+    r = _followed_readings(spark, sf, f"{base}/in").withColumn("ets", RN.ntz_to_instant("ts"))
+    agg_ = r.groupBy("sensor", F.window("ets", "1 hour").alias("window")).agg(
+        F.sum(micros("value")).alias("_sum"), F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
+    RN.run_with_restarts(lambda: RN.update_writer(agg_, f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+                         .trigger(processingTime="10 seconds").start(), spark)
+    res = RN.last_updates(spark, f"{base}/out", ["sensor", "window"])
+    return res.select("sensor", RN.instant_to_ntz("window.start").alias("window_start"),
+                      RN.instant_to_ntz("window.end").alias("window_end"),
+                      exact_mean("_sum", "cnt").alias("avg_value"), "cnt", "max_ts")
+
+
+@q("late_rows")
+def late_rows(spark, sf):
+    """T-04: rows behind the watermark kept in a table of their own and
+    counted exactly, over several micro-batches: on-time and late rows together
+    are the input."""
+    base = scratch_path(spark, "late")
+    r = _followed_readings(spark, sf, f"{base}/in").withColumn("ets", RN.ntz_to_instant("ts"))
+    on_time, late, counts = RN.split_late(r, "ets", "1 hour", base, f"{base}/checkpoint",
+                                          trigger={"processingTime": "0 seconds"})
+    total = counts.agg(F.sum("accepted").alias("a"), F.sum("late").alias("l")).first()
+    kept = on_time.unionByName(late)
+    return kept.groupBy("sensor").agg(F.count(F.lit(1)).alias("rows_kept")).withColumn(
+        "rows_counted", F.lit((total["a"] or 0) + (total["l"] or 0)).cast("long"))
+
+
+@q("live_snapshot")
+def live_snapshot(spark, sf):
+    """R-10 live: latest value of every (device, sensor) read from the state of
+    the running aggregate's checkpoint, not from its output."""
+    base = scratch_path(spark, "live_snapshot")
+    r = events_as_readings(stream_table(spark, sf, "events"))
+    g = r.groupBy("device", "sensor").agg(F.max_by("value", F.struct("ts", "seq")).alias("value"), F.max("ts").alias("latest_ts"))
+    RN.run_updates(g, ["device", "sensor"], f"{base}/out", f"{base}/checkpoint")
+    return TM.snapshot_of_state(RN.read_state(spark, f"{base}/checkpoint"))
+
+
+@q("top_words_stream")
+def top_words_stream(spark, sf):
+    """O-01 as a stream: the leaderboard of words kept in complete mode."""
+    base = scratch_path(spark, "top_words")
+    lines = split_lines(stream_table(spark, sf, "documents"), "text", "doc_id")
+    counts = TX.word_count(TX.words(lines, "line", min_len=2))
+    return RN.leaderboard(counts, [F.col("cnt").desc(), F.col("word")], 25, f"{base}/out", f"{base}/checkpoint")

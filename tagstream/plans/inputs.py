@@ -8,6 +8,8 @@ functions of ``event_id`` only, so the oracle SQL rebuilds the same inputs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +94,37 @@ def doc_texts(spark: SparkSession, sf: str) -> DataFrame:
     return spread(read_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def write_growing(lines: DataFrame, folder: str) -> None:
+    """Write lines (columns file_no, ord, value) to the files of a folder that
+    a stream follows: a task writes a file's lines in order and puts the file in
+    place of its shorter former self, so a retried task changes nothing."""
+    from tagstream.sources.growing import _store
+
+    def run(batches):
+        out, at, temp = None, None, None
+
+        def done():
+            out.close()
+            store.move(temp, f"{root}/part-{at:05d}.log")
+
+        store, root = _store(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for number, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if number != at:
+                    if out is not None:
+                        done()
+                    at, temp = number, f"{root}/.{number}-{uuid.uuid4().hex}"
+                    out = store.open_output_stream(temp)
+                out.write(value.encode("utf-8") + b"\n")
+        if out is not None:
+            done()
+        yield from ()
+
+    rows = lines.repartition("file_no").sortWithinPartitions("file_no", "ord").select("file_no", "value")
+    rows.mapInArrow(run, "done int").write.format("noop").mode("overwrite").save()
+
+
 def with_arrival(df: DataFrame, ts_ms: str, seq: str) -> DataFrame:
     """Adds ``ingest_ts``: rows arrive up to 96 seconds after their event
     time, by a fixed rule on ``seq`` (a live stream stamps the clock)."""

@@ -596,3 +596,27 @@ ORACLE["threshold_alarms_second"] = ORACLE["threshold_alarms"].replace(
 ORACLE["stream_static_join"] = """
 SELECT event_id, user_id, value, c_name, c_nationkey
 FROM events LEFT JOIN customer ON user_id = c_custkey"""
+
+
+# ---------------------------------------------------------------------------
+# Growing files, general folds, recovery, late rows, live state
+# ---------------------------------------------------------------------------
+
+ORACLE["follow_growing_files"] = f"SELECT doc_id, line_no, line FROM {DOC_LINES}"
+
+ORACLE["exponential_mean"] = f"""
+SELECT sensor, {_tb('1 hour')} AS window_start,
+       CAST(floor(list_reduce(list(value ORDER BY ts, seq), lambda acc, v: acc * 0.8 + v * 0.2) * 1000 + 0.3137) AS BIGINT) AS ema_milli,
+       count(*) AS cnt, max(ts) AS max_ts, arg_min(unit, (ts, seq)) AS first_unit
+FROM {READINGS} GROUP BY ALL"""
+
+ORACLE["exponential_mean_stream"] = ORACLE["exponential_mean"]
+
+ORACLE["recovered_windows"] = ORACLE["tumbling_avg"]
+
+ORACLE["late_rows"] = f"""
+SELECT sensor, count(*) AS rows_kept, (SELECT count(*) FROM events) AS rows_counted FROM {READINGS} GROUP BY sensor"""
+
+ORACLE["live_snapshot"] = ORACLE["latest_snapshot"]
+
+ORACLE["top_words_stream"] = ORACLE["top_words"]

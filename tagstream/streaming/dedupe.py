@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagstream.operators.text import clean_lines
-from tagstream.session import path_exists
 
 
 def distinct_lines_stream(df: DataFrame, text_col: str = "value", ts_col: str = "ingest_ts",
@@ -24,32 +25,29 @@ def distinct_lines_stream(df: DataFrame, text_col: str = "value", ts_col: str =
     return lines.withWatermark(ts_col, within).dropDuplicatesWithinWatermark([text_col])
 
 
+def _once_per_batch(df: DataFrame, col: str) -> DataFrame:
+    """Drops repeats inside each Arrow batch of a task, so a line that makes
+    up a third of the rows is sent to its state partition a few times."""
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pc.unique(batch.column(0))], names=[col])
+
+    return df.select(col).mapInArrow(run, f"{col} string")
+
+
 def distinct_lines_batches(stream: DataFrame, base: str, checkpoint: str, text_col: str = "value",
                            trigger: dict | None = None) -> DataFrame:
     """Each stripped, non-blank line once over the whole stream, exactly.
 
-    Per micro-batch: distinct lines of the batch (a partial/final aggregate,
-    so a line repeated in a third of the rows is reduced map-side before any
-    shuffle), minus every line already emitted.  The emitted lines are the
-    state: earlier batches' outputs (``base/out/batch_id<N``) are the seen
-    set, kept as a table in the shared folder rather than in memory.  A
-    replayed batch overwrites its own output, so replays are idempotent.
-    Returns all emitted lines once the input is drained.
+    The lines seen are the state of a streaming ``dropDuplicates`` in RocksDB:
+    on the executors' disks, behind Bloom filters, dealt by line.  A batch looks
+    up its own lines only, so its work grows with the batch, not with history;
+    memory holds caches of fixed size.  Returns all emitted lines once the
+    input is drained.
     """
-    from tagstream.streaming.runner import start
-
-    spark = stream.sparkSession
-    out_dir = f"{base}/out"
-
-    def _process(batch: DataFrame, bid: int) -> None:
-        lines = clean_lines(batch, text_col).select(F.col(text_col).alias("line")).dropDuplicates(["line"])
-        if bid > 0 and path_exists(spark, out_dir):
-            seen = spark.read.schema("line string, batch_id long").parquet(out_dir).where(F.col("batch_id") < bid)
-            lines = lines.join(seen.select("line"), "line", "left_anti")
-        lines.write.mode("overwrite").parquet(f"{out_dir}/batch_id={bid}")
-
-    start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
-              .trigger(**(trigger or {"availableNow": True})).start(), spark)
-    if not path_exists(spark, out_dir):
-        return spark.createDataFrame([], "line string")
-    return spark.read.parquet(out_dir).select("line")
+    from tagstream.streaming.runner import run_to_files
+    from tagstream.streaming.stateful import rocksdb_state
+
+    lines = _once_per_batch(clean_lines(stream, text_col).select(F.col(text_col).alias("line")), "line")
+    with rocksdb_state(stream.sparkSession):
+        return run_to_files(lines.dropDuplicates(["line"]), f"{base}/out", checkpoint, trigger=trigger)

@@ -1,189 +1,283 @@
-"""Per-record running totals on a stream (a keyed reduce's output).
-
-``groupBy().agg()`` in update mode emits one row per key per micro-batch;
-a keyed reduce emits one updated total per *input row*.  That needs custom
-state: ``applyInPandasWithState`` keeps the running total per key in the
-state store (checkpointed, so it survives executor loss and restarts) and
-emits a row per input.  Within a micro-batch a key's rows are ordered by
-``seq`` before folding; the micro-batch size (``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``) bounds what one key holds in a task.
+"""Keyed state on streams: running totals, ordered folds, arrival windows.
+
+All of it is ``transformWithStateInPandas`` on the RocksDB state store: state
+lies on the executors' disks, is checkpointed with the stream, and a batch
+reads the state of the keys it has.  State is keyed by (key, bucket of the
+order), so a hot key's rows are dealt over many tasks and a task sorts one
+bucket of one micro-batch at a time; what buckets hold is put together when
+the result is read.  (Names of columns that processors read must not begin
+with an underscore: the rows' Python form renames those.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from tagstream.session import path_exists
-
-
-def running_sum_stream(df: DataFrame, key: str, seq: str, value: str,
-                       out: str = "running_total") -> DataFrame:
-    """One row ``key, seq, value, running_total`` per input row."""
-    out_schema = f"{key} string, {seq} long, {value} double, {out} double"
-    state_schema = "total double"
-
-    def fold(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        total = state.get[0] if state.exists else 0.0
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(seq, kind="stable")
-        run = batch[value].astype("float64").cumsum() + total
-        state.update((float(run.iloc[-1]) if len(run) else total,))
-        yield pd.DataFrame({key: batch[key].astype(str), seq: batch[seq].astype("int64"),
-                            value: batch[value].astype("float64"), out: run})
-
-    src = df.select(df[key].cast("string").alias(key), df[seq].cast("long").alias(seq),
-                    df[value].cast("double").alias(value))
-    return src.groupBy(key).applyInPandasWithState(
-        fold, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-
-
-def running_sum_batches(stream: DataFrame, key: str, seq: str, value: str, base: str,
-                        checkpoint: str, width: int = 1 << 16, out: str = "running_total",
-                        trigger: dict | None = None) -> DataFrame:
-    """Per-record running totals on a stream with no per-key task.
-
-    Each micro-batch is a static DataFrame: in-batch running sums come from
-    ``bucketed_prefix`` (hot keys spread over buckets), and each key's total
-    from earlier batches is carried in a state table.  State is written per
-    batch (``state/batch_id=N``) and batch N reads batch N-1's state, so a
-    replayed batch recomputes the same output and state (outputs are
-    overwritten per batch id).  Returns all output rows once drained.
-    """
-    from pyspark.sql import functions as F
-
-    from tagstream.operators.running import bucketed_prefix, seq_bucket
-
-    spark = stream.sparkSession
-    state_schema = f"{key} string, _tg_total double"
-
-    def _state(bid: int) -> DataFrame:
-        if bid == 0:
-            return spark.createDataFrame([], state_schema)
-        return spark.read.schema(state_schema).parquet(f"{base}/state/batch_id={bid - 1}")
-
-    def _process(batch: DataFrame, bid: int) -> None:
-        b = batch.select(F.col(key).cast("string").alias(key), F.col(seq).cast("long").alias(seq),
-                         F.col(value).cast("double").alias(value))
-        prev = _state(bid)
-        run = bucketed_prefix(b, [key], [seq], seq_bucket(seq, width), {"_tg_run": F.col(value)}, rank_col=None)
-        res = run.join(prev, key, "left").select(
-            key, seq, value, (F.coalesce("_tg_total", F.lit(0.0)) + F.col("_tg_run")).alias(out))
-        res.write.mode("overwrite").parquet(f"{base}/out/batch_id={bid}")
-        delta = b.groupBy(key).agg(F.sum(value).alias("_tg_d"))
-        new = (prev.join(delta, key, "full")
-               .select(key, (F.coalesce("_tg_total", F.lit(0.0)) + F.coalesce("_tg_d", F.lit(0.0))).alias("_tg_total")))
-        new.write.mode("overwrite").parquet(f"{base}/state/batch_id={bid}")
-
-    from tagstream.streaming.runner import start
-    start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
-          .trigger(**(trigger or {"availableNow": True})).start(), spark)
-    if not path_exists(spark, f"{base}/out"):
-        return spark.createDataFrame([], f"{key} string, {seq} long, {value} double, {out} double")
-    return spark.read.parquet(f"{base}/out").drop("batch_id")
-
-
-def pairwise_avg_batches(stream: DataFrame, keys: list[str], ts: str, seq: str, value: str,
-                         unit: str, size: str, sub_bucket: str, base: str, checkpoint: str,
-                         trigger: dict | None = None, lateness: str | None = None) -> DataFrame:
-    """The ordered ``acc = (acc + v) / 2`` window fold on a stream.
-
-    The fold continues across micro-batches: a batch of ``m`` rows (ranked
-    by ``(ts, seq)`` with ``bucketed_prefix``, so no hot window is sorted in
-    one task) turns a carried ``acc`` into
-    ``acc * 2^-m + sum(v_i * 2^(rank_i - m - 1))``; a window's first batch
-    uses the closed form with the first row's extra weight.  State per
-    (key, window) -- ``acc, cnt, max_ts, first_unit`` -- is written per batch
-    id and read from the previous one, so replays are idempotent.  Rows of
-    one batch are folded in ``(ts, seq)`` order, batches in arrival order.
-
-    With ``lateness`` (e.g. ``"0 seconds"``) state stays bounded: the
-    watermark is the largest event time seen minus ``lateness``; windows
-    ending at or before it are final -- written to ``base/final`` and dropped
-    from the state -- and rows arriving for them later are dropped as late.
-    Returns ``keys, window_start, pairwise_avg, cnt, max_ts, first_unit``
-    (final windows plus those still open when the input is drained).
-    """
-    from pyspark.sql import functions as F
-
-    from tagstream.operators.running import bucketed_prefix
-    from tagstream.streaming.runner import start
-
-    spark = stream.sparkSession
-    part = [*keys, "window_start"]
-    state_cols = ["acc", "cnt", "max_ts", "first_unit"]
-
-    span = F.expr(f"INTERVAL {size}")
-
-    def _micros(c):
-        # Epoch microseconds of a timestamp or timestamp_ntz value, without
-        # any time-zone conversion (the watermark is carried as a number).
-        if isinstance(stream.schema[ts].dataType, T.TimestampNTZType):
-            return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c)
-        return F.unix_micros(c)
-
-    window_end_us = _micros(F.col("window_start") + span)
-
-    def _prev_wm(bid: int):
-        if lateness is None or bid == 0:
-            return None
-        rows = spark.read.parquet(f"{base}/wm/batch_id={bid - 1}").collect()  # one row
-        return rows[0]["wm_us"] if rows else None
-
-    def _process(batch: DataFrame, bid: int) -> None:
-        b = batch.withColumn("window_start", F.window(ts, size).start)
-        prev_wm = _prev_wm(bid)
-        if prev_wm is not None:  # rows of windows already final are late
-            b = b.where(window_end_us > F.lit(prev_wm))
-        ranked = bucketed_prefix(b, part, [ts, seq], F.window(ts, sub_bucket).start,
-                                 rank_col="_rn", total_col="_m")
-        order = F.struct(ts, seq)
-        g = ranked.groupBy(*part).agg(
-            F.sum(F.col(value) * F.pow(F.lit(2.0), F.col("_rn") - F.col("_m") - 1)).alias("_s"),
-            F.max("_m").alias("_m"), F.min_by(value, order).alias("_v1"),
-            F.min_by(unit, order).alias("_u1"), F.max(ts).alias("_mx"))
-        if bid == 0:
-            prev = g.select(*part, *[F.lit(None).alias(c) for c in state_cols]).limit(0)
-            prev = prev.select(*part, F.col("acc").cast("double"), F.col("cnt").cast("long"),
-                               F.col("max_ts").cast(g.schema["_mx"].dataType), F.col("first_unit").cast("string"))
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tagstream.operators.folds import compose, halving
+from tagstream.operators.running import seq_bucket
+from tagstream.streaming.runner import run_to_files, run_updates
+
+_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, with the changes
+    of each batch (not the whole state) written to the checkpoint."""
+    settings = {"spark.sql.streaming.stateStore.providerClass": _PROVIDER,
+                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+# ------------------------------------------------------- running totals ----
+
+class RunningTotal(StatefulProcessor):
+    """A row per reading with the total of its (key, bucket) so far."""
+
+    def __init__(self, names: list[str]):
+        self.names = names  # key, bucket, seq, value, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "total double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        k, bucket, seq, value, out = self.names
+        total = self.total.get()[0] if self.total.exists() else 0.0
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(seq, kind="stable")
+        run = batch[value].fillna(0.0).cumsum() + total
+        self.total.update((float(run.iloc[-1]),))
+        yield pd.DataFrame({k: key[0], bucket: key[1], seq: batch[seq], value: batch[value], out: run})
+
+    def close(self) -> None:
+        pass
+
+
+def running_sum_batches(stream: DataFrame, key: str, seq: str, value: str, base: str, checkpoint: str,
+                        width: int = 1 << 16, out: str = "running_total", trigger: dict | None = None) -> DataFrame:
+    """Per-record running totals of a stream (a keyed reduce's output): one
+    row ``key, seq, value, out`` per input row, in the order of ``seq``.
+
+    State holds one total per (key, ``seq div width``).  Rows come out with
+    the total inside their bucket; once the input is drained, the totals of
+    earlier buckets (one row per bucket) are added.  ``seq`` must not go back
+    from batch to batch, as in any log; null values add nothing."""
+    rows = stream.select(stream[key].cast("string").alias(key), seq_bucket(stream[seq], width).alias("tg_bucket"),
+                         stream[seq].cast("long").alias(seq), stream[value].cast("double").alias(value))
+    schema = f"{key} string, tg_bucket long, {seq} long, {value} double, {out} double"
+    totals = rows.groupBy(key, "tg_bucket").transformWithStateInPandas(
+        RunningTotal([key, "tg_bucket", seq, value, out]), schema, "append", "none")
+    with rocksdb_state(stream.sparkSession):
+        done = run_to_files(totals, f"{base}/out", checkpoint, trigger=trigger)
+    per_bucket = done.groupBy(key, "tg_bucket").agg(F.sum(value).alias("tg_sum"))
+    before = Window.partitionBy(key).orderBy("tg_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(F.col(key).alias("tg_k"), F.col("tg_bucket").alias("tg_b"),
+                                F.coalesce(F.sum("tg_sum").over(before), F.lit(0.0)).alias("tg_off"))
+    joined = done.join(offsets, done[key].eqNullSafe(offsets["tg_k"]) & done["tg_bucket"].eqNullSafe(offsets["tg_b"]))
+    return joined.select(key, seq, value, (F.col("tg_off") + F.col(out)).alias(out))
+
+
+# --------------------------------------------------------- ordered folds ----
+
+class AffineState(StatefulProcessor):
+    """The composition of a sub-bucket's affine maps, continued from batch to
+    batch.  With ``until`` (microseconds past the sub-bucket's begin) the state
+    goes when the watermark passes that time."""
+
+    def __init__(self, n_keys: int, keys: list[str], order: list[str], first: list[str], until_us: int | None):
+        self.n_keys, self.keys, self.order, self.first, self.until_us = n_keys, keys, order, first, until_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        heads = "".join(f", f{i} string" for i in range(len(self.first)))
+        self.state = handle.getValueState("map", f"a double, add double, n long, top long, v double{heads}")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        end_ms = 0 if self.until_us is None else (int(key[self.n_keys]) + self.until_us) // 1000
+        if end_ms and end_ms <= timerValues.getCurrentWatermarkInMs():
+            return  # late: the window's result stands
+        old = self.state.get() if self.state.exists() else None
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
+        top = int(batch["tg_top"].max())
+        batch = batch[batch["tg_v"].notna()]
+        a, add = batch["tg_a"].to_numpy(float), batch["tg_add"].to_numpy(float)
+        later = np.append(np.cumprod(a[::-1])[::-1][1:], 1.0) if len(a) else a
+        a_all, add_all, n = float(np.prod(a)), float((add * later).sum()), len(a)
+        head = (float(batch["tg_v"].iloc[0]), *[_text(batch[c].iloc[0]) for c in self.first]) if n else None
+        if old is not None:
+            a_all, add_all, n = old[0] * a_all, old[1] * a_all + add_all, old[2] + n
+            top = max(top, old[3])
+            head = tuple(old[4:]) if old[2] else head
+        elif self.until_us is not None:
+            self.handle.registerTimer(end_ms)
+        head = head or (None,) * (1 + len(self.first))
+        self.state.update((a_all, add_all, n, top, *head))
+        yield pd.DataFrame({**{c: [k] for c, k in zip(self.keys, key)}, "tg_a": [a_all], "tg_add": [add_all],
+                            "tg_n": [n], "tg_top": [top], "tg_v": [head[0]],
+                            **{c: [x] for c, x in zip(self.first, head[1:])}})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def _text(x):
+    return None if x is None or x != x else str(x)
+
+
+def _micros(ts: Column, like) -> Column:
+    """Epoch microseconds of a timestamp or timestamp_ntz, whatever the time zone."""
+    if like.typeName() == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ts)
+    return F.unix_micros(ts)
+
+
+def affine_fold_stream(stream: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str,
+                       step: tuple[Column, Column], size: str, sub_bucket: str, base: str, checkpoint: str,
+                       first: Sequence[str] = (), out: str = "fold", lateness: str | None = None,
+                       trigger: dict | None = None) -> DataFrame:
+    """``operators.folds.affine_fold`` per key and tumbling window of a stream,
+    continued across micro-batches: ``keys, window_start, fold, cnt, max_ts,
+    first_<name>``.
+
+    State is keyed by (keys, window, sub-bucket); readings of one batch are
+    folded by ``(ts, seq)``, batches in arrival order.  With ``lateness``,
+    windows that end at or before the watermark (largest time seen less
+    ``lateness``) are final: their state goes, their results stay, and rows
+    that arrive for them are dropped.  Rows without a time are in no window."""
+    spark, keys, first = stream.sparkSession, list(keys), list(first)
+    kind = stream.schema[ts].dataType
+    a, b = step
+    rows = stream.select(
+        *[F.col(k).cast("string").alias(k) for k in keys], _micros(F.col(ts), kind).alias("tg_top"),
+        F.col(seq).cast("long").alias("tg_seq"),
+        F.when(F.col(value).isNotNull(), a).cast("double").alias("tg_a"),
+        F.when(F.col(value).isNotNull(), b).cast("double").alias("tg_add"),
+        F.col(value).cast("double").alias("tg_v"), *[F.col(c).cast("string").alias(f"tg_f_{c}") for c in first])
+    group = [*keys, "tg_ws_us", "tg_sub_us"]
+    rows = rows.where(F.col("tg_top").isNotNull())
+    for name, width in zip(group[-2:], (size, sub_bucket)):
+        us = F.lit(_interval_us(width))
+        rows = rows.withColumn(name, F.col("tg_top") - F.pmod(F.col("tg_top"), us))
+    until, mode = None, "none"
+    cols = [*group, "tg_top", "tg_seq", "tg_a", "tg_add", "tg_v", *[f"tg_f_{c}" for c in first]]
+    if lateness is not None:
+        rows = rows.withColumn("tg_ets", F.timestamp_micros("tg_top")).withWatermark("tg_ets", lateness)
+        until, mode = _interval_us(size), "eventTime"
+        cols.append("tg_ets")
+    heads = [f"tg_f_{c}" for c in first]
+    schema = ", ".join([*[f"{k} string" for k in keys], "tg_ws_us long", "tg_sub_us long", "tg_a double",
+                        "tg_add double", "tg_n long", "tg_top long", "tg_v double", *[f"{h} string" for h in heads]])
+    # the timer runs from the window's begin, which stands before the sub-bucket in the key
+    subs = rows.select(*cols).groupBy(*group).transformWithStateInPandas(
+        AffineState(len(keys), group, ["tg_top", "tg_seq"], heads, until), schema, "update", mode)
+    with rocksdb_state(spark):
+        done = run_updates(subs, group, f"{base}/out", checkpoint, trigger)
+    done = done.withColumn("tg_first", F.struct("tg_v", *heads)).withColumnRenamed("tg_top", "tg_max")
+    g = compose(done, [*keys, "tg_ws_us"], [F.col("tg_sub_us")], out, "max_ts", first)
+
+    def back(c: str) -> Column:
+        if kind.typeName() == "timestamp_ntz":
+            return F.timestamp_add("MICROSECOND", F.col(c), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+        return F.timestamp_micros(c)
+
+    return g.select(*keys, back("tg_ws_us").alias("window_start"), out, "cnt", back("max_ts").alias("max_ts"),
+                    *[f"first_{c}" for c in first])
+
+
+def _interval_us(size: str) -> int:
+    from tagstream.operators.windows import _seconds
+    return int(_seconds(size) * 1_000_000)
+
+
+def pairwise_avg_batches(stream: DataFrame, keys: list[str], ts: str, seq: str, value: str, unit: str, size: str,
+                         sub_bucket: str, base: str, checkpoint: str, trigger: dict | None = None,
+                         lateness: str | None = None) -> DataFrame:
+    """The ordered ``acc = (acc + v) / 2`` window fold on a stream: ``keys,
+    window_start, pairwise_avg, cnt, max_ts, first_unit``."""
+    got = affine_fold_stream(stream, keys, ts, seq, value, halving(value), size, sub_bucket, base, checkpoint, [unit],
+                             "pairwise_avg", lateness, trigger)
+    return got.withColumnRenamed(f"first_{unit}", "first_unit")
+
+
+# ------------------------------------------------------- arrival windows ----
+
+class ArrivalWindow(StatefulProcessor):
+    """Count, sum, largest time and first row of a key's processing-time
+    window.  A timer closes the window at its end, whether or not rows come;
+    rows that arrive in the gap before the next window belong to none."""
+
+    def __init__(self, key: str, size_ms: int, slide_ms: int):
+        self.key, self.size, self.slide = key, size_ms, slide_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("window", "start long, cnt long, total double, top long, head string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        start = now // self.slide * self.slide
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(["tg_ts", "tg_seq"], kind="stable")
+        old = self.state.get() if self.state.exists() else None
+        if old is not None and old[0] != start:  # ended, but its timer has not fired yet
+            self.handle.deleteTimer(old[0] + self.size)
+            self.state.clear()
+            yield self._row(key, old)
+            old = None
+        if now >= start + self.size:
+            return
+        n, total, top = len(batch), float(batch["tg_value"].fillna(0.0).sum()), int(batch["tg_ts"].max())
+        if old is None:
+            self.handle.registerTimer(start + self.size)
+            self.state.update((start, n, total, top, _text(batch["tg_head"].iloc[0])))
         else:
-            prev = spark.read.parquet(f"{base}/state/batch_id={bid - 1}")
-        p = prev.select(*[F.col(c).alias(f"_p_{c}") for c in part], *[F.col(c).alias(f"_p_{c}") for c in state_cols])
-        cond = [g[c].eqNullSafe(p[f"_p_{c}"]) for c in part]
-        j = g.join(p, cond, "full")
-        halve = F.pow(F.lit(2.0), -F.col("_m"))
-        acc = (F.when(F.col("_m").isNull(), F.col("_p_acc"))
-               .when(F.col("_p_cnt").isNull(), F.col("_s") + F.col("_v1") * halve)
-               .otherwise(F.col("_p_acc") * halve + F.col("_s")))
-        new = j.select(*[F.coalesce(F.col(c), F.col(f"_p_{c}")).alias(c) for c in part],
-                       acc.alias("acc"),
-                       (F.coalesce("_p_cnt", F.lit(0)) + F.coalesce("_m", F.lit(0))).cast("long").alias("cnt"),
-                       F.greatest("_p_max_ts", "_mx").alias("max_ts"),
-                       F.coalesce("_p_first_unit", "_u1").alias("first_unit"))
-        if lateness is not None:
-            wm = batch.agg(_micros(F.max(ts) - F.expr(f"INTERVAL {lateness}")).alias("w")).collect()[0]["w"]
-            if prev_wm is not None and (wm is None or wm < prev_wm):
-                wm = prev_wm
-            spark.createDataFrame([(wm,)], "wm_us long").write.mode("overwrite") \
-                .parquet(f"{base}/wm/batch_id={bid}")
-            if wm is not None:
-                closed = window_end_us <= F.lit(wm)
-                new.where(closed).write.mode("overwrite").parquet(f"{base}/final/batch_id={bid}")
-                new = new.where(~closed)
-        new.write.mode("overwrite").parquet(f"{base}/state/batch_id={bid}")
-
-    start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
-          .trigger(**(trigger or {"availableNow": True})).start(), spark)
-    if not path_exists(spark, f"{base}/state"):
-        return spark.createDataFrame([], f"{', '.join(f'{k} string' for k in keys)}, window_start timestamp, "
-                                         "pairwise_avg double, cnt long, max_ts timestamp, first_unit string")
-    states = spark.read.parquet(f"{base}/state")
-    last = states.agg(F.max("batch_id")).first()[0]
-    out = spark.read.parquet(f"{base}/state/batch_id={last}") if last is not None else states.drop("batch_id")
-    if lateness is not None and path_exists(spark, f"{base}/final"):
-        final = spark.read.parquet(f"{base}/final").drop("batch_id")
-        out = out.unionByName(final.select(*out.columns))
-    return out.select(*part, F.col("acc").alias("pairwise_avg"), "cnt", "max_ts", "first_unit")
+            self.state.update((start, old[1] + n, old[2] + total, max(old[3], top), old[4]))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.state.exists():
+            old = self.state.get()
+            if old[0] + self.size <= expiredTimerInfo.getExpiryTimeInMs():
+                yield self._row(key, old)
+                self.state.clear()
+
+    def _row(self, key, s) -> pd.DataFrame:
+        return pd.DataFrame({self.key: [key[0]], "window_ms": [s[0]], "cnt": [s[1]], "total": [s[2]], "max_ts": [s[3]],
+                             "first_head": [s[4]]})
+
+    def close(self) -> None:
+        pass
+
+
+def arrival_windows(stream: DataFrame, key: str, ts: str, seq: str, value: str, head: str, size_ms: int,
+                    slide_ms: int | None = None) -> DataFrame:
+    """Tumbling processing-time windows of a live stream: key, window_ms (its
+    begin), cnt, total of ``value``, max_ts of ``ts`` (a number), first_head.
+    A window comes out once the clock passes its end, with or without new data
+    (start the query inside ``rocksdb_state``, append mode).
+
+    With a ``slide_ms`` above the size, windows begin every slide, and rows that
+    arrive in the gap belong to none.  Rows of one window count in the order of
+    their batches.  Results depend on arrival; ``windows.tumbling`` over an
+    arrival-time column is the form that can be repeated."""
+    rows = stream.select(F.col(key).cast("string").alias(key), F.col(ts).cast("long").alias("tg_ts"),
+                         F.col(seq).cast("long").alias("tg_seq"), F.col(value).cast("double").alias("tg_value"),
+                         F.col(head).cast("string").alias("tg_head"))
+    return rows.groupBy(key).transformWithStateInPandas(
+        ArrivalWindow(key, size_ms, max(size_ms, slide_ms or 0)), f"{key} string, window_ms long, cnt long, total double, max_ts long, first_head string", "append",
+        "processingTime")

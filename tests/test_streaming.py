@@ -84,7 +84,7 @@ def test_running_sum_stream_per_record(spark, tmp_dir):
                               [{"k": "Rita", "seq": 2, "v": 200.0}, {"k": "Bob", "seq": 4, "v": 150.0},
                                {"k": "Rita", "seq": 5, "v": 50.0}]])
     s = spark.readStream.schema("k string, seq long, v double").option("maxFilesPerTrigger", 1).json(src)
-    out = RN.run_to_files(ST.running_sum_stream(s, "k", "seq", "v"), f"{tmp_dir}/out", f"{tmp_dir}/ck")
+    out = ST.running_sum_batches(s, "k", "seq", "v", f"{tmp_dir}/data", f"{tmp_dir}/ck")
     got = [(r.k, r.running_total) for r in out.orderBy("seq").collect()]
     assert got == [("Rita", 100.0), ("Bob", 50.0), ("Rita", 300.0), ("Bob", 200.0), ("Rita", 350.0)]
 
