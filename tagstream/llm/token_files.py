@@ -27,7 +27,9 @@ table gives an empty data set; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -42,19 +44,26 @@ from tagstream.session import scratch_path
 
 END_ID = 2
 #: Words whose ids a task keeps at a time.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 NULL_ID = np.iinfo(np.int64).min
 SLICE_ROWS = 128
 
 
+#: The split pattern that ``LibraryEncoder`` can apply itself (a fixed value of
+#: the tokenizer file), and its form for lower-cased ASCII without white space.
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
 class LibraryEncoder:
     """Ids of texts by the ``tokenizers`` library, results of words kept.
 
-    Words of letters, with or without one closing punctuation mark, are cut
-    into these pieces, A-Z lower-cased (the library does so itself), so forms
-    of a word are encoded once.  Pieces are encoded many in one text: a piece's
-    last token, and no other, ends in the vocabulary's word-end suffix.  Other
-    words are encoded with a special token between them."""
+    Where the file splits by ``_PATTERN`` and marks word ends, words are cut
+    into pieces that the library would cut them into, A-Z lower-cased as it
+    does, so forms of a word are encoded once.  Pieces are encoded many in one
+    text: a piece's last token, and no other, ends in the vocabulary's word-end
+    suffix.  Other words, and other files' words, are encoded with a special
+    token between them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,23 +77,28 @@ class LibraryEncoder:
         special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items() if t.special}
         self.mark, self.mark_id = next(iter(special.items()))
         self.markers = [s.encode() for s in special]
-        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        suffix = spec["model"].get("end_of_word_suffix")
+        splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.cuts = bool(suffix) and splits[0].get("pattern") == {"Regex": _PATTERN}
         self.ends = np.zeros(size, bool)
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}  # the words known before the last change of generation
-        self.pieces: dict[bytes, bytes] = {}
-
-    def _cut(self, word: bytes) -> tuple[bytes, bytes] | None:
-        """(letters, mark or nothing), or None for words of other forms."""
-        if word[-1] in b".,;:!?":
-            head, tail = word[:-1], word[-1:]
-        else:
-            head, tail = word, b""
-        if head.isalpha() or (not head.isascii() and head.decode("utf-8", "replace").isalpha()):
-            return head.lower(), tail
-        return None
+
+    def _cut(self, word: bytes) -> list[bytes] | None:
+        """The pieces of a word, or None if they can't be told here."""
+        if word.isalpha():
+            return [word.lower()]
+        if word.isascii():
+            if b"<" in word and any(m in word for m in self.markers):
+                return None
+            return _ASCII_PIECES.findall(word.lower())
+        # beyond ASCII, letters only, with or without one closing mark
+        head, tail = (word[:-1], [word[-1:]]) if word[-1] in b".,;:!?" else (word, [])
+        return [head.lower(), *tail] if head.decode("utf-8", "replace").isalpha() else None
 
     def _ids(self, words: list[bytes], between: str) -> np.ndarray:
         text = between.join([w.decode("utf-8", "surrogatepass") for w in words])
@@ -107,26 +121,25 @@ class LibraryEncoder:
         return self._split(ids, np.append(0, ends[:-1]), ends)
 
     def learn(self, words: list[bytes]) -> None:
-        cut = {w: self._cut(w) for w in words} if self.ends.any() else dict.fromkeys(words)
-        new = list({p for c in cut.values() if c for p in c if p and p not in self.pieces})
-        if len(self.pieces) + len(new) > CACHE_WORDS:
-            self.pieces.clear()
-            new = list({p for c in cut.values() if c for p in c if p})
+        known = self.known
+        cut = {w: self._cut(w) for w in words} if self.cuts else dict.fromkeys(words)
+        new = list({p for c in cut.values() if c for p in c}.difference(known))  # a piece is a word, too
         for at in range(0, len(new), 4096):
             some = new[at:at + 4096]
-            self.pieces.update(zip(some, self._spaced(some)))
+            known.update(zip(some, self._spaced(some)))
         rest = []
         for w, c in cut.items():
-            if c:
-                self.known[w] = self.pieces[c[0]] + self.pieces[c[1]] if c[1] else self.pieces[c[0]]
-            elif b"<" in w and any(m in w for m in self.markers):
-                ids = self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
-                self.known[w] = np.array(ids, self.dtype).tobytes()
-            else:
-                rest.append(w)
+            if c is None:
+                if b"<" in w and any(m in w for m in self.markers):
+                    ids = self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+                    known[w] = np.array(ids, self.dtype).tobytes()
+                else:
+                    rest.append(w)
+            elif len(c) > 1 or c[0] != w:
+                known[w] = b"".join([known[p] for p in c])
         for at in range(0, len(rest), 4096):
             some = rest[at:at + 4096]
-            self.known.update(zip(some, self._marked(some)))
+            known.update(zip(some, self._marked(some)))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
