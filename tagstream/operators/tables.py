@@ -162,3 +162,40 @@ def upsert_into(path: str, batch: DataFrame, keys: Sequence[str], order: Column
     (spark.read.parquet(stage).hint("rebalance", partition_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A catalog table of ``df`` dealt by its keys into ``buckets``, sorted in
+    each: joins on the keys read it without a shuffle."""
+    (df.repartition(buckets, *keys).write.mode("errorifexists").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+
+
+def upsert_bucketed(table: str, batch: DataFrame, keys: Sequence[str], order: Column | str, new_table: str, path: str,
+                    buckets: int) -> DataFrame:
+    """``upsert`` of a batch into a bucketed table, written as its next version
+    ``new_table``.  Only the batch is shuffled, to the table's buckets; the
+    table is scanned bucket by bucket and merged in place.  Its keys are unique
+    and not null; rows of the batch whose key has a NULL part are rejected as a
+    primary key rejects them."""
+    spark = batch.sparkSession
+    merged = bucketed_merge(spark.table(table), batch, keys, order, buckets)
+    write_bucketed(merged, new_table, path, keys, buckets)
+    return spark.table(new_table)
+
+
+def bucketed_merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Column | str,
+                   buckets: int) -> DataFrame:
+    """The rows of ``target``, read by its ``buckets``, with the batch's last
+    row per key put in."""
+    cols, keys = target.columns, list(keys)
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    new = last_per_key(_with_order(batch.where(complete), cols, order), keys, "_tg_ord")
+    # dealt as the table is: fewer buckets than shuffle partitions would be dealt anew
+    new = new.repartition(buckets, *keys).select(*keys, F.struct(*[c for c in cols if c not in keys]).alias("_tg_new"))
+    both = target.join(new, keys, "full")
+    return both.select(*[F.col(c) if c in keys else
+                         F.when(F.col("_tg_new").isNotNull(), F.col(f"_tg_new.{c}")).otherwise(F.col(c)).alias(c)
+                         for c in cols])

@@ -618,18 +618,18 @@ def _encoded(spark, sf):
               (F.pmod("l_partkey", F.lit(1400)), 1), (clock_mod("l_shipdate"), 1)]
     keep = [*POLL_KEYS, F.col("l_suppkey").alias("device"), F.col("l_shipdate").alias("ts"),
             _device_class().alias("device_class"),
-            F.slice(F.array(F.col("l_returnflag") == "R", F.col("l_linestatus") == "O",
-                            F.col("l_discount") > 0.05, F.col("l_quantity") > 25, F.col("l_tax") > 0.04,
-                            F.col("l_returnflag") == "A", F.col("l_quantity") < 3, F.col("l_discount") < 0.09),
-                    1, F.least(F.lit(8), F.col("l_linenumber") + 3)).alias("bits")]
+            F.array(F.col("l_returnflag") == "R", F.col("l_linestatus") == "O",
+                    F.col("l_discount") > 0.05, F.col("l_quantity") > 25, F.col("l_tax") > 0.04,
+                    F.col("l_returnflag") == "A", F.col("l_quantity") < 3, F.col("l_discount") < 0.09).alias("bits")]
     return TM.encode_registers(li, fields, keep)
 
 
-def _polls(spark, sf):
-    """Polls: registers cut to ``min(6, line + 1)`` positions, so short
-    reads (and their defaults) occur."""
+def _short_polls(spark, sf):
+    """Polls of devices that answer in part, for the rules on missing
+    positions: ``line + 1`` registers and ``line + 3`` bits."""
     e = _encoded(spark, sf)
-    return e.withColumn("registers", F.slice("registers", 1, F.least(F.lit(6), F.col("l_linenumber") + 1)))
+    return (e.withColumn("registers", F.slice("registers", 1, F.least(F.lit(6), F.col("l_linenumber") + 1)))
+            .withColumn("bits", F.slice("bits", 1, F.least(F.lit(8), F.col("l_linenumber") + 3))))
 
 
 @q("encode_registers")
@@ -643,27 +643,27 @@ def decode_registers(spark, sf):
     """R-01/R-02/R-05: registers present in each poll, decoded by the
     poll's device map."""
     m = TM.register_map(spark, LAYOUTS)
-    return TM.decode_registers(_polls(spark, sf), m, POLL_KEYS)
+    return TM.decode_registers(_encoded(spark, sf), m, POLL_KEYS)
 
 
 @q("decode_registers_default")
 def decode_registers_default(spark, sf):
     """R-03: every mapped tag, missing registers as 0 (flagged)."""
     m = TM.register_map(spark, LAYOUTS)
-    return TM.decode_registers_default(_polls(spark, sf), m, POLL_KEYS)
+    return TM.decode_registers_default(_short_polls(spark, sf), m, POLL_KEYS)
 
 
 @q("decode_bits")
 def decode_bits(spark, sf):
     """R-04: named status booleans, missing bits False, with the number of
     bits actually read."""
-    return TM.decode_bits(_polls(spark, sf), S.WATER_PLANT_BITS, POLL_KEYS, with_count=True)
+    return TM.decode_bits(_short_polls(spark, sf), S.WATER_PLANT_BITS, POLL_KEYS, with_count=True)
 
 
 @q("alarm_list")
 def alarm_list(spark, sf):
     """R-09: active alarms per poll or "All systems normal"."""
-    st = TM.decode_bits(_polls(spark, sf), S.WATER_PLANT_BITS, POLL_KEYS)
+    st = TM.decode_bits(_encoded(spark, sf), S.WATER_PLANT_BITS, POLL_KEYS)
     return TM.alarm_list(st, POLL_KEYS)
 
 
@@ -673,7 +673,7 @@ STATUS_AS = [("pump_running", "pump_status"), ("valve_open", "valve_status"), ("
 
 def _wide_poll(spark, sf):
     """Sensors and status of each poll side by side, decoded in one pass."""
-    p = _polls(spark, sf)
+    p = _encoded(spark, sf)
     both = TM.decode_bits(TM.decode_wide(p, S.WATER_PLANT_REGISTERS[:5], [*POLL_KEYS, "bits"]),
                           S.WATER_PLANT_BITS, [*POLL_KEYS, *[t for _p, t, _d, _u in S.WATER_PLANT_REGISTERS[:5]]])
     return both.select(*POLL_KEYS, *[t for _p, t, _d, _u in S.WATER_PLANT_REGISTERS[:5]],
@@ -721,7 +721,7 @@ def dashboard(spark, sf):
     """R-11: per device, the latest poll's sensors and status side by side,
     with setpoints where the device has them.  Registers and bits of the
     latest poll come from one aggregation and are decoded in one pass."""
-    p = _polls(spark, sf).withColumn("_o", F.struct("ts", *POLL_KEYS, "registers", "bits"))
+    p = _encoded(spark, sf).withColumn("_o", F.struct("ts", *POLL_KEYS, "registers", "bits"))
     last = TB.last_per_key(p.select("device", "_o", "registers", "bits"), ["device"], "_o")
     sensor_cols = [t for _p, t, _d, _u in S.WATER_PLANT_REGISTERS]
     both = TM.decode_bits(TM.decode_wide(last, S.WATER_PLANT_REGISTERS, ["device", "bits"]),
@@ -760,7 +760,7 @@ def multi_device_union(spark, sf):
 @q("device_list")
 def device_list(spark, sf):
     """R-14: the devices seen in the polls."""
-    return TM.device_list(_polls(spark, sf), "device")
+    return TM.device_list(_encoded(spark, sf), "device")
 
 
 # --------------------------------------------------------------------------
@@ -1136,3 +1136,51 @@ def top_words_stream(spark, sf):
     lines = split_lines(stream_table(spark, sf, "documents"), "text", "doc_id")
     counts = TX.word_count(TX.words(lines, "line", min_len=2))
     return RN.leaderboard(counts, [F.col("cnt").desc(), F.col("word")], 25, f"{base}/out", f"{base}/checkpoint")
+
+
+@q("point_lookup")
+def point_lookup(spark, sf):
+    """C-06: the readings stored in order of time with Bloom filters on their
+    number; the hundred readings of the highest values are looked up by it."""
+    path = scratch_path(spark, "clustered")
+    r = I.readings(spark, sf).select("seq", "sensor", "ts", "value")
+    FS.write_clustered(r, path, ["ts"], {"seq": 1 << 16}, group_bytes=1 << 20)
+    wanted = [x["seq"] for x in r.orderBy(F.col("value").desc(), "seq").limit(100).collect()]
+    return FS.point_lookup(spark, path, "seq", wanted)
+
+
+@q("upsert_bucketed")
+def upsert_bucketed(spark, sf):
+    """K-04/K-05: the replayed batch upserted into a bucketed table; only the
+    batch is shuffled.  Same result as ``upsert_readings``."""
+    path = scratch_path(spark, "bucketed")
+    name = "tg_" + path.rsplit("-", 1)[-1]
+    e = I.events(spark, sf)
+    keys = ["sensor", "record_time"]
+    stored = TB.first_per_key(_hourly(e.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))), keys, "event_id")
+    TB.write_bucketed(stored.drop("event_id"), f"{name}_0", f"{path}/0", keys, 8)
+    batch = _hourly(e.where(F.col("ts") >= F.lit("2024-01-11").cast("timestamp_ntz")))
+    return TB.upsert_bucketed(f"{name}_0", batch, keys, "event_id", f"{name}_1", f"{path}/1", 8).select(
+        "sensor", "record_time", "unit", "value")
+
+
+@q("versioned_join")
+def versioned_join(spark, sf):
+    """J-05 with a changing dimension: readings followed from growing files
+    LEFT JOIN the customers' snapshot that is the newest when a micro-batch
+    runs; a second snapshot (names in capitals) is committed half-way."""
+    base = scratch_path(spark, "versioned")
+    e = I.events(spark, sf).select("event_id", "user_id", "value")
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    top = e.agg(F.max("event_id")).first()[0] or 0
+    lines = e.select(F.floor(F.col("event_id") * 8 / F.lit(top + 1)).cast("int").alias("file_no"), F.col("event_id").alias("ord"),
+                     F.concat_ws("|", *[F.col(x).cast("string") for x in ("event_id", "user_id", "value")]).alias("value"))
+    for piece, names in ((lines.where(F.col("file_no") < 4), c), (lines, c.withColumn("c_name", F.upper("c_name")))):
+        FS.write_snapshot(names, f"{base}/customers")
+        I.write_growing(piece, f"{base}/in")
+        p = F.split("value", "\\|")
+        rows = follow_lines(spark, f"{base}/in").select(
+            p[0].cast("long").alias("event_id"), p[1].cast("long").alias("user_id"), p[2].cast("double").alias("value"))
+        out = RN.versioned_join(rows, f"{base}/customers", "user_id", "c_custkey", base, f"{base}/checkpoint",
+                                trigger={"processingTime": "0 seconds"})
+    return out.select("event_id", "user_id", "value", "c_name", "c_nationkey")

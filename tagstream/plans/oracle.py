@@ -357,12 +357,12 @@ ENCODED = """(SELECT l_orderkey, l_linenumber, l_suppkey AS device, l_shipdate A
   [CAST(trunc(l_quantity * 100) AS INTEGER), CAST(trunc(l_discount * 1000) AS INTEGER),
    CAST(trunc(l_tax * 1000) AS INTEGER), CAST(trunc(l_extendedprice * CAST(0.1 AS DOUBLE)) AS INTEGER),
    CAST(l_partkey % 1400 AS INTEGER), CAST((epoch_us(l_shipdate) // 1000000) % 65535 AS INTEGER)] AS registers,
-  ([l_returnflag = 'R', l_linestatus = 'O', l_discount > 0.05, l_quantity > 25, l_tax > 0.04,
-    l_returnflag = 'A', l_quantity < 3, l_discount < 0.09])[1:least(8, l_linenumber + 3)] AS bits
+  [l_returnflag = 'R', l_linestatus = 'O', l_discount > 0.05, l_quantity > 25, l_tax > 0.04,
+   l_returnflag = 'A', l_quantity < 3, l_discount < 0.09] AS bits
   FROM lineitem)"""
 
-POLLS = f"""(SELECT l_orderkey, l_linenumber, device, ts, device_class,
-  registers[1:least(6, l_linenumber + 1)] AS registers, bits FROM {ENCODED})"""
+SHORT_POLLS = f"""(SELECT l_orderkey, l_linenumber, device, ts, device_class,
+  registers[1:least(6, l_linenumber + 1)] AS registers, bits[1:least(8, l_linenumber + 3)] AS bits FROM {ENCODED})"""
 
 
 def _wide_regs(layout, src="registers"):
@@ -373,14 +373,14 @@ def _bits(names, src="bits"):
     return ", ".join(f"coalesce({src}[{i + 1}], false) AS {n}" for i, n in enumerate(names))
 
 
-BITS_DECODED = f"(SELECT l_orderkey, l_linenumber, {_bits(_S.WATER_PLANT_BITS)} FROM {POLLS})"
+BITS_DECODED = f"(SELECT l_orderkey, l_linenumber, {_bits(_S.WATER_PLANT_BITS)} FROM {ENCODED})"
 
 _STATUS_AS = [("pump_running", "pump_status"), ("valve_open", "valve_status"), ("heater_on", "heater_status"),
               ("temp_alarm", "temp_alarm"), ("pressure_alarm", "pressure_alarm")]
 
 WIDE_POLL = f"""(SELECT l_orderkey, l_linenumber, {_wide_regs(_S.WATER_PLANT_REGISTERS[:5])},
   {", ".join(f"CAST(coalesce(bits[{_S.WATER_PLANT_BITS.index(a) + 1}], false) AS DOUBLE) AS {b}" for a, b in _STATUS_AS)}
-  FROM {POLLS})"""
+  FROM {ENCODED})"""
 
 _UNIT_CASE = "CASE sensor " + " ".join(f"WHEN '{t}' THEN '{u}'" for t, u in _S.POLL_UNITS) + " END"
 
@@ -392,17 +392,17 @@ ORACLE["encode_registers"] = f"SELECT l_orderkey, l_linenumber, registers FROM {
 ORACLE["decode_registers"] = f"""
 SELECT l_orderkey, l_linenumber, tag, raw, raw / divisor AS value, unit
 FROM (SELECT l_orderkey, l_linenumber, device_class, unnest(registers) AS raw,
-             unnest(range(len(registers))) AS pos FROM {POLLS}) x
+             unnest(range(len(registers))) AS pos FROM {ENCODED}) x
 JOIN {REGMAP} m USING (device_class, pos)"""
 
 ORACLE["decode_registers_default"] = f"""
 SELECT l_orderkey, l_linenumber, tag, coalesce(registers[pos + 1], 0) / divisor AS value, unit,
        registers[pos + 1] IS NULL AS is_default
-FROM {POLLS} p JOIN {REGMAP} m USING (device_class)"""
+FROM {SHORT_POLLS} p JOIN {REGMAP} m USING (device_class)"""
 
 ORACLE["decode_bits"] = f"""
 SELECT l_orderkey, l_linenumber, {_bits(_S.WATER_PLANT_BITS)}, CAST(coalesce(len(bits), 0) AS INTEGER) AS bits_read
-FROM {POLLS}"""
+FROM {SHORT_POLLS}"""
 
 _ALARM_PARTS = ", ".join(f"CASE WHEN {b} = {str(pol).lower()} THEN '{txt}' END" for b, pol, txt in _S.ALARM_TEXTS)
 
@@ -430,7 +430,7 @@ FROM events GROUP BY ALL"""
 ORACLE["dashboard"] = f"""
 WITH last AS (SELECT device, arg_max(registers, (ts, l_orderkey, l_linenumber, registers, bits)) AS registers,
                      arg_max(bits, (ts, l_orderkey, l_linenumber, registers, bits)) AS bits
-              FROM {POLLS} GROUP BY device),
+              FROM {ENCODED} GROUP BY device),
 sp AS (SELECT s_suppkey AS device, [CAST(trunc(s_acctbal) AS INTEGER), CAST(s_nationkey * 100 AS INTEGER),
                                     CAST(s_suppkey % 1000 AS INTEGER)] AS spr
        FROM supplier)
@@ -620,3 +620,14 @@ SELECT sensor, count(*) AS rows_kept, (SELECT count(*) FROM events) AS rows_coun
 ORACLE["live_snapshot"] = ORACLE["latest_snapshot"]
 
 ORACLE["top_words_stream"] = ORACLE["top_words"]
+
+ORACLE["point_lookup"] = f"""
+SELECT seq, sensor, ts, value FROM {READINGS} ORDER BY value DESC, seq LIMIT 100"""
+
+ORACLE["upsert_bucketed"] = ORACLE["upsert_readings"]
+
+ORACLE["versioned_join"] = """
+SELECT event_id, user_id, value,
+       CASE WHEN event_id * 8 < 4 * (SELECT max(event_id) + 1 FROM events) THEN c_name ELSE upper(c_name) END AS c_name,
+       c_nationkey
+FROM events LEFT JOIN customer ON user_id = c_custkey"""

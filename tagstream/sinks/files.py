@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +38,49 @@ def write_snapshot(df: DataFrame, base: str, partition_by: list[str] | None = No
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame:
     """The newest committed snapshot under ``base``."""
-    log = spark.read.parquet(f"{base.rstrip('/')}/_commits")
-    latest = log.orderBy(F.col("committed_ms").desc(), F.col("path").desc()).limit(1).collect()
-    if not latest:
+    return spark.read.parquet(latest_version(spark, base))
+
+
+def versions(spark: SparkSession, base: str) -> DataFrame:
+    """The commit log of a snapshot table: path, committed_ms."""
+    return spark.read.schema("path string, committed_ms long").parquet(f"{base.rstrip('/')}/_commits")
+
+
+def latest_version(spark: SparkSession, base: str) -> str:
+    """Path of the newest committed snapshot."""
+    newest = versions(spark, base).orderBy(F.col("committed_ms").desc(), F.col("path").desc()).limit(1).collect()
+    if not newest:
         raise FileNotFoundError(f"no committed snapshot under {base}")
-    return spark.read.parquet(latest[0]["path"])
+    return newest[0]["path"]
+
+
+def write_clustered(df: DataFrame, path: str, by: Sequence[str], bloom: Mapping[str, int],
+                    group_bytes: int = 32 << 20) -> None:
+    """A table laid out for look-ups, as secondary indexes serve them: rows are
+    ranged and sorted by ``by``, so a predicate on it meets the files and row
+    groups whose statistics hold it, and the columns of ``bloom`` (each with the
+    distinct values to expect in a row group) carry Bloom filters, so an equality
+    on them skips the other row groups.  ``group_bytes`` sizes row groups."""
+    w = df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("errorifexists")
+    w = w.option("parquet.block.size", group_bytes)
+    for col, distinct in bloom.items():
+        w = w.option(f"parquet.bloom.filter.enabled#{col}", "true")
+        w = w.option(f"parquet.bloom.filter.expected.ndv#{col}", distinct)
+    w.parquet(path)
+
+
+def point_lookup(spark: SparkSession, path: str, col: str, values: Sequence) -> DataFrame:
+    """Rows of a clustered table with ``col`` among ``values``.  The scan gets
+    one equality per value, which Bloom filters can test; above 100 values a
+    join is the better plan and a list is refused."""
+    values = list(dict.fromkeys(values))
+    if len(values) > 100:
+        raise ValueError("more than 100 values: join with a table of them")
+    table = spark.read.parquet(path)
+    hit = F.lit(False)
+    for v in values:
+        hit = hit | (F.col(col) == F.lit(v))
+    return table.where(hit)
 
 
 def text_stream(df: DataFrame, path: str, checkpoint: str, text_col: str = "value",

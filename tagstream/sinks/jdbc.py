@@ -25,11 +25,18 @@ def with_batch_id(df: DataFrame, batch_id: int | None) -> DataFrame:
 def append_batch(df: DataFrame, url: str, table: str, props: Mapping[str, str],
                  batch_id: int | None = None, batchsize: int = 100, retries: int = 3,
                  backoff_s: float = 1.0) -> None:
-    """Append one batch; retry the whole batch up to ``retries`` times."""
+    """Append one batch; retry the whole batch up to ``retries`` times.
+
+    Partitions commit one by one, so a failed attempt may leave rows behind, and
+    so may an earlier run of a replayed batch.  With a ``batch_id``, every
+    attempt deletes the batch's rows first, which makes both harmless; without
+    one, a retry can repeat rows."""
     out = with_batch_id(df, batch_id)
     opts = {**props, "batchsize": str(batchsize)}
     for attempt in range(retries + 1):
         try:
+            if batch_id is not None:
+                delete_batch(df.sparkSession, url, table, props, batch_id)
             out.write.mode("append").jdbc(url, table, properties=opts)
             return
         except Exception:  # noqa: BLE001 - the driver's error types vary
@@ -38,6 +45,24 @@ def append_batch(df: DataFrame, url: str, table: str, props: Mapping[str, str],
             time.sleep(backoff_s * (attempt + 1))
 
 
+def delete_batch(spark: SparkSession, url: str, table: str, props: Mapping[str, str], batch_id: int) -> None:
+    """``DELETE FROM table WHERE batch_id = ?``, run once by the database; a
+    table that does not exist yet has nothing to delete."""
+    jvm = spark._jvm
+    settings = jvm.java.util.Properties()
+    for k, v in props.items():
+        settings.setProperty(k, v)
+    con = jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        if not con.getMetaData().getTables(None, None, table.split(".")[-1], None).next():
+            return
+        statement = con.prepareStatement(f"DELETE FROM {table} WHERE batch_id = ?")
+        statement.setLong(1, int(batch_id))
+        statement.executeUpdate()
+    finally:
+        con.close()
+
+
 def batch_writer(url: str, table: str, props: Mapping[str, str], batchsize: int = 100,
                  retries: int = 3) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function appending each micro-batch over JDBC."""

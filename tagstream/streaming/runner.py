@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tagstream.functions.scalars import EPOCH_NTZ
 from tagstream.operators.tables import last_per_key
 from tagstream.session import path_exists
+from tagstream.sinks.files import latest_version
 
 
 def ntz_to_instant(ts: str | Column) -> Column:
@@ -223,6 +224,43 @@ def leaderboard(counts: DataFrame, order: Sequence[Column], n: int, base: str, c
     return spark.read.schema(counts.schema).parquet(f"{base}/batch_id={last}")
 
 
+def versioned_join(stream: DataFrame, dimension: str, on: str, dim_on: str, base: str, checkpoint: str,
+                   trigger: dict | None = None) -> DataFrame:
+    """LEFT JOIN of a stream with a dimension that changes: each micro-batch
+    joins the snapshot that was the newest when it was first run.  The choice is
+    written to ``base/versions`` before the batch's output, so a replayed batch
+    sees the same version whatever was committed since.  ``dimension`` is the
+    folder of a snapshot table (``sinks.files.write_snapshot``); ``on`` and
+    ``dim_on`` are the keys' names."""
+    spark = stream.sparkSession
+
+    def _process(batch: DataFrame, bid: int) -> None:
+        out = joined_at(batch, pinned_version(spark, dimension, base, bid), on, dim_on)
+        out.write.mode("overwrite").parquet(f"{base}/rows/batch_id={bid}")
+
+    start(lambda: stream.writeStream.foreachBatch(_process).option("checkpointLocation", checkpoint)
+          .trigger(**(trigger or {"availableNow": True})).start(), spark, _goes_on(trigger))
+    if not path_exists(spark, f"{base}/rows"):
+        return joined_at(spark.createDataFrame([], stream.schema), latest_version(spark, dimension), on, dim_on)
+    return spark.read.parquet(f"{base}/rows").drop("batch_id")
+
+
+def joined_at(rows: DataFrame, version: str, on: str, dim_on: str) -> DataFrame:
+    """Rows LEFT JOIN one snapshot of a dimension, without the key's copy."""
+    dim = rows.sparkSession.read.parquet(version)
+    return rows.join(dim, rows[on] == dim[dim_on], "left").drop(dim[dim_on])
+
+
+def pinned_version(spark: SparkSession, dimension: str, base: str, batch_id: int) -> str:
+    """The snapshot a batch was first run with; the newest, if it is new."""
+    path = f"{base}/versions/batch_id={batch_id}"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.schema("version string").parquet(path).first()["version"]
+    version = latest_version(spark, dimension)
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(path)
+    return version
+
+
 def read_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None, operator_id: int = 0) -> DataFrame:
     """Keys and values (structs ``key``, ``value``) that a stateful query holds,
     read from its checkpoint while it runs or after, as of its last committed
