@@ -96,7 +96,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, compression: str | None = None):
     """Write ``df`` as parquet under the shared folder and read it back.
 
     Used before multi-pass algorithms over an expensive derived input (e.g.
@@ -106,5 +106,5 @@ def materialize(df, name: str):
     the raw input)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.parquet(path)
