@@ -6,14 +6,16 @@ windows go into one automaton; each document is normalised the same way and
 scanned once.  Matches are mapped back to words and, for the operator's
 spans, to code points of the original text.
 
-The automaton is built from a broadcast list of benchmark texts.  Its bound is
-checked: beyond ``SLICE_CHARS`` characters the benchmark is cut into slices,
-each with an automaton of its own, and the documents are scanned once per
-slice; the hits of all slices are merged, so nothing is lost.
+Tasks build the automaton from files of the shared folder; no benchmark text
+passes the driver.  Beyond ``SLICE_CHARS`` characters the benchmark is cut into
+slices, a file each, and a task holds the automaton of one slice at a time:
+it gathers documents, scans them with one slice after the other and merges the
+hits, so nothing is lost and memory stays flat.
 
 Defined cases: null texts have no words and no hits; null benchmark texts and
-items without words have no windows; repeated item rows count once per
-item_id; each document row is judged on its own (ties, repeats); an empty
+items without words have no windows; windows of items with a null item_id count
+as hits, but their items aren't counted or listed; repeated item rows count
+once per item_id; each document row is judged on its own (ties, repeats); an empty
 benchmark contaminates nothing; an empty table gives an empty result; the
 filter carries all other columns untouched.
 """
@@ -22,17 +24,22 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagstream.llm.common import arrow_map, sha256_hex, whole_text
+from tagstream.llm.common import (SLICE_ROWS, attempt_name, filesystem, make_folder, map_file, per_block, sha256_hex,
+                                  whole_text)
+from tagstream.session import scratch_path
 
 WINDOW = 13
 #: Benchmark characters that one automaton takes.
 SLICE_CHARS = 2_000_000
+#: Bytes of text that a task gathers before it goes through several slices.
+GATHER_CHARS = 32 << 20
 #: A document is contaminated from one hit word in this many on.
 ONE_IN = 20
 
@@ -65,7 +72,9 @@ def build_automaton(items: list[tuple[str, str]]) -> ahocorasick.Automaton:
     holders: dict[str, tuple[int, set[str]]] = {}
     for item, text in items:
         for window, size in windows(text):
-            holders.setdefault(window, (size, set()))[1].add(item)
+            of = holders.setdefault(window, (size, set()))[1]
+            if item is not None:
+                of.add(item)
     a = ahocorasick.Automaton()
     for window, (size, of) in holders.items():
         a.add_word(window, (size, len(window), tuple(sorted(of))))
@@ -87,24 +96,19 @@ class Hits:
         return total
 
 
-def scan(words: list[bytes], automata: list[ahocorasick.Automaton]) -> Hits:
-    hits = Hits([], set())
-    if not words:
-        return hits
-    text = padded(words)
-    for automaton in automata:
-        at = word = 0
-        for last, (size, length, of) in automaton.iter(text):
-            # the window's leading space is the separator before its first word
-            start = last - length + 1
-            if start >= at:
-                word += text.count(" ", at, start)
-            else:
-                word -= text.count(" ", start, at)
-            at = start
-            hits.ranges.append((word, word + size))
-            hits.items.update(of)
-    return hits
+def scan(text: str, automaton: ahocorasick.Automaton, hits: Hits) -> None:
+    """Adds the hits in padded words."""
+    at = word = 0
+    for last, (size, length, of) in automaton.iter(text):
+        # the window's leading space is the separator before its first word
+        start = last - length + 1
+        if start >= at:
+            word += text.count(" ", at, start)
+        else:
+            word -= text.count(" ", start, at)
+        at = start
+        hits.ranges.append((word, word + size))
+        hits.items.update(of)
 
 
 def char_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -120,23 +124,68 @@ def char_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]
     return [(a, b) for a, b in out]
 
 
-def benchmark_slices(benchmark: DataFrame, slice_chars: int = SLICE_CHARS) -> list[list[tuple[str, str]]]:
-    """Benchmark texts in slices of at most ``slice_chars`` characters (a
-    longer item is a slice of its own).  Fetched one partition at a time."""
-    slices: list[list[tuple[str, str]]] = []
-    room = 0
+def write_slices(benchmark: DataFrame, slice_chars: int = SLICE_CHARS) -> list[str]:
+    """Benchmark texts in files of about ``slice_chars`` characters; their
+    URIs.  Texts are dealt by their hash, so that equal ones lie together."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), whole_text().alias("text"))
-    for r in rows.where(F.col("item").isNotNull()).toLocalIterator():
-        if not slices or room < len(r["text"]):
-            slices.append([])
-            room = slice_chars
-        slices[-1].append((r["item"], r["text"]))
-        room -= len(r["text"])
-    return slices
-
-
-def _automata(shared: list) -> list[ahocorasick.Automaton]:
-    return [a for a in (build_automaton(b.value) for b in shared) if len(a)]
+    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = max(1, -(-total // slice_chars))
+    rows = rows.where(F.col("text") != "").withColumn("block", F.pmod(F.xxhash64("text"), F.lit(n)).cast("int"))
+    folder = make_folder(scratch_path(benchmark.sparkSession, "benchmark"))
+
+    def write(table: pa.Table) -> str:
+        name = attempt_name("slice", ".arrow")
+        store, path = filesystem(folder)
+        table = table.select(["item", "text"])
+        with store.open_output_stream(f"{path}/{name}") as f, pa.ipc.new_file(f, table.schema) as out:
+            out.write_table(table)
+        return name
+
+    return [f"{folder}/{name}" for _, name in per_block(rows, n, ["item", "text"], write)]
+
+
+@lru_cache(maxsize=1)
+def load_automaton(uri: str) -> ahocorasick.Automaton:
+    """The automaton of a slice; a worker keeps the last one."""
+    table = pa.ipc.open_file(pa.BufferReader(map_file(uri))).read_all()
+    return build_automaton(list(zip(table["item"].to_pylist(), table["text"].to_pylist())))
+
+
+def scan_all(rows: DataFrame, schema, uris: list[str], text_at: int, judge) -> DataFrame:
+    """``judge(batch, texts, n_words, hits)`` over all rows: its record batch.
+    Rows are gathered up to ``GATHER_CHARS`` characters of text where there are
+    several slices, so that a slice's automaton is built once for all of them."""
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def flush():
+            work = []
+            for batch in held:
+                texts = [t or "" for t in batch.column(text_at).to_pylist()]
+                words = [normal_words(t) for t in texts]
+                work.append((batch, texts, [len(w) for w in words], [padded(w) if w else "" for w in words],
+                             [Hits([], set()) for _ in words]))
+            for uri in uris:
+                automaton = load_automaton(uri)
+                if len(automaton):
+                    for _, _, _, flat, hits in work:
+                        for text, h in zip(flat, hits):
+                            if text:
+                                scan(text, automaton, h)
+            for batch, texts, n_words, _, hits in work:
+                yield judge(batch, texts, n_words, hits)
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                held.append(whole.slice(at, SLICE_ROWS))
+                size += held[-1].column(text_at).nbytes
+                if len(uris) < 2 or size > GATHER_CHARS:
+                    yield from flush()
+                    held, size = [], 0
+        yield from flush()
+
+    return rows.mapInArrow(run, schema)
 
 
 def contaminated(n_words: int, n_hit: int) -> bool:
@@ -147,52 +196,30 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
                     slice_chars: int = SLICE_CHARS) -> DataFrame:
     """Per row: words, hit words, items found, their digest, the verdict, and
     ``hit_spans`` (merged passages as code points of the original)."""
-    sc = docs.sparkSession.sparkContext
-    shared = [sc.broadcast(s) for s in benchmark_slices(benchmark, slice_chars)]
+    uris = write_slices(benchmark, slice_chars)
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text().alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     out = (f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, "
            "contaminated boolean, hit_spans string")
 
-    def make():
-        automata = _automata(shared)
-
-        def fn(batch):
-            cols: list[list] = [[] for _ in range(6)]
-            for text in batch.column(1).to_pylist():
-                words = normal_words(text)
-                hits = scan(words, automata)
-                n_hit = hits.words()
-                spans = char_spans(text, hits.ranges) if hits.ranges else []
-                for c, v in zip(cols, (len(words), n_hit, len(hits.items),
-                                       sha256_hex(",".join(sorted(hits.items)).encode()),
-                                       contaminated(len(words), n_hit), ",".join(f"{a}:{b}" for a, b in spans))):
-                    c.append(v)
-            types = [pa.int64()] * 3 + [pa.string(), pa.bool_(), pa.string()]
-            return pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types))],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"])
-        return fn
-
-    return arrow_map(rows, out, make)
+    def judge(batch, texts, n_words, hits):
+        n_hit = [h.words() for h in hits]
+        spans = [",".join(f"{a}:{b}" for a, b in char_spans(t, h.ranges)) if h.ranges else "" for t, h in zip(texts, hits)]
+        cols = [n_words, n_hit, [len(h.items) for h in hits],
+                [sha256_hex(",".join(sorted(h.items)).encode()) for h in hits],
+                [contaminated(n, k) for n, k in zip(n_words, n_hit)], spans]
+        types = [pa.int64()] * 3 + [pa.string(), pa.bool_(), pa.string()]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types))],
+            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"])
+
+    return scan_all(rows, out, uris, 1, judge)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns as they
     were."""
-    sc = docs.sparkSession.sparkContext
-    shared = [sc.broadcast(s) for s in benchmark_slices(benchmark, slice_chars)]
-    at = docs.columns.index("text")
-
-    def make():
-        automata = _automata(shared)
-
-        def clean(text):
-            words = normal_words(text or "")
-            return not contaminated(len(words), scan(words, automata).words())
-
-        def fn(batch):
-            return batch.filter(pa.array([clean(t) for t in batch.column(at).to_pylist()], pa.bool_()))
-        return fn
+    def judge(batch, texts, n_words, hits):
+        return batch.filter(pa.array([not contaminated(n, h.words()) for n, h in zip(n_words, hits)], pa.bool_()))
 
-    return arrow_map(docs, docs.schema, make)
+    return scan_all(docs, docs.schema, write_slices(benchmark, slice_chars), docs.columns.index("text"), judge)

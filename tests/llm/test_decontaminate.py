@@ -18,7 +18,7 @@ def brute(texts, items):
     for item, text in items:
         w = words(text)
         for k in range(max(1, len(w) - 12) if w else 0):
-            windows.setdefault(tuple(w[k:k + 13]), set()).add(str(item))
+            windows.setdefault(tuple(w[k:k + 13]), set()).update([] if item is None else [str(item)])
     out = []
     for t in texts:
         w, hit, found = words(t), set(), set()
@@ -69,3 +69,16 @@ def test_awkward_rows_and_empty_tables(spark):
     clean = D.keep_clean(docs, items_frame(spark, [(1, "quick brown fox")]))
     assert clean.schema == docs.schema and clean.count() == 7
     assert D.decontamination(empty_docs(spark), none).count() == 0
+
+
+def test_windows_of_items_without_an_id_are_hits(spark):
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    texts = [passage, "x " + passage + " y", "one two", "four five"]
+    items = [(None, passage), (None, "four five"), (3, "one two three four five six seven eight nine ten eleven twelve")]
+    want = brute(texts, items)
+    assert [w[1:3] for w in want] == [(13, 1), (13, 1), (0, 0), (2, 0)]
+    for size in (10, 10_000):
+        got = by_id(D.decontamination(docs_frame(spark, texts), items_frame(spark, items), slice_chars=size))
+        assert [values(got[k]) for k in range(4)] == want
+    kept = D.keep_clean(docs_frame(spark, texts), items_frame(spark, items)).collect()
+    assert [r["doc_id"] for r in kept] == [2]
