@@ -50,7 +50,7 @@ from tagstream.session import materialize, scratch_path
 WINDOW = 35
 ANCHOR_WORDS = 8
 #: Words that a task handles at a time.
-CHUNK_WORDS = 400_000
+CHUNK_WORDS = 800_000
 #: Words of a reference block.
 BLOCK_WORDS = 1 << 20
 #: Passages of an anchor from which on it may be hot.
@@ -460,7 +460,7 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, block_words: int = BL
     total = counts.agg(F.sum("n")).first()[0] or 0
     limit = max(hot, total >> 20)  # so at most 2^20 anchors are hot
     hot_anchors = np.array([r["anchor"] for r in counts.where(F.col("n") > limit).select("anchor").collect()], np.int64)
-    rows = materialize(_passages(docs, id_type, marked, hot_anchors, window), "repeat-passages")
+    rows = materialize(_passages(docs, id_type, marked, hot_anchors, window), "repeat-passages", "zstd")
     parsed = materialize(_factored(rows.where(F.col("words").isNotNull()), window, block_words), "repeat-spans")
 
     single = rows.where(F.col("window").isNotNull()).select("digest", "window", "at", "n").unionByName(
