@@ -50,7 +50,7 @@ from tagstream.session import materialize, scratch_path
 #: Positions that a task handles at a time.
 CHUNK = 1 << 19
 #: Distinct words or phrases that a counting task gathers before it hands them on.
-GATHER = 1 << 19
+GATHER = 3 << 17
 BLOCK_PHRASES = 400_000
 MAX_BLOCKS = 512
 #: Words of one vocabulary file.
