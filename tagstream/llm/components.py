@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from tagstream.session import materialize
 
-MAX_ROUNDS = 60
-
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """One step over edges (u > v): link to the smallest neighbour."""
@@ -50,15 +48,10 @@ def components(edges: DataFrame) -> DataFrame:
     e = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     e = materialize(e.distinct(), "cc-0")
     mark = _mark(e)
-    for k in range(1, MAX_ROUNDS + 1):
-        if not mark[0]:
-            break
+    before, k = None, 0
+    while mark[0] and mark != before:  # every round brings vertices closer to their least one, so it ends
+        before, k = mark, k + 1
         e = materialize(_star(_star(e, True), False), f"cc-{k}")
-        new = _mark(e)
-        if new == mark:
-            break
-        mark = new
-    else:
-        raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
+        mark = _mark(e)
     roots = e.select(F.col("v").alias("u"), "v").distinct()
     return e.select("u", "v").unionByName(roots).select(F.col("u").alias("vertex"), F.col("v").alias("component"))

@@ -20,14 +20,18 @@
    buckets still open.
 4. Connected components of classes and links give the groups.
 
-No step makes all pairs of a group: copies are classes, near copies are linked
-through the smallest member.  Sets of candidates are fetched by join, never
-collected.
+Copies are classes and near copies are linked through the smallest member, so
+linked groups make no pairs among themselves.  The last step compares the members
+of a bucket that are not yet in its component with the others of the bucket: for
+groups of half-similar, unlinked texts that is a comparison of each such pair by
+sketch.  Sets of candidates are fetched by join, never collected.
 
 Recall: with 36 bands of 5 rows a pair at similarity 0.8 shares a bucket with
 probability 1 - (1 - 0.8^5)^36 > 0.999999.  The sketch passes pairs whose
-estimate is at least ``SKETCH_FLOOR`` (about five standard errors under 0.8),
-the finer one those of at least ``FINE_FLOOR`` (five standard errors too).
+estimate is at least ``SKETCH_FLOOR`` (five standard errors of its samples under
+0.8, about 4.1 with the collisions of its bitmap: a simulated pair at exactly 0.8
+fails 3 times in 100,000), the finer one those of at least ``FINE_FLOOR`` (about
+4.5 standard errors).  Such a pair is lost unless others link it.
 
 Defined cases: null texts and texts without words have the empty set and are
 linked with nothing; a text with fewer words than a shingle has one shingle of
