@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import __spark_entry__ as E
 
 
@@ -21,3 +25,16 @@ def test_all_queries_match_oracle_on_smallest_sf(spark):
     from tagstream.plans.gallery import GALLERY
     bad = compare(spark, "/root/testdata/sf0.001", only=set(GALLERY), log=lambda _msg: None)
     assert bad == []
+
+
+def test_entry_works_without_packages_that_only_the_pipeline_needs():
+    code = ("import sys\n"
+            "class Absent:\n"
+            "    def find_spec(self, name, path=None, target=None):\n"
+            "        if name in ('ahocorasick', 'zstandard', 'xxhash', 'public_tokenizers'):\n"
+            "            raise ModuleNotFoundError(f'No module named {name!r}', name=name)\n"
+            "sys.meta_path.insert(0, Absent())\n"
+            "import __spark_entry__ as E\n"
+            "assert 'tumbling_avg' in E.queries() and not [k for k in E.queries() if k.startswith('op')]\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

@@ -31,20 +31,24 @@ def _parsed(lines):
 
 def test_late_rows_are_kept_and_counted_over_more_batches_than_reports(spark, tmp_dir):
     # one row a batch; every fifth row is 60 s behind the largest time seen
-    times = [1000 + 10 * i - (70 if i % 5 == 4 and i > 10 else 0) for i in range(105)]
+    n = 40
+    times = [1000 + 10 * i - (70 if i % 5 == 4 and i > 10 else 0) for i in range(n)]
     _append(f"{tmp_dir}/in/a", [f"k,{t},{i}" for i, t in enumerate(times)])
     rows = _parsed(G.follow_lines(spark, f"{tmp_dir}/in", max_lines=1))
-    on_time, late, counts = RN.split_late(rows, "ts", "30 seconds", f"{tmp_dir}/b", f"{tmp_dir}/ck", trigger=NOW)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")  # reports that the engine keeps
+    try:
+        on_time, late, counts = RN.split_late(rows, "ts", "30 seconds", f"{tmp_dir}/b", f"{tmp_dir}/ck", trigger=NOW)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     want_late, top = [], None
     for i, t in enumerate(times):
         if top is not None and t < top - 30:
             want_late.append(i)
         top = max(t, top or t)
-    assert sorted(r["v"] for r in late.collect()) == want_late and len(want_late) == 19
-    assert sorted(r["v"] for r in on_time.collect()) == [i for i in range(105) if i not in want_late]
+    assert sorted(r["v"] for r in late.collect()) == want_late and len(want_late) == 6
+    assert sorted(r["v"] for r in on_time.collect()) == [i for i in range(n) if i not in want_late]
     got = counts.orderBy("batch_id").collect()
-    assert len(got) == 105  # the engine keeps the reports of the last 100
-    assert [(r["accepted"], r["late"]) for r in got] == [(i not in want_late, i in want_late) for i in range(105)]
+    assert [(r["accepted"], r["late"]) for r in got] == [(i not in want_late, i in want_late) for i in range(n)]
 
 
 def test_no_rows_no_late_rows(spark, tmp_dir):
