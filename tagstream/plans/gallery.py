@@ -31,6 +31,7 @@ from tagstream.plans import inputs as I
 from tagstream.session import materialize, scratch_path
 from tagstream.sinks import files as FS
 from tagstream.sinks import kafka as KF
+from tagstream.sinks.catalog import create_table
 from tagstream.sources.growing import drain, follow_lines
 from tagstream.sources.tables import events_as_readings, read_table, stream_table
 from tagstream.sources.text import split_lines
@@ -915,6 +916,11 @@ def _read_back(lines: DataFrame) -> DataFrame:
                         p[3].alias("unit"), p[4].cast("double").alias("value"))
 
 
+def _table_name(path: str) -> str:
+    """A catalog name that no other run uses."""
+    return "tg_" + path.rsplit("-", 1)[-1]
+
+
 def _followed_readings(spark, sf, folder: str, batches: int = 4) -> DataFrame:
     """The readings as lines of growing files, followed in about ``batches``
     micro-batches by a cap on their lines."""
@@ -1154,7 +1160,7 @@ def upsert_bucketed(spark, sf):
     """K-04/K-05: the replayed batch upserted into a bucketed table; only the
     batch is shuffled.  Same result as ``upsert_readings``."""
     path = scratch_path(spark, "bucketed")
-    name = "tg_" + path.rsplit("-", 1)[-1]
+    name = _table_name(path)
     e = I.events(spark, sf)
     keys = ["sensor", "record_time"]
     stored = TB.first_per_key(_hourly(e.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))), keys, "event_id")
@@ -1184,3 +1190,51 @@ def versioned_join(spark, sf):
         out = RN.versioned_join(rows, f"{base}/customers", "user_id", "c_custkey", base, f"{base}/checkpoint",
                                 trigger={"processingTime": "0 seconds"})
     return out.select("event_id", "user_id", "value", "c_name", "c_nationkey")
+
+
+@q("snapshot_table")
+def snapshot_table(spark, sf):
+    """K-08: readings written as a committed snapshot, then replaced by a
+    second one with all readings; readers see the newest committed state only."""
+    base = scratch_path(spark, "snapshots")
+    r = I.readings(spark, sf).select("seq", "sensor", "value")
+    FS.write_snapshot(r.where(F.col("value") > 0), base)
+    FS.write_snapshot(r, base)
+    return FS.read_latest(spark, base)
+
+
+@q("catalog_table")
+def catalog_table(spark, sf):
+    """K-10: the table of area means created in the catalog from its definition,
+    filled and read by name."""
+    path = scratch_path(spark, "catalog")
+    name = _table_name(path)
+    create_table(spark, name, S.TABLES["sensor_data"], path)
+    g = I.readings(spark, sf).groupBy("area", F.col("sensor").alias("sensor_id")).agg(
+        F.sum(micros("value")).alias("_sum"), F.count(F.lit(1)).alias("cnt"), F.max(ts_to_epoch_ms("ts")).alias("ts"))
+    g.select("area", "sensor_id", exact_mean("_sum", "cnt").alias("avg_value"), F.col("cnt").cast("int"), "ts") \
+        .write.mode("append").insertInto(name)
+    return spark.table(name)
+
+
+@q("fan_out_stream")
+def fan_out_stream(spark, sf):
+    """T-10: one stream to two outputs, all readings as rows and counts per
+    sensor of each micro-batch; the counts of all batches together are those of
+    the rows."""
+    base = scratch_path(spark, "fan_out")
+    r = _followed_readings(spark, sf, f"{base}/in")
+
+    def rows(batch, bid):
+        batch.select("sensor", "value").write.mode("overwrite").parquet(f"{base}/rows/batch_id={bid}")
+
+    def counts(batch, bid):
+        batch.groupBy("sensor").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+            f"{base}/counts/batch_id={bid}")
+
+    RN.start(lambda: r.writeStream.foreachBatch(RN.fan_out(rows, counts)).option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(processingTime="0 seconds").start(), spark, until_idle=True)
+    stored = spark.read.schema("sensor string, value double, batch_id long").parquet(f"{base}/rows")
+    counted = spark.read.schema("sensor string, n long, batch_id long").parquet(f"{base}/counts")
+    a = stored.groupBy("sensor").agg(F.count(F.lit(1)).alias("rows_stored"), F.max("value").alias("max_value"))
+    return a.join(counted.groupBy("sensor").agg(F.sum("n").alias("rows_counted")), "sensor")

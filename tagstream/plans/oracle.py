@@ -631,3 +631,14 @@ SELECT event_id, user_id, value,
        CASE WHEN event_id * 8 < 4 * (SELECT max(event_id) + 1 FROM events) THEN c_name ELSE upper(c_name) END AS c_name,
        c_nationkey
 FROM events LEFT JOIN customer ON user_id = c_custkey"""
+
+ORACLE["snapshot_table"] = "SELECT event_id AS seq, event_type AS sensor, value FROM events"
+
+ORACLE["catalog_table"] = f"""
+SELECT area, sensor AS sensor_id, CAST(sum(CAST(value AS DECIMAL(24,6))) AS DOUBLE) / count(*) AS avg_value,
+       CAST(count(*) AS INTEGER) AS cnt, max(epoch_us(ts) // 1000) AS ts
+FROM {READINGS} GROUP BY ALL"""
+
+ORACLE["fan_out_stream"] = """
+SELECT event_type AS sensor, count(*) AS rows_stored, max(value) AS max_value, count(*) AS rows_counted
+FROM events GROUP BY event_type"""
