@@ -845,11 +845,11 @@ def file_sink_roundtrip(spark, sf):
 @q("running_sum_stream")
 def running_sum_stream(spark, sf):
     """A-01 streaming: one updated total per input reading, per sensor; the
-    state store keeps a total per (sensor, 1,024 readings of the sequence), so
+    state store keeps a total per (sensor, 4,096 readings of the sequence), so
     the rows of one sensor are dealt over all tasks."""
     base = scratch_path(spark, "running_stream")
     r = events_as_readings(stream_table(spark, sf, "events"))
-    res = ST.running_sum_batches(r, "sensor", "seq", "value", base, f"{base}/checkpoint", width=1 << 10)
+    res = ST.running_sum_batches(r, "sensor", "seq", "value", base, f"{base}/checkpoint", width=1 << 12)
     return res.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))
 
 
@@ -894,7 +894,7 @@ def running_sum_stream_batches(spark, sf):
     lines of growing files, a capped number of lines a batch."""
     base = scratch_path(spark, "running_batches")
     lines = _followed_readings(spark, sf, f"{base}/in")
-    out = ST.running_sum_batches(lines, "sensor", "seq", "value", f"{base}/data", f"{base}/checkpoint", width=1 << 10,
+    out = ST.running_sum_batches(lines, "sensor", "seq", "value", f"{base}/data", f"{base}/checkpoint", width=1 << 12,
                                  trigger={"processingTime": "0 seconds"})
     return out.select("seq", "sensor", "value", F.round("running_total", 4).alias("running_total"))
 
@@ -1084,7 +1084,7 @@ def exponential_mean(spark, sf):
 @q("exponential_mean_stream")
 def exponential_mean_stream(spark, sf):
     """U-03 as a stream: the same means, carried over micro-batches in the
-    state store as one affine map per (sensor, hour)."""
+    state store as one affine map per (sensor, hour), a day's together."""
     base = scratch_path(spark, "ema_stream")
     r = _followed_readings(spark, sf, f"{base}/in")
     g = ST.affine_fold_stream(r, ["sensor"], "ts", "seq", "value", FO.exponential("value", 0.2), "1 hour", "1 hour",

@@ -93,41 +93,53 @@ def running_sum_batches(stream: DataFrame, key: str, seq: str, value: str, base:
 # --------------------------------------------------------- ordered folds ----
 
 class AffineState(StatefulProcessor):
-    """The composition of a sub-bucket's affine maps, continued from batch to
-    batch.  With ``until`` (microseconds past the sub-bucket's begin) the state
-    goes when the watermark passes that time."""
+    """The compositions of the sub-buckets' affine maps of one key and span of
+    time, continued from batch to batch: a row per sub-bucket that changed.
+    With ``size_us`` (event time), readings of windows that the watermark has
+    passed are dropped, and the state goes when it passes the span's end."""
 
-    def __init__(self, n_keys: int, keys: list[str], order: list[str], first: list[str], until_us: int | None):
-        self.n_keys, self.keys, self.order, self.first, self.until_us = n_keys, keys, order, first, until_us
+    def __init__(self, keys: list[str], first: list[str], span_us: int, size_us: int | None):
+        self.keys, self.first, self.span_us, self.size_us = keys, first, span_us, size_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        heads = "".join(f", f{i} string" for i in range(len(self.first)))
-        self.state = handle.getValueState("map", f"a double, add double, n long, top long, v double{heads}")
+        heads = "".join(f", f{i} array<string>" for i in range(len(self.first)))
+        self.state = handle.getValueState("maps", "ws array<long>, sub array<long>, a array<double>, add array<double>, "
+                                          f"n array<long>, top array<long>, v array<double>{heads}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        end_ms = 0 if self.until_us is None else (int(key[self.n_keys]) + self.until_us) // 1000
-        if end_ms and end_ms <= timerValues.getCurrentWatermarkInMs():
-            return  # late: the window's result stands
-        old = self.state.get() if self.state.exists() else None
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
-        top = int(batch["tg_top"].max())
-        batch = batch[batch["tg_v"].notna()]
-        a, add = batch["tg_a"].to_numpy(float), batch["tg_add"].to_numpy(float)
-        later = np.append(np.cumprod(a[::-1])[::-1][1:], 1.0) if len(a) else a
-        a_all, add_all, n = float(np.prod(a)), float((add * later).sum()), len(a)
-        head = (float(batch["tg_v"].iloc[0]), *[_text(batch[c].iloc[0]) for c in self.first]) if n else None
-        if old is not None:
-            a_all, add_all, n = old[0] * a_all, old[1] * a_all + add_all, old[2] + n
-            top = max(top, old[3])
-            head = tuple(old[4:]) if old[2] else head
-        elif self.until_us is not None:
-            self.handle.registerTimer(end_ms)
-        head = head or (None,) * (1 + len(self.first))
-        self.state.update((a_all, add_all, n, top, *head))
-        yield pd.DataFrame({**{c: [k] for c, k in zip(self.keys, key)}, "tg_a": [a_all], "tg_add": [add_all],
-                            "tg_n": [n], "tg_top": [top], "tg_v": [head[0]],
-                            **{c: [x] for c, x in zip(self.first, head[1:])}})
+        batch = pd.concat(list(rows), ignore_index=True)
+        if self.size_us is not None:
+            passed = timerValues.getCurrentWatermarkInMs() * 1000
+            batch = batch[batch["tg_ws_us"] + self.size_us > passed]
+            if not len(batch):
+                return
+        batch = batch.sort_values(["tg_ws_us", "tg_sub_us", "tg_top", "tg_seq"], kind="stable")
+        stored = self.state.get() if self.state.exists() else None
+        if stored is None and self.size_us is not None:
+            self.handle.registerTimer((int(key[-1]) + self.span_us) // 1000)
+        maps = {(r[0], r[1]): r for r in zip(*stored)} if stored is not None else {}
+        ws, sub, top, a, add, v = (batch[c].to_numpy() for c in ("tg_ws_us", "tg_sub_us", "tg_top", "tg_a", "tg_add", "tg_v"))
+        heads = [batch[c].to_numpy() for c in self.first]
+        cuts = np.flatnonzero(np.concatenate([[True], (ws[1:] != ws[:-1]) | (sub[1:] != sub[:-1]), [True]]))
+        changed = []
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            at = lo + np.flatnonzero(~np.isnan(v[lo:hi]))
+            later = np.append(np.cumprod(a[at][::-1])[::-1][1:], 1.0) if len(at) else a[at]
+            a_all, add_all, n = float(np.prod(a[at])), float((add[at] * later).sum()), len(at)
+            head = (float(v[at[0]]), *[_text(h[at[0]]) for h in heads]) if n else (None,) * (1 + len(heads))
+            highest = int(top[lo:hi].max())
+            place = (int(ws[lo]), int(sub[lo]))
+            old = maps.get(place)
+            if old is not None:
+                a_all, add_all, n, highest = old[2] * a_all, old[3] * a_all + add_all, old[4] + n, max(old[5], highest)
+                head = tuple(old[6:]) if old[4] else head
+            maps[place] = (*place, a_all, add_all, n, highest, *head)
+            changed.append(maps[place])
+        self.state.update(tuple(list(c) for c in zip(*maps.values())))
+        cols = list(zip(*changed))
+        yield pd.DataFrame({**{c: [k] * len(changed) for c, k in zip(self.keys, key)},
+                            **dict(zip(["tg_ws_us", "tg_sub_us", "tg_a", "tg_add", "tg_n", "tg_top", "tg_v", *self.first], cols))})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.state.clear()
@@ -151,13 +163,15 @@ def _micros(ts: Column, like) -> Column:
 def affine_fold_stream(stream: DataFrame, keys: Sequence[str], ts: str, seq: str, value: str,
                        step: tuple[Column, Column], size: str, sub_bucket: str, base: str, checkpoint: str,
                        first: Sequence[str] = (), out: str = "fold", lateness: str | None = None,
-                       trigger: dict | None = None) -> DataFrame:
+                       trigger: dict | None = None, span: str = "1 day") -> DataFrame:
     """``operators.folds.affine_fold`` per key and tumbling window of a stream,
     continued across micro-batches: ``keys, window_start, fold, cnt, max_ts,
     first_<name>``.
 
-    State is keyed by (keys, window, sub-bucket); readings of one batch are
-    folded by ``(ts, seq)``, batches in arrival order.  With ``lateness``,
+    State is keyed by (keys, ``span`` of time) and holds a map per window and
+    sub-bucket of the span; a group of a batch costs some milliseconds, so a span
+    holds several windows, and a hot key wants a shorter one.  Readings of one
+    batch are folded by ``(ts, seq)``, batches in arrival order.  With ``lateness``,
     windows that end at or before the watermark (largest time seen less
     ``lateness``) are final: their state goes, their results stay, and rows
     that arrive for them are dropped.  Rows without a time are in no window."""
@@ -170,13 +184,12 @@ def affine_fold_stream(stream: DataFrame, keys: Sequence[str], ts: str, seq: str
         F.when(F.col(value).isNotNull(), a).cast("double").alias("tg_a"),
         F.when(F.col(value).isNotNull(), b).cast("double").alias("tg_add"),
         F.col(value).cast("double").alias("tg_v"), *[F.col(c).cast("string").alias(f"tg_f_{c}") for c in first])
-    group = [*keys, "tg_ws_us", "tg_sub_us"]
+    group, places = [*keys, "tg_span_us"], ["tg_ws_us", "tg_sub_us"]
     rows = rows.where(F.col("tg_top").isNotNull())
-    for name, width in zip(group[-2:], (size, sub_bucket)):
-        us = F.lit(_interval_us(width))
-        rows = rows.withColumn(name, F.col("tg_top") - F.pmod(F.col("tg_top"), us))
+    for name, of, width in (("tg_ws_us", "tg_top", size), ("tg_sub_us", "tg_top", sub_bucket), ("tg_span_us", "tg_ws_us", span)):
+        rows = rows.withColumn(name, F.col(of) - F.pmod(F.col(of), F.lit(_interval_us(width))))
     until, mode = None, "none"
-    cols = [*group, "tg_top", "tg_seq", "tg_a", "tg_add", "tg_v", *[f"tg_f_{c}" for c in first]]
+    cols = [*group, *places, "tg_top", "tg_seq", "tg_a", "tg_add", "tg_v", *[f"tg_f_{c}" for c in first]]
     if lateness is not None:
         rows = rows.withColumn("tg_ets", F.timestamp_micros("tg_top")).withWatermark("tg_ets", lateness)
         until, mode = _interval_us(size), "eventTime"
@@ -184,11 +197,12 @@ def affine_fold_stream(stream: DataFrame, keys: Sequence[str], ts: str, seq: str
     heads = [f"tg_f_{c}" for c in first]
     schema = ", ".join([*[f"{k} string" for k in keys], "tg_ws_us long", "tg_sub_us long", "tg_a double",
                         "tg_add double", "tg_n long", "tg_top long", "tg_v double", *[f"{h} string" for h in heads]])
-    # the timer runs from the window's begin, which stands before the sub-bucket in the key
+    # a span ends where its last window does
+    ends = _interval_us(span) + _interval_us(size)
     subs = rows.select(*cols).groupBy(*group).transformWithStateInPandas(
-        AffineState(len(keys), group, ["tg_top", "tg_seq"], heads, until), schema, "update", mode)
+        AffineState(keys, heads, ends, until), schema, "update", mode)
     with rocksdb_state(spark):
-        done = run_updates(subs, group, f"{base}/out", checkpoint, trigger)
+        done = run_updates(subs, [*keys, *places], f"{base}/out", checkpoint, trigger)
     done = done.withColumn("tg_first", F.struct("tg_v", *heads)).withColumnRenamed("tg_top", "tg_max")
     g = compose(done, [*keys, "tg_ws_us"], [F.col("tg_sub_us")], out, "max_ts", first)
 
