@@ -80,3 +80,67 @@ def test_copies_give_no_support_to_their_own_text(spark):
     assert got == {k: copied if k < 9 else f"Title {k} Body of {k} Next line {k}" for k in range(13)}
     alone = [r["text"] for r in H.main_text(frame(spark, [(1, "http://h.org/1", f"<p>{own}")] * 5)).collect()]
     assert alone == [copied] * 5
+
+
+def found(spark, bodies):
+    """The template of one host's pages, and the pages' tokens."""
+    rows = [("h", f"<html><head><title>t{k}</title></head><body>{b}</body></html>") for k, b in enumerate(bodies)]
+    (row,) = H.templates(spark.createDataFrame(rows, "host string, html string")).collect()
+    return H.Template(row["template"]), [[H.token_of(r[0]) for r in H.roles(html) if r[0]] for _, html in rows]
+
+
+def test_a_run_has_another_role_in_another_gap(spark):
+    """Menu words that also occur in some texts: their vectors are those of the
+    root only once the root's gaps part the roles."""
+    def body(k):
+        said = ["", "<p>Home", "<p>Home<p>News<p>Home", "<p>Contact"][k % 4]
+        return f"<h2>Title {k}</h2><p>Body {k}{said}"
+    rows = [(k, "http://h.org/%d" % k, page(k, body(k)).replace("top nav", "top").replace("<li>News", "<li>News<li>Contact"))
+            for k in range(8)]
+    got = {r["page_id"]: r["text"] for r in H.main_text(frame(spark, rows)).collect()}
+    assert got == {k: f"Title {k} Body {k}" + ["", " Home", " Home News Home", " Contact"][k % 4] for k in range(8)}
+
+
+def test_classes_nest_in_gaps(spark):
+    """Cards of a list, on some pages with a badge of three tokens inside."""
+    plain, badged = "<li><i>by</i> a{0}</li>", "<li><i>by</i> a{0}<b><s>new</s></b></li>"
+    bodies = ["<ul>" + "".join((badged if (k + j) % 3 else plain).format(f"{k}.{j}") for j in range(2 + k % 3))
+              + f"</ul><p>by<p>x{k}" for k in range(9)]
+    template, pages = found(spark, bodies)
+    gap_of = {n: gap for n, (gap, _, _) in template.classes.items() if n}
+    cards = [n for n, gap in gap_of.items() if template.owner[gap] == 0]
+    badges = [n for n, gap in gap_of.items() if template.owner[gap] in cards]
+    assert len(template.classes) == 3 and len(cards) == len(badges) == 1
+    by = H.token_of("#by")
+    for k, tokens in enumerate(pages):
+        places = template.parse(tokens)
+        assert sum(p == (cards[0], 0, gap_of[cards[0]], 1) for p in places if p) == 2 + k % 3
+        assert sum(p[:2] == (badges[0], 0) for p in places if p) == sum((k + j) % 3 > 0 for j in range(2 + k % 3))
+        assert [p[0] for p, t in zip(places, tokens) if t == by] == [cards[0]] * (2 + k % 3) + [0]
+
+
+def test_boxes_in_two_orders_do_not_stay_one_class(spark):
+    one, two = "<p><i>Follow</i></p>", "<p><s>Weather</s></p>"
+    bodies = [f"<div>{one}{two}</div><p>x{k}" if k % 2 else f"<div>{two}{one}</div><p>x{k}" for k in range(8)]
+    template, pages = found(spark, bodies)
+    root = [t for _, t in template.classes[0][2]]
+    words = {H.token_of("#Follow"), H.token_of("#Weather")}
+    assert len(words.intersection(root)) == 1
+    for tokens in pages:
+        assert [k for c, k, *_ in filter(None, template.parse(tokens)) if c == 0] == list(range(len(root)))
+
+
+def test_a_class_is_held_against_every_page():
+    template = H.Template()
+    assert H.out_of_order([0, 1, 2, 3]) == [] and H.out_of_order([0, 3, 1, 2]) == [1]
+    rows = [{"gap": 0, "pages": 4, "h1": 1, "h2": 1, "n": 4, "members": [{"at": k - 1, "token": k} for k in range(5)]},
+            {"gap": 0, "pages": 4, "h1": 2, "h2": 2, "n": 8, "members": [{"at": k, "token": k} for k in (7, 8, 9)]}]
+    found = H.json.dumps(rows)
+    candidates = template.candidates(found)
+    assert [c[3] for c in candidates] == [[1, 2, 3, 4], [7, 8, 9]]
+    where = {(0, t): (c, r) for c, x in enumerate(candidates) for r, t in enumerate(x[3])}
+    assert not list(template.judge(candidates, where, [1, 2, 7, 8, 9, 7, 8, 9, 3, 4]))
+    said = [*template.judge(candidates, where, [1, 4, 2, 3, 7, 8, 7, 9, 8, 9])]
+    assert said == [(0, 4, -1), (1, 9, -1)] or {s[0] for s in said} == {0, 1}
+    assert template.grow(found, [dict(zip(("candidate", "token", "other"), s)) for s in said])
+    assert [t for _, t in template.classes[0][2]] == [1, 2, 3] and template.often == {0, 1, 2, 3, 4, 7, 8, 9}
