@@ -59,15 +59,44 @@ def sliding(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
     return _flatten(g, keys)
 
 
+#: Panes of a block of ``sliding_count``.
+BLOCK_PANES = 12
+
+
 def sliding_count(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str,
-                  out: str = "cnt") -> DataFrame:
+                  out: str = "cnt", tasks: int | None = None) -> DataFrame:
     """Row counts of sliding windows, from panes of one ``slide``: rows are
     counted per pane first, and only the panes are dealt to the windows that
-    hold them.  Batch only; ``slide`` must divide ``size``."""
+    hold them.  Batch only; ``slide`` must divide ``size``.
+
+    Without ``tasks``, rows are combined before each of two shuffles, which
+    suits few keys per pane.  Where almost every row has its own key and pane (words),
+    that only fills memory: give ``tasks`` in proportion to the input.  Rows
+    are then dealt once, to that many tasks, by key and block of panes (with the
+    rows of the panes before it that its windows hold), and a
+    task counts panes and windows of its blocks alone."""
     if _seconds(size) % _seconds(slide):
         return sliding(df, keys, ts, size, slide, [F.count(F.lit(1)).alias(out)])
-    panes = df.groupBy(*keys, F.window(ts, slide).start.alias("_tg_pane")).agg(F.count(F.lit(1)).alias("_tg_n"))
-    return sliding(panes, keys, "_tg_pane", size, slide, [F.sum("_tg_n").alias(out)])
+    count = F.count(F.lit(1)).alias("_tg_n")
+    if tasks is None:
+        panes = df.groupBy(*keys, F.window(ts, slide).start.alias("_tg_pane")).agg(count)
+        return sliding(panes, keys, "_tg_pane", size, slide, [F.sum("_tg_n").alias(out)])
+
+    def start(of: str, length: str, name: str, frame: DataFrame) -> DataFrame:
+        return frame.withColumn(name, F.window(of, length).start)
+
+    block = f"{round(max(BLOCK_PANES * _seconds(slide), _seconds(size)) / _seconds(slide)) * _seconds(slide)} seconds"
+    rows = start(ts, slide, "_tg_pane", df.select(*keys, ts))
+    rows = rows.withColumn("_tg_first", F.col("_tg_pane") - _interval(size) + _interval(slide))  # its first window
+    rows = start("_tg_pane", block, "_tg_b", start("_tg_first", block, "_tg_a", rows))
+    homes = F.when(F.col("_tg_a") == F.col("_tg_b"), F.array("_tg_b")).otherwise(F.array("_tg_a", "_tg_b"))
+    rows = rows.select(*keys, "_tg_pane", F.explode(homes).alias("_tg_block"))
+    panes = rows.repartition(tasks, *keys, "_tg_block").groupBy(*keys, "_tg_block", "_tg_pane").agg(count)
+    windows = F.array(*[F.col("_tg_pane") - _interval(slide) * k for k in range(round(_seconds(size) / _seconds(slide)))])
+    held = panes.select(*keys, "_tg_block", "_tg_n", F.explode(windows).alias("window_start"))
+    held = start("window_start", block, "_tg_own", held).where("_tg_own = _tg_block")
+    return held.groupBy(*keys, "_tg_block", "window_start").agg(F.sum("_tg_n").alias(out)).select(
+        *keys, "window_start", (F.col("window_start") + _interval(size)).alias("window_end"), out)
 
 
 def _seconds(spec: str) -> float:

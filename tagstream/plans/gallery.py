@@ -209,14 +209,16 @@ def ingest_log_report(spark, sf):
 @q("ingest_word_count")
 def ingest_word_count(spark, sf):
     """W-09/W-10: count per word and 5-minute window of arrival time."""
-    return W.tumbling(_words_with_ingest(spark, sf), ["word"], "ingest_ts", "5 minutes", [
+    docs, _ = I.dealt_arrivals(spark, sf)
+    return W.tumbling(_timed_words(docs), ["word"], "ingest_ts", "5 minutes", [
         F.sum("n").alias("cnt")])
 
 
 @q("ingest_word_sliding")
 def ingest_word_sliding(spark, sf):
     """W-11: count per word in 10-minute windows of arrival time every 5."""
-    return W.sliding_count(_words_with_ingest(spark, sf), ["word"], "ingest_ts", "10 minutes", "5 minutes")
+    docs, tasks = I.dealt_arrivals(spark, sf)
+    return W.sliding_count(_timed_words(docs), ["word"], "ingest_ts", "10 minutes", "5 minutes", tasks=tasks)
 
 
 @q("event_time")
@@ -307,7 +309,11 @@ def word_count(spark, sf):
 
 
 def _words_with_ingest(spark, sf):
-    return TX.words(I.doc_arrivals(spark, sf), "text", keep=["doc_id", "ingest_ts"], min_len=2).select(
+    return _timed_words(I.doc_arrivals(spark, sf))
+
+
+def _timed_words(docs):
+    return TX.words(docs, "text", keep=["doc_id", "ingest_ts"], min_len=2).select(
         "doc_id", "word", F.lit(1).alias("n"), "ingest_ts")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagstream.functions.scalars import epoch_ms_to_ts, ts_to_epoch_ms
-from tagstream.sources.tables import events_as_readings, read_table, spread
+from tagstream.sources.tables import deal_text, events_as_readings, read_table, spread
 from tagstream.sources.text import split_lines
 
 
@@ -134,3 +134,9 @@ def with_arrival(df: DataFrame, ts_ms: str, seq: str) -> DataFrame:
 def doc_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     """``doc_texts`` with ``ingest_ts``: one document arrives each second."""
     return doc_texts(spark, sf).withColumn("ingest_ts", epoch_ms_to_ts(F.col("doc_id") * 1000))
+
+
+def dealt_arrivals(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """``doc_arrivals`` in tasks of bounded text, and how many they are."""
+    docs, tasks = deal_text(read_table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return docs.withColumn("ingest_ts", epoch_ms_to_ts(F.col("doc_id") * 1000)), tasks

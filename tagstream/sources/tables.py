@@ -27,6 +27,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(target)
 
 
+#: Bytes of text that a task of ``deal_text`` gets.
+TASK_TEXT = 8 << 20
+
+
+def deal_text(df: DataFrame, text_col: str) -> tuple[DataFrame, int]:
+    """Deal rows to tasks of about ``TASK_TEXT`` bytes of text, however large a
+    scan's tasks are, for work whose memory grows with a task's words; also
+    their number.  The text is read once more to find its size."""
+    size = df.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, min(-(-size // TASK_TEXT), 100_000))
+    return df.repartition(tasks), tasks
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """The same table, one file or a folder of files, as a file stream (new

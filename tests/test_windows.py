@@ -104,3 +104,32 @@ def test_sliding_count_by_panes_equals_sliding(spark):
         got = W.sliding_count(e, ["event_type"], "ts", size, slide)
         want = W.sliding(e, ["event_type"], "ts", size, slide, [F.count(F.lit(1)).alias("cnt")])
         assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_sliding_count_dealt_once_equals_sliding(spark):
+    """Blocks of panes: rows at their edges, before 1970, without a time or key,
+    hot and repeated; windows of one pane, of a few and of more than a block."""
+    times = [0, 1, 299, 300, 301, 3599, 3600, 3601, 7200, -1, -300, -3600, 86_400 * 365, None]
+    rows = [(w, t) for t in times for w in ("a", "b", None, "a")] + [("hot", 3_500 + k) for k in range(300)]
+    df = spark.createDataFrame(rows, "word string, t long")
+    df = df.select("word", F.expr("timestamp_ntz '1970-01-01' + t * interval 1 second").alias("ts"))
+    for size, slide in (("10 minutes", "5 minutes"), ("5 minutes", "5 minutes"), ("2 hours", "5 minutes")):
+        want = W.sliding(df, ["word"], "ts", size, slide, [F.count(F.lit(1)).alias("cnt")])
+        got = W.sliding_count(df, ["word"], "ts", size, slide, tasks=3)
+        assert got.schema == want.schema or got.dtypes == want.dtypes
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_words_are_dealt_in_tasks_of_bounded_text(spark, tmp_dir):
+    """A table that is read by one task, and six times as much of it: tasks
+    grow with the text, and words are counted in as many (the old plan had as
+    many tasks as the scan, or cores, whatever they held)."""
+    from tagstream.plans.gallery import GALLERY
+    from tagstream.sources.tables import TASK_TEXT
+    text = " ".join(f"word{k}" for k in range(60_000))  # 0.6 MB
+    found = {}
+    for n in (20, 120):
+        spark.range(n).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")).coalesce(1).write.parquet(
+            f"{tmp_dir}/{n}/documents.parquet")
+        found[n] = GALLERY["ingest_word_sliding"](spark, f"{tmp_dir}/{n}").rdd.getNumPartitions()
+    assert found[20] <= 4 and found[120] == -(-120 * len(text) // TASK_TEXT) > 8
